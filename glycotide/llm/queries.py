@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, packing, token_planes
+from glycotide.llm import exact_dedup, packing, repeated_spans, token_planes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,8 @@ def op6(spark, sf_dir):
 @query("op9_token_bit_planes")
 def op9(spark, sf_dir):
     return token_planes.token_files_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query("op10_suffix_interval_dedup")
+def op10(spark, sf_dir):
+    return repeated_spans.remove_repeated(table(spark, sf_dir, "documents"), length=400)
