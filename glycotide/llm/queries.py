@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, packing, repeated_spans, token_planes
+from glycotide.llm import exact_dedup, packing, repeated_spans, setsketch, token_planes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op9(spark, sf_dir):
 @query("op10_suffix_interval_dedup")
 def op10(spark, sf_dir):
     return repeated_spans.remove_repeated(table(spark, sf_dir, "documents"), length=400)
+
+
+@query("op8_setsketch_near_dedup")
+def op8(spark, sf_dir):
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), 75, 100, k=5)
