@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, packing, repeated_spans, setsketch, token_planes
+from glycotide.llm import exact_dedup, packing, repeated_spans, setsketch, token_planes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,19 @@ def op10(spark, sf_dir):
 @query("op8_setsketch_near_dedup")
 def op8(spark, sf_dir):
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), 75, 100, k=5)
+
+
+@query(
+    "op7_warc_shards",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+         d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+         k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keep FROM d)
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 1000 AND keep <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 1000 AND keep <> page_id THEN keep END AS refers_to
+    FROM k
+    """,
+)
+def op7(spark, sf_dir):
+    return warc.warc_round_trip(table(spark, sf_dir, "pages"))

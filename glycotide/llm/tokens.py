@@ -7,6 +7,7 @@ other than blank, tab and line ends are rare and go to the library whole.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterable
 
@@ -14,13 +15,15 @@ import numpy as np
 
 RARE_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-MOST_WORDS, LONG_WORD = 300_000, 40
+#: Words kept by a worker, about 200 bytes each; longer ones are not kept.
+MOST_WORDS, LONG_WORD = 800_000, 40
 
 
 class WordTokenizer:
     """``keeps_space``: blanks are part of the ids (byte-level vocabularies) and not dropped."""
 
     def __init__(self, path: str, keeps_space: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -46,7 +49,7 @@ class WordTokenizer:
             try:
                 out.append(b"".join(map(known.__getitem__, words)))
             except KeyError:
-                new = set(words) - known.keys()
+                new = {w for w in words if w not in known}
                 if len(known) + len(new) > MOST_WORDS:
                     known.clear()
                     new = set(words)
