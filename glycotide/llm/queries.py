@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, packing, repeated_spans, setsketch, token_planes, warc
+from glycotide.llm import exact_dedup, line_dedup, packing, repeated_spans, setsketch, token_planes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,26 @@ def op8(spark, sf_dir):
 )
 def op7(spark, sf_dir):
     return warc.warc_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "op5_line_dedup",
+    r"""
+    WITH l AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
+      FROM documents),
+    s AS (SELECT doc_id, line_no, list_distinct(regexp_extract_all(line, '[^ \t\x0B\f\r]+')) AS words FROM l),
+    n AS (SELECT doc_id, line_no, list_sort(words) AS words, len(words) AS size FROM s WHERE len(words) > 0),
+    u AS (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, line_no) AS copy, row_number() OVER (ORDER BY doc_id, line_no) AS id FROM n),
+    f AS (SELECT * FROM u WHERE copy = 1),
+    t AS (SELECT id, size, unnest(words) AS word FROM f),
+    p AS (SELECT b.id FROM t a JOIN t b ON a.word = b.word AND a.id < b.id AND 10 * a.size >= 9 * b.size AND 10 * b.size >= 9 * a.size
+          GROUP BY b.id, a.id, a.size, b.size HAVING 10 * count(*) >= 9 * (a.size + b.size - count(*))),
+    r AS (SELECT doc_id, line_no FROM u WHERE copy > 1 OR id IN (SELECT id FROM p)),
+    g AS (SELECT doc_id, count(*) AS n_removed, string_agg(line_no, ',' ORDER BY line_no) AS removed FROM r GROUP BY doc_id)
+    SELECT d.doc_id, len(string_split(coalesce(d.text, ''), chr(10))) AS n_lines, coalesce(g.n_removed, 0) AS n_removed, g.removed
+    FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
+    """,
+)
+def op5(spark, sf_dir):
+    return line_dedup.line_counts(table(spark, sf_dir, "documents"), 9, 10)
