@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, line_dedup, packing, repeated_spans, setsketch, token_planes, warc
+from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, repeated_spans, setsketch, token_planes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,19 @@ def op7(spark, sf_dir):
 )
 def op5(spark, sf_dir):
     return line_dedup.line_counts(table(spark, sf_dir, "documents"), 9, 10)
+
+
+@query(
+    "op4_hamming_top_k",
+    """
+    WITH b AS (SELECT vec_id, unnest(embedding) > 0 AS bit, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    c AS (SELECT * FROM b WHERE i <= 64),
+    d AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbour_id, sum(CASE WHEN q.bit <> v.bit THEN 1 ELSE 0 END) AS distance
+          FROM c q JOIN c v ON q.i = v.i AND q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+    r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank, neighbour_id, distance FROM d)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbour_id, CAST(distance AS INTEGER) AS distance FROM r WHERE rank <= 10
+    """,
+)
+def op4(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return hamming_topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=10, dims=64)
