@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, repeated_spans, setsketch, token_planes, warc
+from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, quality, repeated_spans, setsketch, token_planes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,8 @@ def op5(spark, sf_dir):
 def op4(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return hamming_topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=10, dims=64)
+
+
+@query("op3_ordinal_quality")
+def op3(spark, sf_dir):
+    return quality.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
