@@ -1,22 +1,40 @@
 """Whole texts to token ids by the tokenizers library, each distinct word encoded once.
 
 Both vocabularies split a text at white space before they merge, so a text's ids are those of its chunks in order.
-A chunk is a run of blanks and the word behind it (or, where white space is dropped, the word). Texts with white space
-other than blank, tab and line ends are rare and go to the library whole.
+Where blanks are part of the ids, a chunk is a word and the white space before it; where they are dropped, it is the word.
+Texts with white space other than blank, tab and line ends are rare and go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Iterator
 
 import numpy as np
 
 RARE_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: Words kept by a worker, about 200 bytes each; longer ones are not kept.
-MOST_WORDS, LONG_WORD = 800_000, 40
+#: White space that single blanks and line ends are not.
+RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r")
+#: Words kept by a worker, about 200 bytes each; longer ones are not kept. Characters split at a time.
+MOST_WORDS, LONG_WORD, AT_ONCE = 800_000, 40, 1 << 21
+
+
+def spaced_keys(text: str) -> list[str]:
+    """The chunks of a text as keys: a word stands for a blank and the word, one behind a line end has it in front.
+
+    A chunk that begins with a tab stands for what follows it as it is.
+    """
+    if any(run in text for run in RUNS):
+        return ["\t" + c for c in CHUNK.findall(text)]
+    keys = text.replace("\n", " \n").split(" ")
+    keys[0] = "\t" + keys[0]  # no blank comes before the first
+    return keys
+
+
+def chunk_of(key: str) -> str:
+    return key[1:] if key[:1] == "\t" else key if key[:1] == "\n" else " " + key
 
 
 class WordTokenizer:
@@ -28,40 +46,44 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split = CHUNK.findall if keeps_space else str.split
+        self.split = spaced_keys if keeps_space else str.split
+        self.chunk = chunk_of if keeps_space else str
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: Iterable[str], into: dict[str, bytes]) -> None:
-        words = list(words)
-        for i in range(0, len(words), 20_000):
-            some = words[i : i + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                into[w] = np.array(e.ids, "<u4").tobytes()
+    def _learn(self, keys: list[str]) -> None:
+        for i in range(0, len(keys), 20_000):
+            some = keys[i : i + 20_000]
+            for k, e in zip(some, self.tokenizer.encode_batch_fast([self.chunk(k) for k in some], add_special_tokens=False)):
+                self.known[k] = np.array(e.ids, "<u4").tobytes()
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Each text's ids, in order, as little-endian unsigned 32-bit integers; words are learned for many texts at once."""
+        at = 0
+        while at < len(texts):
+            size, end = 0, at
+            while end < len(texts) and (end == at or size + len(texts[end]) <= AT_ONCE):
+                size += len(texts[end])
+                end += 1
+            yield from self._encode(texts[at:end])
+            at = end
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        out, known = [], self.known
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if RARE_SPACE.search(t) else self.split(t) for t in texts]
-        for words, text in zip(split, texts):
-            if words is None:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            try:
-                out.append(b"".join(map(known.__getitem__, words)))
-            except KeyError:
-                new = {w for w in words if w not in known}
-                if len(known) + len(new) > MOST_WORDS:
-                    known.clear()
-                    new = set(words)
-                long = {w for w in new if len(w) > LONG_WORD}
-                self._learn(new - long, known)
-                if long:
-                    once: dict[str, bytes] = {}
-                    self._learn(long, once)
-                    out.append(b"".join([known.get(w) if w in known else once[w] for w in words]))
-                else:
-                    out.append(b"".join(map(known.__getitem__, words)))
-        return out
+        words = set().union(*(s for s in split if s))
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > MOST_WORDS:
+            self.known.clear()
+            new = words
+        self._learn(list(new))
+        get = self.known.__getitem__
+        for keys, text in zip(split, texts):
+            if keys is None:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                yield b"".join(map(get, keys))
+        for w in new:
+            if len(w) > LONG_WORD:
+                del self.known[w]
 
 
 _LOADED: dict[tuple[str, bool], WordTokenizer] = {}
