@@ -10,25 +10,30 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glycotide.llm.shared import join_by_count, open_fs, parts, require, shared_dir, text_or_empty, written
 
-#: Payload bytes of a shard, about; compressed bytes from which a file is full; ids of one step of the sort ranges.
-SHARD_BYTES, ROLL_BYTES, STEP = 16 << 20, 64 << 20, 256
+#: Payload bytes of a shard, about; shards at most (beyond, they are larger); compressed bytes from which a file is full;
+#: ids of one step of the sort ranges.
+SHARD_BYTES, MOST_SHARDS, ROLL_BYTES, STEP = 16 << 20, 1 << 16, 64 << 20, 256
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _COLLECTION = 0x676C79636F  # fixed: part of every record id
+_NO_ID = 1 << 74
 
 
-def record_id(page_id: int) -> str:
-    """A UUID (version 8) that holds the page's id; ``page_of`` gets it back."""
-    low = page_id & ((1 << 64) - 1)
-    return str(uuid.UUID(int=_COLLECTION << 80 | 8 << 76 | (low >> 62) << 64 | 2 << 62 | low & ((1 << 62) - 1)))
+def record_id(page_id: int | None) -> str:
+    """A UUID (version 8) that holds the page's id, or that it has none; ``page_of`` gets it back."""
+    low = (page_id or 0) & ((1 << 64) - 1)
+    return str(uuid.UUID(int=_COLLECTION << 80 | 8 << 76 | _NO_ID * (page_id is None) | (low >> 62) << 64 | 2 << 62 | low & ((1 << 62) - 1)))
 
 
-def page_of(urn: str) -> int:
+def page_of(urn: str) -> int | None:
     x = uuid.UUID(urn.strip("<>").removeprefix("urn:uuid:")).int
+    if x & _NO_ID:
+        return None
     low = ((x >> 64) & 3) << 62 | x & ((1 << 62) - 1)
     return low - (1 << 64) if low >> 63 else low
 
@@ -37,7 +42,7 @@ def _base32(raw: bytes) -> str:
     return base64.b32encode(raw).decode()
 
 
-def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
     """One record: a response with the payload, or a revisit that has its headers only."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http + payload if refers_to is None else http
@@ -93,28 +98,43 @@ def parse(raw: bytes) -> dict:
     }
 
 
-def with_revisits(pages: DataFrame, least: int) -> DataFrame:
-    """page_id, url, payload, refers_to: payloads of ``least`` bytes or more that a larger id has, too, refer to the largest."""
-    rows = pages.withColumn("digest", F.when(F.length("payload") >= least, F.unhex(F.sha2("payload", 256))))
-    groups = rows.filter("digest is not null").groupBy("digest").agg(F.max("page_id").alias("keep"), F.count("*").alias("n")).filter("n > 1")
-    total = pages.count()
-    keyed = rows.select("page_id", "digest").filter("digest is not null")
-    refers = join_by_count(keyed, written(groups, "payload-groups"), "digest", "n", total, "page_id").filter("keep <> page_id").select("page_id", F.col("keep").alias("refers_to")).dropDuplicates(["page_id"])
-    return rows.drop("digest").join(refers, "page_id", "left")
+def with_digest(pages: DataFrame, least: int) -> DataFrame:
+    """``pages`` with the digest of payloads of ``least`` bytes or more."""
+    return pages.withColumn("digest", F.when(F.length("payload") >= least, F.unhex(F.sha2("payload", 256))))
 
 
-def sort_ranges(pages: DataFrame, shard_bytes: int) -> DataFrame:
-    """step, shard: consecutive ranges of STEP ids with the shard that they belong to, by the bytes before them.
+def revisits(rows: DataFrame) -> DataFrame:
+    """page_id, digest, refers_to of pages whose payload a page of a larger id has, too: they refer to the largest."""
+    keyed = rows.filter("digest is not null").select("page_id", "digest")
+    groups = keyed.groupBy("digest").agg(F.max("page_id").alias("keep"), F.count("*").alias("n")).filter("n > 1")
+    found = join_by_count(keyed, written(groups, "payload-groups"), "digest", "n", rows.count(), "page_id")
+    return found.filter("keep is not null and not page_id <=> keep").select("page_id", "digest", F.col("keep").alias("refers_to")).dropDuplicates(["page_id", "digest"])
+
+
+def shard_starts(pages: DataFrame, shard_bytes: int, most: int = MOST_SHARDS) -> list[int]:
+    """The first step (STEP consecutive ids) of each shard, by the bytes before it: at most ``most`` + 1 numbers.
 
     Sums run over 4,096 steps at a time and then over those sums, so no task sees all steps.
     """
     steps = pages.groupBy(F.floor(F.col("page_id") / STEP).alias("step")).agg(F.sum(F.length("payload") + 512).alias("bytes")).withColumn("block", F.floor(F.col("step") / 4096))
-    steps = written(steps, "steps")
+    steps = written(steps.filter("step is not null"), "steps")
+    size = max(shard_bytes, -(-(steps.agg(F.sum("bytes")).first()[0] or 0) // most))
     blocks = steps.groupBy("block").agg(F.sum("bytes").alias("bytes"))
     before = lambda w: F.coalesce(F.sum("bytes").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     blocks = blocks.select("block", before(Window.orderBy("block")).alias("base"))
     inside = steps.select("step", "block", before(Window.partitionBy("block").orderBy("step")).alias("at"))
-    return inside.join(blocks, "block").select("step", F.floor((F.col("base") + F.col("at")) / shard_bytes).alias("shard"))
+    shards = inside.join(blocks, "block").groupBy(F.floor((F.col("base") + F.col("at")) / size).alias("shard")).agg(F.min("step").alias("step"))
+    return sorted(r["step"] for r in shards.collect())
+
+
+def with_shard(rows: DataFrame, starts: list[int]) -> DataFrame:
+    """``rows`` with the shard that their id lies in; rows without an id are in the last."""
+    splits = [float("-inf"), *sorted({float(x) for x in starts[1:]}), float("inf")]
+    step = F.floor(F.col("page_id") / STEP).cast("double")
+    if len(splits) == 2:
+        return rows.withColumn("shard", F.when(step.isNull(), 1).otherwise(0).cast("long"))
+    dealer = Bucketizer(splits=splits, inputCol="_step", outputCol="_shard", handleInvalid="keep")
+    return dealer.transform(rows.withColumn("_step", step)).withColumn("shard", F.col("_shard").cast("long")).drop("_step", "_shard")
 
 
 MANIFEST = "shard long, file int, temporary string, path string, records long, bytes long, sha256 string"
@@ -126,17 +146,23 @@ def write_warc(pages: DataFrame, folder: str, *, revisit_bytes: int = 1000, shar
     Shards are id ranges of about ``shard_bytes``, each sorted; a file that has ``roll_bytes`` compressed ends and the next
     begins. The same pages give the same files, whatever the partitions. Tasks write under temporary names; when all have
     ended, the manifest of those that count is kept and its files get their names, so a lost or repeated task leaves only
-    temporary files. Null html is an empty payload, a null url the URN of the page; equal rows give equal records.
+    temporary files. Null html is an empty payload, a null url the URN of the page; a page without an id has a record that
+    says so; equal rows give equal records. Payloads are shuffled once: what a page refers to is not joined to it but
+    sorted before it.
     """
     require(pages, id_col, html_col)
     url = F.col(url_col).cast("string") if url_col in pages.columns else F.lit(None).cast("string")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), text_or_empty(html_col).cast("binary").alias("payload"))
-    ranges = written(sort_ranges(rows, shard_bytes), "ranges")
-    dealt = with_revisits(rows, revisit_bytes).withColumn("step", F.floor(F.col("page_id") / STEP)).join(ranges, "step")
-    dealt = dealt.select("shard", "page_id", "url", "payload", "refers_to").repartition(parts(pages.sparkSession), "shard").sortWithinPartitions("shard", "page_id", "payload", "url")
+    starts = shard_starts(rows, shard_bytes)
+    rows = with_digest(rows, revisit_bytes)
+    none = lambda c, t: F.lit(None).cast(t).alias(c)
+    notes = revisits(rows).select("page_id", "digest", F.lit(0).alias("kind"), none("url", "string"), none("payload", "binary"), "refers_to")
+    both = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload", none("refers_to", "long")).unionByName(notes)
+    dealt = with_shard(both, starts).select("shard", "page_id", "digest", "kind", "url", "payload", "refers_to").repartition(parts(pages.sparkSession), "shard")
+    dealt = dealt.sortWithinPartitions("shard", "page_id", "digest", "kind", "payload", "url")
 
     def run(batches):
-        out, shard, number = None, None, 0
+        out, shard, number, note = None, None, 0, (None, None, None)
         fs, root = open_fs(folder)
 
         def done():
@@ -145,7 +171,12 @@ def write_warc(pages: DataFrame, folder: str, *, revisit_bytes: int = 1000, shar
 
         for batch in batches:
             for k in range(batch.num_rows):
-                s, page, url, payload, refers = (c[k].as_py() for c in batch.columns)
+                s, page, own, kind, url, payload, refers = (c[k].as_py() for c in batch.columns)
+                if kind == 0:
+                    note = page, own, refers
+                    continue
+                if own is not None and note[:2] == (page, own):
+                    refers = note[2]
                 if out is not None and (s != shard or size >= roll_bytes):
                     yield done()
                     out = None
