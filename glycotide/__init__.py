@@ -1 +1 @@
-
+"""Event-window analytics for glucose time series, as Spark DataFrame transformations."""

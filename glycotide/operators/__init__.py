@@ -1 +1 @@
-
+"""Operators over flat tables: readings, annotations, metrics and verdicts."""

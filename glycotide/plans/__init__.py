@@ -1 +1 @@
-
+"""Operators put together: the import-to-report workflow and the catalogue of registered queries."""
