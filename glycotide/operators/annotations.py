@@ -126,7 +126,7 @@ def collection_ids(events: DataFrame, *keys: str, time_zone: Column) -> DataFram
     return events.groupBy(*keys).agg(F.concat(F.lit("evts_"), F.substring(F.sha2(whole, 256), 1, 16)).alias("events_id"))
 
 
-def warnings(events: DataFrame) -> Column:
+def warnings() -> Column:
     """The texts of what may limit an event's use, in a fixed order. A missing duration counts as 0, a missing quality as 1."""
     rules = [
         (F.coalesce("annotation_quality", F.lit(1.0)) < 0.5, LOW_QUALITY),
