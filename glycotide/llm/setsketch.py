@@ -19,6 +19,8 @@ from glycotide.llm.shared import join_by_count, require, text_or_empty, written
 REGISTERS, BANDS, BASE, RATE = 128, 32, 1.001, 20.0
 #: Bytes hashed at a time; members up to which all pairs of a band's group are compared; pivots of larger ones; pairs in a block.
 AT_ONCE, SMALL, PIVOTS, BLOCK = 1 << 21, 8, 4, 64
+#: A tile's members apart, its members, and the bytes of either, about.
+TILE_APART, TILE_ALL, TILE_BYTES = 128, 256, 4 << 20
 #: Pairs whose likeliest similarity is this much below the threshold are not verified: over 6 standard errors of 128 registers.
 MARGIN = 0.25
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -174,13 +176,62 @@ def _verified(pairs: DataFrame, shingles: DataFrame, numerator: int, denominator
     return rows.groupBy("group").applyInPandas(run, "a long, b long")
 
 
+def cross_links(sets_a: list[np.ndarray], of_a: np.ndarray, sets_b: list[np.ndarray], of_b: np.ndarray, numerator: int, denominator: int) -> list[tuple[int, int]]:
+    """Places (i, j) of similar sets of different components: one j for each i and component of its partners.
+
+    All intersections come from one table: for each member of ``b``, which sets of ``a`` have its elements, summed up.
+    """
+    words, where = np.unique(np.concatenate(sets_a), return_inverse=True)
+    has = np.zeros((len(words) + 1, len(sets_a)), np.uint8)  # the last row: words that no set of a has
+    has[where, np.repeat(np.arange(len(sets_a)), [len(x) for x in sets_a])] = 1
+    n_a, found = np.array([len(x) for x in sets_a]), []
+    for j, b in enumerate(sets_b):
+        at = np.searchsorted(words, b)
+        at[(at == len(words)) | (words[np.minimum(at, len(words) - 1)] != b)] = len(words)
+        both = has[at[at < len(words)]].sum(axis=0, dtype=np.int64)
+        found += [(int(i), j) for i in np.flatnonzero((denominator * both >= numerator * (n_a + len(b) - both)) & (of_a != of_b[j]))]
+    first: dict[tuple[int, int], tuple[int, int]] = {}
+    for i, j in found:
+        first.setdefault((i, int(of_b[j])), (i, j))
+    return list(first.values())
+
+
+def _joined_apart(split: DataFrame, shingles: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Links (a, b) between the members apart of each band's group and all others of another component, on full sets.
+
+    split: band, id, component, main. A group's members are dealt to tiles of bounded size; a tile has a block of those
+    apart and a block of all, compares them in place and gives the links that connect components, not all pairs.
+    """
+    rows = split.join(shingles, "id").withColumns({"apart": F.col("component") != F.col("main"), "bytes": F.length("shingles")})
+    rows = written(rows.drop("main"), "apart")
+    total = lambda c: F.sum(F.when(F.col("apart"), c)), lambda c: F.sum(c)
+    blocks = lambda f, count: F.greatest(F.ceil(f(F.lit(1)) / count), F.ceil(f(F.col("bytes")) / TILE_BYTES)).cast("int")
+    counts = rows.groupBy("band").agg(blocks(total[0], TILE_APART).alias("a_blocks"), blocks(total[1], TILE_ALL).alias("b_blocks"))
+    dealt = rows.join(counts, "band")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    carried = ["id", "component", "shingles"]
+    a = dealt.filter("apart").select("band", block("a_blocks").alias("a_block"), every("b_blocks").alias("b_block"), F.lit(True).alias("is_a"), *carried)
+    b = dealt.select("band", every("a_blocks").alias("a_block"), block("b_blocks").alias("b_block"), F.lit(False).alias("is_a"), *carried)
+
+    def run(tile: pa.Table) -> pa.Table:
+        is_a = tile.column("is_a").to_numpy()
+        ids, of = tile.column("id").to_numpy(), tile.column("component").to_numpy()
+        data = [np.frombuffer(x, np.uint64) for x in tile.column("shingles").to_pylist()]
+        at_a, at_b = np.flatnonzero(is_a), np.flatnonzero(~is_a)
+        links = cross_links([data[k] for k in at_a], of[at_a], [data[k] for k in at_b], of[at_b], numerator, denominator) if len(at_a) else []
+        return pa.table([pa.array([ids[at_a[i]] for i, _ in links], pa.int64()), pa.array([ids[at_b[j]] for _, j in links], pa.int64())], names=["a", "b"])
+
+    return a.unionByName(b).groupBy("band", "a_block", "b_block").applyInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept (the one document of its component that stays) of each row.
 
     Links are pairs with denominator * intersection >= numerator * union of their sets of k-word shingles. Equal sets are
     one node from the start. In each band's groups small ones compare all pairs; large ones compare each member with a
-    few pivots, and then members that are not in the component of most are compared with all others: that finds every
-    component that all pairs would give. A null text is empty; texts without words are linked with nothing; rows that
+    few pivots, and then members that are not in the component of most are compared, in tiles, with all others: that
+    finds every component that all pairs would give. A null text is empty; texts without words are linked with nothing; rows that
     repeat an id and a text are one document. Other columns are ignored.
     """
     require(docs, id_col, text_col)
@@ -216,9 +267,7 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
         counts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
         main = counts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("apart")).filter("apart > 1")
         split = written(placed.join(main.select("band", F.col("most.component").alias("main")), "band"), "split")
-        outside = split.filter("component <> main").select("band", F.col("id").alias("a"), F.col("component").alias("component_a"))
-        rest = outside.join(split.select("band", F.col("id").alias("b"), F.col("component").alias("component_b")), "band").filter("component_a <> component_b")
-        more = _verified(written(_likely(ordered(rest), sets, numerator / denominator), "likely"), shingles, numerator, denominator)
+        more = _joined_apart(split.select("band", "id", "component", "main"), shingles, numerator, denominator)
         links = written(links.union(more), "links")
         found = written(components(links), "components")
 
