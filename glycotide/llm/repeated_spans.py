@@ -2,9 +2,9 @@
 
 Strings of L bytes are dealt to groups by content. The anchor of a string is the smallest hash of its 16-byte windows, so
 equal strings have equal anchors and meet. A document's starts fall into short runs of one anchor each, segments. Equal
-segments are collapsed by their hash before anything is shuffled; only anchors with different segments need their bytes.
-Those go in buckets to tasks that sort a bucket's suffixes, transform it, and derive common prefixes by increasing
-value; what reaches L unset is repeated.
+segments are collapsed by their hash before anything is shuffled; different ones of an anchor need their bytes only if
+three quarters of a string around the anchor can be equal. Those go in buckets to tasks that sort a bucket's suffixes,
+transform it, and derive common prefixes by increasing value; what reaches L unset is repeated.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from glycotide.llm.shared import join_by_count, parts, require, text_or_empty, written
 
 WINDOW = 16
-#: Starts in one segment at most; bytes hashed at a time; bytes in a bucket; different segments from which an anchor is hot.
-LONGEST_RUN, AT_ONCE, BUCKET, HOT = 512, 1 << 21, 1 << 20, 1_000
+#: Starts in one segment at most; bytes hashed at a time; bytes in a bucket; different segments from which an anchor is hot;
+#: starts in a cell of a hot anchor's segment.
+LONGEST_RUN, AT_ONCE, BUCKET, HOT, CELL = 512, 1 << 21, 1 << 20, 1_000, 32
 _K = np.uint64(0x9E3779B97F4A7C15)
 _K_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -66,7 +67,9 @@ def sliding_min(h: np.ndarray, width: int) -> np.ndarray:
 def segments_of(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """first start, number of starts, anchor, content hash of the segments of one text (all its starts, in order).
 
-    The last array tells whether the anchor's value is in the text more than once: only such segments can repeat themselves.
+    Then, whether the anchor's value is in the text more than once: only such segments can repeat themselves. Then four
+    prints: a string that begins k quarters before the anchor, or up to one more, has the k quarters before it and the
+    3 - k behind it. Print k is a hash of those bytes; 0 if the segment has no such string.
     """
     h = window_hashes(data)
     anchors = sliding_min(h, length - WINDOW + 1)
@@ -82,9 +85,20 @@ def segments_of(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     up, down = _powers(len(h))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up, dtype=np.uint64)])
     content = (sums[first + sizes + length - WINDOW] - sums[first]) * down[first]
-    low, times = np.unique(h[h <= anchors.max()], return_counts=True)
-    again = times[np.searchsorted(low, anchors[first])] > 1
-    return first, sizes, anchors[first], content, again
+    at = np.flatnonzero(h <= anchors.max())
+    low, which, times = np.unique(h[at], return_inverse=True, return_counts=True)
+    own = np.searchsorted(low, anchors[first])
+    # the anchor's place: the first, from the segment's first start on, that has its value
+    keys = np.sort(which * (len(h) + 1) + at)
+    place = keys[np.searchsorted(keys, own * (len(h) + 1) + first)] % (len(h) + 1)
+    quarter, last, prints = (length - WINDOW) // 4, first + sizes - 1, []
+    for k in range(4):
+        begin = place - k * quarter
+        there = (first <= begin) & ((last > begin - quarter) | (k == 3))
+        x = np.where(there, begin, 0)
+        value = ((sums[x + 3 * quarter + 1] - sums[x]) * down[x]) >> np.uint64(32) | np.uint64(1)
+        prints.append(np.where(there, value, 0).astype(np.uint32).view(np.int32))
+    return first, sizes, anchors[first], content, times[own] > 1, *prints
 
 
 def _binary(column) -> Iterator[np.ndarray]:
@@ -96,26 +110,27 @@ def _binary(column) -> Iterator[np.ndarray]:
         yield data[a:b]
 
 
-SEGMENT = "doc_id long, first long, size int, anchor long, content long, again boolean"
+PRINTS = [f"print_{k}" for k in range(4)]
+SEGMENT = "doc_id long, first long, size int, anchor long, content long, again boolean, " + ", ".join(f"{c} int" for c in PRINTS)
 
 
 def _segments(length: int):
     def run(batches):
         for batch in batches:
-            held: list[list] = [[], [], [], [], [], []]
+            held: list[list] = [[] for _ in range(10)]
             for doc, data in zip(batch.column(0).to_pylist(), _binary(batch.column(1))):
                 for lo in range(0, len(data) - length + 1, AT_ONCE):
-                    first, sizes, anchors, content, again = segments_of(data[lo : lo + AT_ONCE + length - 1], length)
-                    for to, x in zip(held, (np.full(len(first), doc), first + lo, sizes.astype(np.int32), anchors.view(np.int64), content.view(np.int64), again)):
+                    first, sizes, anchors, content, *rest = segments_of(data[lo : lo + AT_ONCE + length - 1], length)
+                    for to, x in zip(held, (np.full(len(first), doc), first + lo, sizes.astype(np.int32), anchors.view(np.int64), content.view(np.int64), *rest)):
                         to.append(x)
                 if len(held[0]) >= 2_000:
                     yield _batch(held)
-                    held = [[], [], [], [], [], []]
+                    held = [[] for _ in range(10)]
             if held[0]:
                 yield _batch(held)
 
     def _batch(held):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=["doc_id", "first", "size", "anchor", "content", "again"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in held], names=["doc_id", "first", "size", "anchor", "content", "again", *PRINTS])
 
     return run
 
@@ -247,31 +262,82 @@ def _with_bytes(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     return docs.join(todo.hint("shuffle_hash"), "doc_id").select("doc_id", "data", "todo").mapInArrow(run, "doc_id long, first long, size int, anchor long, copies long, bytes binary")
 
 
-def _single_starts(length: int):
-    """Each start of a segment with two hashes of its string."""
+CELLS = "doc_id long, first long, size int, copies long, one long, two long, content long, bytes binary"
+
+
+def _cells(length: int, width: int):
+    """Segments cut into cells of ``width`` starts at most, by their distance from the anchor, so that equal strings are in like cells.
+
+    (one, two) are hashes of the bytes that all strings of a cell have, whether the segment has all of them or not;
+    ``content`` is one of the cell's bytes. With a width of 1, a cell is a string.
+    """
 
     def run(batches):
         for batch in batches:
             docs, firsts, sizes, copies = (batch.column(k).to_numpy() for k in (0, 1, 2, 3))
             for k, data in enumerate(_binary(batch.column(4))):
-                h = window_hashes(data)
-                width = length - WINDOW + 1
+                h, n = window_hashes(data), int(sizes[k])
+                starts = np.arange(n)
+                found = np.flatnonzero(h == h[: length - WINDOW + 1].min())
+                place = found[np.searchsorted(found, starts)]
+                cell = (place - starts) // width
+                cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (place[1:] != place[:-1])) + 1
+                first = np.concatenate([[0], cuts])
+                count = np.diff(np.concatenate([first, [n]]))
+                common = place[first] - cell[first] * width  # where the bytes that all its strings have begin
                 up, down = _powers(len(h))
                 columns = []
                 for x in (h, (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)):
                     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up, dtype=np.uint64)])
-                    columns.append(((sums[width:] - sums[:-width]) * down[: len(h) - width + 1]).view(np.int64))
-                n = int(sizes[k])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, docs[k])), pa.array(firsts[k] + np.arange(n)), pa.array(np.full(n, copies[k])), *map(pa.array, columns)], names=["doc_id", "first", "copies", "one", "two"])
+                    columns.append(((sums[common + length - width - WINDOW + 2] - sums[common]) * down[common]).view(np.int64))
+                whole = (sums[first + count + length - WINDOW] - sums[first]) * down[first]
+                whole = whole * _K + ((place[first] - first) * (LONGEST_RUN + 1) + count).astype(np.uint64)
+                raw = [data[a : a + c + length - 1].tobytes() if width > 1 else None for a, c in zip(first.tolist(), count.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(first), docs[k])), pa.array(firsts[k] + first), pa.array(count.astype(np.int32)), pa.array(np.full(len(first), copies[k])), *map(pa.array, columns), pa.array(whole.view(np.int64)), pa.array(raw, pa.binary())],
+                    names=["doc_id", "first", "size", "copies", "one", "two", "content", "bytes"],
+                )
 
     return run
 
 
+def _repeated_cells(cells: DataFrame) -> DataFrame:
+    """The cells whose common bytes are in another cell, too, with ``same``: whether all those cells are equal."""
+    groups = cells.groupBy("one", "two").agg(F.count("*").alias("rows"), F.sum("copies").alias("sum"), (F.min("content") == F.max("content")).alias("same")).filter("sum > 1")
+    groups = written(groups.select(F.struct("one", "two").alias("key"), "rows", "same"), "repeated-cells")
+    return join_by_count(cells.withColumn("key", F.struct("one", "two")), groups, "key", "rows", cells.count(), "doc_id").filter("same is not null")
+
+
+def _hot_ranges(segments: DataFrame, length: int) -> DataFrame:
+    """Repeated starts of the segments of hot anchors, by cells, and by single strings where a cell's mates differ."""
+    span = lambda df: df.filter("copies = 1").select("doc_id", "first", (F.col("first") + F.col("size")).alias("last"))
+    cells = written(segments.select("doc_id", "first", "size", "copies", "bytes").mapInArrow(_cells(length, CELL), CELLS), "cells")
+    found = written(_repeated_cells(cells), "found-cells")
+    rest = found.filter("not same").select("doc_id", "first", "size", "copies", "bytes")
+    strings = written(rest.mapInArrow(_cells(length, 1), CELLS).drop("bytes"), "strings")
+    return span(found.filter("same")).unionByName(span(_repeated_cells(strings)))
+
+
+def _with_possible_mates(segments: DataFrame) -> DataFrame:
+    """Segments (anchor, content, size, prints) that share a print with another of their anchor.
+
+    Anchors of which a text has the value twice keep all segments: which place a string has isn't known there.
+    """
+    odd = segments.groupBy("anchor").agg(F.max("again").alias("odd"))
+    marked = written(segments.join(odd, "anchor"), "marked-segments")
+    prints = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("value")) for k, c in enumerate(PRINTS)]))
+    each = marked.filter("not odd").select("anchor", "content", "size", prints.alias("print")).filter("print.value <> 0")
+    shared = each.groupBy("anchor", "print").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", "print")
+    good = each.join(shared.hint("merge"), ["anchor", "print"], "left_semi").select("anchor", "content", "size").distinct()
+    return marked.filter("odd").unionByName(marked.join(good.hint("merge"), ["anchor", "content", "size"], "left_semi")).drop("odd", *PRINTS)
+
+
 def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     """Ranges [first, last) of the starts, per doc_id, whose ``length`` bytes start anywhere else too. docs: doc_id, data."""
     segments = written(docs.mapInArrow(_segments(length), SEGMENT), "segments")
     same = ["anchor", "content", "size"]
-    distinct = written(segments.groupBy(*same).agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "first")).alias("at"), F.max("again").alias("again")), "distinct-segments")
+    at = F.min(F.struct("doc_id", "first", *PRINTS)).alias("at")
+    distinct = written(segments.groupBy(*same).agg(F.count("*").alias("copies"), at, F.max("again").alias("again")), "distinct-segments")
     whole = distinct.filter("copies > 1").select(F.struct(*same).alias("key"), "copies", F.lit(True).alias("twice"))
     whole = join_by_count(
         segments.select("doc_id", "first", F.col("size").alias("_size"), F.struct(*same).alias("key")), whole, "key", "copies", segments.count(), "doc_id"
@@ -279,7 +345,10 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     # anchors that have different segments, of which some may share strings, or one that may repeat itself
     alone = F.max(F.col("again") & (F.col("copies") == 1))
     anchors = distinct.groupBy("anchor").agg(F.count("*").alias("contents"), alone.alias("_alone")).filter("contents > 1 or _alone").drop("_alone")
-    apart = written(distinct.join(anchors, "anchor").select("at.*", "size", "anchor", "copies", "contents"), "apart")
+    several = distinct.join(anchors.select("anchor"), "anchor").select("at.*", "size", "anchor", "content", "copies", "again")
+    possible = written(_with_possible_mates(several), "possible-segments")
+    apart = possible.join(possible.groupBy("anchor").agg(F.count("*").alias("contents")), "anchor")
+    apart = written(apart.filter("contents > 1 or again and copies = 1").select("doc_id", "first", "size", "anchor", "copies", "contents"), "apart")
     rows = written(_with_bytes(apart, docs, length), "segment-bytes")
     hot = apart.filter(F.col("contents") > HOT).select("anchor").distinct()
     has_hot = bool(hot.head(1))
@@ -289,12 +358,7 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     found = cold.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).groupBy("bucket").applyInArrow(_expand(length), RANGE)
     out = whole.unionByName(found)
     if has_hot:
-        starts = rows.join(hot.hint("shuffle_hash"), "anchor", "left_semi").select("doc_id", "first", "size", "copies", "bytes")
-        starts = written(starts.mapInArrow(_single_starts(length), "doc_id long, first long, copies long, one long, two long"), "single-starts")
-        twice = starts.groupBy("one", "two").agg(F.count("*").alias("rows"), F.sum("copies").alias("sum")).filter("sum > 1")
-        twice = twice.select(F.struct("one", "two").alias("key"), "rows", F.lit(True).alias("twice"))
-        single = join_by_count(starts.filter("copies = 1").select("doc_id", "first", F.struct("one", "two").alias("key")), written(twice, "hot-twice"), "key", "rows", starts.count(), "doc_id")
-        out = out.unionByName(single.filter("twice").select("doc_id", "first", (F.col("first") + 1).alias("last")))
+        out = out.unionByName(_hot_ranges(rows.join(hot.hint("shuffle_hash"), "anchor", "left_semi"), length))
     return out
 
 
