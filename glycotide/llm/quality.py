@@ -5,6 +5,7 @@ P(grade >= k) = sigmoid(w.x - t_k) with t_1 < t_2 < ..., so one score orders all
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from dataclasses import dataclass
@@ -18,6 +19,8 @@ from glycotide.llm.shared import require, text_or_empty, written
 
 #: Labelled rows that the fit uses at most (those of the smallest hash of their id), weights at most, rows that a word must be in.
 SAMPLE, MOST_WEIGHTS, LEAST_ROWS = 10_000, 1 << 16, 8
+#: Letters of a word's beginning, which is a feature of its own: words of one stem then share a weight.
+STEM = 4
 _WORD = re.compile(r"\w+")
 #: Marks whose share among the words of a text is a feature, by powers of two.
 MARKS = "!|#$%&*?<>{}@"
@@ -26,19 +29,24 @@ MARKS = "!|#$%&*?<>{}@"
 def shape_features(text: str, n_words: int) -> list[str]:
     """Names that no word can have: for each mark the level of its share, and that of upper-case letters."""
     n = max(n_words, 1)
-    out = [f"{m} {min(8, int(8 * c / n).bit_length())}" for m in MARKS if (c := text.count(m))]
+    counts = {m: c for m in MARKS if (c := text.count(m))}
+    out = [f"{m} {min(8, int(8 * c / n).bit_length())}" for m, c in counts.items()]
+    out.append(f"marks {min(12, int(64 * sum(counts.values()) / n).bit_length())}")
     upper = sum(map(str.isupper, text)) if not text.islower() else 0
     return [*out, f"upper {min(10, 10 * upper // max(1, len(text)))}", f"length {n.bit_length()}"]
 
 
 def features(text: str) -> set[str]:
-    """The distinct words of the whole text, lower case, and its shape."""
+    """The distinct words of the whole text, lower case, their beginnings, and the text's shape."""
     words = _WORD.findall(text.lower())
-    return set(words).union(shape_features(text, len(words)))
+    out = set(words)
+    out.update(["^" + stem for stem in {w[:STEM] for w in out if len(w) > STEM}])
+    return out.union(shape_features(text, len(words)))
 
 
 def _hash(name: str) -> int:
-    return zlib.crc32(name.encode("utf-8", "surrogatepass"))
+    """32 bits, signed."""
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) - (1 << 31)
 
 
 @dataclass
@@ -100,21 +108,22 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, sample
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"grade": batch.column(0), "features": pa.array([sorted({_hash(f) for f in features(t)}) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"grade": batch.column(0), "features": pa.array([sorted({_hash(f) for f in features(t)}) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))})
 
     texts = docs.join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("_id")).select("grade", text_or_empty(text_col).alias("text"))
-    rows = written(texts.mapInArrow(run, "grade int, features array<long>"), "labelled-features")
+    rows = written(texts.mapInArrow(run, "grade int, features array<int>"), "labelled-features")
     counts = rows.select(F.explode("features").alias("feature")).groupBy("feature").count().filter(F.col("count") >= LEAST_ROWS)
     top = {r["feature"]: i for i, r in enumerate(counts.orderBy(F.desc("count"), "feature").limit(MOST_WEIGHTS).collect())}
-    table = rows.toArrow()  # at most ``sample`` rows
-    grades = table.column("grade").to_numpy()
+    # at most ``sample`` rows, in an order of their own, so that sums, too, are the same in each run
+    table = rows.orderBy("grade", F.xxhash64("features"), "features").toArrow().combine_chunks()
+    grades, lists = table.column("grade").to_numpy(), table.column("features").chunk(0) if table.num_rows else None
     if len(np.unique(grades)) < 2:
         return None
-    # rows in an order of their own, so that sums, too, are the same in each run
-    listed = sorted(zip(grades.tolist(), table.column("features").to_pylist()))
-    grades = np.array([g for g, _ in listed])
-    entries = [(i, top[f]) for i, (_, fs) in enumerate(listed) for f in fs if f in top]
-    r, c = (np.array(x, np.int64) for x in zip(*entries)) if entries else (np.empty(0, np.int64),) * 2
+    hashes, places = np.array(sorted(top), np.int32), np.array([top[f] for f in sorted(top)], np.int64)
+    values, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    near = np.minimum(np.searchsorted(hashes, values), max(len(hashes) - 1, 0))
+    used = hashes[near] == values if len(hashes) else np.zeros(len(values), bool)
+    r, c = np.repeat(np.arange(len(grades)), sizes)[used], places[near[used]] if len(hashes) else np.empty(0, np.int64)
     w, t = fit_ordinal(r, c, grades, len(top), n_grades)
     return OrdinalModel({f: float(w[i]) for f, i in top.items()}, [float(x) for x in t])
 
@@ -138,15 +147,13 @@ def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float =
                 continue
             weights, scores = model.weights, np.zeros(len(texts))
             for i, text in enumerate(texts):
-                total = 0.0
-                for f in sorted(features(text)):
-                    x = known.get(f)
-                    if x is None:
-                        if len(known) >= cache_limit:
-                            known.clear()
-                        x = known[f] = weights.get(_hash(f), 0.0)
-                    total += x
-                scores[i] = total
+                names = features(text)
+                new = names.difference(known)
+                if len(known) + len(new) > cache_limit:
+                    known.clear()
+                    new = names
+                known.update((f, weights.get(_hash(f), 0.0)) for f in new)
+                scores[i] = math.fsum(map(known.__getitem__, names))  # exact, so the order plays no part
             p = model.tails(scores)
             yield pa.RecordBatch.from_arrays([ids, pa.array(p.sum(axis=1)), pa.array(list(p), pa.list_(pa.float64())), pa.array(p[:, least - 1] >= tail)], names=["doc_id", "expected_grade", "p_at_least", "kept"])
 
