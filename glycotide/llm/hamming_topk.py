@@ -31,7 +31,9 @@ def sign_codes(vectors: DataFrame, dims: int, id_col: str = "vec_id", vector_col
 
 
 def _segment(code: str, s: int, bits: int) -> Column:
-    return F.shiftrightunsigned(F.col(f"{code}.w{s * bits // 64}"), s * bits % 64).bitwiseAND(F.lit((1 << bits) - 1))
+    """The number of a segment and, in the lower 32 bits, its value."""
+    value = F.shiftrightunsigned(F.col(f"{code}.w{s * bits // 64}"), s * bits % 64).bitwiseAND(F.lit((1 << bits) - 1))
+    return value.bitwiseOR(F.lit(s << 32))
 
 
 def _distance(a: str, b: str, words: int) -> Column:
@@ -57,27 +59,30 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, dims: int = 64, s
     """query_id, rank (from 1), neighbour_id, distance: the k nearest rows of ``vectors`` to each row of ``queries`` but itself.
 
     Distances are between sign codes; ties go to the smaller id; tables of fewer rows give fewer neighbours. Codes are
-    cut into segments of ``segment_bits`` (a divisor of 64; about log2 of the number of rows). Two codes at distance D
+    cut into segments of ``segment_bits`` (a divisor of 64, at most 32; about log2 of the number of rows). Two codes at distance D
     agree up to floor(D / segments) in one segment, so after radius r in all segments everything up to
-    segments * (r + 1) - 1 is known. A query goes on until its k-th distance is within that. Equal codes are searched once.
+    segments * (r + 1) - 1 is known, and up to j less with j segments not yet searched at r. A query goes on until its
+    k-th distance is within that. Equal codes are searched once.
     """
-    if 64 % segment_bits or dims % segment_bits:
-        raise ValueError("segment_bits must divide 64 and dims")
+    if 64 % segment_bits or dims % segment_bits or segment_bits > 32:
+        raise ValueError("segment_bits must divide 64 and dims, and be at most 32")
     words, segments, most = -(-dims // 64), dims // segment_bits, k + 1  # one more: the query itself
     codes = sign_codes(vectors, dims, id_col, vector_col)
     asked = written(sign_codes(queries, dims, id_col, vector_col), "queries")
     known = written(_smallest_ids(codes, most), "codes")
     total = known.agg(F.sum("n")).first()[0] or 0
-    every = F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), _segment("code", s, segment_bits).alias("value")) for s in range(segments)])).alias("key")
-    index = written(known.select("code", "n", every).repartition(parts(vectors.sparkSession), "key"), "segments")
+    each = lambda code: F.explode(F.array(*[_segment(code, s, segment_bits) for s in range(segments)]))
+    index = written(known.select("code", "n", each("code").alias("key")).repartition(parts(vectors.sparkSession), "key"), "segments")
     active = written(asked.select("code").distinct().select(F.col("code").alias("query"), F.lit(dims).alias("bound")), "active")
     found = known.select(F.col("code").alias("query"), "code", F.lit(0).alias("distance"), "n").limit(0)
     done = []
     for radius in range(segment_bits + 1):
-        probes = active.select("query", "bound", F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), _segment("query", s, segment_bits).alias("value")) for s in range(segments)])).alias("at"))
-        probes = probes.select("query", "bound", "at", F.explode(_masks(segment_bits, radius)).alias("mask"))
-        probes = probes.select("query", "bound", F.struct(F.col("at.segment").alias("segment"), F.col("at.value").bitwiseXOR(F.col("mask")).alias("value")).alias("probe"))
-        near = probes.join(index, (F.col("probe") == F.col("key")) & (_distance("query", "code", words) <= F.col("bound")))
+        # radius * segments is beyond what smaller radii cover by one; a bound that near needs the first segments only
+        needed = F.shiftright("at", 32) <= F.col("bound") - segments * radius
+        probes = active.select("query", "bound", each("query").alias("at")).filter(needed).select("query", "bound", "at", F.explode(_masks(segment_bits, radius)).alias("mask"))
+        probes = probes.select("query", "bound", F.col("at").bitwiseXOR(F.col("mask")).alias("key"))
+        # a merge join: probes grow with queries and radius, which Spark's estimate of their size doesn't see
+        near = probes.hint("merge").join(index, "key").filter(_distance("query", "code", words) <= F.col("bound"))
         new = near.select("query", "code", _distance("query", "code", words).alias("distance"), "n")
         closer = Window.partitionBy("query").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
         all_ = found.unionByName(new).distinct().withColumn("before", F.coalesce(F.sum("n").over(closer), F.lit(0)))
