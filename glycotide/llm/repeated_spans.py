@@ -22,7 +22,7 @@ from glycotide.llm.shared import join_by_count, parts, require, text_or_empty, w
 WINDOW = 16
 #: Starts in one segment at most; bytes hashed at a time; bytes in a bucket; different segments from which an anchor is hot;
 #: starts in a cell of a hot anchor's segment.
-LONGEST_RUN, AT_ONCE, BUCKET, HOT, CELL = 512, 1 << 21, 1 << 20, 1_000, 32
+LONGEST_RUN, AT_ONCE, BUCKET, HOT, CELL = 512, 1 << 19, 1 << 19, 1_000, 32
 _K = np.uint64(0x9E3779B97F4A7C15)
 _K_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -246,17 +246,25 @@ def _expand(length: int):
 
 def _with_bytes(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """The bytes of segments (doc_id, first, size, anchor, copies)."""
+    names = ("doc_id", "first", "size", "anchor", "copies", "bytes")
 
     def run(batches):
         for batch in batches:
-            rows = {k: [] for k in ("doc_id", "first", "size", "anchor", "copies", "bytes")}
+            rows, held = {k: [] for k in names}, 0
             for doc, data, todo in zip(batch.column(0).to_pylist(), _binary(batch.column(1)), batch.column(2).to_pylist()):
                 for x in todo:
                     rows["doc_id"].append(doc)
                     for k in ("first", "size", "anchor", "copies"):
                         rows[k].append(x[k])
                     rows["bytes"].append(data[x["first"] : x["first"] + x["size"] + length - 1].tobytes())
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))})
+                    held += x["size"] + length
+                if held > 4 << 20:
+                    yield made(rows)
+                    rows, held = {k: [] for k in names}, 0
+            yield made(rows)
+
+    def made(rows):
+        return pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))})
 
     todo = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("first", "size", "anchor", "copies")).alias("todo"))
     return docs.join(todo.hint("shuffle_hash"), "doc_id").select("doc_id", "data", "todo").mapInArrow(run, "doc_id long, first long, size int, anchor long, copies long, bytes binary")

@@ -18,7 +18,7 @@ from glycotide.llm.shared import join_by_count, require, text_or_empty, written
 
 REGISTERS, BANDS, BASE, RATE = 128, 32, 1.001, 20.0
 #: Bytes hashed at a time; members up to which all pairs of a band's group are compared; pivots of larger ones; pairs in a block.
-AT_ONCE, SMALL, PIVOTS, BLOCK = 1 << 21, 8, 4, 64
+AT_ONCE, SMALL, PIVOTS, BLOCK = 1 << 20, 8, 4, 64
 #: A tile's members apart, its members, and the bytes of either, about.
 TILE_APART, TILE_ALL, TILE_BYTES = 128, 256, 4 << 20
 #: Pairs whose likeliest similarity is this much below the threshold are not verified: over 6 standard errors of 128 registers.
