@@ -68,3 +68,12 @@ def exact_dedup(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: s
     return index.resolve(docs, groups, id_col, text_col).select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
+
+
+def without_copies(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one of equal texts. Rows that repeat an id and a text leave one, too."""
+    kept = exact_dedup(docs, table, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha")).distinct()
+    rows = docs.withColumn("_digest", F.unhex(F.sha2(text_or_empty(text_col), 256)))
+    # copies of a hot text differ in their ids, and so in the join's key
+    joined = rows.join(kept.hint("merge"), (F.col(id_col).cast("long") == F.col("_id")) & (F.col("_digest") == F.col("_sha")), "left_semi")
+    return joined.dropDuplicates([id_col, "_digest"]).drop("_digest")

@@ -128,36 +128,45 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, sample
     return OrdinalModel({f: float(w[i]) for f, i in top.items()}, [float(x) for x in t])
 
 
-def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float = 0.5, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None) -> DataFrame:
     """doc_id, expected_grade, p_at_least (an array: of 1, of 2, ...), kept: P(grade >= least) >= tail. One row per row.
 
-    A null text is empty; equal texts get equal grades. Without a model all rows are kept and their grades are null.
+    The column ``carry`` comes along. A null text is empty; equal texts get equal grades. Without a model all rows are kept and their grades are null.
     """
     require(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_WEIGHTS weights
     cache_limit = 500_000
+    names = ["doc_id", "expected_grade", "p_at_least", "kept", *([carry] if carry else [])]
 
     def run(batches):
         model = shared.value
         known: dict[str, float] = {}
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            ids, texts, carried = batch.column(0), batch.column(1).to_pylist(), [batch.column(2)] if carry else []
             if model is None:
-                yield pa.RecordBatch.from_arrays([ids, pa.nulls(len(ids), pa.float64()), pa.nulls(len(ids), pa.list_(pa.float64())), pa.array([True] * len(ids))], names=["doc_id", "expected_grade", "p_at_least", "kept"])
+                yield pa.RecordBatch.from_arrays([ids, pa.nulls(len(ids), pa.float64()), pa.nulls(len(ids), pa.list_(pa.float64())), pa.array([True] * len(ids)), *carried], names=names)
                 continue
             weights, scores = model.weights, np.zeros(len(texts))
             for i, text in enumerate(texts):
-                names = features(text)
-                new = names.difference(known)
+                found = features(text)
+                new = found.difference(known)
                 if len(known) + len(new) > cache_limit:
                     known.clear()
-                    new = names
+                    new = found
                 known.update((f, weights.get(_hash(f), 0.0)) for f in new)
-                scores[i] = math.fsum(map(known.__getitem__, names))  # exact, so the order plays no part
+                scores[i] = math.fsum(map(known.__getitem__, found))  # exact, so the order plays no part
             p = model.tails(scores)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(p.sum(axis=1)), pa.array(list(p), pa.list_(pa.float64())), pa.array(p[:, least - 1] >= tail)], names=["doc_id", "expected_grade", "p_at_least", "kept"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(p.sum(axis=1)), pa.array(list(p), pa.list_(pa.float64())), pa.array(p[:, least - 1] >= tail), *carried], names=names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col)).mapInArrow(run, "doc_id long, expected_grade double, p_at_least array<double>, kept boolean")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), *([carry] if carry else []))
+    schema = "doc_id long, expected_grade double, p_at_least array<double>, kept boolean" + (f", `{carry}` {docs.schema[carry].dataType.simpleString()}" if carry else "")
+    return rows.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that ``score`` keeps. Texts are scored where they are read: nothing is shuffled."""
+    graded = score(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), model, least, tail, id_col, text_col, carry="_row")
+    return graded.filter("kept").select("_row.*")
 
 
 def grade_column() -> Column:

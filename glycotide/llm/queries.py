@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, quality, repeated_spans, setsketch, token_planes, warc
+from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, piece_sampling, quality, repeated_spans, setsketch, token_planes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +122,13 @@ def op4(spark, sf_dir):
 @query("op3_ordinal_quality")
 def op3(spark, sf_dir):
     return quality.graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_sampled_pieces")
+def op2(spark, sf_dir):
+    return piece_sampling.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), seed=1)
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

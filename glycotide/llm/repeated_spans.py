@@ -370,6 +370,47 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     return out
 
 
+def _gone(n: int, found: list | None, length: int) -> np.ndarray:
+    """Which of n bytes are in a string that starts in one of the ranges."""
+    change = np.zeros(n + 1, np.int32)
+    for x in found or ():
+        change[x["first"]] += 1
+        change[x["last"] + length - 1] -= 1
+    return np.cumsum(change[:-1]) > 0
+
+
+def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, with the bytes that ``remove_repeated`` removes taken out of their texts.
+
+    A letter of which a byte goes, goes whole, so texts stay texts. Texts that lose nothing stay as they are, null ones too.
+    """
+    require(docs, id_col, text_col)
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
+    ranges = repeated_ranges(source, length).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("first", "last")).alias("_ranges"))
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(place).cast(pa.large_string())
+            todo = batch.column(batch.num_columns - 1)
+            if todo.null_count < len(todo):
+                out = []
+                for text, found in zip(texts.to_pylist(), todo.to_pylist()):
+                    if found and text is not None:
+                        data = np.frombuffer(text.encode(), np.uint8)
+                        stay = np.diff(np.concatenate([[False], ~_gone(len(data), found, length), [False]]).astype(np.int8))
+                        raw = data.tobytes()
+                        text = "".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(np.flatnonzero(stay == 1), np.flatnonzero(stay == -1)))
+                    out.append(text)
+                texts = pa.array(out, pa.large_string())
+            columns = [c for c in batch.columns[:-1]]
+            columns[place] = texts.cast(batch.column(place).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+
+    joined = docs.join(ranges.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("_id"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_ranges")
+    return joined.mapInArrow(run, docs.schema)
+
+
 def remove_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", kept: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row; with ``kept`` also the bytes that stay, as kept_bytes.
 
@@ -387,11 +428,7 @@ def remove_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
         for batch in batches:
             rows: list[tuple] = []
             for doc, data, found in zip(batch.column(0).to_pylist(), _binary(batch.column(1)), batch.column(2).to_pylist()):
-                change = np.zeros(len(data) + 1, np.int32)
-                for x in found or ():
-                    change[x["first"]] += 1
-                    change[x["last"] + length - 1] -= 1
-                gone = np.cumsum(change[:-1]) > 0
+                gone = _gone(len(data), found, length)
                 stay = data[~gone].tobytes() if found else data.tobytes()
                 spans = int(np.count_nonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1)) if found else 0
                 rows.append((doc, len(data), len(data) - len(stay), spans, hashlib.sha256(stay).hexdigest(), *([stay] if kept else [])))

@@ -276,3 +276,9 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
     out = join_by_count(rows, by_set, "set", "copies", each.count(), "doc_id")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: of each component the row of the smallest id."""
+    kept = near_duplicates(docs, numerator, denominator, k, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(kept.hint("merge"), F.col(id_col).cast("long") == F.col("_id"), "left_semi")
