@@ -1,8 +1,8 @@
 """Line deduplication by an exact set-similarity join, with DataFrame operations only.
 
 A line is the set of its words. Words are ordered from rare to frequent by a table of counts of fixed size, so that a
-short prefix of a set must share a word with any similar set. Pairs that share one pass length, positional and bitmap
-filters; those left are verified on their words.
+short prefix of a set must share a word with any similar set. Pairs that share one pass length and positional filters;
+those left are verified on all their words. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -12,106 +12,118 @@ from pyspark.sql import functions as F
 
 from glycotide.llm.shared import join_by_count, require, text_or_empty, written
 
-#: Entries of the table of word counts.
-BUCKETS = 1 << 16
+#: Entries of the table of word counts; documents whose lines are verified up to which their ids are broadcast.
+BUCKETS, MOST_BROADCAST = 1 << 16, 250_000
 _MASK = (1 << 56) - 1
+AT = ["doc_id", "line_no"]
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    require(docs, id_col, text_col)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text_or_empty(text_col), "\n", -1)).alias("line_no", "line"))
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, line_no (from 0), line; ``line`` has blanks for other white space; lines without words are left out."""
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+    return lines.select("doc_id", "line_no", F.translate("raw", "\t\x0b\f\r", "    ").alias("line")).filter(F.trim("line") != "")
 
 
 def words_of(line: Column) -> Column:
-    """The distinct words of a line: what stands between blanks, tabs, form feeds and carriage returns."""
-    return F.array_distinct(F.filter(F.split(line, r"[ \t\x0B\f\r]+", -1), lambda w: w != ""))
+    """A line's words, repeated ones too."""
+    return F.array_remove(F.split(line, " ", -1), "")
 
 
 def rarity_levels(lines: DataFrame) -> Column:
     """An array literal: for each of BUCKETS word buckets a level, 0 to 127, that rises with its count over all lines."""
-    words = lines.select(F.explode(F.split("line", r"[ \t\x0B\f\r]+", -1)).alias("word"))
-    counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("bucket")).count()
+    words = lines.select(F.explode(words_of(F.col("line"))).alias("word"))
+    counts = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).count()
     found = {r["bucket"]: r["count"] for r in counts.collect()}  # BUCKETS rows at most
-    return F.split(F.lit(",".join(str(min(127, 2 * found.get(b, 0).bit_length())) for b in range(BUCKETS))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(min(127, 2 * found.get(b, 0).bit_length())) for b in range(BUCKETS))), ",").cast("array<bigint>")
 
 
-def _ranked(words: Column, levels: Column) -> Column:
-    """Each word's level and hash in one number, rare words first: the same order for all lines."""
+def _ranked(line: Column, levels: Column) -> Column:
+    """Each distinct word's level and hash in one number, rare words first: the same order for all lines."""
 
-    def rank(w: Column) -> Column:
-        h = F.xxhash64(w)
-        level = F.element_at(levels, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")).cast("long")
-        return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
+    def rank(h: Column) -> Column:
+        return F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), 56).bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
 
-    return F.sort_array(F.transform(words, rank))
+    return F.sort_array(F.array_distinct(F.transform(F.transform(words_of(line), lambda w: F.xxhash64(w)), rank)))
 
 
-def _similar(words_a: Column, words_b: Column, num: int, den: int) -> Column:
-    both = F.size(F.array_intersect(words_a, words_b))
-    return den * both >= num * (F.size(words_a) + F.size(words_b) - both)
+def _key() -> Column:
+    return F.struct(F.xxhash64("line").alias("one"), F.xxhash64(F.lit(7), "line").alias("two"))
 
 
 def _candidates(later: DataFrame, early: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of ``later`` (token, a_*) and ``early`` (token, b_*) that share a token and can be similar, the earlier as b."""
-    total = F.col("a_size") + F.col("b_size")
-    fits = (F.col("b_at") < F.col("a_at")) & (den * F.col("b_size") >= num * F.col("a_size")) & (den * F.col("a_size") >= num * F.col("b_size"))
-    # words before the shared one, which is at places a_place and b_place, and from it on
+    """Pairs (a_doc_id, a_line_no, b_doc_id, b_line_no) that share a token and can be similar, the earlier as b.
+
+    Both tables have token, doc_id, line_no, size, place (of the token in the ordered set).
+    """
+    side = lambda df, p: df.select("token", *[F.col(c).alias(f"{p}_{c}") for c in (*AT, "size", "place")])
+    fits = (F.col("b_doc_id") < F.col("a_doc_id")) | ((F.col("b_doc_id") == F.col("a_doc_id")) & (F.col("b_line_no") < F.col("a_line_no")))
+    fits &= (den * F.col("b_size") >= num * F.col("a_size")) & (den * F.col("a_size") >= num * F.col("b_size"))
+    # words before the shared one and from it on
     ahead = F.least("a_place", "b_place") + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
-    fits &= (num + den) * ahead >= num * total
-    fits &= (num + den) * F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= (den - num) * total
-    return later.join(early, "token").filter(fits).select("a_at", "b_at").distinct()
+    fits &= (num + den) * ahead >= num * (F.col("a_size") + F.col("b_size"))
+    pairs = side(later, "a").join(side(early, "b"), "token").filter(fits)
+    return pairs.select(*[f"{p}_{c}" for p in "ab" for c in AT]).distinct()
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
-    """The later lines (at) of the pairs that are similar, from the words in the texts."""
-    wanted = pairs.select(F.col("a_at").alias("at")).union(pairs.select("b_at")).distinct().groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.line_no").alias("wanted"))
-    texts = docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("line_no"))
-    words = texts.select(F.struct("doc_id", "line_no").alias("at"), words_of(F.element_at("lines", F.col("line_no") + 1)).alias("words")).dropDuplicates(["at"])
+    """The later lines (doc_id, line_no) of the pairs that are similar, from the words in the texts."""
+    ends = [pairs.select(*[F.col(f"{p}_{c}").alias(c) for c in AT]) for p in "ab"]
+    wanted = written(ends[0].union(ends[1]).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted")), "wanted-lines")
+    # ids of few documents go to the texts; texts go to ids that are many
+    few = wanted.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    texts = docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc_id")
+    lines = texts.select("doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("line_no"))
+    line = F.translate(F.element_at("lines", F.col("line_no") + 1), "\t\x0b\f\r", "    ")
+    words = lines.select(*AT, F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
     words = written(words, "line-words")
-    out = pairs.join(words.select(F.col("at").alias("a_at"), F.col("words").alias("a_words")), "a_at").join(words.select(F.col("at").alias("b_at"), F.col("words").alias("b_words")), "b_at")
-    return out.filter(_similar(F.col("a_words"), F.col("b_words"), num, den)).select(F.col("a_at").alias("at")).distinct()
+    side = lambda p: words.select(*[F.col(c).alias(f"{p}_{c}") for c in (*AT, "words")])
+    both = pairs.join(side("a"), [f"a_{c}" for c in AT]).join(side("b"), [f"b_{c}" for c in AT])
+    common = F.size(F.array_intersect("a_words", "b_words"))
+    similar = den * common >= num * (F.size("a_words") + F.size("b_words") - common)
+    return both.filter(similar).select(*[F.col(f"a_{c}").alias(c) for c in AT]).distinct()
 
 
 def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, line_no (from 0) of each line that has an earlier line, by (doc_id, line_no), of word Jaccard >= num/den.
 
     Any earlier line counts, removed or not. Lines without words are never removed; a null text is one empty line; rows that
-    repeat an id and a text count as one document; long lines count whole. Equal sets are collapsed to their first line.
-    Per shared word, lines are first compared with the earliest line only; those without a match there with all earlier
-    ones, so that a group of like lines costs no square of its size.
+    repeat an id and a text count as one document; rows without an id are left out; long lines count whole. Equal lines
+    are collapsed to their first. Per shared word, lines are first compared with the earliest line only; those without a
+    match there with all earlier ones, so that a group of like lines costs no square of its size.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    require(docs, id_col, text_col)
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).filter("doc_id is not null")
     lines = lines_of(source)
     levels = rarity_levels(lines)
-    ranked = lines.select("doc_id", "line_no", _ranked(words_of(F.col("line")), levels).alias("ranks")).withColumn("size", F.size("ranks")).filter("size > 0")
+    ranked = lines.select(*AT, _key().alias("key"), _ranked(F.col("line"), levels).alias("ranks")).withColumn("size", F.size("ranks"))
     prefix = F.slice("ranks", F.lit(1), (F.col("size") - F.floor((num * F.col("size") + den - 1) / den) + 1).cast("int"))
-    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))
-    bits = F.aggregate("ranks", F.lit(0).cast("long"), lambda all_, x: all_.bitwiseOR(bit(x)))
-    sets = written(
-        ranked.select(F.struct("doc_id", "line_no").alias("at"), F.struct(F.xxhash64("ranks").alias("one"), F.xxhash64(F.lit(7), "ranks").alias("two")).alias("set"), "size", bits.alias("bits"), prefix.alias("prefix")), "line-sets"
-    )
-    equal = sets.groupBy("set").agg(F.min("at").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    total = sets.count()
-    marked = written(join_by_count(sets.withColumn("doc_id", F.col("at.doc_id")), written(equal, "equal-sets"), "set", "n", total, "doc_id").drop("doc_id", "set", "n"), "marked-lines")
-    out = marked.filter("first is not null and at <> first").select("at")
-
-    tokens = marked.filter("first is null or at = first").select("at", "size", "bits", F.posexplode("prefix").alias("place", "token"))
-    groups = tokens.groupBy("token").agg(F.min(F.struct("at", "size", "place", "bits")).alias("low"), F.count("*").alias("n")).filter("n > 1")
-    groups = written(groups.select("token", "low.*", "n"), "token-groups")
-    shared = written(tokens.join(groups.select("token", F.col("at").alias("low_at")), "token"), "shared-tokens")  # words of one line only go
-    side = lambda df, p: df.select("token", *[F.col(c).alias(f"{p}_{c}") for c in ("at", "size", "place", "bits")])
-    found = written(_candidates(side(shared.filter("at <> low_at"), "a"), side(groups, "b"), num, den), "pivot-pairs")
-    rest = shared.filter("at <> low_at").join(found.select(F.col("a_at").alias("at")).distinct(), "at", "left_anti")
-    pairs = written(found.union(_candidates(side(rest, "a"), side(shared.filter("at <> low_at"), "b"), num, den)), "line-pairs")
+    one = F.any_value(F.struct("size", prefix.alias("prefix"))).alias("set")
+    sets = written(ranked.groupBy("key").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("n"), one), "line-sets")
+
+    equal = sets.filter("n > 1").select("key", "first", "n")
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    keyed = join_by_count(lines.select(*AT, _key().alias("key")), equal, "key", "n", total, "doc_id")
+    out = keyed.filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.line_no") != F.col("line_no"))).select(*AT)
+
+    tokens = sets.select("first.*", "set.size", F.posexplode("set.prefix").alias("place", "token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
+    shared = written(tokens.join(often.hint("merge"), "token", "left_semi"), "shared-tokens")  # words of one line only go
+    lowest = shared.groupBy("token").agg(F.min(F.struct(*AT, "size", "place")).alias("low")).select("token", "low.*")
+    lowest = written(lowest, "lowest")
+    # a line's pair with itself fits nothing, so the earliest lines may stay among the later ones
+    found = written(_candidates(shared, lowest, num, den), "pivot-pairs")
+    paired = found.select(*[F.col(f"a_{c}").alias(c) for c in AT]).distinct()
+    rest = shared.join(paired, AT, "left_anti")
+    pairs = written(found.union(_candidates(rest, shared, num, den)), "line-pairs")
     removed = written(_verify(pairs, source, num, den), "similar-lines")
     # lines whose pair with the earliest one passed the filters only
-    failed = found.select(F.col("a_at").alias("at")).distinct().join(removed, "at", "left_anti")
+    failed = written(paired.join(removed, AT, "left_anti"), "failed-lines")
     if failed.head(1):
-        rest = shared.join(failed, "at", "left_semi")
-        pairs = written(_candidates(side(rest, "a"), side(shared, "b"), num, den).join(pairs, ["a_at", "b_at"], "left_anti"), "line-pairs")
-        if pairs.head(1):
-            removed = removed.union(_verify(pairs, source, num, den))
-    return out.union(removed).distinct().select("at.*")
+        more = _candidates(shared.join(failed, AT, "left_semi"), shared, num, den)
+        more = written(more.join(pairs, [f"{p}_{c}" for p in "ab" for c in AT], "left_anti"), "more-pairs")
+        if more.head(1):
+            removed = removed.union(_verify(more, source, num, den))
+    return out.union(removed).distinct()
 
 
 def line_counts(docs: DataFrame, num: int = 9, den: int = 10) -> DataFrame:
