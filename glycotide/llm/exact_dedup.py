@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import join_by_count, parts, require, shared_dir, text_or_empty, written
+from glycotide.llm.shared import fresh, join_by_count, parts, require, shared_dir, text_or_empty, written
 
 
 class DigestIndex:
@@ -71,9 +71,13 @@ def exact_dedup(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: s
 
 
 def without_copies(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: one of equal texts. Rows that repeat an id and a text leave one, too."""
-    kept = exact_dedup(docs, table, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_sha")).distinct()
-    rows = docs.withColumn("_digest", F.unhex(F.sha2(text_or_empty(text_col), 256)))
+    """The rows of ``docs``, all columns, that stay: one of equal texts. Rows that repeat an id and a text leave one, too.
+
+    Rows without an id are left out.
+    """
+    id_, sha, digest = fresh(docs, "_id", "_sha", "_digest")
+    kept = exact_dedup(docs, table, id_col, text_col).filter("kept").select(F.col("doc_id").alias(id_), F.unhex("text_sha256").alias(sha)).distinct()
+    rows = docs.withColumn(digest, F.unhex(F.sha2(text_or_empty(text_col), 256)))
     # copies of a hot text differ in their ids, and so in the join's key
-    joined = rows.join(kept.hint("merge"), (F.col(id_col).cast("long") == F.col("_id")) & (F.col("_digest") == F.col("_sha")), "left_semi")
-    return joined.dropDuplicates([id_col, "_digest"]).drop("_digest")
+    joined = rows.join(kept.hint("merge"), (F.col(id_col).cast("long") == F.col(id_)) & (F.col(digest) == F.col(sha)), "left_semi")
+    return joined.dropDuplicates([id_col, digest]).drop(digest)

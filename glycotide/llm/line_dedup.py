@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import join_by_count, require, text_or_empty, written
+from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, written
 
 #: Entries of the table of word counts; documents whose lines are verified up to which their ids are broadcast.
 BUCKETS, MOST_BROADCAST = 1 << 16, 250_000
@@ -135,7 +135,8 @@ def line_counts(docs: DataFrame, num: int = 9, den: int = 10) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that ``repeated_lines`` names taken out of their texts."""
-    gone = repeated_lines(docs, num, den, id_col, text_col).groupBy(F.col("doc_id").alias("_doc_id")).agg(F.collect_list("line_no").alias("_gone"))
-    joined = docs.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("_doc_id"), "left")
-    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
-    return joined.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)).drop("_doc_id", "_gone")
+    id_, gone_ = fresh(docs, "_doc_id", "_gone")
+    gone = repeated_lines(docs, num, den, id_col, text_col).groupBy(F.col("doc_id").alias(id_)).agg(F.collect_list("line_no").alias(gone_))
+    joined = docs.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(id_), "left")
+    kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone_), i)), "\n")
+    return joined.withColumn(text_col, F.when(F.col(gone_).isNull(), F.col(text_col)).otherwise(kept)).drop(id_, gone_)

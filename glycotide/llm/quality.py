@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, sample
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"grade": batch.column(0), "features": pa.array([sorted({_hash(f) for f in features(t)}) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))})
 
-    texts = docs.join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("_id")).select("grade", text_or_empty(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "_id").select("grade", "text")
     rows = written(texts.mapInArrow(run, "grade int, features array<int>"), "labelled-features")
     counts = rows.select(F.explode("features").alias("feature")).groupBy("feature").count().filter(F.col("count") >= LEAST_ROWS)
     top = {r["feature"]: i for i, r in enumerate(counts.orderBy(F.desc("count"), "feature").limit(MOST_WEIGHTS).collect())}

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import join_by_count, parts, require, text_or_empty, written
+from glycotide.llm.shared import fresh, join_by_count, parts, require, text_or_empty, written
 
 WINDOW = 16
 #: Starts in one segment at most; bytes hashed at a time; bytes in a bucket; different segments from which an anchor is hot;
@@ -386,7 +386,8 @@ def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
     """
     require(docs, id_col, text_col)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
-    ranges = repeated_ranges(source, length).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("first", "last")).alias("_ranges"))
+    id_, found = fresh(docs, "_id", "_ranges")
+    ranges = repeated_ranges(source, length).groupBy(F.col("doc_id").alias(id_)).agg(F.collect_list(F.struct("first", "last")).alias(found))
     place = docs.columns.index(text_col)
 
     def run(batches):
@@ -407,8 +408,9 @@ def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
             columns[place] = texts.cast(batch.column(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    joined = docs.join(ranges.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col("_id"), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_ranges")
-    return joined.mapInArrow(run, docs.schema)
+    joined = docs.join(ranges.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(id_), "left").select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], found)
+    numbered = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema))  # names with dots don't get through
+    return joined.mapInArrow(run, numbered).toDF(*docs.columns)
 
 
 def remove_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", kept: bool = False) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from glycotide.llm.components import components
 from glycotide.llm.repeated_spans import _binary, _powers
-from glycotide.llm.shared import join_by_count, require, text_or_empty, written
+from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, written
 
 REGISTERS, BANDS, BASE, RATE = 128, 32, 1.001, 20.0
 #: Bytes hashed at a time; members up to which all pairs of a band's group are compared; pivots of larger ones; pairs in a block.
@@ -279,6 +279,7 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
 
 
 def without_near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: of each component the row of the smallest id."""
-    kept = near_duplicates(docs, numerator, denominator, k, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept.hint("merge"), F.col(id_col).cast("long") == F.col("_id"), "left_semi")
+    """The rows of ``docs``, all columns, that stay: of each component the row of the smallest id. Rows without an id are left out."""
+    (id_,) = fresh(docs, "_id")
+    kept = near_duplicates(docs, numerator, denominator, k, id_col, text_col).filter("kept").select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(kept.hint("merge"), F.col(id_col).cast("long") == F.col(id_), "left_semi")

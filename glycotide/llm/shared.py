@@ -66,6 +66,17 @@ def join_by_count(rows: DataFrame, table: DataFrame, key: str, count: str, total
     return out.select(*rows.columns, *picked)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores behind those that ``df`` has already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def require(df: DataFrame, *columns: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
