@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from glycotide.llm.shared import require, text_or_empty, written
 
@@ -159,8 +160,8 @@ def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float =
             yield pa.RecordBatch.from_arrays([ids, pa.array(p.sum(axis=1)), pa.array(list(p), pa.list_(pa.float64())), pa.array(p[:, least - 1] >= tail), *carried], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), *([carry] if carry else []))
-    schema = "doc_id long, expected_grade double, p_at_least array<double>, kept boolean" + (f", `{carry}` {docs.schema[carry].dataType.simpleString()}" if carry else "")
-    return rows.mapInArrow(run, schema)
+    schema = StructType.fromDDL("doc_id long, expected_grade double, p_at_least array<double>, kept boolean")
+    return rows.mapInArrow(run, schema.add(docs.schema[carry]) if carry else schema)
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

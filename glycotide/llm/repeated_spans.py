@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from glycotide.llm.shared import fresh, join_by_count, parts, require, text_or_empty, written
 
@@ -409,7 +410,7 @@ def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
     joined = docs.join(ranges.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(id_), "left").select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], found)
-    numbered = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema))  # names with dots don't get through
+    numbered = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])  # names with dots don't get through
     return joined.mapInArrow(run, numbered).toDF(*docs.columns)
 
 
