@@ -14,13 +14,19 @@ class DigestIndex:
     ``add`` brings a batch: its distinct digests are kept from the index by a sort-merge anti-join and those left are
     appended. ``resolve`` gives each row of a batch the row that stays for its text. Within one batch the largest id
     stays; a text that an earlier batch brought keeps that batch's id. A null text counts as empty; repeated
-    (id, text) rows count as rows of one group; an empty batch adds nothing. Other columns of the batch are ignored.
+    (id, text) rows count as rows of one group; an empty batch adds nothing. Texts that only rows without an id have get
+    no entry, so that a later batch's row with an id can stay for them. Other columns of the batch are ignored.
+
+    A table that exists is appended to where it is, with the buckets that it has, whichever object or session made it.
     """
 
     SCHEMA = "digest binary, keep_id long, batch long"
 
     def __init__(self, spark: SparkSession, table: str, buckets: int | None = None):
         self.spark, self.table, self.buckets = spark, table, buckets or max(8, parts(spark))
+        if self.exists():
+            about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+            self.buckets = int(about["Num Buckets"])
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
@@ -38,23 +44,22 @@ class DigestIndex:
         groups = written(
             self.digests(docs, id_col, text_col).groupBy("digest").agg(F.max("doc_id").alias("batch_keep_id"), F.count("*").alias("group_size")), "digests"
         )
-        new = groups.hint("merge").join(self.read().select("digest"), "digest", "left_anti")
+        new = groups.filter("batch_keep_id is not null").hint("merge").join(self.read().select("digest"), "digest", "left_anti")
         new = new.select("digest", F.col("batch_keep_id").alias("keep_id"), F.lit(batch).cast("long").alias("batch"))
-        new = written(new, "new-digests") if self.exists() else new
-        (
-            new.repartition(self.buckets, "digest")
-            .write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
-            .option("path", getattr(self, "_path", None) or self._new_path()).saveAsTable(self.table)
-        )
+        if self.exists():
+            written(new, "new-digests").repartition(self.buckets, "digest").write.insertInto(self.table)
+        else:
+            (
+                new.repartition(self.buckets, "digest")
+                .write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
+                .option("path", shared_dir(self.spark, "digest-index")).saveAsTable(self.table)
+            )
         return groups
 
-    def _new_path(self) -> str:
-        self._path = shared_dir(self.spark, "digest-index")
-        return self._path
-
     def resolve(self, docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """doc_id, digest, keep_id, group_size (rows of the batch with that text) of each row."""
-        table = self.read().select("digest", "keep_id").hint("merge").join(groups.select("digest", "group_size"), "digest")
+        table = groups.select("digest", "group_size").join(self.read().select("digest", "keep_id").hint("merge"), "digest", "left")
+        table = table.select("digest", "keep_id", "group_size")
         return join_by_count(self.digests(docs, id_col, text_col), table, "digest", "group_size", docs.count(), "doc_id")
 
 
