@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -380,13 +380,21 @@ def _gone(n: int, found: list | None, length: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
+def _key(id_col: str, text_col: str) -> Column:
+    """A row's id, or where it has none a hash of its text, so that such rows are partners, too, and lose what they share.
+
+    Rows without an id that have one text are copies of each other, like rows that repeat an id and a text.
+    """
+    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col)))
+
+
 def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with the bytes that ``remove_repeated`` removes taken out of their texts.
 
     A letter of which a byte goes, goes whole, so texts stay texts. Texts that lose nothing stay as they are, null ones too.
     """
     require(docs, id_col, text_col)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
+    source = docs.select(_key(id_col, text_col).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
     id_, found = fresh(docs, "_id", "_ranges")
     ranges = repeated_ranges(source, length).groupBy(F.col("doc_id").alias(id_)).agg(F.collect_list(F.struct("first", "last")).alias(found))
     place = docs.columns.index(text_col)
@@ -409,7 +417,7 @@ def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
             columns[place] = texts.cast(batch.column(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    joined = docs.join(ranges.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(id_), "left").select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], found)
+    joined = docs.join(ranges.hint("shuffle_hash"), _key(id_col, text_col) == F.col(id_), "left").select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], found)
     numbered = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])  # names with dots don't get through
     return joined.mapInArrow(run, numbered).toDF(*docs.columns)
 
@@ -419,25 +427,27 @@ def remove_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
 
     Each byte goes that is in a string of ``length`` bytes that starts at two places or more of the corpus, the same text
     included. Places count in the input as it is. A null text is empty; texts shorter than ``length`` lose nothing; an id
-    stands for one text, and rows that repeat both count as copies of each other. Other columns are ignored.
+    stands for one text, and rows that repeat both count as copies of each other. Rows without an id count, and lose what
+    they share, like others. Other columns are ignored.
     """
     require(docs, id_col, text_col)
     if length < 2 * WINDOW:
         raise ValueError(f"length must be at least {2 * WINDOW}")
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
-    ranges = repeated_ranges(source, length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    id_ = F.col(id_col).cast("long").alias("id")
+    rows = docs.select(id_, _key(id_col, text_col).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
+    ranges = repeated_ranges(rows.select("doc_id", "data"), length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
     def run(batches):
         for batch in batches:
-            rows: list[tuple] = []
+            out: list[tuple] = []
             for doc, data, found in zip(batch.column(0).to_pylist(), _binary(batch.column(1)), batch.column(2).to_pylist()):
                 gone = _gone(len(data), found, length)
                 stay = data[~gone].tobytes() if found else data.tobytes()
                 spans = int(np.count_nonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1)) if found else 0
-                rows.append((doc, len(data), len(data) - len(stay), spans, hashlib.sha256(stay).hexdigest(), *([stay] if kept else [])))
-            columns = list(zip(*rows)) or [[]] * (5 + kept)
+                out.append((doc, len(data), len(data) - len(stay), spans, hashlib.sha256(stay).hexdigest(), *([stay] if kept else [])))
+            columns = list(zip(*out)) or [[]] * (5 + kept)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"][: 5 + kept])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * kept
-    return source.join(ranges.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "data", "ranges").mapInArrow(run, schema)
+    return rows.join(ranges.hint("shuffle_hash"), "doc_id", "left").select("id", "data", "ranges").mapInArrow(run, schema)
