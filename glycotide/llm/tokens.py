@@ -3,6 +3,8 @@
 Both vocabularies split a text at white space before they merge, so a text's ids are those of its chunks in order.
 Where blanks are part of the ids, a chunk is a word and the white space before it; where they are dropped, it is the word.
 Texts with white space other than blank, tab and line ends are rare and go to the library whole.
+Unlike by the library's default, literals of special tokens in a text (as <|endoftext|>) are encoded as ordinary text:
+encode_special_tokens is set, so no text can bring an end of a document, and such texts have other ids than by default.
 """
 
 from __future__ import annotations
