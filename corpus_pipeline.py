@@ -50,7 +50,7 @@ STAGES = [
     ("suffix_array_dedup", without_repeated_passages),
     ("best_fit_packing", packed),
 ]
-#: A fitted classifier and a tokenizer can't be said in SQL; the stages are tested against brute force.
+#: A fitted classifier and a tokenizer can't be said in SQL; tests/llm/test_corpus_pipeline.py holds each stage of a small chain against plain Python.
 ORACLE_SQL = None
 
 
