@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, written
 
-#: Entries of the table of word counts; documents whose lines are verified up to which their ids are broadcast.
+#: Entries of the table of word counts; lines to be verified up to which their numbers, and their documents' ids, are broadcast.
 BUCKETS, MOST_BROADCAST = 1 << 16, 250_000
 _MASK = (1 << 56) - 1
 AT = ["doc_id", "line_no"]
@@ -65,13 +65,17 @@ def _candidates(later: DataFrame, early: DataFrame, num: int, den: int) -> DataF
     return pairs.select(*[f"{p}_{c}" for p in "ab" for c in AT]).distinct()
 
 
+def _with_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of ``wanted`` (doc_id, wanted: line numbers). Few lines go to the texts; texts go to lines that are many."""
+    few = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= MOST_BROADCAST
+    return docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc_id")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """The later lines (doc_id, line_no) of the pairs that are similar, from the words in the texts."""
     ends = [pairs.select(*[F.col(f"{p}_{c}").alias(c) for c in AT]) for p in "ab"]
     wanted = written(ends[0].union(ends[1]).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted")), "wanted-lines")
-    # ids of few documents go to the texts; texts go to ids that are many
-    few = wanted.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
-    texts = docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc_id")
+    texts = _with_wanted(docs, wanted)
     lines = texts.select("doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("line_no"))
     line = F.translate(F.element_at("lines", F.col("line_no") + 1), "\t\x0b\f\r", "    ")
     words = lines.select(*AT, F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
