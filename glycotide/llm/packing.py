@@ -5,12 +5,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import require, text_or_empty, written
+from glycotide.llm.shared import fresh, require, text_or_empty, tidy, written
 from glycotide.llm.tokens import tokenizer
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -32,16 +32,17 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col:
     def run(batches):
         encode = tokenizer(vocabulary, True).encode
         for batch in batches:
-            rows = []
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
-                for doc, ids in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
-                    ids = memoryview(ids + end)
-                    rows += [(doc, k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(ids) // 4, capacity))]
-            columns = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            rows, counts = [], []
+            for ids in encode(batch.column(1)):
+                ids = memoryview(ids + end)
+                cuts = cut(len(ids) // 4, capacity)
+                counts.append(len(cuts))
+                rows += [(k, s, n, zlib.crc32(ids[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cuts)]
+            columns = list(zip(*rows)) or [[]] * 4
+            docs = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+            yield pa.RecordBatch.from_arrays([docs, *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64())))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long"), text_or_empty(text_col)).mapInArrow(run, PIECES)
+    return docs.select(F.col(id_col).cast("long"), text_or_empty(text_col)).mapInArrow(tidy(run), PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,31 +79,33 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 
 
 def pack(items: DataFrame, capacity: int, keys: tuple[str, ...] = ("doc_id", "piece"), length_col: str = "length") -> DataFrame:
-    """``items`` with sequence_id and offset; lengths are 1 to ``capacity``, every row is placed once.
+    """``items`` with sequence_id and offset (which replace columns of these names); lengths are 1 to ``capacity``, every row is placed once.
 
     Shards of about SHARD rows, dealt by a hash of ``keys``, are packed apart, longest pieces first; sequences that stay
     loose are opened and their pieces packed again in larger shards. A shard's rows are a bounded group at any input
-    size, and the same rows get the same places in each run.
+    size, and the same rows get the same places in each run. Rows pass as Arrow columns, so ids and nulls stay as they are.
+    Rows of one key go to one shard: keys are to tell the rows apart but for few.
     """
     require(items, *keys, length_col)
-    schema = items.drop("sequence_id", "offset", "shard")
-    out_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema) + ", sequence_id long, offset long"
-    order = [length_col, *keys]
+    rows = items.drop("sequence_id", "offset")
+    (shard,) = fresh(rows, "shard")
+    out_schema = rows.schema.add("sequence_id", "long").add("offset", "long")
+    order = [(length_col, "descending"), *((k, "ascending") for k in keys)]
 
     def round_of(rows: DataFrame, per_shard: int, number: int, reopen: bool) -> DataFrame:
         shards = -(-max(rows.count(), 1) // per_shard)
 
-        def place(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(order, ascending=[False] + [True] * len(keys), kind="stable")
-            sequence, offset, gaps = sum_of_squares(pdf[length_col].to_numpy(np.int64), capacity)
-            ids = (np.int64(2 * int(pdf["shard"].iloc[0]) + number) << 32) + sequence
-            loose = gaps[sequence] >= LOOSE_GAP if reopen else np.zeros(len(pdf), bool)
-            masked = lambda x: pd.Series(x, index=pdf.index, dtype="Int64").mask(loose)
-            return pdf.drop(columns="shard").assign(sequence_id=masked(ids), offset=masked(offset))
+        def place(table: pa.Table) -> pa.Table:
+            table = table.take(pc.sort_indices(table, sort_keys=order))
+            sequence, offset, gaps = sum_of_squares(table.column(length_col).to_numpy().astype(np.int64), capacity)
+            ids = (np.int64(2 * table.column(shard)[0].as_py() + number) << 32) + sequence
+            loose = gaps[sequence] >= LOOSE_GAP if reopen else np.zeros(len(ids), bool)
+            table = table.drop_columns([shard])
+            return table.append_column("sequence_id", pa.array(ids, mask=loose)).append_column("offset", pa.array(offset, mask=loose))
 
-        return rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(number), *keys), F.lit(shards))).groupBy("shard").applyInPandas(place, out_schema)
+        return rows.withColumn(shard, F.pmod(F.xxhash64(F.lit(number), *keys), F.lit(shards))).groupBy(shard).applyInArrow(place, out_schema)
 
-    first = written(round_of(schema, SHARD, 0, True), "packed")
+    first = written(round_of(rows, SHARD, 0, True), "packed")
     again = round_of(first.filter("sequence_id is null").drop("sequence_id", "offset"), SECOND_SHARD, 1, False)
     return first.filter("sequence_id is not null").unionByName(again)
 

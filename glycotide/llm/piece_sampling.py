@@ -10,14 +10,13 @@ row's key and the place.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import require, text_or_empty
+from glycotide.llm.shared import require, text_or_empty, tidy, worker_table
 
 SPACE = 0x2581
 #: Stands for the letter U+2581 itself, which is no blank; no piece has it.
@@ -264,10 +263,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWER["up"][:n], _POWER["down"][:n]
 
 
-@lru_cache(maxsize=2)
 def pieces(path: str, theta: float) -> Pieces:
     """This Python worker's tables."""
-    return Pieces(path, theta)
+    return worker_table((path, theta), lambda: Pieces(path, theta))
 
 
 def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -299,7 +297,7 @@ def encode_sampled(docs: DataFrame, model: str, *, seed: int = 0, theta: float =
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([x.astype("<u4").tobytes() for x in out], pa.binary())], names=["doc_id", "ids"])
 
     key = F.xxhash64(F.col(id_col).cast("long"))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), text_or_empty(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -314,7 +312,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 texts = [None if x is None else table.decode(np.frombuffer(x, "<u4").tolist()) for x in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, model: str, *, seed: int = 0, theta: float = 1.0) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from glycotide.llm.components import components
 from glycotide.llm.repeated_spans import _binary, _powers
-from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, written
+from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, tidy, written
 
 REGISTERS, BANDS, BASE, RATE = 128, 32, 1.001, 20.0
 #: Bytes hashed at a time; members up to which all pairs of a band's group are compared; pivots of larger ones; pairs in a block.
@@ -133,7 +133,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
             names=["doc_id", "n_shingles", "set_1", "set_2", "registers"],
         )
 
-    return docs.mapInArrow(run, SKETCH)
+    return docs.mapInArrow(tidy(run), SKETCH)
 
 
 def _likely(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -148,7 +148,7 @@ def _likely(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     side = lambda c: sets.select(F.col("id").alias(c), F.col("registers").alias(f"registers_{c}"), F.col("n_shingles").alias(f"n_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "registers_a", "registers_b", "n_a", "n_b").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "registers_a", "registers_b", "n_a", "n_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, shingles: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(d, k).tobytes() for d in _binary(batch.column(1))], pa.binary())], names=["id", "shingles"])
 
     texts = source.withColumnRenamed("doc_id", "id").join(wanted.hint("shuffle_hash"), "id", "left_semi")
-    shingles = written(texts.mapInArrow(full_sets, "id long, shingles binary"), "shingles").dropDuplicates(["id"])
+    shingles = written(texts.mapInArrow(tidy(full_sets), "id long, shingles binary"), "shingles").dropDuplicates(["id"])
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
     small = members.filter(F.col("n") <= SMALL)

@@ -2,26 +2,60 @@
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN_DIR: list[str] = []
+_TABLES: dict = {}
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's URI under spark.checkpoint.dir; where that is unset (tests), under one of our own."""
+    """A new folder's URI under spark.checkpoint.dir, which all executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.startswith("local["):  # one machine, so the warehouse is shared
+        base = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
     if not base:
-        if not _OWN_DIR:
-            _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="glycotide-"))
-        base = _OWN_DIR[0]
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def worker_table(key: tuple, make: Callable):
+    """This Python worker's one large table (a vocabulary, a cache of words): that of the last operator that asked.
+
+    Workers outlive stages, so what an earlier stage left would add to what the next one needs.
+    """
+    if key not in _TABLES:
+        _TABLES.clear()
+        give_back()
+        _TABLES[key] = make()
+    return _TABLES[key]
+
+
+def give_back() -> None:
+    """Returns memory that this worker has freed to the machine: its allocators keep it otherwise, for all later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, for mapInArrow, that gives its memory back when a task ends."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read back: its lineage ends there."""
     spark = df.sparkSession

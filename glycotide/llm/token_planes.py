@@ -18,14 +18,16 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import open_fs, parts, require, shared_dir, text_or_empty, written
+from glycotide.llm.shared import open_fs, parts, require, shared_dir, text_or_empty, tidy, written
 from glycotide.llm.tokens import tokenizer
 
 MAGIC = b"TOKPLN01"
 BLOCK = 65_536
+#: Ids, and documents, from which a file is full.
+FILE_IDS, FILE_DOCS = 1 << 24, 1 << 18
 
 
 def to_planes(ids: np.ndarray, plane: str = "bit") -> list[bytes]:
@@ -55,13 +57,15 @@ class Writer:
         self.out, self.plane, self.block = out, plane, block
         self.zstd, self.waiting, self.n_waiting = zstandard.ZstdCompressor(level=1), [], 0
         self.chunks: list[list] = []
-        self.docs: list[int] = []
+        self.docs: list[int | None] = []
         self.counts: list[int] = []
+        self.total = 0
         out.write(MAGIC)
 
     def add(self, doc_id: int, ids: bytes) -> None:
         self.docs.append(doc_id)
         self.counts.append(len(ids) // 4)
+        self.total += len(ids) // 4
         self.waiting.append(ids)
         self.n_waiting += len(ids) // 4
         if self.n_waiting >= self.block:
@@ -109,55 +113,64 @@ def read_documents(f) -> Iterator[tuple[int, np.ndarray]]:
         left = left[n:]
 
 
-def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, *, keeps_space: bool = False, plane: str = "bit", block: int = BLOCK, files: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encodes ``docs`` in ascending id order into files in ``folder``; returns the manifest: shard, path, n_docs, n_tokens.
+MANIFEST = "shard int, file int, path string, n_docs long, n_tokens long"
 
-    Documents are dealt by id ranges, each file has one range in order; files get their names when they are whole, by a
+
+def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int, *, keeps_space: bool = False, plane: str = "bit", block: int = BLOCK, shards: int | None = None, file_ids: int = FILE_IDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encodes ``docs`` in ascending id order into files in ``folder``; returns the manifest (MANIFEST).
+
+    Documents are dealt by id ranges, a shard has one range in order, and a file of it that has ``file_ids`` ids or
+    FILE_DOCS documents ends, so files and their indexes are bounded. Files get their names when they are whole, by a
     rename, and a repeated or lost task leaves only files that no manifest names. A null text is empty and has the end
-    id alone; rows that repeat an id follow each other. The manifest is written before it is returned, so that the
-    files it names stay the ones that later readers see.
+    id alone; rows that repeat an id follow each other; rows without an id come first. The manifest is written before it
+    is returned, so that the files it names stay the ones that later readers see.
     """
     require(docs, id_col, text_col)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encode = tokenizer(vocabulary, keeps_space).encode
-        shard, out, n, total = TaskContext.get().partitionId(), None, 0, 0
+        shard, number, out = TaskContext.get().partitionId(), 0, None
         fs, root = open_fs(folder)
-        name = f"{root}/shard-{shard:06d}-{uuid.uuid4().hex[:12]}"
+
+        def done():
+            writer.close()
+            out.close()
+            fs.move(name + ".tmp", name + ".tokens")
+            path = f"{folder}/{name.rpartition('/')[2]}.tokens"
+            return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "file": pa.array([number], pa.int32()), "path": [path], "n_docs": pa.array([len(writer.docs)], pa.int64()), "n_tokens": pa.array([writer.total], pa.int64())})
+
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                some = batch.slice(lo, 256)
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1))):
                 if out is None:
                     fs.create_dir(root, recursive=True)
+                    name = f"{root}/shard-{shard:06d}-{number:05d}-{uuid.uuid4().hex[:12]}"
                     out = fs.open_output_stream(name + ".tmp")
                     writer = Writer(out, plane, block)
-                for doc, ids in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
-                    writer.add(doc, ids + end)
-                    n, total = n + 1, total + len(ids) // 4 + 1
+                writer.add(doc, ids + end)
+                if writer.total >= file_ids or len(writer.docs) >= FILE_DOCS:
+                    yield done()
+                    out, number = None, number + 1
         if out is not None:
-            writer.close()
-            out.close()
-            fs.move(name + ".tmp", name + ".tokens")
-            path = f"{folder}/{name.rpartition('/')[2]}.tokens"
-            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": pa.array([n], pa.int64()), "n_tokens": pa.array([total], pa.int64())})
+            yield done()
 
-    n = files or max(parts(docs.sparkSession), 1)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
-    return written(ordered.mapInArrow(run, "shard int, path string, n_docs long, n_tokens long"), "manifest")
+    ordered = rows.repartitionByRange(shards or max(parts(docs.sparkSession), 1), "doc_id").sortWithinPartitions("doc_id")
+    return written(ordered.mapInArrow(tidy(run), MANIFEST), "manifest")
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, read from the files of a manifest.
 
-    ``start`` counts all ids of documents before it: those of earlier files, from the manifest, and of its own file.
+    ``start`` counts all ids of documents before it: those of earlier shards and files, from the manifest, and of its own file.
     """
-    sizes = sorted((r.shard, r.n_tokens, r.path) for r in manifest.collect())  # one row per file
-    before, rows = 0, []
-    for _, n, path in sizes:
-        rows.append((path, before))
-        before += n
+    total, bases = 0, []
+    for r in sorted(manifest.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()):  # one row per shard
+        bases.append((r.shard, total))
+        total += r.n
+    earlier = Window.partitionBy("shard").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = manifest.withColumn("inside", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)))
+    todo = files.join(F.broadcast(spark.createDataFrame(bases, "shard int, base long")), "shard").select("path", (F.col("base") + F.col("inside")).alias("before"))
 
     def run(batches):
         for batch in batches:
@@ -177,8 +190,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    todo = spark.createDataFrame(rows, "path string, before long").repartition(max(1, min(len(rows), 10_000)))
-    return todo.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return todo.repartition(max(1, min(len(bases), 10_000))).mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files_round_trip(docs: DataFrame, vocabulary: str, end_id: int = 1) -> DataFrame:

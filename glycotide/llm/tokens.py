@@ -2,9 +2,9 @@
 
 Both vocabularies split a text at white space before they merge, so a text's ids are those of its chunks in order.
 Where blanks are part of the ids, a chunk is a word and the white space before it; where they are dropped, it is the word.
-Texts with white space other than blank, tab and line ends are rare and go to the library whole.
-Unlike by the library's default, literals of special tokens in a text (as <|endoftext|>) are encoded as ordinary text:
-encode_special_tokens is set, so no text can bring an end of a document, and such texts have other ids than by default.
+Arrow splits many texts at a time into chunks and numbers the distinct ones, so Python handles distinct chunks only.
+Texts with white space other than blank, tab and line ends, and texts with a literal of a special token (as <|endoftext|>,
+which the library by default takes for that token), are rare and go to the library whole.
 """
 
 from __future__ import annotations
@@ -14,29 +14,32 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-RARE_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
-CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-#: White space that single blanks and line ends are not.
-RUNS = ("  ", " \n", "\n ", "\n\n", "\t", "\r")
-#: Words kept by a worker, about 200 bytes each; longer ones are not kept. Characters split at a time.
-MOST_WORDS, LONG_WORD, AT_ONCE = 800_000, 40, 1 << 21
+from glycotide.llm.shared import worker_table
 
+#: White space that arrow and the vocabularies might split at differently, and the mark that chunks are split at.
+RARE = r"[\x00\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+#: White space that single blanks and line ends are not.
+RUNS = r"[ \n]{2}|[\t\r]"
+#: Marks behind a letter or digit, which both vocabularies split there: ids of a word with marks are those of the word, then of the marks.
+MARKS, LETTER_LAST = ".,;:!?", "[A-Za-z0-9À-ÖØ-öø-ÿ]$"
+#: Distinct stems of each of a worker's two generations, some 200 bytes each; longer ones are not kept. Bytes split at a time.
+MOST_WORDS, LONG_WORD, AT_ONCE = 150_000, 40, 8 << 20
 
-def spaced_keys(text: str) -> list[str]:
-    """The chunks of a text as keys: a word stands for a blank and the word, one behind a line end has it in front.
 
-    A chunk that begins with a tab stands for what follows it as it is.
-    """
-    if any(run in text for run in RUNS):
-        return ["\t" + c for c in CHUNK.findall(text)]
-    keys = text.replace("\n", " \n").split(" ")
-    keys[0] = "\t" + keys[0]  # no blank comes before the first
-    return keys
+def chunks_of(texts: pa.Array) -> pa.Array:
+    """Each text's chunks, white space in front: a list of strings. No text has the byte 0."""
+    if pc.any(pc.match_substring_regex(texts, RUNS)).as_py():
+        marked = pc.replace_substring_regex(texts, r"([ \t\n\r]+[^ \t\n\r])", "\x00\\1")
+    else:
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
+    return pc.split_pattern(marked, "\x00")
 
 
-def chunk_of(key: str) -> str:
-    return key[1:] if key[:1] == "\t" else key if key[:1] == "\n" else " " + key
+def strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
 
 
 class WordTokenizer:
@@ -47,52 +50,85 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.split = spaced_keys if keeps_space else str.split
-        self.chunk = chunk_of if keeps_space else str
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, keys: list[str]) -> None:
-        for i in range(0, len(keys), 20_000):
-            some = keys[i : i + 20_000]
-            for k, e in zip(some, self.tokenizer.encode_batch_fast([self.chunk(k) for k in some], add_special_tokens=False)):
-                self.known[k] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Each text's ids, in order, as little-endian unsigned 32-bit integers; words are learned for many texts at once."""
+        self.split = chunks_of if keeps_space else pc.ascii_split_whitespace
+        special = [re.escape(t.content).replace("<", r"\x{3c}") for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([RARE, *special])
+        #: Lower case first, as these vocabularies do, where blanks are dropped: a stem has one entry then.
+        self.fold = not keeps_space
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _library(self, words: list[str]) -> list[bytes]:
+        out = []
+        for lo in range(0, len(words), 20_000):
+            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words[lo : lo + 20_000], add_special_tokens=False)]
+        return out
+
+    def _known(self, stems: list[str]) -> list[bytes]:
+        """The ids of distinct stems: from the recent ones, the older ones, or the library."""
+        recent, older = self.recent, self.older
+        out = [recent.get(w) for w in stems]
+        missing = [k for k, x in enumerate(out) if x is None]
+        for k in missing:
+            out[k] = older.get(stems[k])
+        new = [k for k in missing if out[k] is None]
+        for k, x in zip(new, self._library([stems[k] for k in new])):
+            out[k] = x
+        if len(recent) + len(missing) > MOST_WORDS:  # what was not asked for since the last turn goes
+            self.older, self.recent = recent, {}
+        self.recent.update((stems[k], out[k]) for k in missing[:MOST_WORDS] if len(stems[k]) <= LONG_WORD)
+        return out
+
+    def _ids(self, chunks: pa.Array) -> list[bytes]:
+        """The ids of distinct chunks: those of their stems, and of the marks behind them."""
+        stems = pc.utf8_rtrim(chunks, MARKS)
+        stems = pc.if_else(pc.match_substring_regex(stems, LETTER_LAST), stems, chunks)
+        distinct = (pc.ascii_lower(stems) if self.fold else stems).dictionary_encode()
+        out = list(map(self._known(strings(distinct.dictionary)).__getitem__, distinct.indices.to_numpy().tolist()))
+        marked = np.flatnonzero(pc.binary_length(chunks).to_numpy() > pc.binary_length(stems).to_numpy())
+        sizes = pc.utf8_length(stems.take(pa.array(marked))).to_numpy().tolist()
+        tails = [c[n:] for c, n in zip(strings(chunks.take(pa.array(marked))), sizes)]
+        each = list(set(tails))
+        ids = dict(zip(each, self._library(each)))
+        for k, tail in zip(marked.tolist(), tails):
+            out[k] += ids[tail]
+        return out
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Each text's ids, in order, as little-endian unsigned 32-bit integers. Null texts are empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy())
         at = 0
         while at < len(texts):
-            size, end = 0, at
-            while end < len(texts) and (end == at or size + len(texts[end]) <= AT_ONCE):
-                size += len(texts[end])
-                end += 1
-            yield from self._encode(texts[at:end])
+            before = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, before + AT_ONCE, side="right")))
+            yield from self._encode(texts.slice(at, end - at))
             at = end
 
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if RARE_SPACE.search(t) else self.split(t) for t in texts]
-        words = set().union(*(s for s in split if s))
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > MOST_WORDS:
-            self.known.clear()
-            new = words
-        self._learn(list(new))
-        get = self.known.__getitem__
-        for keys, text in zip(split, texts):
-            if keys is None:
-                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _encode(self, texts: pa.Array) -> Iterator[bytes]:
+        whole = pc.match_substring_regex(texts, self.whole, ignore_case=True)
+        apart = [texts[k].as_py() for k in np.flatnonzero(whole.to_numpy(zero_copy_only=False))]
+        chunks = self.split(pc.if_else(whole, "", texts))
+        places = np.asarray(chunks.offsets) - chunks.offsets[0].as_py()
+        words = chunks.flatten().dictionary_encode()
+        ids = self._ids(words.dictionary)
+        sizes = np.array([len(x) for x in ids], np.int64) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        which = words.indices.to_numpy()
+        n = sizes[which]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+        starts = np.cumsum(sizes) - sizes
+        at = np.arange(ends[-1])
+        at += np.repeat(starts[which] - ends[:-1], n)
+        out = flat[at]
+        cuts, rest = ends[places].tolist(), iter(apart)
+        for k, alone in enumerate(whole.to_pylist()):
+            if alone:
+                yield np.array(self.tokenizer.encode(next(rest), add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                yield b"".join(map(get, keys))
-        for w in new:
-            if len(w) > LONG_WORD:
-                del self.known[w]
-
-
-_LOADED: dict[tuple[str, bool], WordTokenizer] = {}
+                yield out[cuts[k] : cuts[k + 1]].tobytes()
 
 
 def tokenizer(path: str, keeps_space: bool) -> WordTokenizer:
-    """This Python worker's tokenizer; it stays between tasks."""
-    if (path, keeps_space) not in _LOADED:
-        _LOADED[path, keeps_space] = WordTokenizer(path, keeps_space)
-    return _LOADED[path, keeps_space]
+    """This Python worker's tokenizer; it stays between tasks until another operator's table takes its place."""
+    return worker_table((path, keeps_space), lambda: WordTokenizer(path, keeps_space))

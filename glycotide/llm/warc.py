@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import join_by_count, open_fs, parts, require, shared_dir, text_or_empty, written
+from glycotide.llm.shared import join_by_count, open_fs, parts, require, shared_dir, text_or_empty, tidy, written
 
 #: Payload bytes of a shard, about; shards at most (beyond, they are larger); compressed bytes from which a file is full;
 #: ids of one step of the sort ranges.
@@ -193,7 +193,7 @@ def write_warc(pages: DataFrame, folder: str, *, revisit_bytes: int = 1000, shar
         if out is not None:
             yield done()
 
-    manifest = written(dealt.mapInArrow(run, MANIFEST), "warc-manifest")
+    manifest = written(dealt.mapInArrow(tidy(run), MANIFEST), "warc-manifest")
 
     def commit(batches):
         for batch in batches:
@@ -206,7 +206,7 @@ def write_warc(pages: DataFrame, folder: str, *, revisit_bytes: int = 1000, shar
                     raise FileNotFoundError(b)
             yield batch
 
-    return written(manifest.repartition(parts(pages.sparkSession)).mapInArrow(commit, MANIFEST), "warc-committed")
+    return written(manifest.repartition(parts(pages.sparkSession)).mapInArrow(tidy(commit), MANIFEST), "warc-committed")
 
 
 def read_warc(spark: SparkSession, manifest: DataFrame, payloads: bool = False) -> DataFrame:
@@ -233,7 +233,7 @@ def read_warc(spark: SparkSession, manifest: DataFrame, payloads: bool = False)
     def rows(held):
         return pa.RecordBatch.from_arrays([pa.array([x[n] for x in held], types.get(n, pa.string())) for n in names], names=names)
 
-    return manifest.select("path").repartition(parts(spark), "path").mapInArrow(run, schema)
+    return manifest.select("path").repartition(parts(spark), "path").mapInArrow(tidy(run), schema)
 
 
 def warc_round_trip(pages: DataFrame) -> DataFrame:

@@ -26,7 +26,6 @@ def crc(ids) -> int:
 
 def all_ids(path: str, texts: list, end: int) -> list[list[int]]:
     t = Tokenizer.from_file(public_tokenizers.path(path))
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids + [end] for x in texts]
 
 
@@ -264,6 +263,14 @@ def test_repeats_with_a_hot_passage(spark, monkeypatch):
     check_repeats(spark, texts, 40)
 
 
+def test_repeats_with_over_a_thousand_contents_of_an_anchor(spark):
+    rng = random.Random(13)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    hot = noise(90)
+    texts = [noise(rng.randrange(30, 60)) + hot[rng.randrange(20) : 90 - rng.randrange(20)] + noise(rng.randrange(30, 60)) for _ in range(repeated_spans.HOT + 300)]
+    check_repeats(spark, texts, 40)
+
+
 def test_repeats_in_documents(spark):
     check_repeats(spark, [r.text for r in table(spark).orderBy("doc_id").select("text").limit(120).collect()], 400)
 
