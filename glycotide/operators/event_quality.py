@@ -14,6 +14,7 @@ from glycotide.config import QualityConfig
 from glycotide.functions.columns import MICROS_PER_MINUTE, minutes
 from glycotide.operators.range_join import overlapping_intervals, points_in_intervals
 
+# The texts of issues and recommendations in this module are part of the results.
 OVERLAP_GAP, BASELINE_GAP, BASELINE_MAX_GAP, GAP_SHARE, NEAR = 1.5, 2.0, 5.0, 0.2, 30.0
 NO_DATA, NO_OVERLAP = "No CGM data available", "No CGM overlap"
 
@@ -72,26 +73,30 @@ def sample_checks(events: DataFrame, samples: DataFrame, *keys: str, config: Qua
     )
 
 
-def overlap(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfig()) -> DataFrame:
-    """Coverage of each event by readings, with issues and a recommendation."""
+def _overlap(config: QualityConfig) -> Column:
+    """A row of ``sample_checks`` as what ``overlap`` says of its event."""
     cov, gap = F.col("during_coverage"), F.col("during_gap_minutes")
     issues = F.when(~F.col("has_data"), F.array(F.lit(NO_DATA))).otherwise(
         _issues((cov < config.min_during_coverage, F.format_string("Low CGM coverage during event: %.1f%%", cov * 100)), (gap > F.col("length") * GAP_SHARE, F.concat(F.lit("Large gaps during event: "), gap.cast("string"), F.lit(" minutes"))))
     )
-    out = checks.withColumn("issues", issues)
     advice = (
         F.when(~F.col("has_data"), "Cannot analyze event without CGM data").when(cov < 0.5, "Insufficient CGM coverage. Consider event outside CGM recording period.")
-        .when(cov < 0.8, "Low CGM coverage during event. Results may be unreliable.").when(F.size("issues") > 0, F.concat(F.lit("Address CGM coverage issues: "), F.array_join("issues", ", ")))
+        .when(cov < 0.8, "Low CGM coverage during event. Results may be unreliable.").when(F.size(issues) > 0, F.concat(F.lit("Address CGM coverage issues: "), F.array_join(issues, ", ")))
         .otherwise("CGM coverage during event is sufficient for analysis.")
     )
-    return out.select(
-        "event_id", *keys, (F.col("during_samples") > 0).alias("has_overlap"), F.bround(cov, 3).alias("coverage_fraction"), F.bround("during_expected", 1).alias("expected_samples"),
-        F.col("during_samples").alias("actual_samples"), F.size("during_gaps").cast("long").alias("gap_count"), F.bround(gap, 2).alias("total_gap_minutes"), F.col("during_gaps").alias("gaps"), "issues", advice.alias("recommendation"),
+    return F.struct(
+        (F.col("during_samples") > 0).alias("has_overlap"), F.bround(cov, 3).alias("coverage_fraction"), F.bround("during_expected", 1).alias("expected_samples"),
+        F.col("during_samples").alias("actual_samples"), F.size("during_gaps").cast("long").alias("gap_count"), F.bround(gap, 2).alias("total_gap_minutes"), F.col("during_gaps").alias("gaps"), issues.alias("issues"), advice.alias("recommendation"),
     )
 
 
-def baseline(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfig()) -> DataFrame:
-    """Readings before each event, with issues and a recommendation; sufficient: covered to nine tenths and no issue."""
+def overlap(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfig()) -> DataFrame:
+    """Coverage of each event by readings, with issues and a recommendation."""
+    return checks.select("event_id", *keys, _overlap(config).alias("o")).select("event_id", *keys, "o.*")
+
+
+def _baseline(config: QualityConfig) -> Column:
+    """A row of ``sample_checks`` as what ``baseline`` says of its event."""
     cov, gap = F.col("base_coverage"), F.col("base_max_gap")
     issues = F.when(~F.col("has_data"), F.array(F.lit(NO_DATA))).otherwise(
         _issues(
@@ -99,19 +104,23 @@ def baseline(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfi
             (gap > F.col("interval") * BASELINE_MAX_GAP, F.format_string("Large gap in baseline: %.1f minutes", gap)),
         )
     )
-    out = checks.withColumn("issues", issues)
     advice = (
         F.when(~F.col("has_data"), "Cannot establish baseline without CGM data").when(cov < 0.5, "Insufficient baseline data. Cannot establish pre-event glucose pattern.")
-        .when(cov < 0.9, "Limited baseline coverage. Exercise caution in interpreting results.").when(F.size("issues") > 0, F.concat(F.lit("Improve baseline data quality: "), F.array_join("issues", ", ")))
+        .when(cov < 0.9, "Limited baseline coverage. Exercise caution in interpreting results.").when(F.size(issues) > 0, F.concat(F.lit("Improve baseline data quality: "), F.array_join(issues, ", ")))
         .otherwise("Pre-event baseline is sufficient for analysis.")
     )
-    enough = F.col("has_data") & (cov >= config.min_baseline_coverage) & (F.size("issues") == 0)
-    return out.select(
-        "event_id", *keys, enough.alias("has_sufficient_baseline"), F.bround(cov, 3).alias("coverage_fraction"), F.bround("base_expected", 1).alias("expected_samples"), F.col("base_samples").alias("actual_samples"),
-        F.size("base_gaps").cast("long").alias("gap_count"), F.bround(gap, 2).alias("max_gap_minutes"), F.col("base_gaps").alias("gaps"), "issues", advice.alias("recommendation"),
+    enough = F.col("has_data") & (cov >= config.min_baseline_coverage) & (F.size(issues) == 0)
+    return F.struct(
+        enough.alias("has_sufficient_baseline"), F.bround(cov, 3).alias("coverage_fraction"), F.bround("base_expected", 1).alias("expected_samples"), F.col("base_samples").alias("actual_samples"),
+        F.size("base_gaps").cast("long").alias("gap_count"), F.bround(gap, 2).alias("max_gap_minutes"), F.col("base_gaps").alias("gaps"), issues.alias("issues"), advice.alias("recommendation"),
     )
 
 
+def baseline(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfig()) -> DataFrame:
+    """Readings before each event, with issues and a recommendation; sufficient: covered to nine tenths and no issue."""
+    return checks.select("event_id", *keys, _baseline(config).alias("b")).select("event_id", *keys, "b.*")
+
+
 def _nearest(ev: DataFrame, key_cols: list[str]) -> DataFrame:
     """event_id, keys, before_us (latest end of another event up to the start), after_us (earliest start from the end on).
 
@@ -162,16 +171,16 @@ def score(events: DataFrame, samples: DataFrame, sample_keys: tuple[str, ...], e
     no readings at all, or none during the event, takes everything. From 0.6 on an event is usable.
     """
     checks = sample_checks(events, samples, *sample_keys, config=config)
-    fold = lambda df, name, keys: df.select("event_id", F.struct(*[c for c in df.columns if c not in ("event_id", *keys)]).alias(name))
+    apart = isolation(events, *event_keys, config=config)
+    apart = apart.select("event_id", F.struct(*[c for c in apart.columns if c not in ("event_id", *event_keys)]).alias("isolation"))
     out = events.select("event_id", *dict.fromkeys([*sample_keys, *event_keys]), F.coalesce("label", F.lit("Unlabeled event")).alias("label"))
-    has = checks.select("event_id", "has_data")
-    for part in (has, fold(overlap(checks, *sample_keys, config=config), "overlap", sample_keys), fold(baseline(checks, *sample_keys, config=config), "baseline", sample_keys), fold(isolation(events, *event_keys, config=config), "isolation", event_keys)):
-        out = out.join(part, "event_id")
+    # one range join: what it found is carried through in columns
+    out = out.join(checks.select("event_id", "has_data", _overlap(config).alias("overlap"), _baseline(config).alias("baseline")), "event_id").join(apart, "event_id")
     none = F.array().cast("array<string>")
     seen = F.when(~F.col("has_data"), F.array(F.lit(NO_DATA))).when(~F.col("overlap.has_overlap"), F.array(F.lit(NO_OVERLAP))).otherwise(F.col("overlap.issues"))
-    apart = F.when(~F.col("isolation.is_isolated"), F.col("isolation.issues")).otherwise(none)
+    crowded = F.when(~F.col("isolation.is_isolated"), F.col("isolation.issues")).otherwise(none)
     before = F.when(F.col("has_data") & ~F.col("baseline.has_sufficient_baseline"), F.col("baseline.issues")).otherwise(none)
-    out = out.withColumn("quality_issues", F.concat(seen, apart, before))
+    out = out.withColumn("quality_issues", F.concat(seen, crowded, before))
     critical = F.arrays_overlap("quality_issues", F.array(F.lit(NO_DATA), F.lit(NO_OVERLAP)))
     value = F.when(critical, 0.0).otherwise(F.greatest(F.lit(0.0), 1.0 - F.size("quality_issues") * 0.2))
     keys = list(dict.fromkeys([*sample_keys, *event_keys]))

@@ -6,6 +6,9 @@ samples have the key columns, ``at_us``, ``pos``, ``value``, ``flagged`` (an art
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +20,11 @@ from glycotide.operators.range_join import points_in_intervals
 VERSION = "1.0.0"
 LOW_COVERAGE, FULL_COVERAGE, LOW_PERCENTAGE = 0.7, 1.0, 70.0
 METRICS = ("baseline_glucose", "delta_peak", "iAUC", "time_to_peak", "nadir_glucose", "recovery_slope")
+#: The windows that a metric and its summary are made of.
+PARTS = {
+    "baseline_glucose": ("baseline",), "delta_peak": ("baseline", "peak"), "iAUC": ("baseline", "auc"), "time_to_peak": ("time_to_peak",), "nadir_glucose": ("nadir",),
+    "recovery_slope": ("baseline", "peak", "recovery"),
+}
 
 
 def metric_events(events: DataFrame, series: DataFrame | None = None, *keys: str) -> DataFrame:
@@ -54,27 +62,37 @@ def _within(w: Window) -> Column:
     return F.col("offset").between(F.lit(float(w.start)), F.lit(float(w.end)))
 
 
-def window_aggregates(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWindows | None = None, width_minutes: float = 30.0) -> DataFrame:
-    """One row per event that has a sample in any window: counts, coverages, flags and values of all metrics.
+def _wanted(names: Sequence[str]) -> list[str]:
+    """The windows of the metrics ``names``."""
+    if unknown := set(names) - set(METRICS):
+        raise ValueError(f"no metrics: {', '.join(sorted(unknown))}")
+    return list(dict.fromkeys(part for n in METRICS if n in names for part in PARTS[n]))
+
+
+def window_aggregates(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWindows | None = None, width_minutes: float = 30.0, names: Sequence[str] = METRICS) -> DataFrame:
+    """One row per event that has a sample in any window: counts, coverages, flags and values of the metrics ``names``.
 
     A window starts and ends relative to the event's start and has both its ends. First peaks and nadirs are those of
     the smallest ``pos``. The area is of trapezoids over values above the baseline, cut off at the samples. Slopes are
-    least-squares. What cannot be derived is null.
+    least-squares. What cannot be derived is null. Only samples in the windows of ``names`` are joined, and only the area
+    needs its event's samples in order.
     """
-    w = windows or MetricWindows()
-    low, high = w.envelope()
+    w, parts = windows or MetricWindows(), _wanted(names)
+    low, high = min(getattr(w, p).start for p in parts), max(getattr(w, p).end for p in parts)
     carried = ["event_id", "unit", "interval", "start_us"]
     lo, hi = (F.col("start_us") + F.lit(int(m * MICROS_PER_MINUTE)) for m in (low, high))
     near = points_in_intervals(events.select(*keys, *carried), samples.select(*keys, "at_us", "pos", "value", "flagged", "ts_raw"), keys, lo, hi, "at_us", width_minutes=width_minutes)
     near = near.withColumn("offset", (F.col("at_us") - F.col("start_us")) / F.lit(float(MICROS_PER_MINUTE)))
     event = ["event_id", *keys]
-    whole, ordered = W.partitionBy(*event), W.partitionBy(*event).orderBy("pos")
     v = F.col("value")
-    near = near.withColumn("base", F.avg(F.when(_within(w.baseline), v)).over(whole))
-    # windows are intervals of an ordered series: a sample's neighbour in the auc window is the one before it there
-    near = near.withColumn("_auc", _within(w.auc)).withColumn("_above", F.when(F.col("_auc"), F.greatest(v - F.col("base"), F.lit(0.0))))
-    near = near.withColumns({"_above_before": F.lag("_above").over(ordered), "_offset_before": F.lag("offset").over(ordered)})
-    area = (F.col("_above") + F.col("_above_before")) / 2 * (F.col("offset") - F.col("_offset_before"))
+    base = F.avg(F.when(_within(w.baseline), v))
+    if "auc" in parts:
+        whole, ordered = W.partitionBy(*event), W.partitionBy(*event).orderBy("pos")
+        near = near.withColumn("base", base.over(whole))
+        # windows are intervals of an ordered series: a sample's neighbour in the auc window is the one before it there
+        near = near.withColumn("_auc", _within(w.auc)).withColumn("_above", F.when(F.col("_auc"), F.greatest(v - F.col("base"), F.lit(0.0))))
+        near = near.withColumns({"_above_before": F.lag("_above").over(ordered), "_offset_before": F.lag("offset").over(ordered)})
+        base = F.first("base")
 
     def counted(name: str, window: Window) -> list[Column]:
         return [F.count_if(_within(window)).alias(f"n_{name}"), F.coalesce(F.bool_or(F.when(_within(window), F.col("flagged"))), F.lit(False)).alias(f"flagged_{name}")]
@@ -86,16 +104,21 @@ def window_aggregates(events: DataFrame, samples: DataFrame, *keys: str, windows
 
     inside = _within(w.recovery)
     y, x = F.when(inside, v), F.when(inside, F.col("offset"))
+    area = (F.col("_above") + F.col("_above_before")) / 2 * (F.col("offset") - F.col("_offset_before"))
+    values = {
+        "baseline": lambda: [base.alias("baseline_value")],
+        "peak": lambda: first_peak(w.peak, "peak"),
+        "auc": lambda: [F.sum(area).alias("area")],
+        "time_to_peak": lambda: first_peak(w.time_to_peak, "ttp"),
+        "nadir": lambda: [F.min(F.when(_within(w.nadir), v)).alias("nadir_value"), F.min_by("ts_raw", F.when(_within(w.nadir), F.struct(v.alias("v"), "pos"))).alias("nadir_time")],
+        "recovery": lambda: [F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.min(x).alias("fit_from"), F.max(x).alias("fit_to")],
+    }
     aggs = [F.first(c).alias(c) for c in carried[1:]]
-    for name in ("baseline", "peak", "auc", "nadir", "time_to_peak", "recovery"):
-        aggs += counted(name, getattr(w, name))
-    aggs += [F.first("base").alias("baseline_value"), *first_peak(w.peak, "peak"), *first_peak(w.time_to_peak, "ttp")]
-    aggs += [F.min(F.when(_within(w.nadir), v)).alias("nadir_value"), F.min_by("ts_raw", F.when(_within(w.nadir), F.struct(v.alias("v"), "pos"))).alias("nadir_time")]
-    aggs += [F.sum(area).alias("area"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.min(x).alias("fit_from"), F.max(x).alias("fit_to")]
+    for part in parts:
+        aggs += counted(part, getattr(w, part)) + values[part]()
     out = near.groupBy(*event).agg(*aggs)
-    names = ("baseline", "peak", "auc", "nadir", "time_to_peak", "recovery")
-    out = out.withColumns({f"cov_{n}": _coverage(f"n_{n}", getattr(w, n)) for n in names})
-    return out.withColumns({f"flags_{n}": _flags(f"cov_{n}", f"flagged_{n}") for n in names})
+    out = out.withColumns({f"cov_{n}": _coverage(f"n_{n}", getattr(w, n)) for n in parts})
+    return out.withColumns({f"flags_{n}": _flags(f"cov_{n}", f"flagged_{n}") for n in parts})
 
 
 def _percent(coverage: Column) -> Column:
@@ -106,14 +129,26 @@ def _window(w: Window) -> Column:
     return F.struct(F.lit(w.relative_to).alias("relative_to"), F.lit(float(w.start)).alias("start_offset_minutes"), F.lit(float(w.end)).alias("end_offset_minutes"))
 
 
-def metrics(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWindows | None = None, width_minutes: float = 30.0) -> DataFrame:
-    """The long table of metrics: one row per event and metric that can be derived, in the order of ``pos``.
+def there(name: str) -> Column:
+    """Whether a row of ``window_aggregates`` has the samples that a metric needs."""
+    least = {"iAUC": {"auc": 2}, "recovery_slope": {"recovery": 2, "baseline": 0}}.get(name, {})
+    return reduce(Column.__and__, [F.col(f"n_{p}") >= least.get(p, 1) for p in PARTS[name]])
+
+
+def coverage_of(name: str) -> Column:
+    if name == "recovery_slope":
+        return (F.col("cov_peak") + F.col("cov_recovery")) / 2
+    return F.col(f"cov_{PARTS[name][-1]}")
+
+
+def metrics(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWindows | None = None, width_minutes: float = 30.0, names: Sequence[str] = METRICS) -> DataFrame:
+    """The long table of metrics: one row per event and metric of ``names`` that can be derived, in the order of ``pos``.
 
     ``window`` is null where a metric has several, which ``window_bundle`` then names. Each metric stands alone: one that
     can't be derived has no row and takes none of the others with it.
     """
     w = windows or MetricWindows()
-    wide = window_aggregates(events, samples, *keys, windows=w, width_minutes=width_minutes)
+    wide = window_aggregates(events, samples, *keys, windows=w, width_minutes=width_minutes, names=names)
     text = {
         "baseline_glucose": f"Mean glucose from {w.baseline.start:g} to {w.baseline.end:g} minutes.",
         "delta_peak": f"Largest glucose from {w.peak.start:g} to {w.peak.end:g} minutes minus the baseline.",
@@ -127,18 +162,18 @@ def metrics(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWi
     fit = lambda at: F.col("intercept") + F.col("slope") * F.col(at)
     peak, base = F.col("peak_value"), F.col("baseline_value")
     common = lambda n: {"window_samples": F.col(f"n_{n}"), "expected_samples": _expected(getattr(w, n)).cast("long"), "coverage_percentage": _percent(F.col(f"cov_{n}"))}
-    # name: value, unit, single window, bundle, coverage, flags, is there, summary
+    # name: value, unit, single window, bundle, flags, summary
     kinds: dict[str, tuple] = {
-        "baseline_glucose": (base, F.col("unit"), w.baseline, None, F.col("cov_baseline"), F.col("flags_baseline"), F.col("n_baseline") > 0, common("baseline")),
+        "baseline_glucose": (base, F.col("unit"), w.baseline, None, F.col("flags_baseline"), common("baseline")),
         "delta_peak": (
-            peak - base, F.col("unit"), None, bundle(baseline_window=w.baseline, peak_window=w.peak), F.col("cov_peak"), both("baseline", "peak"), (F.col("n_baseline") > 0) & (F.col("n_peak") > 0),
+            peak - base, F.col("unit"), None, bundle(baseline_window=w.baseline, peak_window=w.peak), both("baseline", "peak"),
             common("peak") | {"peak_glucose": peak, "baseline_glucose": base, "peak_time": F.col("peak_at.ts_raw")},
         ),
-        "iAUC": (F.col("area"), F.concat("unit", F.lit(" * minutes")), None, bundle(baseline_window=w.baseline, auc_window=w.auc), F.col("cov_auc"), both("baseline", "auc"), (F.col("n_baseline") > 0) & (F.col("n_auc") >= 2), common("auc") | {"baseline_glucose": base}),
-        "time_to_peak": (F.col("ttp_at.offset"), F.lit("minutes"), w.time_to_peak, None, F.col("cov_time_to_peak"), F.col("flags_time_to_peak"), F.col("n_time_to_peak") > 0, common("time_to_peak") | {"peak_glucose": F.col("ttp_value"), "peak_time": F.col("ttp_at.ts_raw")}),
-        "nadir_glucose": (F.col("nadir_value"), F.col("unit"), w.nadir, None, F.col("cov_nadir"), F.col("flags_nadir"), F.col("n_nadir") > 0, common("nadir") | {"nadir_time": F.col("nadir_time")}),
+        "iAUC": (F.col("area"), F.concat("unit", F.lit(" * minutes")), None, bundle(baseline_window=w.baseline, auc_window=w.auc), both("baseline", "auc"), common("auc") | {"baseline_glucose": base}),
+        "time_to_peak": (F.col("ttp_at.offset"), F.lit("minutes"), w.time_to_peak, None, F.col("flags_time_to_peak"), common("time_to_peak") | {"peak_glucose": F.col("ttp_value"), "peak_time": F.col("ttp_at.ts_raw")}),
+        "nadir_glucose": (F.col("nadir_value"), F.col("unit"), w.nadir, None, F.col("flags_nadir"), common("nadir") | {"nadir_time": F.col("nadir_time")}),
         "recovery_slope": (
-            F.col("slope"), F.concat("unit", F.lit(" per minute")), None, bundle(peak_window=w.peak, recovery_window=w.recovery), (F.col("cov_peak") + F.col("cov_recovery")) / 2, both("peak", "recovery"), (F.col("n_peak") > 0) & (F.col("n_recovery") >= 2),
+            F.col("slope"), F.concat("unit", F.lit(" per minute")), None, bundle(peak_window=w.peak, recovery_window=w.recovery), both("peak", "recovery"),
             {
                 "peak_glucose": peak, "baseline_glucose": base, "recovery_start": fit("fit_from"), "recovery_end": fit("fit_to"),
                 "return_toward_baseline_percentage": F.when(peak != base, (peak - fit("fit_to")) / (peak - base) * 100),
@@ -155,13 +190,18 @@ def metrics(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWi
     window_type = "struct<relative_to:string,start_offset_minutes:double,end_offset_minutes:double>"
     rows = []
     for pos, name in enumerate(METRICS):
-        value, unit, single, several, coverage, flags, there, summary = kinds[name]
+        if name not in names:
+            continue
+        value, unit, single, several, flags, summary = kinds[name]
+        coverage = coverage_of(name)
         row = F.struct(
             F.lit(pos).alias("pos"), F.lit(name).alias("metric_name"), F.lit(VERSION).alias("metric_version"), (_window(single) if single else F.lit(None).cast(window_type)).alias("window"),
             (several if several is not None else F.lit(None).cast(f"map<string,{window_type}>")).alias("window_bundle"), value.alias("value"), unit.alias("unit"), F.lit(text[name]).alias("method"),
             coverage.alias("coverage_ratio"), flags.alias("quality_flags"), F.struct(*[summary.get(k, F.lit(None)).cast(t).alias(k) for k, t in summary_types.items()]).alias("quality_summary"),
         )
-        rows.append(F.when(there & value.isNotNull() & coverage.isNotNull(), row))
+        rows.append(F.when(there(name) & value.isNotNull() & coverage.isNotNull(), row))
+    if len(rows) == 1:
+        return wide.select("event_id", *keys, rows[0].alias("m")).filter("m is not null").select("event_id", *keys, "m.*")
     return wide.select("event_id", *keys, F.explode(F.array_compact(F.array(*rows))).alias("m")).select("event_id", *keys, "m.*")
 
 

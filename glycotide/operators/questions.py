@@ -14,6 +14,7 @@ from glycotide.functions.columns import MICROS_PER_MINUTE, micros, parse_instant
 from glycotide.operators.predicates import definition
 from glycotide.operators.range_join import overlapping_intervals
 
+# The codes, kinds and texts of reasons and requirements in this module are part of the results.
 GROUPS = ("exposure", "comparison")
 BUNDLE_PART = {"delta_peak": "peak_window", "iAUC": "auc_window", "recovery_slope": "recovery_window"}
 LABELS = ("confounded", "missing_metric", "window_mismatch", "low_quality_metric", "usable")
@@ -155,6 +156,12 @@ def answerability(question: dict, events: DataFrame, metrics: DataFrame, *keys:
         near_ids = near.groupBy(*keys).agg(F.array_sort(F.collect_set("event_id")).alias("confounded_event_ids"))
         stats = stats.join(near_ids, list(keys), "left")
         strangers = F.array().cast(f"array<{REASON}>")
+        for name, table in (("Events", rows), ("Metrics", metrics)):
+            if question.get("subject_id") and {"subject_id", *keys} <= set(table.columns):
+                other = table.filter(F.col("subject_id") != question["subject_id"]).groupBy(*keys).agg(F.min("subject_id").alias("_other"))
+                stats = stats.join(other, list(keys), "left").withColumn("strangers", F.when(F.col("_other").isNotNull(), F.array(_stranger(name, F.col("_other"), question))))
+                stats = stats.withColumnRenamed("strangers", f"_strangers_{name}").drop("_other")
+                strangers = F.concat(strangers, F.coalesce(f"_strangers_{name}", F.array().cast(f"array<{REASON}>")))
     else:
         ids = near.agg(F.array_sort(F.collect_set("event_id")).alias("confounded_event_ids"))
         stats = group_stats(labels).join(ids, F.lit(True), "inner")  # two single rows
@@ -174,6 +181,11 @@ def answerability(question: dict, events: DataFrame, metrics: DataFrame, *keys:
     )
 
 
+def _stranger(name: str, subject: Column, question: dict) -> Column:
+    text = F.concat(F.lit(f"{name} subject_id "), subject.cast("string"), F.lit(f" does not match question subject_id {question['subject_id']}."))
+    return _reason("subject_id_mismatch", text, F.lit(True))
+
+
 def _strangers(question: dict, events: DataFrame, metrics: DataFrame) -> Column:
     """Reasons for tables of another subject than the question's: each table has one subject, whose id comes to the driver."""
     found = []
@@ -181,8 +193,7 @@ def _strangers(question: dict, events: DataFrame, metrics: DataFrame) -> Column:
         if question.get("subject_id") and "subject_id" in table.columns:
             row = table.filter(F.col("subject_id") != question["subject_id"]).select("subject_id").head(1)
             if row:
-                text = f"{name} subject_id {row[0][0]} does not match question subject_id {question['subject_id']}."
-                found.append(_reason("subject_id_mismatch", F.lit(text), F.lit(True)))
+                found.append(_stranger(name, F.lit(row[0][0]), question))
     return F.array(*found).cast(f"array<{REASON}>")
 
 

@@ -376,10 +376,13 @@ def q_quality_rollup(spark, sf_dir):
 
 
 # ---- metrics --------------------------------------------------------------------------------------------------------
-def _metrics(spark, sf_dir, flagged=False):
-    events = metrics.metric_events(tables.annotations(spark, sf_dir))
+def _metric_tables(spark, sf_dir, flagged=False):
     samples = _flagged(spark, sf_dir) if flagged else _samples(spark, sf_dir)
-    return metrics.metrics(events, metrics.metric_samples(samples, "series_id"), "series_id")
+    return metrics.metric_events(tables.annotations(spark, sf_dir)), metrics.metric_samples(samples, "series_id")
+
+
+def _metrics(spark, sf_dir, *names, flagged=False):
+    return metrics.metrics(*_metric_tables(spark, sf_dir, flagged), "series_id", names=names or metrics.METRICS)
 
 
 WIDE = f"""{FLAGGED}, {E_}, j0 AS (SELECT e.event_id, s.us, s.v, s.flagged, (s.us - e.us) / 6e7 AS x FROM e JOIN f s ON e.series_id = s.series_id AND s.us BETWEEN e.us - 1800000000 AND e.us + 14400000000),
@@ -411,8 +414,7 @@ def _one_metric(name: str) -> None:
     @query(f"q_{name}", f"WITH {LONG} SELECT event_id, {r('value')} AS value, {r('coverage_ratio')} AS coverage_ratio FROM m WHERE metric_name = '{ {'iauc': 'iAUC', 'nadir': 'nadir_glucose'}.get(name, name) }'".replace("{ ", "").replace(" }", ""))
     def run(spark, sf_dir):
         metric = {"iauc": "iAUC", "nadir": "nadir_glucose"}.get(name, name)
-        out = _metrics(spark, sf_dir).filter(F.col("metric_name") == metric)
-        return out.select("event_id", tie_safe(F.col("value")).alias("value"), tie_safe(F.col("coverage_ratio")).alias("coverage_ratio"))
+        return _metrics(spark, sf_dir, metric).select("event_id", tie_safe(F.col("value")).alias("value"), tie_safe(F.col("coverage_ratio")).alias("coverage_ratio"))
 
 
 for _name in ("baseline_glucose", "delta_peak", "iauc", "nadir", "time_to_peak", "recovery_slope"):
@@ -424,7 +426,7 @@ for _name in ("baseline_glucose", "delta_peak", "iauc", "nadir", "time_to_peak",
     f"WITH {LONG} SELECT event_id, metric_name, {r('value')} AS value, {r('coverage_ratio')} AS coverage_ratio, flags FROM m",
 )
 def q_all_metrics(spark, sf_dir):
-    return _metrics(spark, sf_dir, True).select("event_id", "metric_name", tie_safe(F.col("value")).alias("value"), tie_safe(F.col("coverage_ratio")).alias("coverage_ratio"), F.array_join("quality_flags", ",").alias("flags"))
+    return _metrics(spark, sf_dir, flagged=True).select("event_id", "metric_name", tie_safe(F.col("value")).alias("value"), tie_safe(F.col("coverage_ratio")).alias("coverage_ratio"), F.array_join("quality_flags", ",").alias("flags"))
 
 
 @query(
@@ -432,7 +434,7 @@ def q_all_metrics(spark, sf_dir):
     f"WITH {LONG} SELECT event_id, strftime(make_timestamp(peak_at), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS peak_time FROM m WHERE metric_name = 'delta_peak'",
 )
 def q_peak_times(spark, sf_dir):
-    return _metrics(spark, sf_dir).filter("metric_name = 'delta_peak'").select("event_id", F.col("quality_summary.peak_time").alias("peak_time"))
+    return _metrics(spark, sf_dir, "delta_peak").select("event_id", F.col("quality_summary.peak_time").alias("peak_time"))
 
 
 @query(
@@ -460,7 +462,7 @@ def q_metrics_by_event(spark, sf_dir):
 # ---- signals --------------------------------------------------------------------------------------------------------
 def _signal_rows(spark, sf_dir):
     events = tables.annotations(spark, sf_dir).select("event_id", "series_id", "pos", micros("start_time").alias("start_us"))
-    return signals.event_rows(events, _metrics(spark, sf_dir).drop("series_id"))
+    return signals.window_rows(events, metrics.window_aggregates(*_metric_tables(spark, sf_dir), "series_id", names=signals.REQUIRED))
 
 
 _P = {"d": ("dp", 0.75, 0.9), "i": ("area", 0.75, 0.9), "s": ("slope", 0.75, 0.9), "n": ("nadir", 0.1, 0.25)}
@@ -547,7 +549,7 @@ def q_match_component(spark, sf_dir):
 
 def _question_inputs(spark, sf_dir):
     events = questions.with_bounds(tables.annotations(spark, sf_dir))
-    return events, _metrics(spark, sf_dir).drop("series_id")
+    return events, _metrics(spark, sf_dir, QUESTION["outcome"]["metric_name"]).drop("series_id")
 
 
 GROUPS = f"""{WIDE}, sp AS (SELECT * FROM e WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-25'),
@@ -587,7 +589,7 @@ def q_answerability(spark, sf_dir):
     f"WITH {LONG} SELECT event_id, {r('value')} AS value FROM m WHERE metric_name = 'nadir_glucose'",
 )
 def q_first_metric(spark, sf_dir):
-    return questions.first_metric(_metrics(spark, sf_dir), "nadir_glucose", QUESTION["outcome"]["window"]).select("event_id", tie_safe(F.col("value")).alias("value"))
+    return questions.first_metric(_metrics(spark, sf_dir, "nadir_glucose"), "nadir_glucose", QUESTION["outcome"]["window"]).select("event_id", tie_safe(F.col("value")).alias("value"))
 
 
 @query("q_case_index", f"WITH {S} SELECT CAST(series_id AS VARCHAR) AS title, CAST(series_id AS VARCHAR) AS path, strftime(make_timestamp(max(us)), '%Y-%m-%dT%H:%M:%S.%f+00:00') AS end_time FROM s GROUP BY series_id ORDER BY end_time DESC")
@@ -606,7 +608,7 @@ def q_case_index(spark, sf_dir):
 )
 def q_group_t_test(spark, sf_dir):
     """Welch's t of the area between two labels, from sums alone."""
-    area = _metrics(spark, sf_dir).filter("metric_name = 'iAUC'").select("event_id", "value").join(tables.annotations(spark, sf_dir).select("event_id", "label"), "event_id")
+    area = _metrics(spark, sf_dir, "iAUC").select("event_id", "value").join(tables.annotations(spark, sf_dir).select("event_id", "label"), "event_id")
 
     def of(label: str, f: Callable[[Column], Column]) -> Column:
         return f(F.when(F.col("label") == label, F.col("value")))

@@ -1,20 +1,23 @@
 """From workbooks and diaries to series, sanity reports, metrics, signals, answers and reports, for all series in one job.
 
-``python -m glycotide.plans.workflow DATA OUT --timezone Area/City`` does for a folder of workbooks what a run per file
-would; each series is a case, and every output is partitioned by case.
+``python -m glycotide.plans.workflow DATA OUT --timezone Area/City`` does for a folder of workbooks (or, with
+``--documents``, of series documents) what a run per file would; each series is a case, and every output is partitioned
+by case. Facts are stored as Parquet after each step and read back, so no step plans, or computes, those before it.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glycotide.config import UNITS, AnswerConfig, MetricWindows, SignalConfig
-from glycotide.operators import annotations, ingest, metrics, questions, sanity, signals
+from glycotide.functions.columns import micros
+from glycotide.operators import annotations, event_quality, ingest, metrics, questions, sanity, signals
 from glycotide.sources import documents
 from glycotide.sources.workbook import TIME_COLUMN, VALUE_COLUMN, read_workbooks
 
@@ -58,32 +61,127 @@ def events_for_cases(cases: list[str], files: list[str]) -> dict[str, str]:
     return found
 
 
+EVENT_COLUMNS = (
+    "case", "events_id", "subject_id", "time_zone", "pos", "event_id", "event_type", "start_time", "start_time_raw", "end_time", "end_time_raw", "duration_minutes", "exposure_components",
+    "source", "annotation_quality", "label", "notes",
+)
+
+
+def file_names(spark: SparkSession, folder: str, pattern: str) -> dict[str, str]:
+    """Name to path of a folder's files, as Spark lists them; contents are not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path").collect()  # one row a file
+    return {r.path.rpartition("/")[2]: r.path for r in listed}
+
+
+def case_events(spark: SparkSession, cases: list[str], folder: str, *, time_zone: str, subject: str = "subject") -> DataFrame | None:
+    """Annotations of all cases from a folder of diaries and events documents, chosen as ``events_for_cases`` does; None if there are none.
+
+    A file that serves several cases is read once.
+    """
+    files = file_names(spark, folder, "*.{txt,json}")
+    chosen = events_for_cases(cases, list(files))
+    used = spark.createDataFrame([(c, files[f]) for c, f in chosen.items()], "case string, file string") if chosen else None
+    name = F.regexp_extract("file", r"([^/]+)$", 1)
+    found = []
+    for suffix in (".txt", ".json"):
+        paths = sorted({files[f] for f in chosen.values() if f.endswith(suffix)})
+        if not paths:
+            continue
+        serves = F.broadcast(used.select("case", name.alias("name")))  # one row a case
+        if suffix == ".txt":
+            lines = documents.read_diary(spark, paths).withColumn("name", name).join(serves, "name")
+            found.append(diary_events(lines.drop("name", "file"), time_zone=time_zone, subject=subject))
+        else:
+            found.append(documents.read_events(spark, paths).withColumn("name", name).join(serves, "name"))
+    if not found:
+        return None
+    found = [df.select(*EVENT_COLUMNS) for df in found]
+    return found[0].unionByName(found[1]) if len(found) > 1 else found[0]
+
+
+def series_from_documents(spark: SparkSession, path: str | list[str], tolerant: bool = False) -> DataFrame:
+    """Flat samples of series documents; a document's file stem is its case."""
+    rows = documents.read_series(spark, path, tolerant)
+    return rows.withColumn("case", F.regexp_extract("file", r"([^/]+)\.[^./]+$", 1)).drop("file")
+
+
 @dataclass
 class Results:
     samples: DataFrame
     sanity: DataFrame
     events: DataFrame | None = None
+    quality: DataFrame | None = None
     metrics: DataFrame | None = None
     signals: DataFrame | None = None
     answers: DataFrame | None = None
+    warnings: DataFrame | None = None
+
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def stored_in(folder: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Writes a table to ``folder`` as Parquet and reads it back: what comes after starts from there."""
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
+    return store
 
-def analyse(samples: DataFrame, events: DataFrame | None, question: dict | None = None, *, windows: MetricWindows | None = None, signal_config: SignalConfig = SignalConfig(), answer_config: AnswerConfig = AnswerConfig()) -> Results:
-    """All results of flat samples and annotations that share a ``case``; lazy until something is written."""
-    out = Results(samples, sanity.report(samples, "case"))
+
+def warnings_of(samples: DataFrame, events: DataFrame | None, ready: DataFrame | None, not_numeric: DataFrame | None) -> DataFrame:
+    """case, warnings: what users should know of and nothing stops for (an empty list: nothing)."""
+    text = lambda df, t: df.select("case", t.alias("warning"))
+    found = [samples.select("case", F.lit(None).cast("string").alias("warning")).distinct()]
+    if not_numeric is not None:
+        found.append(text(not_numeric.filter("not_numeric > 0"), F.format_string("%d glucose values are no numbers and were dropped", "not_numeric")))
+    if events is not None:
+        subjects = samples.groupBy("case").agg(F.first("subject_id").alias("_subject"))
+        other = events.select("case", "subject_id").distinct().join(subjects, "case").filter("subject_id <> _subject")
+        found.append(text(other, F.format_string("subject %s of the events is not that of the series, %s", "subject_id", "_subject")))
+        zero = metrics.interval_warnings(ready).join(ready.select("event_id", "case"), "event_id")
+        found.append(text(zero, F.concat("event_id", F.lit(": "), "warning")))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("case").agg(F.array_sort(F.collect_set("warning")).alias("warnings"))
+
+
+def analyse(samples: DataFrame, events: DataFrame | None, question: dict | None = None, *, windows: MetricWindows | None = None, signal_config: SignalConfig = SignalConfig(), answer_config: AnswerConfig = AnswerConfig(), store: Callable[[DataFrame, str], DataFrame] = _as_is, not_numeric: DataFrame | None = None) -> Results:
+    """All results of flat samples and annotations that share a ``case``. ``store`` is applied to each fact table in turn."""
+    samples = store(samples, "samples")
+    out = Results(samples, store(sanity.report(samples, "case"), "sanity"))
     if events is None:
+        out.warnings = store(warnings_of(samples, None, None, not_numeric), "warnings")
         return out
     header = samples.groupBy("case").agg(F.first("unit").alias("unit"), F.first("sampling_interval_minutes").alias("sampling_interval_minutes"))
-    ready = metrics.metric_events(events, header, "case")
-    out.events = events
-    out.metrics = metrics.metrics(ready, metrics.metric_samples(samples, "case"), "case", windows=windows)
-    rows = signals.event_rows(ready.select("event_id", "case", "start_us", "pos", "unit"), out.metrics.drop("case"))
-    out.signals = signals.signals(rows, "case", unit=F.col("unit"), config=signal_config)
+    out.events = events = store(events, "events")
+    ready = store(metrics.metric_events(events, header, "case").select("event_id", "case", "label", "start_us", micros("end_time").alias("end_us"), "pos", "unit", "interval"), "metric_events")
+    near = metrics.metric_samples(samples, "case")
+    out.warnings = store(warnings_of(samples, events, ready, not_numeric), "warnings")
+    out.quality = store(event_quality.score(ready, near, ("case",), ("case",)), "event_quality")
+    out.metrics = store(metrics.metrics(ready, near, "case", windows=windows), "metrics")
+    rows = store(signals.event_rows(ready.select("event_id", "case", "start_us", "pos", "unit"), out.metrics.drop("case")), "signal_rows")
+    out.signals = store(signals.signals(rows, "case", unit=F.col("unit"), config=signal_config), "event_signals")
     if question:
-        out.answers = questions.answerability(question, events, out.metrics.drop("case"), "case", config=answer_config)
+        out.answers = store(questions.answerability(question, events, out.metrics.drop("case"), "case", config=answer_config), "answers")
     return out
 
 
+def signal_documents(results: Results, generated_at: str, config: SignalConfig = SignalConfig()) -> DataFrame:
+    """One document per case: header with ids and configuration, and the events in order of their start."""
+    about = results.samples.groupBy("case").agg(*[F.first(c).alias(c) for c in ("subject_id", "time_zone", "series_id")])
+    event = F.struct("event_id", "status", "coverage_ratio", "triggers", "metric_values")
+    rows = results.signals.withColumn("_at", F.struct("start_us", "pos"))
+    docs = documents.nested(rows, ["case"], "events", event, "_at").join(about, "case")
+    return docs.select(
+        "case", F.lit("1.0.0").alias("schema_version"), F.concat(F.lit("signals_"), "series_id").alias("signal_set_id"), "subject_id", "time_zone", "series_id", F.lit(generated_at).alias("generated_at"),
+        F.lit(config.coverage_soft).alias("coverage_soft"), F.lit(config.history_size).alias("history_size"), F.lit(config.min_history).alias("min_history"), "events",
+    )
+
+
 def summary(results: Results) -> DataFrame:
     """One row per case: samples, interval, coverage, number of metrics, verdict and blocking reasons."""
     report = results.sanity.select("case", "total_samples", "sampling_interval_minutes", "end_time", F.col("coverage.coverage_percentage").alias("coverage_percentage"))
@@ -119,45 +217,87 @@ def case_index(reports: DataFrame) -> DataFrame:
     return reports.select(F.col("case").alias("title"), F.col("case").alias("path"), "end_time").orderBy(F.desc_nulls_last("end_time"), "title")
 
 
+def quality_text(rollup: DataFrame) -> DataFrame:
+    """case, value: a few lines for people on how far a case's events can be used."""
+    line = lambda label, c: F.concat(F.lit(f"{label}: "), F.col(c).cast("string"))
+    lines = [F.col("summary"), line("High quality", "high_quality"), line("Medium quality", "medium_quality"), line("Low quality", "low_quality"), line("Usable share", "usability_fraction")]
+    return rollup.select("case", F.array_join(F.array(*lines), "\n").alias("value"))
+
+
+def sanity_text(reports: DataFrame) -> DataFrame:
+    """case, value: a few lines for people on a case's readings."""
+    line = lambda label, c: F.concat(F.lit(f"{label}: "), F.coalesce(F.col(c).cast("string"), F.lit("unknown")))
+    lines = [line("Samples", "total_samples"), line("Interval (minutes)", "sampling_interval_minutes"), line("Coverage (%)", "coverage.coverage_percentage"), line("Missing intervals", "coverage.missing_intervals"), line("Long gaps", "coverage.large_gaps")]
+    return reports.select("case", F.array_join(F.array(*lines), "\n").alias("value"))
+
+
 def write(results: Results, out: str, generated_at: str) -> None:
-    """Documents, one per case and kind, and the facts as Parquet."""
-    documents.write_documents(documents.nested(results.samples, ["case", *[c for c in documents.SERIES_HEADER if c in results.samples.columns]], "samples", F.struct(F.col("ts_raw").alias("timestamp"), "glucose_value", F.col("pos").alias("sample_index"), "quality_flags")), f"{out}/cgm", partition_by="case")
-    documents.write_documents(results.sanity, f"{out}/sanity", partition_by="case")
+    """Documents, one per case and kind, the texts for people, and the index of cases."""
+    by_case = lambda docs, name: documents.write_documents(docs, f"{out}/{name}", partition_by="case")
+    text = lambda df, name: df.write.partitionBy("case").text(f"{out}/{name}")
+    by_case(documents.nested(results.samples, ["case", *[c for c in documents.SERIES_HEADER if c in results.samples.columns]], "samples", F.struct(F.col("ts_raw").alias("timestamp"), "glucose_value", F.col("pos").alias("sample_index"), "quality_flags")), "cgm")
+    by_case(results.sanity, "sanity")
+    text(sanity_text(results.sanity), "sanity_txt")
+    if results.warnings is not None:
+        by_case(results.warnings, "warnings")
     if results.events is not None:
         event = F.struct("event_id", "event_type", F.col("start_time_raw").alias("start_time"), F.col("end_time_raw").alias("end_time"), "duration_minutes", "exposure_components", "source", "annotation_quality", "label", "notes")
-        documents.write_documents(documents.nested(results.events, ["case", *[c for c in ("events_id", "subject_id", "time_zone") if c in results.events.columns]], "events", event), f"{out}/events", partition_by="case")
-        results.metrics.write.parquet(f"{out}/metrics")
-        results.signals.write.parquet(f"{out}/event_signals")
+        by_case(documents.nested(results.events, ["case", *[c for c in ("events_id", "subject_id", "time_zone") if c in results.events.columns]], "events", event), "events")
+        by_case(documents.metrics_documents(results.metrics, "case"), "metrics")
+        by_case(signal_documents(results, generated_at), "event_signals")
+        rollup = event_quality.rollup(results.quality, "case")
+        quality = results.quality.groupBy("case").agg(F.array_sort(F.collect_list(F.struct("event_id", "label", "quality_score", "is_usable_for_analysis", "quality_issues", "recommendations"))).alias("events"))
+        by_case(rollup.join(quality, "case"), "event_quality")
+        text(quality_text(rollup), "event_quality_txt")
     if results.answers is not None:
-        documents.write_documents(results.answers, f"{out}/answerability", partition_by="case")
+        by_case(results.answers, "answerability")
     summaries = summary(results)
-    documents.write_documents(summaries, f"{out}/report", partition_by="case")
-    summaries.select("case", markdown(F.lit(generated_at)).alias("value")).write.partitionBy("case").text(f"{out}/report_md")
+    by_case(summaries, "report")
+    text(summaries.select("case", markdown(F.lit(generated_at)).alias("value")), "report_md")
     documents.write_documents(case_index(results.sanity).coalesce(1), f"{out}/cases")
 
 
+def read_question(spark: SparkSession, path: str) -> dict:
+    """A question document, from any store that Spark reads."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def run(spark: SparkSession, data: str, out: str, *, time_zone: str, unit: str = "mmol/L", subject: str = "subject", events: str | None = None, question: dict | None = None, from_documents: bool = False, generated_at: str = "") -> Results:
+    """The whole workflow of a folder; facts are stored under ``out``/facts."""
+    not_numeric = None
+    if from_documents:
+        samples = series_from_documents(spark, data)
+    else:
+        store = stored_in(f"{out}/facts")
+        raw = store(read_workbooks(spark, data), "readings")  # workbooks are read once
+        not_numeric = ingest.dropped_readings(raw, VALUE_COLUMN, "stem").withColumnRenamed("stem", "case")
+        samples = import_series(raw, time_zone=time_zone, unit=unit, subject=subject)
+    store = stored_in(f"{out}/facts")
+    samples = store(samples, "imported")
+    found = None
+    if events:
+        cases = [r.case for r in samples.select("case").distinct().collect()]  # one row a file
+        found = case_events(spark, cases, events, time_zone=time_zone, subject=subject)
+    results = analyse(samples, found, question if found is not None else None, store=store, not_numeric=not_numeric)
+    write(results, out, generated_at)
+    return results
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="Import workbooks and derive reports, metrics, signals and answers.")
-    p.add_argument("data")
+    p.add_argument("data", help="a folder of workbooks, or with --documents of series documents (JSON)")
     p.add_argument("out")
     p.add_argument("--timezone", required=True)
     p.add_argument("--unit", default="mmol/L", choices=UNITS)
     p.add_argument("--subject", default="subject")
-    p.add_argument("--diary", help="text files; a file's stem is its case")
+    p.add_argument("--events", help="a folder with CASE.txt, CASE.json, events.txt or events.json, the first of which counts")
     p.add_argument("--question", help="a question document (JSON)")
+    p.add_argument("--documents", action="store_true")
     p.add_argument("--generated-at", default="")
     a = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    samples = import_series(read_workbooks(spark, a.data), time_zone=a.timezone, unit=a.unit, subject=a.subject)
-    events = None
-    if a.diary:
-        lines = documents.read_diary(spark, a.diary).withColumn("case", F.regexp_extract("file", r"([^/]+)\.[^./]+$", 1))
-        events = diary_events(lines, time_zone=a.timezone, subject=a.subject)
-    question = None
-    if a.question:
-        with open(a.question, encoding="utf-8") as f:
-            question = json.load(f)
-    write(analyse(samples, events, question), a.out, a.generated_at)
+    question = read_question(spark, a.question) if a.question else None
+    run(spark, a.data, a.out, time_zone=a.timezone, unit=a.unit, subject=a.subject, events=a.events, question=question, from_documents=a.documents, generated_at=a.generated_at)
 
 
 if __name__ == "__main__":

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from glycotide import schemas
 from glycotide.functions.columns import parse_instant
 
+BUNDLE = ("baseline_window", "peak_window", "auc_window", "recovery_window")
 SERIES_HEADER = ("schema_version", "series_id", "subject_id", "device_id", "sensor_id", "time_zone", "unit", "sampling_interval_minutes")
-FILE = F.col("_metadata.file_path")
 
 
 def _read(spark: SparkSession, path: str | list[str], schema) -> DataFrame:
@@ -43,9 +43,8 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The long table of metrics: a bundle of windows becomes ``window_bundle``, and ``window`` is null."""
     rows = _read(spark, path, schemas.METRICS_DOC).select("file", "metric_set_id", "subject_id", "series_id", F.posexplode("metrics").alias("pos", "m"))
-    parts = ("baseline_window", "peak_window", "auc_window", "recovery_window")
     single = F.when(F.col("m.window.relative_to").isNotNull(), F.struct(*[F.col(f"m.window.{c}").alias(c) for c in ("relative_to", "start_offset_minutes", "end_offset_minutes")]))
-    pairs = F.array_compact(F.array(*[F.when(F.col(f"m.window.{p}").isNotNull(), F.struct(F.lit(p).alias("k"), F.col(f"m.window.{p}").alias("v"))) for p in parts]))
+    pairs = F.array_compact(F.array(*[F.when(F.col(f"m.window.{p}").isNotNull(), F.struct(F.lit(p).alias("k"), F.col(f"m.window.{p}").alias("v"))) for p in BUNDLE]))
     names = [c for c in schemas.METRIC.fieldNames() if c != "window"]
     return rows.select(
         "file", "metric_set_id", "subject_id", "series_id", F.col("pos").cast("long").alias("pos"), *[F.col(f"m.{c}") for c in names],
@@ -61,7 +60,8 @@ def read_diary(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def nested(rows: DataFrame, header: list[str], array: str, element: Column, order: str = "pos") -> DataFrame:
     """One document per header: the rows again as an array of ``element`` in the order of ``order``."""
-    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), element.alias("x")))), lambda r: r["x"])
+    by_order = lambda a, b: F.when(a["o"] < b["o"], -1).when(a["o"] > b["o"], 1).otherwise(0)  # noqa: E731  elements may hold maps, which have no order
+    listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), element.alias("x"))), by_order), lambda r: r["x"])
     return rows.groupBy(*header).agg(listed.alias(array))
 
 
@@ -77,8 +77,10 @@ def events_documents(events: DataFrame) -> DataFrame:
 
 
 def metrics_documents(metrics: DataFrame, *header: str) -> DataFrame:
-    names = [c for c in ("event_id", "metric_name", "metric_version", "window", "window_bundle", "value", "unit", "method", "quality_flags", "coverage_ratio", "quality_summary") if c in metrics.columns]
-    ordered = metrics.withColumn("_order", F.struct("event_id", "pos"))
+    names = [c for c in ("event_id", "metric_name", "metric_version", "window", "value", "unit", "method", "quality_flags", "coverage_ratio", "quality_summary") if c in metrics.columns]
+    single = [F.col(f"window.{c}").alias(c) for c in ("relative_to", "start_offset_minutes", "end_offset_minutes")]
+    bundle = [F.try_element_at("window_bundle", F.lit(p)).alias(p) for p in BUNDLE]
+    ordered = metrics.withColumns({"_order": F.struct("event_id", "pos"), "window": F.struct(*single, *bundle)})
     return nested(ordered, list(header), "metrics", F.struct(*names), "_order")
 
 
