@@ -16,10 +16,11 @@ os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT), os.environ.get("PYTHONPAT
 def spark():
     from pyspark.sql import SparkSession
 
+    scratch = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        .config("spark.sql.session.timeZone", "UTC").config("spark.sql.warehouse.dir", f"{scratch}/warehouse").config("spark.checkpoint.dir", f"file://{scratch}/shared")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
