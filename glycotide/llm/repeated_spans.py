@@ -22,8 +22,8 @@ from glycotide.llm.shared import fresh, join_by_count, parts, require, text_or_e
 
 WINDOW = 16
 #: Starts in one segment at most; bytes hashed at a time; bytes in a bucket; different segments from which an anchor is hot;
-#: starts in a cell of a hot anchor's segment.
-LONGEST_RUN, AT_ONCE, BUCKET, HOT, CELL = 512, 1 << 19, 1 << 19, 1_000, 32
+#: starts in a cell of a hot anchor's segment, at first and each time that cells are cut further.
+LONGEST_RUN, AT_ONCE, BUCKET, HOT, CELLS_OF = 512, 1 << 19, 1 << 19, 1_000, (32, 8, 2, 1)
 _K = np.uint64(0x9E3779B97F4A7C15)
 _K_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POWERS: dict[str, np.ndarray] = {}
@@ -318,13 +318,19 @@ def _repeated_cells(cells: DataFrame) -> DataFrame:
 
 
 def _hot_ranges(segments: DataFrame, length: int) -> DataFrame:
-    """Repeated starts of the segments of hot anchors, by cells, and by single strings where a cell's mates differ."""
-    span = lambda df: df.filter("copies = 1").select("doc_id", "first", (F.col("first") + F.col("size")).alias("last"))
-    cells = written(segments.select("doc_id", "first", "size", "copies", "bytes").mapInArrow(_cells(length, CELL), CELLS), "cells")
-    found = written(_repeated_cells(cells), "found-cells")
-    rest = found.filter("not same").select("doc_id", "first", "size", "copies", "bytes")
-    strings = written(rest.mapInArrow(_cells(length, 1), CELLS).drop("bytes"), "strings")
-    return span(found.filter("same")).unionByName(span(_repeated_cells(strings)))
+    """Repeated starts of the segments of hot anchors: cells whose mates are equal are repeated whole, those without a mate not at all.
+
+    Cells with mates that differ are cut further, down to single strings. The edge of a passage that many texts share
+    lies in one cell of each text, so a level has a few rows per text and none has a row per start.
+    """
+    cells, out = segments.select("doc_id", "first", "size", "copies", "bytes"), None
+    for width in (w for w in CELLS_OF if w <= length - WINDOW):
+        cells = written(cells.mapInArrow(tidy(_cells(length, width)), CELLS), f"cells-{width}")
+        found = written(_repeated_cells(cells), f"found-cells-{width}")
+        span = found.filter("same and copies = 1").select("doc_id", "first", (F.col("first") + F.col("size")).alias("last"))
+        out = span if out is None else out.unionByName(span)
+        cells = found.filter("not same").select("doc_id", "first", "size", "copies", "bytes")
+    return out
 
 
 def _with_possible_mates(segments: DataFrame) -> DataFrame:
