@@ -66,12 +66,13 @@ class DigestIndex:
 def exact_dedup(docs: DataFrame, table: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Adds ``docs`` to the index ``table``; doc_id, keep_id, group_size, kept, text_sha256 of each row.
 
-    Kept is the row that its text's index entry names; of rows that repeat an id and a text, all are kept.
+    Kept is the row that its text's index entry names; of rows that repeat an id and a text, all are kept. Rows without an
+    id are not kept; their keep_id is null if no row with an id has their text.
     """
     index = DigestIndex(docs.sparkSession, table)
     groups = index.add(docs, id_col, text_col)
     return index.resolve(docs, groups, id_col, text_col).select(
-        "doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+        "doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
     )
 
 

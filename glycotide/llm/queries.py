@@ -56,7 +56,7 @@ def op9(spark, sf_dir):
 
 @query("op10_suffix_interval_dedup")
 def op10(spark, sf_dir):
-    return repeated_spans.remove_repeated(table(spark, sf_dir, "documents"), length=400)
+    return repeated_spans.remove_repeated(table(spark, sf_dir, "documents"), length=400, kept=True)
 
 
 @query("op8_setsketch_near_dedup")

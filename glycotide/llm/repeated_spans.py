@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from glycotide.llm.shared import fresh, join_by_count, parts, require, text_or_empty, written
+from glycotide.llm.shared import fresh, join_by_count, parts, require, text_or_empty, tidy, written
 
 WINDOW = 16
 #: Starts in one segment at most; bytes hashed at a time; bytes in a bucket; different segments from which an anchor is hot;
@@ -268,7 +268,7 @@ def _with_bytes(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
         return pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(rows.items(), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))})
 
     todo = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("first", "size", "anchor", "copies")).alias("todo"))
-    return docs.join(todo.hint("shuffle_hash"), "doc_id").select("doc_id", "data", "todo").mapInArrow(run, "doc_id long, first long, size int, anchor long, copies long, bytes binary")
+    return docs.join(todo.hint("shuffle_hash"), "doc_id").select("doc_id", "data", "todo").mapInArrow(tidy(run), "doc_id long, first long, size int, anchor long, copies long, bytes binary")
 
 
 CELLS = "doc_id long, first long, size int, copies long, one long, two long, content long, bytes binary"
@@ -349,7 +349,7 @@ def _with_possible_mates(segments: DataFrame) -> DataFrame:
 
 def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     """Ranges [first, last) of the starts, per doc_id, whose ``length`` bytes start anywhere else too. docs: doc_id, data."""
-    segments = written(docs.mapInArrow(_segments(length), SEGMENT), "segments")
+    segments = written(docs.mapInArrow(tidy(_segments(length)), SEGMENT), "segments")
     same = ["anchor", "content", "size"]
     at = F.min(F.struct("doc_id", "first", *PRINTS)).alias("at")
     distinct = written(segments.groupBy(*same).agg(F.count("*").alias("copies"), at, F.max("again").alias("again")), "distinct-segments")
@@ -386,12 +386,26 @@ def _gone(n: int, found: list | None, length: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def _key(id_col: str, text_col: str) -> Column:
-    """A row's id, or where it has none a hash of its text, so that such rows are partners, too, and lose what they share.
+def _text(data: np.ndarray, gone: np.ndarray) -> str:
+    """What stays of a text; a letter of which a byte goes, goes whole."""
+    raw, edges = data.tobytes(), np.diff(np.concatenate([[False], ~gone, [False]]).astype(np.int8))
+    return "".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)))
 
-    Rows without an id that have one text are copies of each other, like rows that repeat an id and a text.
+
+def _keyed(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the column ``key``: a row's id; for rows without one, and for ids of several texts, a hash of both.
+
+    So each key stands for one text, and rows without an id are partners, too, and lose what they share. Rows of one
+    text and no id, and rows that repeat an id and a text, are copies of each other.
     """
-    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_or_empty(text_col)))
+    own, text = F.col(id_col).cast("long"), text_or_empty(text_col)
+    texts = docs.groupBy(own.alias("_shared_id")).agg(F.min(F.xxhash64(text)).alias("low"), F.max(F.xxhash64(text)).alias("high"))
+    several = written(texts.filter("_shared_id is not null and low <> high").select("_shared_id"), "ids-of-several-texts")
+    both = F.xxhash64(own, text)
+    if not several.head(1):
+        return docs.withColumn(key, F.coalesce(own, both))
+    joined = docs.join(several.hint("shuffle_hash"), own == F.col("_shared_id"), "left")
+    return joined.withColumn(key, F.when(own.isNull() | F.col("_shared_id").isNotNull(), both).otherwise(own)).drop("_shared_id")
 
 
 def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -400,8 +414,9 @@ def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
     A letter of which a byte goes, goes whole, so texts stay texts. Texts that lose nothing stay as they are, null ones too.
     """
     require(docs, id_col, text_col)
-    source = docs.select(_key(id_col, text_col).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
-    id_, found = fresh(docs, "_id", "_ranges")
+    key, id_, found = fresh(docs, "_key", "_id", "_ranges")
+    keyed = _keyed(docs, key, id_col, text_col)
+    source = keyed.select(F.col(key).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
     ranges = repeated_ranges(source, length).groupBy(F.col("doc_id").alias(id_)).agg(F.collect_list(F.struct("first", "last")).alias(found))
     place = docs.columns.index(text_col)
 
@@ -414,46 +429,46 @@ def without_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id",
                 for text, found in zip(texts.to_pylist(), todo.to_pylist()):
                     if found and text is not None:
                         data = np.frombuffer(text.encode(), np.uint8)
-                        stay = np.diff(np.concatenate([[False], ~_gone(len(data), found, length), [False]]).astype(np.int8))
-                        raw = data.tobytes()
-                        text = "".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(np.flatnonzero(stay == 1), np.flatnonzero(stay == -1)))
+                        text = _text(data, _gone(len(data), found, length))
                     out.append(text)
                 texts = pa.array(out, pa.large_string())
             columns = [c for c in batch.columns[:-1]]
             columns[place] = texts.cast(batch.column(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    joined = docs.join(ranges.hint("shuffle_hash"), _key(id_col, text_col) == F.col(id_), "left").select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], found)
+    joined = keyed.join(ranges.hint("shuffle_hash"), F.col(key) == F.col(id_), "left").select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)], found)
     numbered = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])  # names with dots don't get through
-    return joined.mapInArrow(run, numbered).toDF(*docs.columns)
+    return joined.mapInArrow(tidy(run), numbered).toDF(*docs.columns)
 
 
 def remove_repeated(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", kept: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row; with ``kept`` also the bytes that stay, as kept_bytes.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row; with ``kept`` also what stays, as text (letters cut in two go whole).
 
     Each byte goes that is in a string of ``length`` bytes that starts at two places or more of the corpus, the same text
-    included. Places count in the input as it is. A null text is empty; texts shorter than ``length`` lose nothing; an id
-    stands for one text, and rows that repeat both count as copies of each other. Rows without an id count, and lose what
-    they share, like others. Other columns are ignored.
+    included. Places count in the input as it is. A null text is empty; texts shorter than ``length`` lose nothing; rows
+    that repeat an id and a text count as copies of each other, rows of one id and several texts as documents of their
+    own. Rows without an id count, and lose what they share, like others. Other columns are ignored.
     """
     require(docs, id_col, text_col)
     if length < 2 * WINDOW:
         raise ValueError(f"length must be at least {2 * WINDOW}")
-    id_ = F.col(id_col).cast("long").alias("id")
-    rows = docs.select(id_, _key(id_col, text_col).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
+    (key,) = fresh(docs, "_key")
+    rows = _keyed(docs.select(id_col, text_col), key, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), F.col(key).alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
     ranges = repeated_ranges(rows.select("doc_id", "data"), length).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
     def run(batches):
         for batch in batches:
-            out: list[tuple] = []
-            for doc, data, found in zip(batch.column(0).to_pylist(), _binary(batch.column(1)), batch.column(2).to_pylist()):
-                gone = _gone(len(data), found, length)
-                stay = data[~gone].tobytes() if found else data.tobytes()
-                spans = int(np.count_nonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1)) if found else 0
-                out.append((doc, len(data), len(data) - len(stay), spans, hashlib.sha256(stay).hexdigest(), *([stay] if kept else [])))
-            columns = list(zip(*out)) or [[]] * (5 + kept)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"][: 5 + kept])
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * kept
-    return rows.join(ranges.hint("shuffle_hash"), "doc_id", "left").select("id", "data", "ranges").mapInArrow(run, schema)
+            for lo in range(0, batch.num_rows, 1_000):
+                some = batch.slice(lo, 1_000)
+                out: list[tuple] = []
+                for doc, data, found in zip(some.column(0).to_pylist(), _binary(some.column(1)), some.column(2).to_pylist()):
+                    gone = _gone(len(data), found, length)
+                    stay = data[~gone].tobytes() if found else data.tobytes()
+                    spans = int(np.count_nonzero(np.diff(np.concatenate([[False], gone]).astype(np.int8)) == 1)) if found else 0
+                    out.append((doc, len(data), len(data) - len(stay), spans, hashlib.sha256(stay).hexdigest(), *([_text(data, gone)] if kept else [])))
+                columns = list(zip(*out)) or [[]] * (5 + kept)
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"][: 5 + kept])
+
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * kept
+    return rows.join(ranges.hint("shuffle_hash"), "doc_id", "left").select("id", "data", "ranges").mapInArrow(tidy(run), schema)

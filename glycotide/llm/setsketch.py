@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glycotide.llm.components import components
-from glycotide.llm.repeated_spans import _binary, _powers
+from glycotide.llm.repeated_spans import _binary, _keyed, _powers
 from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, tidy, written
 
 REGISTERS, BANDS, BASE, RATE = 128, 32, 1.001, 20.0
@@ -103,20 +103,19 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.nda
     return (low + high) / 2
 
 
-SKETCH = "doc_id long, n_shingles long, set_1 long, set_2 long, registers binary"
+SKETCH = "doc_id long, own_id long, n_shingles long, set_1 long, set_2 long, registers binary"
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """Set size, a 128-bit fingerprint of the set, and its registers (null: no words), per row of docs (doc_id, data)."""
+    """Set size, a 128-bit fingerprint of the set, and its registers (null: no words), per row of docs (doc_id, own_id, data)."""
 
     def run(batches):
         for batch in batches:
-            ids, values = batch.column(0).to_pylist(), _binary(batch.column(1))
-            held: list[tuple[int, np.ndarray]] = []
+            held: list[tuple] = []
             size = 0
-            for doc, data in zip(ids, values):
-                held.append((doc, shingle_set(data, k)))
-                size += len(held[-1][1])
+            for doc, own, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _binary(batch.column(2))):
+                held.append((doc, own, shingle_set(data, k)))
+                size += len(held[-1][2])
                 if size > AT_ONCE // 8:
                     yield rows(held)
                     held, size = [], 0
@@ -124,13 +123,13 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 yield rows(held)
 
     def rows(held):
-        full = [s for _, s in held if len(s)]
+        full = [s for *_, s in held if len(s)]
         regs = iter(registers(full)) if full else iter(())
-        one = [int(s.sum(dtype=np.uint64).view(np.int64)) for _, s in held]
-        two = [int(_mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)) for _, s in held]
+        one = [int(s.sum(dtype=np.uint64).view(np.int64)) for *_, s in held]
+        two = [int(_mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)) for *_, s in held]
         return pa.RecordBatch.from_arrays(
-            [pa.array([d for d, _ in held], pa.int64()), pa.array([len(s) for _, s in held], pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array([next(regs).tobytes() if len(s) else None for _, s in held], pa.binary())],
-            names=["doc_id", "n_shingles", "set_1", "set_2", "registers"],
+            [pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.int64()), pa.array([len(s) for *_, s in held], pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array([next(regs).tobytes() if len(s) else None for *_, s in held], pa.binary())],
+            names=["doc_id", "own_id", "n_shingles", "set_1", "set_2", "registers"],
         )
 
     return docs.mapInArrow(tidy(run), SKETCH)
@@ -232,13 +231,17 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
     one node from the start. In each band's groups small ones compare all pairs; large ones compare each member with a
     few pivots, and then members that are not in the component of most are compared, in tiles, with all others: that
     finds every component that all pairs would give. A null text is empty; texts without words are linked with nothing; rows that
-    repeat an id and a text are one document. Other columns are ignored.
+    repeat an id and a text are one document, rows of one id and several texts are documents of their own. Rows without an
+    id link others; they are not kept, and their component_id is null if no row of the component has one. Other columns
+    are ignored.
     """
     require(docs, id_col, text_col)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("data"))
+    (key,) = fresh(docs, "_key")
+    source = _keyed(docs.select(id_col, text_col), key, id_col, text_col)
+    source = source.select(F.col(key).alias("doc_id"), F.col(id_col).cast("long").alias("own_id"), text_or_empty(text_col).cast("binary").alias("data"))
     each = written(sketches(source, k), "sketches")
     with_words = each.filter("n_shingles > 0").withColumn("set", F.struct("n_shingles", "set_1", "set_2"))
-    sets = written(with_words.groupBy("set").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("registers").alias("registers")).withColumn("n_shingles", F.col("set.n_shingles")), "sets")
+    sets = written(with_words.groupBy("set").agg(F.min("doc_id").alias("id"), F.min("own_id").alias("low"), F.count("*").alias("copies"), F.first("registers").alias("registers")).withColumn("n_shingles", F.col("set.n_shingles")), "sets")
     width = 2 * REGISTERS // BANDS
     keys = [F.xxhash64(F.lit(b), F.substring("registers", b * width + 1, width)) for b in range(BANDS)]
     banded = sets.select("id", F.explode(F.array(*keys)).alias("band"))
@@ -251,8 +254,10 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(d, k).tobytes() for d in _binary(batch.column(1))], pa.binary())], names=["id", "shingles"])
 
-    texts = source.withColumnRenamed("doc_id", "id").join(wanted.hint("shuffle_hash"), "id", "left_semi")
-    shingles = written(texts.mapInArrow(tidy(full_sets), "id long, shingles binary"), "shingles").dropDuplicates(["id"])
+    texts = source.select(F.col("doc_id").alias("id"), "data").join(wanted.hint("shuffle_hash"), "id", "left_semi")
+    if each.groupBy("doc_id").count().filter("count > 1").head(1):  # rows that repeat an id and a text
+        texts = texts.dropDuplicates(["id"])
+    shingles = written(texts.mapInArrow(tidy(full_sets), "id long, shingles binary"), "shingles")
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
     small = members.filter(F.col("n") <= SMALL)
@@ -271,11 +276,13 @@ def near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100
         links = written(links.union(more), "links")
         found = written(components(links), "components")
 
-    by_set = sets.join(found, "id", "left").select("set", "copies", F.coalesce("component", "id").alias("component"))
-    rows = each.withColumn("set", F.struct("n_shingles", "set_1", "set_2")).select("doc_id", "n_shingles", "set")
+    by_set = written(sets.join(found, "id", "left").select("set", "copies", "low", F.coalesce("component", "id").alias("component")), "set-components")
+    smallest = by_set.groupBy("component").agg(F.min("low").alias("component_id"))
+    by_set = by_set.join(smallest, "component").select("set", "copies", "component_id")
+    rows = each.withColumn("set", F.struct("n_shingles", "set_1", "set_2")).select("own_id", "doc_id", "n_shingles", "set")
     out = join_by_count(rows, by_set, "set", "copies", each.count(), "doc_id")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("own_id"))
+    return out.select(F.col("own_id").alias("doc_id"), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("own_id"), F.lit(False)).alias("kept"))
 
 
 def without_near_duplicates(docs: DataFrame, numerator: int = 75, denominator: int = 100, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
