@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import ctypes
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -14,14 +17,20 @@ from pyspark.sql import functions as F
 _TABLES: dict = {}
 
 
+@cache
+def _one_machine() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's URI under spark.checkpoint.dir, which all executors share."""
+    """A new folder's URI under spark.checkpoint.dir, which all executors share.
+
+    Where that is unset, a folder of our own if driver and executors are one process (tests); on a cluster that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and spark.sparkContext.master.startswith("local["):  # one machine, so the warehouse is shared
-        base = spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
-    if not base:
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{(base or _one_machine()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def worker_table(key: tuple, make: Callable):

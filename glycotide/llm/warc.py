@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from glycotide.llm.shared import join_by_count, open_fs, parts, require, shared_dir, text_or_empty, tidy, written
 
-#: Payload bytes of a shard, about; shards at most (beyond, they are larger); compressed bytes from which a file is full;
-#: ids of one step of the sort ranges.
-SHARD_BYTES, MOST_SHARDS, ROLL_BYTES, STEP = 16 << 20, 1 << 16, 64 << 20, 256
+#: Payload bytes of a shard, about; compressed bytes from which a file is full; ids of one step of the sort ranges; steps,
+#: or sums of steps, that are summed in one window.
+SHARD_BYTES, ROLL_BYTES, STEP, FAN = 64 << 20, 4 << 20, 256, 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _COLLECTION = 0x676C79636F  # fixed: part of every record id
 _NO_ID = 1 << 74
@@ -111,30 +111,37 @@ def revisits(rows: DataFrame) -> DataFrame:
     return found.filter("keep is not null and not page_id <=> keep").select("page_id", "digest", F.col("keep").alias("refers_to")).dropDuplicates(["page_id", "digest"])
 
 
-def shard_starts(pages: DataFrame, shard_bytes: int, most: int = MOST_SHARDS) -> list[int]:
-    """The first step (STEP consecutive ids) of each shard, by the bytes before it: at most ``most`` + 1 numbers.
+def shard_starts(pages: DataFrame, shard_bytes: int) -> tuple[list[int], int]:
+    """The first step (STEP consecutive ids) of each shard, by the bytes before it, and how many shards pages without an id need.
 
-    Sums run over 4,096 steps at a time and then over those sums, so no task sees all steps.
+    Bytes before a step are those before its FAN-fold range and those inside it, and so on up, so each window has FAN rows
+    at most however sparse ids are. The driver gets one number per shard.
     """
-    steps = pages.groupBy(F.floor(F.col("page_id") / STEP).alias("step")).agg(F.sum(F.length("payload") + 512).alias("bytes")).withColumn("block", F.floor(F.col("step") / 4096))
-    steps = written(steps.filter("step is not null"), "steps")
-    size = max(shard_bytes, -(-(steps.agg(F.sum("bytes")).first()[0] or 0) // most))
-    blocks = steps.groupBy("block").agg(F.sum("bytes").alias("bytes"))
+    steps = written(pages.groupBy(F.floor(F.col("page_id") / STEP).alias("step")).agg(F.sum(F.length("payload") + 512).alias("bytes")), "steps")
+    without_id = steps.filter("step is null").agg(F.sum("bytes")).first()[0] or 0
+    levels = [steps.filter("step is not null")]
+    while levels[-1].count() > FAN:
+        levels.append(written(levels[-1].groupBy(F.floor(F.col("step") / FAN).alias("step")).agg(F.sum("bytes").alias("bytes")), "step-sums"))
     before = lambda w: F.coalesce(F.sum("bytes").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = blocks.select("block", before(Window.orderBy("block")).alias("base"))
-    inside = steps.select("step", "block", before(Window.partitionBy("block").orderBy("step")).alias("at"))
-    shards = inside.join(blocks, "block").groupBy(F.floor((F.col("base") + F.col("at")) / size).alias("shard")).agg(F.min("step").alias("step"))
-    return sorted(r["step"] for r in shards.collect())
+    placed = levels.pop().select("step", before(Window.orderBy("step")).alias("base"))  # FAN rows at most
+    while levels:
+        inside = levels.pop().withColumn("above", F.floor(F.col("step") / FAN))
+        inside = inside.select("step", "above", before(Window.partitionBy("above").orderBy("step")).alias("at"))
+        placed = inside.join(placed.select(F.col("step").alias("above"), "base"), "above").select("step", (F.col("base") + F.col("at")).alias("base"))
+    shards = placed.groupBy(F.floor(F.col("base") / shard_bytes).alias("shard")).agg(F.min("step").alias("step"))
+    return sorted(r["step"] for r in shards.collect()), -(-without_id // shard_bytes)
 
 
-def with_shard(rows: DataFrame, starts: list[int]) -> DataFrame:
-    """``rows`` with the shard that their id lies in; rows without an id are in the last."""
+def with_shard(rows: DataFrame, starts: list[int], without_id: int = 1) -> DataFrame:
+    """``rows`` with the shard that their id lies in; rows without an id are dealt by their content to the ``without_id`` last ones."""
     splits = [float("-inf"), *sorted({float(x) for x in starts[1:]}), float("inf")]
     step = F.floor(F.col("page_id") / STEP).cast("double")
+    last = F.lit(len(splits) - 1) + F.pmod(F.xxhash64(F.coalesce("digest", "payload")), F.lit(max(1, without_id)))
     if len(splits) == 2:
-        return rows.withColumn("shard", F.when(step.isNull(), 1).otherwise(0).cast("long"))
+        return rows.withColumn("shard", F.when(step.isNull(), last).otherwise(0).cast("long"))
     dealer = Bucketizer(splits=splits, inputCol="_step", outputCol="_shard", handleInvalid="keep")
-    return dealer.transform(rows.withColumn("_step", step)).withColumn("shard", F.col("_shard").cast("long")).drop("_step", "_shard")
+    found = dealer.transform(rows.withColumn("_step", step))
+    return found.withColumn("shard", F.when(F.col("page_id").isNull(), last).otherwise(F.col("_shard")).cast("long")).drop("_step", "_shard")
 
 
 MANIFEST = "shard long, file int, temporary string, path string, records long, bytes long, sha256 string"
@@ -143,7 +150,7 @@ MANIFEST = "shard long, file int, temporary string, path string, records long, b
 def write_warc(pages: DataFrame, folder: str, *, revisit_bytes: int = 1000, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, date: str = "2024-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes one record per page into gzipped archives in ``folder``; returns the manifest (MANIFEST).
 
-    Shards are id ranges of about ``shard_bytes``, each sorted; a file that has ``roll_bytes`` compressed ends and the next
+    Shards are id ranges of about ``shard_bytes`` (larger only for pages of one id), each sorted; a file that has ``roll_bytes`` compressed ends and the next
     begins. The same pages give the same files, whatever the partitions. Tasks write under temporary names; when all have
     ended, the manifest of those that count is kept and its files get their names, so a lost or repeated task leaves only
     temporary files. Null html is an empty payload, a null url the URN of the page; a page without an id has a record that
@@ -153,12 +160,13 @@ def write_warc(pages: DataFrame, folder: str, *, revisit_bytes: int = 1000, shar
     require(pages, id_col, html_col)
     url = F.col(url_col).cast("string") if url_col in pages.columns else F.lit(None).cast("string")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), text_or_empty(html_col).cast("binary").alias("payload"))
-    starts = shard_starts(rows, shard_bytes)
+    starts, without_id = shard_starts(rows, shard_bytes)
     rows = with_digest(rows, revisit_bytes)
     none = lambda c, t: F.lit(None).cast(t).alias(c)
     notes = revisits(rows).select("page_id", "digest", F.lit(0).alias("kind"), none("url", "string"), none("payload", "binary"), "refers_to")
     both = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload", none("refers_to", "long")).unionByName(notes)
-    dealt = with_shard(both, starts).select("shard", "page_id", "digest", "kind", "url", "payload", "refers_to").repartition(parts(pages.sparkSession), "shard")
+    tasks = max(parts(pages.sparkSession), len(starts) + without_id)
+    dealt = with_shard(both, starts, without_id).select("shard", "page_id", "digest", "kind", "url", "payload", "refers_to").repartition(tasks, "shard")
     dealt = dealt.sortWithinPartitions("shard", "page_id", "digest", "kind", "payload", "url")
 
     def run(batches):
