@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from glycotide.llm.shared import require, text_or_empty, written
+from glycotide.llm.shared import require, text_or_empty, tidy, written
 
-#: Labelled rows that the fit uses at most (those of the smallest hash of their id), weights at most, rows that a word must be in.
-SAMPLE, MOST_WEIGHTS, LEAST_ROWS = 10_000, 1 << 16, 8
+#: Labelled rows that the fit uses at most (those of the smallest hash of their id); weights, one per bucket of feature
+#: hashes; labelled rows from which a bucket's weight is fitted (fewer say nothing about other texts: it stays 0).
+SAMPLE, BUCKETS, LEAST_ROWS = 10_000, 1 << 18, 8
+#: Features whose bucket a worker keeps.
+MOST_KNOWN = 150_000
 #: Letters of a word's beginning, which is a feature of its own: words of one stem then share a weight.
 STEM = 4
 _WORD = re.compile(r"\w+")
@@ -45,16 +48,16 @@ def features(text: str) -> set[str]:
     return out.union(shape_features(text, len(words)))
 
 
-def _hash(name: str) -> int:
-    """32 bits, signed."""
-    return zlib.crc32(name.encode("utf-8", "surrogatepass")) - (1 << 31)
+def bucket(name: str) -> int:
+    """The weight that a feature has: features of one bucket share it."""
+    return zlib.crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 @dataclass
 class OrdinalModel:
-    """Weights by feature hash and ascending thresholds; ``grades`` is one more than there are thresholds."""
+    """A weight per bucket and ascending thresholds; there is one more grade than there are thresholds."""
 
-    weights: dict[int, float]
+    weights: np.ndarray
     thresholds: list[float]
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
@@ -109,24 +112,20 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, sample
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_pydict({"grade": batch.column(0), "features": pa.array([sorted({_hash(f) for f in features(t)}) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))})
+            yield pa.RecordBatch.from_pydict({"grade": batch.column(0), "features": pa.array([sorted({bucket(f) for f in features(t)}) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))})
 
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "_id").select("grade", "text")
-    rows = written(texts.mapInArrow(run, "grade int, features array<int>"), "labelled-features")
-    counts = rows.select(F.explode("features").alias("feature")).groupBy("feature").count().filter(F.col("count") >= LEAST_ROWS)
-    top = {r["feature"]: i for i, r in enumerate(counts.orderBy(F.desc("count"), "feature").limit(MOST_WEIGHTS).collect())}
+    rows = written(texts.mapInArrow(tidy(run), "grade int, features array<int>"), "labelled-features")
     # at most ``sample`` rows, in an order of their own, so that sums, too, are the same in each run
     table = rows.orderBy("grade", F.xxhash64("features"), "features").toArrow().combine_chunks()
     grades, lists = table.column("grade").to_numpy(), table.column("features").chunk(0) if table.num_rows else None
     if len(np.unique(grades)) < 2:
         return None
-    hashes, places = np.array(sorted(top), np.int32), np.array([top[f] for f in sorted(top)], np.int64)
-    values, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
-    near = np.minimum(np.searchsorted(hashes, values), max(len(hashes) - 1, 0))
-    used = hashes[near] == values if len(hashes) else np.zeros(len(values), bool)
-    r, c = np.repeat(np.arange(len(grades)), sizes)[used], places[near[used]] if len(hashes) else np.empty(0, np.int64)
-    w, t = fit_ordinal(r, c, grades, len(top), n_grades)
-    return OrdinalModel({f: float(w[i]) for f, i in top.items()}, [float(x) for x in t])
+    columns = lists.flatten().to_numpy().astype(np.int64)
+    used = np.bincount(columns, minlength=BUCKETS)[columns] >= LEAST_ROWS
+    at = np.repeat(np.arange(len(grades)), np.diff(lists.offsets.to_numpy()))
+    w, t = fit_ordinal(at[used], columns[used], grades, BUCKETS, n_grades)
+    return OrdinalModel(w, [float(x) for x in t])
 
 
 def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float = 0.5, id_col: str = "doc_id", text_col: str = "text", carry: str | None = None) -> DataFrame:
@@ -135,8 +134,7 @@ def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float =
     The column ``carry`` comes along. A null text is empty; equal texts get equal grades. Without a model all rows are kept and their grades are null.
     """
     require(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_WEIGHTS weights
-    cache_limit = 500_000
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights
     names = ["doc_id", "expected_grade", "p_at_least", "kept", *([carry] if carry else [])]
 
     def run(batches):
@@ -151,17 +149,17 @@ def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float =
             for i, text in enumerate(texts):
                 found = features(text)
                 new = found.difference(known)
-                if len(known) + len(new) > cache_limit:
+                if len(known) + len(new) > MOST_KNOWN:
                     known.clear()
                     new = found
-                known.update((f, weights.get(_hash(f), 0.0)) for f in new)
-                scores[i] = math.fsum(map(known.__getitem__, found))  # exact, so the order plays no part
+                known.update((f, bucket(f)) for f in new)
+                scores[i] = math.fsum(weights[list(set(map(known.__getitem__, found)))])  # exact, so the order plays no part
             p = model.tails(scores)
             yield pa.RecordBatch.from_arrays([ids, pa.array(p.sum(axis=1)), pa.array(list(p), pa.list_(pa.float64())), pa.array(p[:, least - 1] >= tail), *carried], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), *([carry] if carry else []))
     schema = StructType.fromDDL("doc_id long, expected_grade double, p_at_least array<double>, kept boolean")
-    return rows.mapInArrow(run, schema.add(docs.schema[carry]) if carry else schema)
+    return rows.mapInArrow(tidy(run), schema.add(docs.schema[carry]) if carry else schema)
 
 
 def keep_good(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

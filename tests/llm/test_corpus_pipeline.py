@@ -35,7 +35,7 @@ def test_stages_of_the_chain(spark, tmp_path, monkeypatch):
 
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect() if r.doc_id is not None}
     (model,) = models
-    weigh = lambda t: math.fsum(model.weights.get(zlib.crc32(f.encode()) - (1 << 31), 0.0) for f in quality.features(t or ""))
+    weigh = lambda t: math.fsum(model.weights[b] for b in {zlib.crc32(f.encode()) % (1 << 18) for f in quality.features(t or "")})
     docs = {i: t for i, t in docs.items() if 1 / (1 + math.exp(model.thresholds[1] - weigh(t))) >= 0.5}
     assert rows("quality_classifier") == docs and 0 < len(docs) < some.count()
     toxic = {r.doc_id for r in some.join(table(spark, "labels").filter("toxic = 1"), "doc_id").collect()}
