@@ -21,7 +21,10 @@ def event_samples(events: DataFrame, samples: DataFrame, key: str, *, low: float
 
 
 def running_metrics(joined: DataFrame, key: str, windows: MetricWindows | None = None, bucket: str = "1 day") -> DataFrame:
-    """Baseline, largest and smallest value per event, by day of its start; for the update or append output modes."""
+    """Baseline, largest and smallest value per event, by day of its start, for the append output mode.
+
+    Over a stream-stream join Spark has no other mode: an event's row comes out when the watermark has passed its day.
+    """
     w = windows or MetricWindows()
     offset = (F.unix_micros("ts") - F.unix_micros("start_time")) / 6e7
     inside = lambda x: offset.between(x.start, x.end)
