@@ -73,7 +73,7 @@ def sample_checks(events: DataFrame, samples: DataFrame, *keys: str, config: Qua
     )
 
 
-def _overlap(config: QualityConfig) -> Column:
+def overlap_of(config: QualityConfig = QualityConfig()) -> Column:
     """A row of ``sample_checks`` as what ``overlap`` says of its event."""
     cov, gap = F.col("during_coverage"), F.col("during_gap_minutes")
     issues = F.when(~F.col("has_data"), F.array(F.lit(NO_DATA))).otherwise(
@@ -92,10 +92,10 @@ def _overlap(config: QualityConfig) -> Column:
 
 def overlap(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfig()) -> DataFrame:
     """Coverage of each event by readings, with issues and a recommendation."""
-    return checks.select("event_id", *keys, _overlap(config).alias("o")).select("event_id", *keys, "o.*")
+    return checks.select("event_id", *keys, overlap_of(config).alias("o")).select("event_id", *keys, "o.*")
 
 
-def _baseline(config: QualityConfig) -> Column:
+def baseline_of(config: QualityConfig = QualityConfig()) -> Column:
     """A row of ``sample_checks`` as what ``baseline`` says of its event."""
     cov, gap = F.col("base_coverage"), F.col("base_max_gap")
     issues = F.when(~F.col("has_data"), F.array(F.lit(NO_DATA))).otherwise(
@@ -118,7 +118,7 @@ def _baseline(config: QualityConfig) -> Column:
 
 def baseline(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfig()) -> DataFrame:
     """Readings before each event, with issues and a recommendation; sufficient: covered to nine tenths and no issue."""
-    return checks.select("event_id", *keys, _baseline(config).alias("b")).select("event_id", *keys, "b.*")
+    return checks.select("event_id", *keys, baseline_of(config).alias("b")).select("event_id", *keys, "b.*")
 
 
 def _nearest(ev: DataFrame, key_cols: list[str]) -> DataFrame:
@@ -175,7 +175,7 @@ def score(events: DataFrame, samples: DataFrame, sample_keys: tuple[str, ...], e
     apart = apart.select("event_id", F.struct(*[c for c in apart.columns if c not in ("event_id", *event_keys)]).alias("isolation"))
     out = events.select("event_id", *dict.fromkeys([*sample_keys, *event_keys]), F.coalesce("label", F.lit("Unlabeled event")).alias("label"))
     # one range join: what it found is carried through in columns
-    out = out.join(checks.select("event_id", "has_data", _overlap(config).alias("overlap"), _baseline(config).alias("baseline")), "event_id").join(apart, "event_id")
+    out = out.join(checks.select("event_id", "has_data", overlap_of(config).alias("overlap"), baseline_of(config).alias("baseline")), "event_id").join(apart, "event_id")
     none = F.array().cast("array<string>")
     seen = F.when(~F.col("has_data"), F.array(F.lit(NO_DATA))).when(~F.col("overlap.has_overlap"), F.array(F.lit(NO_OVERLAP))).otherwise(F.col("overlap.issues"))
     crowded = F.when(~F.col("isolation.is_isolated"), F.col("isolation.issues")).otherwise(none)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.config import AnswerConfig
+from glycotide.config import AnswerConfig, MetricWindows, Window
 from glycotide.functions.columns import NUDGE, micros, tie_safe
 from glycotide.operators import annotations, event_quality, ingest, metrics, predicates, questions, sanity, signals
 from glycotide.sources import tables
@@ -133,12 +133,17 @@ def q_series_hash(spark, sf_dir):
     return ingest.series_ids(rows, "series", subject=F.lit("subject"), device=F.lit("dev"), time_zone=F.lit("Etc/UTC"), unit=F.lit(UNIT))
 
 
-STEMS = ("SensorCGM-AB12-02.21.00.00", "SensorCGM-AB12", "a-b-1.2", "a-1", "x-1.2-y", "plain")
-
-
-@query("q_device_id", "SELECT stem, regexp_replace(stem, '^(.+)-\\d+(\\.\\d+)+$', '\\1') AS device_id FROM (VALUES " + ", ".join(f"('{x}')" for x in STEMS) + ") t(stem)")
+@query(
+    "q_device_id",
+    """
+    SELECT event_id, 'Sensor-' || user_id || CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '-' || user_id ELSE '-1.2-x' END AS device_id FROM events
+    """,
+)
 def q_device_id(spark, sf_dir):
-    return spark.createDataFrame([(x,) for x in STEMS], "stem string").select("stem", ingest.device_id(F.col("stem")).alias("device_id"))
+    n = F.col("event_id")
+    last = F.when(n % 4 == 0, F.concat(F.lit("-02."), (n % 100).cast("string"))).when(n % 4 == 1, F.concat(F.lit("-"), n.cast("string"), F.lit(".21.00"))).when(n % 4 == 2, F.concat(F.lit("-"), F.col("user_id").cast("string"))).otherwise("-1.2-x")
+    stems = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.concat(F.lit("Sensor-"), F.col("user_id").cast("string"), last).alias("stem"))
+    return stems.select("event_id", ingest.device_id(F.col("stem")).alias("device_id"))
 
 
 @query(
@@ -248,19 +253,20 @@ def q_assessment(spark, sf_dir):
 
 
 # ---- annotations ----------------------------------------------------------------------------------------------------
-DIARY = ("# diary", "2026-01-01 12:00 item-a", "", "2026-1-2 9:5  milk   tea ", "2026-01-01 12:00 item-b", "   ", "2026-01-03 19:30 dinner")
-
-
 @query(
     "q_text_parse",
     """
-    SELECT * FROM (VALUES ('2026-01-01 12:00:00', 'item-a / item-b', 2), ('2026-01-02 09:05:00', 'milk   tea', 4), ('2026-01-03 19:30:00', 'dinner', 7)) t(local_start, label, first_line)
+    SELECT user_id // 150 AS series_id, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS local_start, string_agg('food  ' || event_id % 4, ' / ' ORDER BY event_id) AS label, min(event_id) AS first_line
+    FROM events WHERE event_type = 'purchase' AND event_id % 7 <> 0 AND event_id % 5 <> 0 GROUP BY 1, 2
     """,
 )
 def q_text_parse(spark, sf_dir):
-    lines = spark.createDataFrame(list(enumerate(DIARY, 1)), "line_no int, value string")
-    out = annotations.merge_same_time(annotations.require_parsed(annotations.parse_diary(lines)))
-    return out.select(F.date_format("local_start", "yyyy-MM-dd HH:mm:ss").alias("local_start"), "label", "first_line")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_type = 'purchase'")
+    entry = F.concat(F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-M-d H"), F.lit(":0 \t food  "), (F.col("event_id") % 4).cast("string"), F.lit(" "))
+    line = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("# "), entry)).when(F.col("event_id") % 5 == 0, "   ").otherwise(entry)
+    lines = rows.select(F.expr("user_id div 150").alias("series_id"), F.col("event_id").alias("line_no"), line.alias("value"))
+    out = annotations.merge_same_time(annotations.require_parsed(annotations.parse_diary(lines, "line_no", "value", "series_id")), "series_id")
+    return out.select("series_id", F.date_format("local_start", "yyyy-MM-dd HH:mm:ss").alias("local_start"), "label", "first_line")
 
 
 @query(
@@ -326,8 +332,8 @@ CHECKS = f"""{S}, {E_}, j AS (SELECT e.event_id, e.us AS start, e.stop, s.us, la
 )
 def q_overlap(spark, sf_dir):
     checks = event_quality.sample_checks(_quality_events(spark, sf_dir), _quality_samples(spark, sf_dir), "series_id")
-    out = event_quality.overlap(checks, "series_id").select("event_id", "has_overlap", "actual_samples", "gap_count", F.size("issues").alias("n_issues"))
-    return out.join(checks.select("event_id", tie_safe(F.col("during_coverage"), 3).alias("coverage_fraction"), tie_safe(F.col("during_gap_minutes"), 1).alias("total_gap_minutes")), "event_id")
+    out = checks.select("event_id", event_quality.overlap_of().alias("o"), tie_safe(F.col("during_coverage"), 3).alias("coverage_fraction"), tie_safe(F.col("during_gap_minutes"), 1).alias("total_gap_minutes"))
+    return out.select("event_id", "o.has_overlap", "coverage_fraction", "o.actual_samples", "o.gap_count", "total_gap_minutes", F.size("o.issues").alias("n_issues"))
 
 
 @query(
@@ -336,8 +342,8 @@ def q_overlap(spark, sf_dir):
 )
 def q_prebaseline(spark, sf_dir):
     checks = event_quality.sample_checks(_quality_events(spark, sf_dir), _quality_samples(spark, sf_dir), "series_id")
-    out = event_quality.baseline(checks, "series_id").select("event_id", "has_sufficient_baseline", "actual_samples", "gap_count")
-    return out.join(checks.select("event_id", tie_safe(F.col("base_coverage"), 3).alias("coverage_fraction"), tie_safe(F.col("base_max_gap"), 4).alias("max_gap_minutes")), "event_id")
+    out = checks.select("event_id", event_quality.baseline_of().alias("b"), tie_safe(F.col("base_coverage"), 3).alias("coverage_fraction"), tie_safe(F.col("base_max_gap"), 4).alias("max_gap_minutes"))
+    return out.select("event_id", "b.has_sufficient_baseline", "coverage_fraction", "b.actual_samples", "b.gap_count", "max_gap_minutes")
 
 
 ISOLATION = """i AS (SELECT e.event_id, count(*) FILTER (o.us <= e.stop AND o.stop >= e.us) AS n_over, string_agg(o.event_id, ',' ORDER BY o.event_id) FILTER (o.us <= e.stop AND o.stop >= e.us) AS ids,
@@ -366,6 +372,21 @@ def q_quality_score(spark, sf_dir):
     return out.select("event_id", "quality_score", "is_usable_for_analysis", F.size("quality_issues").alias("n_issues"))
 
 
+@query(
+    "q_recommendations",
+    f"""WITH {QUALITY} SELECT event_id,
+      CASE WHEN NOT has_data THEN 'Cannot analyze' WHEN cov_d < 0.5 THEN 'Insufficient' WHEN cov_d < 0.8 THEN 'Low' WHEN gap_d > 6 THEN 'Address' ELSE 'CGM' END AS during,
+      CASE WHEN n_over > 0 THEN 'overlaps' WHEN nearest < 30 THEN 'close' ELSE 'isolated' END AS apart,
+      CASE WHEN NOT has_data THEN 'Cannot establish' WHEN cov_b < 0.5 THEN 'Insufficient' WHEN cov_b < 0.9 THEN 'Limited' WHEN gap_b > 25 THEN 'Improve' ELSE 'Pre-event' END AS before FROM q""",
+)
+def q_recommendations(spark, sf_dir):
+    out = event_quality.score(_quality_events(spark, sf_dir), _quality_samples(spark, sf_dir), ("series_id",), ("subject_id",))
+    text = lambda k: F.get("recommendations", F.lit(k))
+    head = lambda k: F.when(text(k).startswith("Cannot"), F.substring_index(text(k), " ", 2)).otherwise(F.substring_index(text(k), " ", 1))
+    apart = F.when(text(1).contains("overlaps"), "overlaps").when(text(1).contains("is close"), "close").otherwise("isolated")
+    return out.select("event_id", head(0).alias("during"), apart.alias("apart"), head(2).alias("before"))
+
+
 @query(
     "q_quality_rollup",
     f"""WITH {QUALITY} SELECT count(*) AS total_events, count(*) FILTER (score >= 0.6) AS usable_events, count(*) FILTER (score >= 0.8) AS high_quality, count(*) FILTER (score >= 0.6 AND score < 0.8) AS medium_quality,
@@ -437,6 +458,19 @@ def q_peak_times(spark, sf_dir):
     return _metrics(spark, sf_dir, "delta_peak").select("event_id", F.col("quality_summary.peak_time").alias("peak_time"))
 
 
+@query(
+    "q_custom_windows",
+    f"""WITH {S}, {E_}, j AS (SELECT e.event_id, s.v, (s.us - e.us) / 6e7 AS x FROM e JOIN s ON e.series_id = s.series_id AND s.us BETWEEN e.us - 3600000000 AND e.us + 5400000000),
+    w AS (SELECT event_id, avg(v) FILTER (x <= -15) AS base, count(*) FILTER (x <= -15) AS n_base, max(v) FILTER (x >= 0) AS peak, count(*) FILTER (x >= 0) AS n_peak FROM j GROUP BY 1)
+    SELECT event_id, 'baseline_glucose' AS metric_name, {r("base")} AS value, {r("least(n_base / 10.0, 1)")} AS coverage_ratio FROM w WHERE n_base > 0
+    UNION ALL SELECT event_id, 'delta_peak', {r("peak - base")}, {r("least(n_peak / 19.0, 1)")} FROM w WHERE n_base > 0 AND n_peak > 0""",
+)
+def q_custom_windows(spark, sf_dir):
+    windows = MetricWindows(baseline=Window(-60, -15), peak=Window(0, 90))
+    out = metrics.metrics(*_metric_tables(spark, sf_dir), "series_id", windows=windows, names=("baseline_glucose", "delta_peak"))
+    return out.select("event_id", "metric_name", tie_safe(F.col("value")).alias("value"), tie_safe(F.col("coverage_ratio")).alias("coverage_ratio"))
+
+
 @query(
     "q_low_coverage_metrics",
     f"WITH {LONG} SELECT metric_name, count(*) FILTER (metric_name <> 'recovery_slope' AND round(coverage_ratio * 100, 1) < 70) AS low_coverage_metrics FROM m GROUP BY 1",
@@ -508,6 +542,16 @@ def q_signals(spark, sf_dir):
 
 
 # ---- questions ------------------------------------------------------------------------------------------------------
+@query(
+    "q_metric_values",
+    f"WITH {SIGNALS} SELECT event_id, (dp IS NOT NULL)::INT * 2 + (area IS NOT NULL)::INT + (nadir IS NOT NULL)::INT + (slope IS NOT NULL)::INT AS n_values, {r('CASE WHEN dp IS NOT NULL THEN peak END')} AS peak_glucose, {r('nadir')} AS nadir_glucose FROM g2",
+)
+def q_metric_values(spark, sf_dir):
+    out = signals.signals(_signal_rows(spark, sf_dir), "series_id", unit=F.lit(UNIT), compared=tie_safe)
+    value = lambda name: tie_safe(F.try_element_at("metric_values", F.lit(name))).alias(name)
+    return out.select("event_id", F.size("metric_values").alias("n_values"), value("peak_glucose"), value("nadir_glucose"))
+
+
 @query(
     "q_confounded",
     f"WITH {E_} SELECT subject_id, event_id FROM e WHERE EXISTS (SELECT 1 FROM e o WHERE o.subject_id = e.subject_id AND o.event_id <> e.event_id AND o.us <= e.stop + 1800000000 AND o.stop >= e.us - 1800000000)",
@@ -584,6 +628,59 @@ def q_answerability(spark, sf_dir):
     return out.select("subject_id", "answerable", F.array_join(F.transform("reasons", lambda x: x["code"]), ",").alias("codes"), F.size("exposure.matched").cast("long").alias("exposure_matched"), F.size("comparison.usable").cast("long").alias("comparison_usable"))
 
 
+def _needs_sql(g: str) -> str:
+    n = lambda lab: f"count(*) FILTER (grp = '{g}' AND lab = '{lab}')"
+    return f"""CASE WHEN count(*) FILTER (grp = '{g}') = 0 THEN 'collect_events:{g}:2' ELSE nullif(concat_ws(',', CASE WHEN {n("usable")} < 2 THEN 'collect_events:{g}:' || (2 - {n("usable")}) END, CASE WHEN {n("missing_metric")} > 0 THEN 'compute_metrics:{g}:' END,
+      CASE WHEN {n("low_quality_metric")} > 0 THEN 'improve_cgm_coverage:{g}:' END, CASE WHEN {n("confounded")} > 0 THEN 'collect_isolated_events:{g}:' END), '') END"""
+
+
+@query(
+    "q_requirements",
+    f"""WITH {GROUPS} SELECT sp.subject_id, concat_ws(',', {_needs_sql("exposure")}, {_needs_sql("comparison")}) AS needs FROM (SELECT DISTINCT subject_id FROM sp) sp LEFT JOIN lb ON sp.subject_id = lb.subject_id GROUP BY 1""",
+)
+def q_requirements(spark, sf_dir):
+    events, table = _question_inputs(spark, sf_dir)
+    out = questions.answerability(QUESTION, events, table, "subject_id", config=AnswerConfig())
+    one = lambda x: F.concat_ws(":", x["type"], x["group"], F.coalesce(x["needed_count"].cast("string"), F.lit("")))
+    return out.select("subject_id", F.array_join(F.transform("data_requirements", one), ",").alias("needs"))
+
+
+AMBIGUOUS = QUESTION | {"exposure": {"event_type": "meal", "selector": {"component": "label", "operator": "in", "value": ["Food 1", "food 2"]}}, "condition": []}
+
+
+@query(
+    "q_ambiguous_definition",
+    f"""WITH {E_}, sp AS (SELECT * FROM e WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-25')
+    SELECT subject_id, count(*) FILTER (label = 'Food 2') AS n_both, coalesce(string_agg(event_id, ',' ORDER BY event_id) FILTER (label = 'Food 2'), '') AS both, bool_or(label = 'Food 2') AS ambiguous, bool_or(label = 'Food 2') AS refine FROM sp GROUP BY 1""",
+)
+def q_ambiguous_definition(spark, sf_dir):
+    events, table = _question_inputs(spark, sf_dir)
+    out = questions.answerability(AMBIGUOUS, events, table, "subject_id", config=AnswerConfig())
+    return out.select(
+        "subject_id", F.size("overlap_event_ids").cast("long").alias("n_both"), F.array_join("overlap_event_ids", ",").alias("both"), F.exists("reasons", lambda x: (x["code"] == "ambiguous_event_definition") & x["blocking"] & ~F.col("answerable")).alias("ambiguous"),
+        F.exists("data_requirements", lambda x: x["type"] == "refine_definitions").alias("refine"),
+    )
+
+
+BUNDLED = QUESTION | {"outcome": {"metric_name": "delta_peak", "window": QUESTION["outcome"]["window"], "unit": UNIT}}
+
+
+@query(
+    "q_window_mismatch",
+    f"""WITH {GROUPS} SELECT lb.event_id, grp AS "group", CASE WHEN lab = 'confounded' THEN lab WHEN w.peak IS NULL OR w.base IS NULL THEN 'missing_metric' ELSE 'window_mismatch' END AS label,
+    CASE WHEN lab = 'confounded' THEN lab WHEN w.peak IS NULL OR w.base IS NULL THEN 'missing_metric' WHEN w.c_peak < 0.7 THEN 'low_quality_metric' ELSE 'usable' END AS mapped FROM lb LEFT JOIN w ON lb.event_id = w.event_id""",
+)
+def q_window_mismatch(spark, sf_dir):
+    """A metric of several windows has never the question's one, unless the configuration takes the part that is meant."""
+    events = questions.with_bounds(tables.annotations(spark, sf_dir))
+    table = _metrics(spark, sf_dir, "delta_peak").drop("series_id")
+    near = questions.confounded(events.filter(questions.in_span(BUNDLED["time_span"])), "subject_id")
+    found = questions.matches(BUNDLED, events)
+    labels = lambda config: questions.labelled(found, table, near, BUNDLED["outcome"], "subject_id", config=config)
+    mapped = labels(AnswerConfig(match_bundle_outcome_window=True)).select("event_id", "group", F.col("label").alias("mapped"))
+    return labels(AnswerConfig()).select("event_id", "group", "label").join(mapped, ["event_id", "group"])
+
+
 @query(
     "q_first_metric",
     f"WITH {LONG} SELECT event_id, {r('value')} AS value FROM m WHERE metric_name = 'nadir_glucose'",
