@@ -35,7 +35,7 @@ def _blank(c: str) -> Column:
 
 def comma_list(text: Column) -> Column:
     """The trimmed, non-empty parts of a text between commas."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda t: F.trim(t)), lambda x: x != "")
 
 
 def with_context_tags(notes: Column, tags: Column) -> Column:
@@ -110,7 +110,7 @@ def _padded(stamp: Column) -> Column:
 
 def require_parsed(diary: DataFrame) -> DataFrame:
     """``diary`` without ``problem``; a line that has one fails the job with its text."""
-    return diary.filter(F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error("problem").cast("boolean"))).drop("problem")
+    return diary.filter(F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("problem")).cast("boolean"))).drop("problem")
 
 
 def merge_same_time(diary: DataFrame, *keys: str) -> DataFrame:

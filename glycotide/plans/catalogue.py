@@ -713,3 +713,38 @@ def q_group_t_test(spark, sf_dir):
     a, b = "Food 0", "Food 1"
     t = (of(b, F.avg) - of(a, F.avg)) / F.sqrt(of(a, F.var_samp) / of(a, F.count) + of(b, F.var_samp) / of(b, F.count))
     return area.agg(tie_safe(t, 4).alias("t"), of(a, F.count).alias("n_a"), of(b, F.count).alias("n_b"))
+
+
+PEAK_LIMIT_MGDL = 180.0
+
+
+@query(
+    "q_peak_share",
+    f"""WITH {LONG}, x AS (SELECT e.label, m.peak FROM m JOIN e ON e.event_id = m.event_id WHERE metric_name = 'delta_peak')
+    SELECT label, count(*) AS n, count(*) FILTER (peak > 180) AS n_over, {r("count(*) FILTER (peak > 180) / count(*) * 100", 4)} AS share_over, {r("(avg(peak) - 180) / (stddev_samp(peak) / sqrt(count(*)))", 4)} AS t FROM x GROUP BY 1""",
+)
+def q_peak_share(spark, sf_dir):
+    """Per label: the share of peaks over 180 mg/dL, and the one-sample t of the peaks against it."""
+    peaks = _metrics(spark, sf_dir, "delta_peak").select("event_id", F.col("quality_summary.peak_glucose").alias("peak")).join(tables.annotations(spark, sf_dir).select("event_id", "label"), "event_id")
+    n, over = F.count("*"), F.count_if(F.col("peak") > PEAK_LIMIT_MGDL)
+    t = (F.avg("peak") - PEAK_LIMIT_MGDL) / (F.stddev_samp("peak") / F.sqrt(n))
+    return peaks.groupBy("label").agg(n.alias("n"), over.alias("n_over"), tie_safe(over / n * 100, 4).alias("share_over"), tie_safe(t, 4).alias("t"))
+
+
+# Weights of the parts of a verdict's confidence.
+CONFIDENCE = {"completeness": 0.4, "reliability": 0.3, "control": 0.2, "timing": 0.1}
+
+
+@query(
+    "q_confidence",
+    f"""WITH {WIDE}, {ISOLATION} SELECT e.event_id, {r("0.4 * coalesce(w.c_peak, 0) + 0.3 * e.quality + 0.2 * (CASE WHEN i.n_over = 0 THEN 1 ELSE 0 END) + 0.1 * (CASE WHEN e.source = 'manual' THEN 0.5 ELSE 1 END)")} AS confidence
+    FROM e LEFT JOIN w ON e.event_id = w.event_id JOIN i ON e.event_id = i.event_id""",
+)
+def q_confidence(spark, sf_dir):
+    """Weighted confidence per event: coverage of the peak's window, the annotation's quality, isolation, how its time was noted."""
+    events = tables.annotations(spark, sf_dir).select("event_id", "annotation_quality", "source")
+    apart = event_quality.isolation(_quality_events(spark, sf_dir), "subject_id").select("event_id", "is_isolated")
+    cover = _metrics(spark, sf_dir, "nadir_glucose").select("event_id", "coverage_ratio")  # the same window as the peak's
+    parts = {"completeness": F.coalesce("coverage_ratio", F.lit(0.0)), "reliability": F.col("annotation_quality"), "control": F.col("is_isolated").cast("double"), "timing": F.when(F.col("source") == "manual", 0.5).otherwise(1.0)}
+    total = sum((parts[k] * w for k, w in CONFIDENCE.items()), F.lit(0.0))
+    return events.join(apart, "event_id").join(cover, "event_id", "left").select("event_id", tie_safe(total).alias("confidence"))
