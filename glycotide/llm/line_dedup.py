@@ -1,8 +1,8 @@
 """Line deduplication by an exact set-similarity join, with DataFrame operations only.
 
 A line is the set of its words. Words are ordered from rare to frequent by a table of counts of fixed size, so that a
-short prefix of a set must share a word with any similar set. Pairs that share one pass length and positional filters;
-those left are verified on all their words. Words are compared by 64-bit hashes.
+short prefix of a set must share a word with any similar set. Pairs that share one pass length and positional filters,
+and one on 128 parity bits of their words; those left are verified on all their words. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -14,14 +14,26 @@ from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, w
 
 #: Entries of the table of word counts; lines to be verified up to which their numbers, and their documents' ids, are broadcast.
 BUCKETS, MOST_BROADCAST = 1 << 16, 250_000
+#: A prefix word of more than 1/MOST_HOT of all prefix words, and of more than LEAST_HOT, is hot: lines must share another word, too.
+MOST_HOT, LEAST_HOT = 2_000, 1_000
 _MASK = (1 << 56) - 1
 AT = ["doc_id", "line_no"]
+PARITY = ["parity_0", "parity_1"]
+#: What a row of the token tables has besides the token; place is that of the (first) word in the ordered set.
+TOKEN = [*AT, "size", "place", *PARITY]
+
+
+def _blanks(line: Column) -> Column:
+    """A line with blanks for other white space. Lines mostly have none: replacing a text that isn't there costs a scan."""
+    for space in "\t\x0b\f\r":
+        line = F.replace(line, F.lit(space), F.lit(" "))
+    return line
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, line_no (from 0), line; ``line`` has blanks for other white space; lines without words are left out."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    return lines.select("doc_id", "line_no", F.translate("raw", "\t\x0b\f\r", "    ").alias("line")).filter(F.trim("line") != "")
+    return lines.select("doc_id", "line_no", _blanks(F.col("raw")).alias("line")).filter(F.trim("line") != "")
 
 
 def words_of(line: Column) -> Column:
@@ -29,9 +41,9 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(line, " ", -1), "")
 
 
-def rarity_levels(lines: DataFrame) -> Column:
-    """An array literal: for each of BUCKETS word buckets a level, 0 to 127, that rises with its count over all lines."""
-    words = lines.select(F.explode(words_of(F.col("line"))).alias("word"))
+def rarity_levels(docs: DataFrame) -> Column:
+    """An array literal: for each of BUCKETS word buckets a level, 0 to 127, that rises with its count over all texts."""
+    words = docs.select(F.explode(words_of(_blanks(F.replace("text", F.lit("\n"), F.lit(" "))))).alias("word"))
     counts = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).count()
     found = {r["bucket"]: r["count"] for r in counts.collect()}  # BUCKETS rows at most
     return F.split(F.lit(",".join(str(min(127, 2 * found.get(b, 0).bit_length())) for b in range(BUCKETS))), ",").cast("array<bigint>")
@@ -41,11 +53,23 @@ def _ranked(line: Column, levels: Column) -> Column:
     """Each distinct word's level and hash in one number, rare words first: the same order for all lines."""
 
     def rank(h: Column) -> Column:
-        return F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), 56).bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
+        level = F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))  # never null: numbers without nulls are sorted faster
+        return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
 
     return F.sort_array(F.array_distinct(F.transform(F.transform(words_of(line), lambda w: F.xxhash64(w)), rank)))
 
 
+def _parity(ranks: Column, which: int) -> Column:
+    """64 bits: each word flips one of them, or one of the other parity's. Sets of which n words are in one only differ in n bits at most."""
+
+    def flip(bits: Column, rank: Column) -> Column:
+        half = F.shiftright(rank, 26).bitwiseAND(F.lit(1))
+        own = half if which else F.lit(1).cast("long") - half
+        return bits.bitwiseXOR(F.call_function("shiftleft", own, F.shiftright(rank, 20).bitwiseAND(F.lit(63)).cast("int")))
+
+    return F.aggregate(ranks, F.lit(0).cast("long"), flip)
+
+
 def _key() -> Column:
     return F.struct(F.xxhash64("line").alias("one"), F.xxhash64(F.lit(7), "line").alias("two"))
 
@@ -53,18 +77,49 @@ def _key() -> Column:
 def _candidates(later: DataFrame, early: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a_doc_id, a_line_no, b_doc_id, b_line_no) that share a token and can be similar, the earlier as b.
 
-    Both tables have token, doc_id, line_no, size, place (of the token in the ordered set).
+    Both tables have token and TOKEN.
     """
-    side = lambda df, p: df.select("token", *[F.col(c).alias(f"{p}_{c}") for c in (*AT, "size", "place")])
+    side = lambda df, p: df.select("token", *[F.col(c).alias(f"{p}_{c}") for c in TOKEN])
     fits = (F.col("b_doc_id") < F.col("a_doc_id")) | ((F.col("b_doc_id") == F.col("a_doc_id")) & (F.col("b_line_no") < F.col("a_line_no")))
     fits &= (den * F.col("b_size") >= num * F.col("a_size")) & (den * F.col("a_size") >= num * F.col("b_size"))
+    both = F.col("a_size") + F.col("b_size")
     # words before the shared one and from it on
     ahead = F.least("a_place", "b_place") + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
-    fits &= (num + den) * ahead >= num * (F.col("a_size") + F.col("b_size"))
+    fits &= (num + den) * ahead >= num * both
+    # words that one of them has, at least
+    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in PARITY), F.lit(0))
+    fits &= (num + den) * differ <= (den - num) * both
     pairs = side(later, "a").join(side(early, "b"), "token").filter(fits)
     return pairs.select(*[f"{p}_{c}" for p in "ab" for c in AT]).distinct()
 
 
+def _prefix_size(size: str, num: int, den: int) -> Column:
+    return (F.col(size) - F.floor((num * F.col(size) + den - 1) / den) + 1).cast("int")
+
+
+def _tokens(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """token and TOKEN of each set: the words of its prefix.
+
+    A similar set shares a word of the prefix and, for a similarity over 1/2, a second one in a prefix longer by one; so
+    where the first is hot, tokens are pairs of it and another. Sets that only equal ones are similar to have one token,
+    that of all their words.
+    """
+    about = [F.col("first.doc_id"), F.col("first.line_no"), F.col("set.size"), *[F.col(f"set.{c}") for c in PARITY]]
+    alone = sets.filter("set.whole is not null").select(*about, F.lit(0).alias("place"), F.col("set.whole").alias("token"))
+    rest = sets.filter("set.whole is null")
+    each = rest.select(*about, F.posexplode(F.slice("set.prefix", F.lit(1), _prefix_size("set.size", num, den))).alias("place", "token"), F.col("set.prefix").alias("_prefix"))
+    if 2 * num <= den:
+        return alone.select("token", *TOKEN).unionByName(each.select("token", *TOKEN))
+    counts = each.groupBy("token").agg(F.count("*").alias("n"))
+    limit = max(each.count() // MOST_HOT, LEAST_HOT)
+    hot = written(counts.filter(F.col("n") > limit).select("token"), "hot-tokens")  # MOST_HOT at most
+    cold = each.drop("_prefix").join(F.broadcast(hot), "token", "left_anti")
+    second = each.join(F.broadcast(hot), "token").withColumn("other", F.explode(F.filter("_prefix", lambda w: w != F.col("token"))))
+    second = second.withColumn("token", F.xxhash64("token", "other"))
+    names = ["token", *TOKEN]
+    return alone.select(*names).unionByName(cold.select(*names)).unionByName(second.select(*names))
+
+
 def _with_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts of ``wanted`` (doc_id, wanted: line numbers). Few lines go to the texts; texts go to lines that are many."""
     few = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= MOST_BROADCAST
@@ -77,7 +132,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     wanted = written(ends[0].union(ends[1]).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted")), "wanted-lines")
     texts = _with_wanted(docs, wanted)
     lines = texts.select("doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("line_no"))
-    line = F.translate(F.element_at("lines", F.col("line_no") + 1), "\t\x0b\f\r", "    ")
+    line = _blanks(F.element_at("lines", F.col("line_no") + 1))
     words = lines.select(*AT, F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
     words = written(words, "line-words")
     side = lambda p: words.select(*[F.col(c).alias(f"{p}_{c}") for c in (*AT, "words")])
@@ -92,16 +147,18 @@ def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "
 
     Any earlier line counts, removed or not. Lines without words are never removed; a null text is one empty line; rows that
     repeat an id and a text count as one document; rows without an id are left out; long lines count whole. Equal lines
-    are collapsed to their first. Per shared word, lines are first compared with the earliest line only; those without a
+    are collapsed to their first. Per shared token, lines are first compared with the earliest line only; those without a
     match there with all earlier ones, so that a group of like lines costs no square of its size.
     """
     require(docs, id_col, text_col)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).filter("doc_id is not null")
     lines = lines_of(source)
-    levels = rarity_levels(lines)
+    levels = rarity_levels(source)
     ranked = lines.select(*AT, _key().alias("key"), _ranked(F.col("line"), levels).alias("ranks")).withColumn("size", F.size("ranks"))
-    prefix = F.slice("ranks", F.lit(1), (F.col("size") - F.floor((num * F.col("size") + den - 1) / den) + 1).cast("int"))
-    one = F.any_value(F.struct("size", prefix.alias("prefix"))).alias("set")
+    # a set of n words and another one have n of n + 1 words in common at most
+    whole = F.when(den * F.col("size") < num * (F.col("size") + 1), F.xxhash64("ranks"))
+    prefix = F.when(whole.isNull(), F.slice("ranks", F.lit(1), _prefix_size("size", num, den) + 1))
+    one = F.any_value(F.struct("size", whole.alias("whole"), prefix.alias("prefix"), *[_parity(F.col("ranks"), k).alias(c) for k, c in enumerate(PARITY)])).alias("set")
     sets = written(ranked.groupBy("key").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("n"), one), "line-sets")
 
     equal = sets.filter("n > 1").select("key", "first", "n")
@@ -109,10 +166,10 @@ def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "
     keyed = join_by_count(lines.select(*AT, _key().alias("key")), equal, "key", "n", total, "doc_id")
     out = keyed.filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.line_no") != F.col("line_no"))).select(*AT)
 
-    tokens = sets.select("first.*", "set.size", F.posexplode("set.prefix").alias("place", "token"))
+    tokens = _tokens(sets, num, den)
     often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
     shared = written(tokens.join(often.hint("merge"), "token", "left_semi"), "shared-tokens")  # words of one line only go
-    lowest = shared.groupBy("token").agg(F.min(F.struct(*AT, "size", "place")).alias("low")).select("token", "low.*")
+    lowest = shared.groupBy("token").agg(F.min(F.struct(*TOKEN)).alias("low")).select("token", "low.*")
     lowest = written(lowest, "lowest")
     # a line's pair with itself fits nothing, so the earliest lines may stay among the later ones
     found = written(_candidates(shared, lowest, num, den), "pivot-pairs")

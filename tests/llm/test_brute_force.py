@@ -195,6 +195,28 @@ def test_lines_equal_all_pairs(spark):
     assert got == want
 
 
+def test_lines_with_a_hot_word(spark, monkeypatch):
+    """Lines whose rarest words are the same: most differ from the earliest one, some are alike."""
+    monkeypatch.setattr(line_dedup, "LEAST_HOT", 20)
+    monkeypatch.setattr(line_dedup, "MOST_HOT", 10)
+    rng = random.Random(17)
+    common = [f"c{k}" for k in range(60)]
+    lines = [["rare0", "rare1", *rng.sample(common, rng.choice([6, 9, 14, 20]))] for _ in range(150)]
+    lines += [x[:-1] + [rng.choice(common)] for x in rng.choices(lines, k=100)] + [x[:-1] for x in rng.choices(lines, k=30)]
+    rng.shuffle(lines)
+    texts = ["\n".join(" ".join(x) for x in lines[i : i + 5]) for i in range(0, len(lines), 5)]
+    for num, den in ((9, 10), (4, 5)):
+        got = {(r.doc_id, r.line_no) for r in line_dedup.repeated_lines(made(spark, texts), num, den).collect()}
+        seen, want = [], set()
+        for i, t in enumerate(texts, 1):
+            for j, line in enumerate(t.split("\n")):
+                mine = set(line.split())
+                if any(den * len(mine & x) >= num * len(mine | x) for x in seen):
+                    want.add((i, j))
+                seen.append(mine)
+        assert got == want and len(want) > 50
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     rng = random.Random(6)
     texts = [r.text for r in table(spark).select("text").collect()]
