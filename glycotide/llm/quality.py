@@ -139,13 +139,13 @@ def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float =
 
     def run(batches):
         model = shared.value
-        known: dict[str, float] = {}
+        weights, known = model.weights.tolist() if model else [], {}
         for batch in batches:
             ids, texts, carried = batch.column(0), batch.column(1).to_pylist(), [batch.column(2)] if carry else []
             if model is None:
                 yield pa.RecordBatch.from_arrays([ids, pa.nulls(len(ids), pa.float64()), pa.nulls(len(ids), pa.list_(pa.float64())), pa.array([True] * len(ids)), *carried], names=names)
                 continue
-            weights, scores = model.weights, np.zeros(len(texts))
+            scores = np.zeros(len(texts))
             for i, text in enumerate(texts):
                 found = features(text)
                 new = found.difference(known)
@@ -153,7 +153,7 @@ def score(docs: DataFrame, model: OrdinalModel | None, least: int, tail: float =
                     known.clear()
                     new = found
                 known.update((f, bucket(f)) for f in new)
-                scores[i] = math.fsum(weights[list(set(map(known.__getitem__, found)))])  # exact, so the order plays no part
+                scores[i] = math.fsum(map(weights.__getitem__, set(map(known.__getitem__, found))))  # exact, so the order plays no part
             p = model.tails(scores)
             yield pa.RecordBatch.from_arrays([ids, pa.array(p.sum(axis=1)), pa.array(list(p), pa.list_(pa.float64())), pa.array(p[:, least - 1] >= tail), *carried], names=names)
 
