@@ -18,7 +18,7 @@ from glycotide.llm.shared import join_by_count, open_fs, parts, require, shared_
 
 #: Payload bytes of a shard, about; compressed bytes from which a file is full; ids of one step of the sort ranges; steps,
 #: or sums of steps, that are summed in one window.
-SHARD_BYTES, ROLL_BYTES, STEP, FAN = 64 << 20, 4 << 20, 256, 4096
+SHARD_BYTES, ROLL_BYTES, STEP, FAN = 32 << 20, 4 << 20, 256, 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _COLLECTION = 0x676C79636F  # fixed: part of every record id
 _NO_ID = 1 << 74
@@ -166,7 +166,7 @@ def write_warc(pages: DataFrame, folder: str, *, revisit_bytes: int = 1000, shar
     notes = revisits(rows).select("page_id", "digest", F.lit(0).alias("kind"), none("url", "string"), none("payload", "binary"), "refers_to")
     both = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "payload", none("refers_to", "long")).unionByName(notes)
     tasks = max(parts(pages.sparkSession), len(starts) + without_id)
-    dealt = with_shard(both, starts, without_id).select("shard", "page_id", "digest", "kind", "url", "payload", "refers_to").repartition(tasks, "shard")
+    dealt = with_shard(both, starts, without_id).select("shard", "page_id", "digest", "kind", "url", "payload", "refers_to").repartitionById(tasks, F.col("shard").cast("int"))  # a shard per task
     dealt = dealt.sortWithinPartitions("shard", "page_id", "digest", "kind", "payload", "url")
 
     def run(batches):
