@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, piece_sampling, quality, repeated_spans, setsketch, token_planes, warc
+from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, piece_sampling, quality, repeated_spans, setsketch, token_planes, vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,6 +129,40 @@ def op2(spark, sf_dir):
     return piece_sampling.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), seed=1)
 
 
+def lloyd_sql(parts: int = 4, width: int = 16, rounds: int = 4) -> str:
+    """The rounds one after the other; whole numbers below 2^53 are exact as doubles."""
+    steps = [
+        f"""v AS MATERIALIZED (
+              SELECT vec_id, label, [floor(1024 * CAST(c AS DOUBLE)) FOR c IN embedding] AS x FROM embeddings
+              WHERE embedding IS NOT NULL AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0 AND len(embedding) > 0),
+            y AS MATERIALIZED (SELECT vec_id, p, x[{width} * p + 1 : {width} * p + {width}] AS y FROM v, range({parts}) r(p)),
+            c0 AS MATERIALIZED (SELECT p, CAST(r - 1 AS INTEGER) AS e, y AS c FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) AS r FROM y) WHERE r <= 256)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+              SELECT y.vec_id, y.p, min(struct_pack(d := CAST(list_inner_product(y, y) + list_inner_product(c, c) - 2 * list_inner_product(y, c) AS BIGINT), e := e)) AS best
+              FROM y JOIN c{i} ON y.p = c{i}.p GROUP BY ALL)"""
+        )
+        if i < rounds:
+            means = ", ".join(f"floor(sum(y[{j}]) / count(*))" for j in range(1, width + 1))
+            steps.append(
+                f"""m{i} AS (SELECT y.p, best.e AS e, [{means}] AS c FROM a{i} JOIN y ON a{i}.vec_id = y.vec_id AND a{i}.p = y.p GROUP BY y.p, best.e),
+                c{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (p, e))"""
+            )
+    return f"""
+    WITH {", ".join(steps)},
+    f AS (SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id),
+    b AS (SELECT sha256(string_agg(array_to_string([CAST(i AS BIGINT) FOR i IN c], ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM f JOIN v USING (vec_id), b
+    """
+
+
+@query("op11_vector_codes", lloyd_sql())
+def op11(spark, sf_dir):
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -65,12 +65,22 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return tidied
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read back: its lineage ends there."""
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder as Parquet and read back (its lineage ends there), and where it lies."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    return written_at(df, name)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``written_at`` that nothing will read again."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
