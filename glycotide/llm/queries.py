@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, piece_sampling, quality, repeated_spans, setsketch, token_planes, vector_codes, warc
+from glycotide.llm import exact_dedup, hamming_topk, line_dedup, packing, piece_sampling, prefix_trie, quality, repeated_spans, setsketch, token_planes, toxicity, vector_codes, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,6 +163,43 @@ def op11(spark, sf_dir):
     return vector_codes.codes(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
 
 
+@query("op12_factorization_toxicity")
+def op12(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op13_prefix_trie",
+    """
+    WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+               FROM conversations WHERE conv_id IS NOT NULL),
+    b AS (SELECT conv_id, list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')], lambda s, x:
+            list_reduce([xor(s, x)] || CAST(range(8) AS BIGINT[]), lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS state
+          FROM (SELECT DISTINCT conv_id FROM t)),
+    k AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(state, 4294967295) % 6 AS h FROM b),
+    n AS (SELECT k.*, least(h, (SELECT count(*) FROM t WHERE t.conv_id = k.base)) AS taken FROM k),
+    r AS (SELECT n.conv_id, t.pos, role, text FROM n JOIN t ON t.conv_id = n.base AND t.pos < n.h
+          UNION ALL SELECT n.conv_id, t.pos - h + taken, role, text FROM n JOIN t ON t.conv_id = n.conv_id AND t.pos >= n.h),
+    m AS (SELECT conv_id, 0 AS depth, [] AS path, 0 AS chars FROM k
+          UNION ALL SELECT conv_id, pos + 1, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY pos), length(text) FROM r),
+    d AS (SELECT conv_id, max(depth) AS ends FROM m GROUP BY conv_id),
+    o AS MATERIALIZED (SELECT m.*, ends = depth AS ends_here, min(conv_id) OVER (PARTITION BY depth, path) AS node FROM m JOIN d USING (conv_id)),
+    g AS (SELECT node, depth, count(*) AS n_convs, any_value(chars) * (count(*) - 1) AS saved,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends_here), '')) AS ends_sha256
+          FROM o GROUP BY node, depth),
+    e AS (SELECT g.*, o.node AS parent FROM g LEFT JOIN o ON o.conv_id = g.node AND o.depth = g.depth - 1),
+    c AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM e GROUP BY parent, e.depth),
+    u AS (SELECT o.node, o.depth, sum(e.saved) AS saved_tokens, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves
+          FROM e LEFT JOIN c ON c.parent = e.node AND c.depth = e.depth JOIN o ON o.conv_id = e.node AND o.depth <= e.depth GROUP BY o.node, o.depth)
+    SELECT e.node AS conv_id, CAST(e.depth AS BIGINT) AS depth, e.parent AS parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM e JOIN u ON u.node = e.node AND u.depth = e.depth LEFT JOIN c ON c.parent = e.node AND c.depth = e.depth
+    """,
+)
+def op13(spark, sf_dir):
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations"), 100, 6))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
