@@ -17,6 +17,11 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(ts)
 
 
+def wall_micros(ntz: Column) -> Column:
+    """Microseconds of a wall clock (a timestamp without zone), as if it were UTC."""
+    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ntz)
+
+
 def minutes(us: Column) -> Column:
     """Minutes, as a double, of a span in microseconds."""
     return us / F.lit(float(MICROS_PER_MINUTE))

@@ -1,18 +1,21 @@
 """How far events can be used: overlap with readings, isolation from other events, baseline before them, a score.
 
 Events have event_id, the key columns, ``start_us``, ``end_us`` (null: none), ``label`` and ``interval``; samples have the
-key columns and ``at_us``. Events of one id count as one.
+key columns and ``at_us``. An event is known by its id and keys: one id may stand for an event of each of several series.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glycotide.config import QualityConfig
 from glycotide.functions.columns import MICROS_PER_MINUTE, minutes
-from glycotide.operators.range_join import overlapping_intervals, points_in_intervals
+from glycotide.operators import segments
+from glycotide.operators.range_join import longest_of, overlapping_intervals, points_in_intervals
 
 # The texts of issues and recommendations in this module are part of the results.
 OVERLAP_GAP, BASELINE_GAP, BASELINE_MAX_GAP, GAP_SHARE, NEAR = 1.5, 2.0, 5.0, 0.2, 30.0
@@ -31,16 +34,17 @@ def _issues(*rules: tuple[Column, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(c, t) for c, t in rules]))
 
 
-def sample_checks(events: DataFrame, samples: DataFrame, *keys: str, config: QualityConfig = QualityConfig(), width_minutes: float = 60.0) -> DataFrame:
+def sample_checks(events: DataFrame, samples: DataFrame, *keys: str, config: QualityConfig = QualityConfig(), width_minutes: float = 60.0, longest_minutes: float | None = None) -> DataFrame:
     """One row per event: samples, gaps and coverage during it (``during_*``) and in the baseline before it (``base_*``).
 
     During: [start, end], gaps over 1.5 intervals, coverage capped at 1. Baseline: [start - 60, start), gaps over 2
     intervals, coverage not capped. Gaps are between samples that follow each other inside the window. ``has_data``
-    tells whether the event's series has any sample.
+    tells whether the event's series has any sample. ``longest_minutes``: what no event is longer than, if that is known.
     """
     ev = events.select("event_id", *keys, "start_us", _end(config).alias("stop_us"), "interval")
     lo, hi = F.col("start_us") - F.lit(_us(config.min_baseline_minutes)), F.col("stop_us")
-    near = points_in_intervals(ev, samples.select(*keys, "at_us"), keys, lo, hi, "at_us", width_minutes=width_minutes)
+    longest = (longest_event(ev) if longest_minutes is None else longest_minutes) + config.min_baseline_minutes
+    near = points_in_intervals(ev, samples.select(*keys, "at_us"), keys, lo, hi, "at_us", width_minutes=width_minutes, longest_minutes=longest)
     w = W.partitionBy("event_id", *keys).orderBy("at_us")
     near = near.withColumn("_before", F.lag("at_us").over(w))
     gap = minutes(F.col("at_us") - F.col("_before"))
@@ -73,6 +77,11 @@ def sample_checks(events: DataFrame, samples: DataFrame, *keys: str, config: Qua
     )
 
 
+def longest_event(ev: DataFrame) -> float:
+    """Minutes; one job, whose result is one number."""
+    return longest_of(ev, F.col("start_us"), F.col("stop_us")) / MICROS_PER_MINUTE
+
+
 def overlap_of(config: QualityConfig = QualityConfig()) -> Column:
     """A row of ``sample_checks`` as what ``overlap`` says of its event."""
     cov, gap = F.col("during_coverage"), F.col("during_gap_minutes")
@@ -121,23 +130,31 @@ def baseline(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfi
     return checks.select("event_id", *keys, baseline_of(config).alias("b")).select("event_id", *keys, "b.*")
 
 
-def _nearest(ev: DataFrame, key_cols: list[str]) -> DataFrame:
+def _nearest(ev: DataFrame, key_cols: list[str], widths: Sequence[float] = segments.TIMES) -> DataFrame:
     """event_id, keys, before_us (latest end of another event up to the start), after_us (earliest start from the end on).
 
-    Two sweeps over all ends and starts of a key; no pairs are made. Events that end when they start don't see themselves.
+    As-of joins by days: within a day a running maximum (minimum), and for a day the last end before it (the first start
+    after it), carried over days without any. No pairs are made and no task holds a key's events.
     """
-    point = lambda at, kind, mine: ev.select(*key_cols, "event_id", F.col(at).alias("at"), F.lit(kind).alias("kind"), F.lit(mine).alias("asks"))
-    ends = point("stop_us", 0, False).unionByName(point("start_us", 1, True))
-    back = W.partitionBy(*key_cols).orderBy("at", "kind").rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = ends.withColumn("before_us", F.max(F.when(~F.col("asks"), F.col("at"))).over(back)).filter("asks")
-    starts = point("start_us", 0, False).unionByName(point("stop_us", 1, True))
-    ahead = W.partitionBy(*key_cols).orderBy(F.desc("at"), "kind").rowsBetween(W.unboundedPreceding, W.currentRow)
-    after = starts.withColumn("after_us", F.min(F.when(~F.col("asks"), F.col("at"))).over(ahead)).filter("asks")
     ids = ["event_id", *key_cols]
-    return before.select(*ids, "before_us").join(after.select(*ids, "after_us"), ids)
+    before = _as_of(ev, key_cols, "stop_us", "start_us", F.max, False, widths).withColumnRenamed("_found", "before_us")
+    after = _as_of(ev, key_cols, "start_us", "stop_us", F.min, True, widths).withColumnRenamed("_found", "after_us")
+    return before.join(after, ids)
+
+
+def _as_of(ev: DataFrame, key_cols: list[str], answers: str, asks: str, combine: Callable[[str], Column], descending: bool, widths: Sequence[float]) -> DataFrame:
+    """event_id, keys, _found: the nearest ``answers`` at or before (``descending``: at or behind) each event's ``asks``."""
+    point = lambda at, asking: ev.select(*key_cols, "event_id", F.col(at).alias("at"), F.lit(asking).alias("asks"))
+    points = point(answers, False).unionByName(point(asks, True)).withColumn("_day", segments.piece(F.col("at"), widths[0]))
+    known = F.when(~F.col("asks"), F.col("at"))
+    days = points.groupBy(*key_cols, "_day").agg(combine(known).alias("_value"))
+    carried = segments.carried(days, key_cols, "_day", "_value", [w // widths[0] for w in widths[1:]], combine, descending, "_carried").drop("_value")
+    along = W.partitionBy(*key_cols, "_day").orderBy(F.desc("at") if descending else "at", "asks").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = points.withColumn("_inside", combine(known).over(along)).filter("asks")
+    return inside.join(carried, [*key_cols, "_day"]).select("event_id", *key_cols, F.coalesce("_inside", "_carried").alias("_found"))
 
 
-def isolation(events: DataFrame, *keys: str, config: QualityConfig = QualityConfig()) -> DataFrame:
+def isolation(events: DataFrame, *keys: str, config: QualityConfig = QualityConfig(), longest_minutes: float | None = None) -> DataFrame:
     """Overlapping events and the gaps to the nearest ones that end before or start after; touching counts as overlap.
 
     ``nearest_event_gap_minutes`` is null for 0, the other two gaps are not.
@@ -145,10 +162,10 @@ def isolation(events: DataFrame, *keys: str, config: QualityConfig = QualityConf
     key_cols = list(keys)
     ev = events.select("event_id", *key_cols, "label", "start_us", _end(config).alias("stop_us")).dropDuplicates(["event_id", *key_cols])
     other = ev.select(*key_cols, F.col("event_id").alias("other_id"), F.coalesce("label", F.lit("Unlabeled event")).alias("other_label"), F.col("start_us").alias("other_start"), F.col("stop_us").alias("other_stop"))
-    pairs = overlapping_intervals(ev, other, key_cols, (F.col("start_us"), F.col("stop_us")), (F.col("other_start"), F.col("other_stop"))).filter("event_id <> other_id")
+    pairs = overlapping_intervals(ev, other, key_cols, (F.col("start_us"), F.col("stop_us")), (F.col("other_start"), F.col("other_stop")), longest_minutes=longest_event(ev) if longest_minutes is None else longest_minutes).filter("event_id <> other_id")
     one = F.struct(F.col("other_id").alias("event_id"), F.col("other_label").alias("label"), F.greatest("start_us", "other_start").alias("overlap_start_us"), F.least("stop_us", "other_stop").alias("overlap_end_us"))
     overlaps = pairs.groupBy("event_id", *key_cols).agg(F.array_sort(F.collect_list(one)).alias("overlapping_events"))
-    out = ev.join(_nearest(ev, key_cols), ["event_id", *key_cols]).join(overlaps, ["event_id", *key_cols], "left")
+    out = ev.join(_nearest(ev, key_cols), ["event_id", *key_cols], "left").join(overlaps, ["event_id", *key_cols], "left")
     none = F.array().cast(overlaps.schema["overlapping_events"].dataType)
     out = out.withColumns({"overlapping_events": F.coalesce("overlapping_events", none), "before": minutes(F.col("start_us") - F.col("before_us")), "after": minutes(F.col("after_us") - F.col("stop_us"))})
     nearest, n = F.col("nearest"), F.size("overlapping_events")
@@ -170,12 +187,14 @@ def score(events: DataFrame, samples: DataFrame, sample_keys: tuple[str, ...], e
     Isolation counts only where events overlap, the baseline only where it isn't sufficient. Each issue takes a fifth;
     no readings at all, or none during the event, takes everything. From 0.6 on an event is usable.
     """
-    checks = sample_checks(events, samples, *sample_keys, config=config)
-    apart = isolation(events, *event_keys, config=config)
-    apart = apart.select("event_id", F.struct(*[c for c in apart.columns if c not in ("event_id", *event_keys)]).alias("isolation"))
+    longest = longest_event(events.select("start_us", _end(config).alias("stop_us")))
+    checks = sample_checks(events, samples, *sample_keys, config=config, longest_minutes=longest)
+    apart = isolation(events, *event_keys, config=config, longest_minutes=longest)
+    apart = apart.select("event_id", *event_keys, F.struct(*[c for c in apart.columns if c not in ("event_id", *event_keys)]).alias("isolation"))
     out = events.select("event_id", *dict.fromkeys([*sample_keys, *event_keys]), F.coalesce("label", F.lit("Unlabeled event")).alias("label"))
     # one range join: what it found is carried through in columns
-    out = out.join(checks.select("event_id", "has_data", overlap_of(config).alias("overlap"), baseline_of(config).alias("baseline")), "event_id").join(apart, "event_id")
+    found = checks.select("event_id", *sample_keys, "has_data", overlap_of(config).alias("overlap"), baseline_of(config).alias("baseline"))
+    out = out.join(found, ["event_id", *sample_keys]).join(apart, ["event_id", *event_keys])
     none = F.array().cast("array<string>")
     seen = F.when(~F.col("has_data"), F.array(F.lit(NO_DATA))).when(~F.col("overlap.has_overlap"), F.array(F.lit(NO_OVERLAP))).otherwise(F.col("overlap.issues"))
     crowded = F.when(~F.col("isolation.is_isolated"), F.col("isolation.issues")).otherwise(none)

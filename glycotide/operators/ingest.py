@@ -7,16 +7,18 @@ Raw readings have a series key, a local time and a value, all text or typed. Cle
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glycotide import config
-from glycotide.functions.columns import flags_of, micros
+from glycotide.functions.columns import flags_of, micros, minutes, wall_micros
+from glycotide.operators import segments
 
 SHORTEST_GAP, NEAR_MEDIAN = 0.001, 0.2
 
@@ -56,52 +58,62 @@ def require_unique_timestamps(readings: DataFrame, *keys: str, time_col: str = "
     return readings
 
 
-def indexed(readings: DataFrame, *keys: str, time_col: str = "local_time") -> DataFrame:
-    """With ``pos``: 0, 1, 2, ... in order of time within each series."""
-    return readings.withColumn("pos", (F.row_number().over(Window.partitionBy(*keys).orderBy(time_col)) - 1).cast("long"))
+def order_micros(rows: DataFrame, column: str) -> Column:
+    """A time column as microseconds (a wall clock as if it were UTC); numbers as they are."""
+    kind = rows.schema[column].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return wall_micros(F.col(column))
+    return micros(column) if isinstance(kind, T.TimestampType) else F.col(column)
 
 
-def gaps(samples: DataFrame, *keys: str, at: Column, order: str = "pos") -> DataFrame:
-    """With ``gap``: minutes since the sample before in the series; null for the first."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return samples.withColumn("_at", at).withColumn("gap", (F.col("_at") - F.lag("_at").over(w)) / F.lit(6e7)).drop("_at")
+def indexed(readings: DataFrame, *keys: str, time_col: str = "local_time", widths: Sequence[float] = segments.TIMES) -> DataFrame:
+    """With ``pos``: 0, 1, 2, ... in order of time within each series. Rows without a time or a key go."""
+    return segments.numbered(readings, keys, time_col, "pos", widths, by=order_micros(readings, time_col))
 
 
-def sampling_interval(samples: DataFrame, *keys: str, at: Column, order: str = "pos") -> DataFrame:
+def gap_counts(samples: DataFrame, *keys: str, at: Column, order: str = "pos", widths: Sequence[float] = segments.PLACES) -> DataFrame:
+    """keys, gap (minutes since the sample before in the series), n: how often a series has a gap of that length."""
+    each = segments.gaps(samples, keys, order, at, widths)
+    return each.groupBy(*keys, "gap").agg(F.count("*").alias("n")).withColumn("gap", minutes(F.col("gap")))
+
+
+def sampling_interval(samples: DataFrame, *keys: str, at: Column, order: str = "pos", widths: Sequence[float] = segments.PLACES) -> DataFrame:
     """keys, sampling_interval_minutes, issue, one row per series.
 
     The median gap, if all gaps are within a fifth of it; else the commonest gap in whole minutes (halves to even, ties
     to the smallest). The interval is null, and ``issue`` says why, for series of one row, gaps of no length, and gaps
-    that differ although all round to the same minute. The interval can be 0 for very irregular series.
+    that differ although all round to the same minute. The interval can be 0 for very irregular series. All of it is
+    read off one count of gaps by length.
     """
     key_cols = list(keys)
-    each = gaps(samples, *keys, at=at, order=order).select(*key_cols, "gap")
-    stats = each.groupBy(*key_cols).agg(F.count("gap").alias("n"), F.min("gap").alias("least"), F.median("gap").alias("middle"))
-    joined = each.filter("gap is not null").join(stats.select(*key_cols, "middle"), key_cols)
-    even = joined.groupBy(*key_cols).agg(F.bool_and(F.abs(F.col("gap") - F.col("middle")) / F.col("middle") < NEAR_MEDIAN).alias("even"))
-    rounded = each.filter("gap is not null").groupBy(*key_cols, F.rint("gap").alias("whole")).agg(F.count("*").alias("times"))
+    counts = gap_counts(samples, *keys, at=at, order=order, widths=widths)
+    stats = counts.groupBy(*key_cols).agg(F.min("gap").alias("least"), F.max("gap").alias("most"))
+    middle = segments.quantile(counts, keys, "gap", "n", out="middle")
+    rounded = counts.groupBy(*key_cols, F.rint("gap").alias("whole")).agg(F.sum("n").alias("times"))
     mode = rounded.groupBy(*key_cols).agg(F.min_by("whole", F.struct(-F.col("times"), F.col("whole"))).alias("mode"), F.count("*").alias("kinds"))
-    out = stats.join(even, key_cols, "left").join(mode, key_cols, "left")
+    every = samples.select(*key_cols).distinct()
+    out = every.join(stats.join(middle, key_cols).join(mode, key_cols), key_cols, "left")
+    off = lambda c: F.abs(F.col(c) - F.col("middle")) / F.nullif(F.col("middle"), F.lit(0.0)) < NEAR_MEDIAN
+    even = off("least") & off("most")  # those between are no farther
     issue = (
-        F.when(F.col("n") < 1, "needs two samples").when(F.col("least") < SHORTEST_GAP, "duplicate or unordered timestamps")
-        .when(~F.col("even") & (F.col("kinds") < 2), "inconsistent sampling interval")
+        F.when(F.col("least").isNull(), "needs two samples").when(F.col("least") < SHORTEST_GAP, "duplicate or unordered timestamps")
+        .when(~even & (F.col("kinds") < 2), "inconsistent sampling interval")
     )
-    value = F.when(F.col("even"), F.col("middle")).otherwise(F.col("mode"))
+    value = F.when(even, F.col("middle")).otherwise(F.col("mode"))
     return out.select(*key_cols, F.when(issue.isNull(), value).alias("sampling_interval_minutes"), issue.alias("issue"))
 
 
-def artifact_flags(samples: DataFrame, *keys: str, unit: Column, interval: Column, order: str = "pos", value: str = "glucose_value") -> DataFrame:
+def artifact_flags(samples: DataFrame, *keys: str, unit: Column, interval: Column, order: str = "pos", value: str = "glucose_value", widths: Sequence[float] = segments.PLACES) -> DataFrame:
     """With ``quality_flags``: ``artifact`` for jumps that come back and for three equal values in a row; null for none.
 
     A jump is more than 3 mmol/L (54 mg/dL) per 5 minutes from the value before, with the value after within three
     tenths of the jump from the one before. Existing flags stay; flags are distinct and sorted.
     """
-    w = Window.partitionBy(*keys).orderBy(order)
     limit = F.when(unit == "mmol/L", config.JUMP["mmol/L"]).otherwise(config.JUMP["mg/dL"]) * interval / F.lit(5.0)
     v, before, before2, after = F.col(value), F.col("_before"), F.col("_before2"), F.col("_after")
     jump = (F.abs(v - before) > limit) & (F.abs(after - before) < 0.3 * F.abs(v - before))
     flat = (v == before) & (before == before2)
-    placed = samples.withColumns({"_before": F.lag(value).over(w), "_before2": F.lag(value, 2).over(w), "_after": F.lead(value).over(w)})
+    placed = segments.with_neighbours(samples, keys, order, {"_before": (value, 1), "_before2": (value, 2), "_after": (value, -1)}, widths)
     found = flags_of(("artifact", jump | flat))
     if "quality_flags" in samples.columns:
         found = F.array_sort(F.array_union(F.coalesce("quality_flags", F.array().cast("array<string>")), found))
@@ -121,19 +133,14 @@ def localized(readings: DataFrame, time_zone: Column, local_col: str = "local_ti
     twice = (F.convert_timezone(F.lit("UTC"), time_zone, utc + hour) == local) | (F.convert_timezone(F.lit("UTC"), time_zone, utc - hour) == local)
     bad = F.when(back != local, "skipped").when(twice, "ambiguous")
     checked = F.when(bad.isNotNull(), F.raise_error(F.concat(bad, F.lit(" local time: "), local.cast("string"))).cast("timestamp_ntz")).otherwise(utc)
-    span = _naive_micros(local) - _naive_micros(F.col("_utc"))
+    span = wall_micros(local) - wall_micros(F.col("_utc"))
     mins = F.abs(F.floor(span / 60_000_000)).cast("long")
     offset = F.format_string("%s%02d:%02d", F.when(span < 0, "-").otherwise("+"), F.floor(mins / 60).cast("long"), mins % 60)
     text = F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss")
     part = F.date_format(local, "SSSSSS")
     text = F.concat(text, F.when(part != "000000", F.concat(F.lit("."), part)).otherwise(F.lit("")), offset)
     out = readings.withColumn("_utc", checked)
-    return out.withColumns({"ts": F.to_timestamp(F.concat(F.col("_utc").cast("string"), F.lit("+00:00"))), "ts_raw": text}).drop("_utc")
-
-
-def _naive_micros(ntz: Column) -> Column:
-    """Microseconds of a wall clock, as if it were UTC."""
-    return F.unix_micros(F.to_timestamp(F.concat(ntz.cast("string"), F.lit("+00:00"))))
+    return out.withColumns({"ts": F.timestamp_micros(wall_micros(F.col("_utc"))), "ts_raw": text}).drop("_utc")
 
 
 def series_ids(samples: DataFrame, *keys: str, subject: Column, device: Column, time_zone: Column, unit: Column) -> DataFrame:
@@ -195,8 +202,7 @@ def violations(samples: DataFrame) -> DataFrame:
     return samples.withColumn("violations", found).filter(F.size("violations") > 0)
 
 
-def unordered_samples(samples: DataFrame, *keys: str) -> DataFrame:
+def unordered_samples(samples: DataFrame, *keys: str, widths: Sequence[float] = segments.PLACES) -> DataFrame:
     """keys, unordered: samples per series whose instant isn't after the one before in document order."""
-    w = Window.partitionBy(*keys).orderBy("pos")
-    late = micros("ts") <= F.lag(micros("ts")).over(w)
-    return samples.withColumn("_late", late).groupBy(*keys).agg(F.count_if("_late").alias("unordered"))
+    late = segments.gaps(samples, keys, "pos", micros("ts"), widths).filter("gap <= 0").groupBy(*keys).agg(F.count("*").alias("unordered"))
+    return samples.select(*keys).distinct().join(late, list(keys), "left").withColumn("unordered", F.coalesce("unordered", F.lit(0)))

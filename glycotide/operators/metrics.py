@@ -81,7 +81,7 @@ def window_aggregates(events: DataFrame, samples: DataFrame, *keys: str, windows
     low, high = min(getattr(w, p).start for p in parts), max(getattr(w, p).end for p in parts)
     carried = ["event_id", "unit", "interval", "start_us"]
     lo, hi = (F.col("start_us") + F.lit(int(m * MICROS_PER_MINUTE)) for m in (low, high))
-    near = points_in_intervals(events.select(*keys, *carried), samples.select(*keys, "at_us", "pos", "value", "flagged", "ts_raw"), keys, lo, hi, "at_us", width_minutes=width_minutes)
+    near = points_in_intervals(events.select(*keys, *carried), samples.select(*keys, "at_us", "pos", "value", "flagged", "ts_raw"), keys, lo, hi, "at_us", width_minutes=width_minutes, longest_minutes=high - low)
     near = near.withColumn("offset", (F.col("at_us") - F.col("start_us")) / F.lit(float(MICROS_PER_MINUTE)))
     event = ["event_id", *keys]
     v = F.col("value")
@@ -205,9 +205,9 @@ def metrics(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWi
     return wide.select("event_id", *keys, F.explode(F.array_compact(F.array(*rows))).alias("m")).select("event_id", *keys, "m.*")
 
 
-def interval_warnings(events: DataFrame) -> DataFrame:
-    """event_id, warning: events whose series' sampling interval is 0, for which no coverage can be said and no metric exists."""
-    return events.filter(F.col("interval") == 0).select("event_id", F.lit("sampling interval is 0").alias("warning"))
+def interval_warnings(events: DataFrame, *keys: str) -> DataFrame:
+    """event_id, keys, warning: events whose series' sampling interval is 0, for which no coverage can be said and no metric exists."""
+    return events.filter(F.col("interval") == 0).select("event_id", *keys, F.lit("sampling interval is 0").alias("warning"))
 
 
 def subject_mismatch(series: DataFrame, events: DataFrame) -> DataFrame:

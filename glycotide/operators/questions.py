@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glycotide.config import AnswerConfig
 from glycotide.functions.columns import MICROS_PER_MINUTE, micros, parse_instant
 from glycotide.operators.predicates import definition
-from glycotide.operators.range_join import overlapping_intervals
+from glycotide.operators.range_join import longest_of, overlapping_intervals
 
 # The codes, kinds and texts of reasons and requirements in this module are part of the results.
 GROUPS = ("exposure", "comparison")
@@ -39,7 +39,8 @@ def confounded(events: DataFrame, *keys: str, config: AnswerConfig = AnswerConfi
     """keys, event_id of events that another one (any type, another id) is within the isolation minutes of; equality counts."""
     pad = F.lit(int(config.min_isolation_minutes * MICROS_PER_MINUTE))
     rows = events.select(*keys, "event_id", "start_us", "stop_us")
-    return overlapping_intervals(rows, rows, keys, (F.col("start_us") - pad, F.col("stop_us") + pad), (F.col("start_us"), F.col("stop_us")), semi_on=("event_id", "event_id"))
+    longest = longest_of(rows, F.col("start_us"), F.col("stop_us")) / MICROS_PER_MINUTE + 2 * config.min_isolation_minutes
+    return overlapping_intervals(rows, rows, keys, (F.col("start_us") - pad, F.col("stop_us") + pad), (F.col("start_us"), F.col("stop_us")), semi_on=("event_id", "event_id"), longest_minutes=longest)
 
 
 def window_matches(window: dict, name: str, config: AnswerConfig = AnswerConfig()) -> Column:
@@ -57,13 +58,15 @@ def window_matches(window: dict, name: str, config: AnswerConfig = AnswerConfig(
 def labelled(matches: DataFrame, metrics: DataFrame, confounded_ids: DataFrame, outcome: dict, *keys: str, config: AnswerConfig = AnswerConfig()) -> DataFrame:
     """``matches`` with ``label``: the first that holds of confounded, missing_metric, window_mismatch, low_quality_metric, usable.
 
-    An event's metric is its first, by pos, of the outcome's name whose window matches.
+    An event's metric is its first, by pos, of the outcome's name whose window matches. Where metrics have the ``keys``,
+    they are joined by them, too: an id may stand for an event of each of several keys.
     """
     name, window = outcome["metric_name"], outcome.get("window")
     fits = window_matches(window, name, config) if window else F.lit(True)
     coverage = F.coalesce("coverage_ratio", F.col("quality_summary.coverage_percentage") / 100.0, F.lit(1.0))
-    first = metrics.filter(F.col("metric_name") == name).groupBy("event_id").agg(F.min_by(F.when(fits, coverage), F.when(fits, F.col("pos"))).alias("metric_coverage"), F.bool_or(fits).alias("fits"))
-    out = matches.join(confounded_ids.select(*keys, "event_id", F.lit(True).alias("near")), [*keys, "event_id"], "left").join(first, "event_id", "left")
+    by = [*[k for k in keys if k in metrics.columns], "event_id"]
+    first = metrics.filter(F.col("metric_name") == name).groupBy(*by).agg(F.min_by(F.when(fits, coverage), F.when(fits, F.col("pos"))).alias("metric_coverage"), F.bool_or(fits).alias("fits"))
+    out = matches.join(confounded_ids.select(*keys, "event_id", F.lit(True).alias("near")), [*keys, "event_id"], "left").join(first, by, "left")
     label = (
         F.when(F.col("near"), "confounded").when(F.col("fits").isNull(), "missing_metric").when(~F.col("fits"), "window_mismatch")
         .when(F.col("metric_coverage") < config.min_metric_coverage, "low_quality_metric").otherwise("usable")
@@ -197,8 +200,8 @@ def _strangers(question: dict, events: DataFrame, metrics: DataFrame) -> Column:
     return F.array(*found).cast(f"array<{REASON}>")
 
 
-def first_metric(metrics: DataFrame, name: str, window: dict | None = None) -> DataFrame:
-    """Each event's first metric of that name, by pos, whose window matches."""
+def first_metric(metrics: DataFrame, name: str, window: dict | None = None, *keys: str) -> DataFrame:
+    """Each event's (by its id and ``keys``) first metric of that name, by pos, whose window matches."""
     ok = window_matches(window, name) if window else F.lit(True)
-    w = Window.partitionBy("event_id").orderBy("pos")
+    w = Window.partitionBy("event_id", *keys).orderBy("pos")
     return metrics.filter((F.col("metric_name") == name) & ok).withColumn("_nth", F.row_number().over(w)).filter("_nth = 1").drop("_nth")

@@ -6,11 +6,15 @@ Samples have the key columns, ``pos``, ``ts``, ``glucose_value``, ``quality_flag
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glycotide import config
 from glycotide.functions.columns import micros, minutes
+from glycotide.operators import segments
+from glycotide.operators.ingest import gap_counts
 
 LONG_GAP, IRREGULAR, REGULAR_CV = 1.5, 0.2, 0.1
 
@@ -19,12 +23,7 @@ def _by_unit(limits: dict[str, float]) -> Column:
     return F.when(F.col("unit") == "mmol/L", limits["mmol/L"]).otherwise(limits["mg/dL"])
 
 
-def _with_gap(samples: DataFrame, keys: list[str], order: str) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order)
-    return samples.withColumn("_at", micros("ts")).withColumn("gap", minutes(F.col("_at") - F.lag("_at").over(w)))
-
-
-def coverage(samples: DataFrame, *keys: str, order: str = "pos") -> DataFrame:
+def coverage(samples: DataFrame, *keys: str, order: str = "pos", widths: Sequence[float] = segments.PLACES) -> DataFrame:
     """Span, expected and missing intervals, coverage percentage and long gaps, over the order of the document.
 
     An interval of 0 gives nulls. A series of one sample has no intervals and a coverage of 0.
@@ -33,11 +32,11 @@ def coverage(samples: DataFrame, *keys: str, order: str = "pos") -> DataFrame:
     iv = F.col("iv")
     span = minutes(F.col("last") - F.col("first"))
     expected = F.greatest(F.rint(span / F.nullif(iv, F.lit(0.0))).cast("long"), F.col("n") - 1)
-    out = _with_gap(samples, key_cols, order).groupBy(*key_cols).agg(
-        F.count("*").alias("n"), F.first("sampling_interval_minutes").alias("iv"), F.min_by("_at", order).alias("first"), F.max_by("_at", order).alias("last"),
-        F.count_if(F.col("gap") > LONG_GAP * F.col("sampling_interval_minutes")).alias("large_gaps"),
-    )
-    out = out.withColumn("expected_intervals", expected).withColumn("actual_intervals", F.col("n") - 1)
+    at = micros("ts")
+    whole = samples.groupBy(*key_cols).agg(F.count("*").alias("n"), F.first("sampling_interval_minutes").alias("iv"), F.min_by(at, order).alias("first"), F.max_by(at, order).alias("last"))
+    counts = gap_counts(samples, *keys, at=at, order=order, widths=widths).withColumnRenamed("n", "_times")
+    long = counts.join(whole.select(*key_cols, "iv"), key_cols).filter(F.col("gap") > LONG_GAP * iv).groupBy(*key_cols).agg(F.sum("_times").alias("large_gaps"))
+    out = whole.join(long, key_cols, "left").withColumns({"expected_intervals": expected, "actual_intervals": F.col("n") - 1, "large_gaps": F.coalesce("large_gaps", F.lit(0))})
     return out.select(
         *key_cols, span.alias("total_duration_minutes"), "expected_intervals", "actual_intervals", F.greatest(F.col("expected_intervals") - F.col("actual_intervals"), F.lit(0)).alias("missing_intervals"),
         F.when(F.col("expected_intervals") > 0, F.col("actual_intervals") / F.col("expected_intervals") * 100.0).otherwise(0.0).alias("coverage_percentage"),
@@ -45,16 +44,19 @@ def coverage(samples: DataFrame, *keys: str, order: str = "pos") -> DataFrame:
     )
 
 
-def regularity(samples: DataFrame, *keys: str, order: str = "pos") -> DataFrame:
+def regularity(samples: DataFrame, *keys: str, order: str = "pos", widths: Sequence[float] = segments.PLACES) -> DataFrame:
     """Mean and spread of the gaps, how many differ from the mean by over a fifth, and whether the series is regular."""
     key_cols = list(keys)
-    each = _with_gap(samples, key_cols, order).select(*key_cols, "gap")
-    stats = each.groupBy(*key_cols).agg(F.count("gap").alias("gaps"), F.avg("gap").alias("mean"), F.stddev_pop("gap").alias("std"))
-    off = each.join(stats, key_cols).groupBy(*key_cols).agg(F.count_if(F.abs(F.col("gap") - F.col("mean")) > IRREGULAR * F.col("mean")).alias("irregular_intervals"))
+    counts = gap_counts(samples, *keys, at=micros("ts"), order=order, widths=widths)
+    n, gap, mean = F.col("n"), F.col("gap"), F.col("mean")
+    stats = counts.groupBy(*key_cols).agg(F.sum("n").alias("gaps"), (F.sum(gap * n) / F.sum("n")).alias("mean"))
+    spread = counts.join(stats, key_cols).groupBy(*key_cols).agg(
+        F.first("gaps").alias("gaps"), F.first("mean").alias("mean"), F.sqrt(F.sum((gap - mean) * (gap - mean) * n) / F.sum("n")).alias("std"), F.sum(F.when(F.abs(gap - mean) > IRREGULAR * mean, n)).alias("irregular_intervals"))
     cv = F.when(F.col("mean") > 0, F.col("std") / F.col("mean")).otherwise(0.0)
-    return stats.join(off, key_cols).select(
+    out = samples.select(*key_cols).distinct().join(spread, key_cols, "left")
+    return out.select(
         *key_cols, F.coalesce("mean", F.lit(0.0)).alias("mean_interval_minutes"), F.coalesce("std", F.lit(0.0)).alias("std_interval_minutes"),
-        F.coalesce(cv, F.lit(0.0)).alias("coefficient_of_variation"), "irregular_intervals", ((F.col("gaps") < 1) | (cv < REGULAR_CV)).alias("is_regular"),
+        F.coalesce(cv, F.lit(0.0)).alias("coefficient_of_variation"), F.coalesce("irregular_intervals", F.lit(0)).alias("irregular_intervals"), (F.col("gaps").isNull() | (cv < REGULAR_CV)).alias("is_regular"),
     )
 
 
@@ -62,17 +64,20 @@ def extremes(samples: DataFrame, *keys: str) -> DataFrame:
     """Smallest, largest, mean and median value; values strictly beyond the unit's limits, counted and in percent."""
     v, n = F.col("glucose_value"), F.count("*")
     low, high = F.count_if(v < _by_unit(config.EXTREME_LOW)), F.count_if(v > _by_unit(config.EXTREME_HIGH))
-    return samples.groupBy(*keys).agg(
-        F.min(v).alias("min_glucose"), F.max(v).alias("max_glucose"), F.avg(v).alias("mean_glucose"), F.median(v).alias("median_glucose"),
+    counts = samples.filter(v.isNotNull()).groupBy(*keys, v.alias("value")).agg(n.alias("n"))
+    middle = segments.quantile(counts, keys, "value", "n", out="median_glucose")
+    whole = samples.groupBy(*keys).agg(
+        F.min(v).alias("min_glucose"), F.max(v).alias("max_glucose"), F.avg(v).alias("mean_glucose"),
         low.alias("extreme_low_count"), high.alias("extreme_high_count"), (low / n * 100.0).alias("extreme_low_percentage"), (high / n * 100.0).alias("extreme_high_percentage"),
     )
+    return whole.join(middle, list(keys), "left")
 
 
-def suspicious(samples: DataFrame, *keys: str, order: str = "pos") -> DataFrame:
+def suspicious(samples: DataFrame, *keys: str, order: str = "pos", widths: Sequence[float] = segments.PLACES) -> DataFrame:
     """Keys, order column, kind (drop or spike), value, change_in, change_out of each sudden change that comes half back."""
-    w = Window.partitionBy(*keys).orderBy(order)
     limit, v = _by_unit(config.SUSPICIOUS), F.col("glucose_value")
-    rows = samples.withColumns({"change_in": v - F.lag(v).over(w), "change_out": F.lead(v).over(w) - v})
+    near = segments.with_neighbours(samples.select(*keys, order, "unit", "glucose_value"), keys, order, {"_before": ("glucose_value", 1), "_after": ("glucose_value", -1)}, widths)
+    rows = near.withColumns({"change_in": v - F.col("_before"), "change_out": F.col("_after") - v})
     into, out = F.col("change_in"), F.col("change_out")
     kind = F.when((into < -limit) & (out > 0.5 * limit), "drop").when((into > limit) & (out < -0.5 * limit), "spike")
     return rows.withColumn("kind", kind).filter("kind is not null").select(*keys, order, "kind", v.alias("value"), "change_in", "change_out")
@@ -89,15 +94,15 @@ def flag_counts(samples: DataFrame, *keys: str) -> DataFrame:
     return whole.join(maps, key_cols, "left").withColumn("flag_breakdown", F.coalesce("flag_breakdown", empty))
 
 
-def report(samples: DataFrame, *keys: str, order: str = "pos") -> DataFrame:
+def report(samples: DataFrame, *keys: str, order: str = "pos", widths: Sequence[float] = segments.PLACES) -> DataFrame:
     """One row per series with all aggregates as structs, and the assessment's ``issues``."""
     key_cols = list(keys)
     meta = samples.groupBy(*key_cols).agg(
         F.count("*").alias("total_samples"), F.first("unit").alias("unit"), F.first("sampling_interval_minutes").alias("sampling_interval_minutes"),
         F.min_by("ts_raw", order).alias("start_time"), F.max_by("ts_raw", order).alias("end_time"),
     )
-    changes = suspicious(samples, *keys, order=order)
-    parts = {"coverage": coverage(samples, *keys, order=order), "regularity": regularity(samples, *keys, order=order), "extremes": extremes(samples, *keys), "flags": flag_counts(samples, *keys)}
+    changes = suspicious(samples, *keys, order=order, widths=widths)
+    parts = {"coverage": coverage(samples, *keys, order=order, widths=widths), "regularity": regularity(samples, *keys, order=order, widths=widths), "extremes": extremes(samples, *keys), "flags": flag_counts(samples, *keys)}
     out = meta
     for name, part in parts.items():
         out = out.join(part.select(*key_cols, F.struct(*[c for c in part.columns if c not in key_cols]).alias(name)), key_cols)

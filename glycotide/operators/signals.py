@@ -36,26 +36,26 @@ def _trigger(metric: str, value: Column | None, threshold: Column | None, compar
     ).cast(TRIGGER)
 
 
-def event_rows(events: DataFrame, table: DataFrame) -> DataFrame:
-    """``events`` with value and coverage of each required metric and peak_glucose; of repeated metrics the last counts."""
+def event_rows(events: DataFrame, table: DataFrame, *keys: str) -> DataFrame:
+    """``events`` with value and coverage of each required metric and peak_glucose; of repeated metrics the last counts. Both have ``keys``."""
     last = lambda c: F.max_by(F.col(c), F.col("pos"))
-    named = table.filter(F.col("metric_name").isin(*REQUIRED)).select("event_id", "metric_name", "pos", F.struct("value", "coverage_ratio", F.col("quality_summary.peak_glucose").alias("peak_glucose")).alias("metric"))
-    wide = named.groupBy("event_id").pivot("metric_name", list(REQUIRED)).agg(last("metric"))
-    out = events.join(wide, "event_id", "left")
+    named = table.filter(F.col("metric_name").isin(*REQUIRED)).select("event_id", *keys, "metric_name", "pos", F.struct("value", "coverage_ratio", F.col("quality_summary.peak_glucose").alias("peak_glucose")).alias("metric"))
+    wide = named.groupBy("event_id", *keys).pivot("metric_name", list(REQUIRED)).agg(last("metric"))
+    out = events.join(wide, ["event_id", *keys], "left")
     columns = {f"v_{m}": F.col(f"{m}.value") for m in REQUIRED} | {f"has_{m}": F.col(m).isNotNull() for m in REQUIRED}
     columns |= {"peak_glucose": F.col("delta_peak.peak_glucose"), "coverage_ratio": F.least(*[F.col(f"{m}.coverage_ratio") for m in REQUIRED])}
     return out.withColumns(columns).drop(*REQUIRED)
 
 
-def window_rows(events: DataFrame, wide: DataFrame) -> DataFrame:
+def window_rows(events: DataFrame, wide: DataFrame, *keys: str) -> DataFrame:
     """What ``event_rows`` gives, from the row per event that ``metrics.window_aggregates`` of REQUIRED makes: no long table between."""
     value = {"delta_peak": F.col("peak_value") - F.col("baseline_value"), "iAUC": F.col("area"), "nadir_glucose": F.col("nadir_value"), "recovery_slope": F.col("slope")}
     found = {m: metrics.there(m) & value[m].isNotNull() & metrics.coverage_of(m).isNotNull() for m in REQUIRED}
     rows = wide.select(
-        "event_id", *[F.when(found[m], value[m]).alias(f"v_{m}") for m in REQUIRED], *[found[m].alias(f"has_{m}") for m in REQUIRED],
+        "event_id", *keys, *[F.when(found[m], value[m]).alias(f"v_{m}") for m in REQUIRED], *[found[m].alias(f"has_{m}") for m in REQUIRED],
         F.when(found["delta_peak"], F.col("peak_value")).alias("peak_glucose"), F.least(*[F.when(found[m], metrics.coverage_of(m)) for m in REQUIRED]).alias("coverage_ratio"),
     )
-    return events.join(rows, "event_id", "left").withColumns({f"has_{m}": F.coalesce(f"has_{m}", F.lit(False)) for m in REQUIRED})
+    return events.join(rows, ["event_id", *keys], "left").withColumns({f"has_{m}": F.coalesce(f"has_{m}", F.lit(False)) for m in REQUIRED})
 
 
 def with_eligibility(rows: DataFrame, config: SignalConfig = SignalConfig()) -> DataFrame:

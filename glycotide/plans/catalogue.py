@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from glycotide.config import AnswerConfig, MetricWindows, Window
 from glycotide.functions.columns import NUDGE, micros, tie_safe
-from glycotide.operators import annotations, event_quality, ingest, metrics, predicates, questions, sanity, signals
+from glycotide.operators import annotations, event_quality, ingest, metrics, predicates, questions, sanity, segments, signals
 from glycotide.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,7 +60,7 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.artifact_flags(tables.samples(spark, sf_dir), "series_id", unit=F.col("unit"), interval=F.col("sampling_interval_minutes"))
+    return ingest.artifact_flags(tables.samples(spark, sf_dir), "series_id", unit=F.col("unit"), interval=F.col("sampling_interval_minutes"), widths=segments.TIMES)
 
 
 # ---- import ---------------------------------------------------------------------------------------------------------
@@ -108,7 +108,7 @@ def q_sample_index(spark, sf_dir):
     """,
 )
 def q_sampling_interval(spark, sf_dir):
-    out = ingest.sampling_interval(_samples(spark, sf_dir), "series_id", at=F.col("pos"))
+    out = ingest.sampling_interval(_samples(spark, sf_dir), "series_id", at=F.col("pos"), widths=segments.TIMES)
     return out.select("series_id", tie_safe(F.col("sampling_interval_minutes")).alias("sampling_interval_minutes"))
 
 
@@ -184,7 +184,7 @@ COVERAGE = f"""{S}, {GAPS}, c0 AS (SELECT series_id, count(*) AS n, (max(us) - m
     """,
 )
 def q_coverage(spark, sf_dir):
-    out = sanity.coverage(_samples(spark, sf_dir), "series_id")
+    out = sanity.coverage(_samples(spark, sf_dir), "series_id", widths=segments.TIMES)
     return out.withColumns({c: tie_safe(F.col(c)) for c in ("total_duration_minutes", "coverage_percentage")})
 
 
@@ -200,7 +200,7 @@ REGULARITY = f"""{S}, {GAPS}, st AS (SELECT series_id, count(gap) AS gaps, avg(g
     """,
 )
 def q_regularity(spark, sf_dir):
-    out = sanity.regularity(_samples(spark, sf_dir), "series_id")
+    out = sanity.regularity(_samples(spark, sf_dir), "series_id", widths=segments.TIMES)
     return out.withColumns({c: tie_safe(F.col(c)) for c in ("mean_interval_minutes", "std_interval_minutes", "coefficient_of_variation")})
 
 
@@ -223,7 +223,7 @@ SUSPICIOUS = f"""{S}, n AS (SELECT *, v - lag(v) OVER w AS d_in, lead(v) OVER w
 
 @query("q_suspicious", f"WITH {SUSPICIOUS} SELECT series_id, us AS at_us, kind, {r('v')} AS value, {r('d_in')} AS change_in, {r('d_out')} AS change_out FROM x WHERE kind IS NOT NULL")
 def q_suspicious(spark, sf_dir):
-    out = sanity.suspicious(_samples(spark, sf_dir), "series_id").withColumnRenamed("pos", "at_us")
+    out = sanity.suspicious(_samples(spark, sf_dir), "series_id", widths=segments.TIMES).withColumnRenamed("pos", "at_us")
     return out.withColumns({c: tie_safe(F.col(c)) for c in ("value", "change_in", "change_out")})
 
 
@@ -247,7 +247,7 @@ def q_flag_breakdown(spark, sf_dir):
     """,
 )
 def q_assessment(spark, sf_dir):
-    out = sanity.report(_samples(spark, sf_dir), "series_id")
+    out = sanity.report(_samples(spark, sf_dir), "series_id", widths=segments.TIMES)
     has = lambda text: F.exists("issues", lambda x: x.startswith(text))
     return out.select("series_id", has("Low coverage").alias("low_coverage"), has("Irregular").alias("irregular"), has("High extreme low").alias("many_low"), has("High extreme high").alias("many_high"), has("Many").alias("many_suspicious"))
 
@@ -496,7 +496,7 @@ def q_metrics_by_event(spark, sf_dir):
 # ---- signals --------------------------------------------------------------------------------------------------------
 def _signal_rows(spark, sf_dir):
     events = tables.annotations(spark, sf_dir).select("event_id", "series_id", "pos", micros("start_time").alias("start_us"))
-    return signals.window_rows(events, metrics.window_aggregates(*_metric_tables(spark, sf_dir), "series_id", names=signals.REQUIRED))
+    return signals.window_rows(events, metrics.window_aggregates(*_metric_tables(spark, sf_dir), "series_id", names=signals.REQUIRED), "series_id")
 
 
 _P = {"d": ("dp", 0.75, 0.9), "i": ("area", 0.75, 0.9), "s": ("slope", 0.75, 0.9), "n": ("nadir", 0.1, 0.25)}
@@ -541,6 +541,44 @@ def q_signals(spark, sf_dir):
     return out.select("event_id", "status", F.array_join(F.transform("triggers", lambda t: F.concat(t["metric"], F.lit(":"), t["basis"])), ",").alias("triggers"))
 
 
+# ---- one list of events for several series --------------------------------------------------------------------------
+# the shared SQL keys events by event_id alone: there, the series is part of it
+_S2 = S.replace(f"user_id // {tables.SERIES_USERS}", f"user_id // {tables.SUBJECT_USERS}")
+_E2 = f"""e0 AS (SELECT *, unnest([user_id // {tables.SUBJECT_USERS}, xor(user_id // {tables.SUBJECT_USERS}, 1)]) AS shared FROM events WHERE event_type = 'purchase'),
+  e AS (SELECT shared || ':' || event_id AS event_id, event_id AS pos, shared AS series_id, shared AS subject_id, epoch_us(ts) AS us, epoch_us(ts) + 1800000000 AS stop, ts FROM e0)"""
+
+
+def _shared_sql(sql: str) -> str:
+    return sql.replace(S, _S2).replace(E_, _E2)
+
+
+def _shared(spark, sf_dir):
+    return tables.shared_annotations(spark, sf_dir), tables.samples(spark, sf_dir, tables.SUBJECT_USERS)
+
+
+def _of_series(out: DataFrame, *columns) -> DataFrame:
+    return out.select(F.concat_ws(":", F.col("series_id").cast("string"), "event_id").alias("event_id"), *columns)
+
+
+@query("q_shared_quality", f"WITH {_shared_sql(QUALITY)} SELECT event_id, CAST(score AS DOUBLE) AS quality_score, n AS n_issues, n_d AS during, n_b AS before, n_over = 0 AS is_isolated FROM q")
+def q_shared_quality(spark, sf_dir):
+    """Scores where each id stands for an event of each of two series."""
+    events, samples = _shared(spark, sf_dir)
+    events = events.select("event_id", "series_id", "label", "interval", micros("start_time").alias("start_us"), micros("end_time").alias("end_us"))
+    out = event_quality.score(events, samples.select("series_id", F.col("pos").alias("at_us")), ("series_id",), ("series_id",))
+    return _of_series(out, "quality_score", F.size("quality_issues").alias("n_issues"), F.col("overlap.actual_samples").alias("during"), F.col("baseline.actual_samples").alias("before"), F.col("isolation.is_isolated").alias("is_isolated"))
+
+
+@query("q_shared_signals", f"WITH {_shared_sql(SIGNALS)} SELECT event_id, missing AS n_missing, {r('cov')} AS coverage_ratio, {r('nadir')} AS nadir_glucose, eligible FROM g2")
+def q_shared_signals(spark, sf_dir):
+    """Metrics and eligibility where each id stands for an event of each of two series: by way of the long table."""
+    events, samples = _shared(spark, sf_dir)
+    ready = metrics.metric_events(events)
+    long = metrics.metrics(ready, metrics.metric_samples(samples, "series_id"), "series_id", names=signals.REQUIRED)
+    rows = signals.with_eligibility(signals.event_rows(ready.select("event_id", "series_id", "pos", "start_us"), long, "series_id"))
+    return _of_series(rows, F.size("missing").alias("n_missing"), tie_safe(F.col("coverage_ratio")).alias("coverage_ratio"), tie_safe(F.col("v_nadir_glucose")).alias("nadir_glucose"), "eligible")
+
+
 # ---- questions ------------------------------------------------------------------------------------------------------
 @query(
     "q_metric_values",

@@ -141,7 +141,7 @@ def warnings_of(samples: DataFrame, events: DataFrame | None, ready: DataFrame |
         subjects = samples.groupBy("case").agg(F.first("subject_id").alias("_subject"))
         other = events.select("case", "subject_id").distinct().join(subjects, "case").filter("subject_id <> _subject")
         found.append(text(other, F.format_string("subject %s of the events is not that of the series, %s", "subject_id", "_subject")))
-        zero = metrics.interval_warnings(ready).join(ready.select("event_id", "case"), "event_id")
+        zero = metrics.interval_warnings(ready, "case")
         found.append(text(zero, F.concat("event_id", F.lit(": "), "warning")))
     every = found[0]
     for more in found[1:]:
@@ -163,10 +163,10 @@ def analyse(samples: DataFrame, events: DataFrame | None, question: dict | None
     out.warnings = store(warnings_of(samples, events, ready, not_numeric), "warnings")
     out.quality = store(event_quality.score(ready, near, ("case",), ("case",)), "event_quality")
     out.metrics = store(metrics.metrics(ready, near, "case", windows=windows), "metrics")
-    rows = store(signals.event_rows(ready.select("event_id", "case", "start_us", "pos", "unit"), out.metrics.drop("case")), "signal_rows")
+    rows = store(signals.event_rows(ready.select("event_id", "case", "start_us", "pos", "unit"), out.metrics, "case"), "signal_rows")
     out.signals = store(signals.signals(rows, "case", unit=F.col("unit"), config=signal_config), "event_signals")
     if question:
-        out.answers = store(questions.answerability(question, events, out.metrics.drop("case"), "case", config=answer_config), "answers")
+        out.answers = store(questions.answerability(question, events, out.metrics, "case", config=answer_config), "answers")
     return out
 
 

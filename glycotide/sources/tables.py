@@ -9,26 +9,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glycotide.functions.columns import wall_micros
+
 UNIT, INTERVAL, SERIES_USERS, SUBJECT_USERS = "mg/dL", 5.0, 150, 15
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a wall clock without zone; it is read as UTC
+    # a wall clock without zone; it is read as UTC, by counting from the wall clock's 1970
     ts = F.col("ts").cast("timestamp_ntz")
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return rows.withColumns({"ts_raw": F.date_format(ts, ISO), "ts": F.to_timestamp(F.concat(ts.cast("string"), F.lit("+00:00")))})
+    return rows.withColumns({"ts_raw": F.date_format(ts, ISO), "ts": F.timestamp_micros(wall_micros(ts))})
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def samples(spark: SparkSession, sf_dir: str, series_users: int = SERIES_USERS) -> DataFrame:
     """Flat samples: times are unique, so their microseconds are the places in a series."""
     rows = _events(spark, sf_dir).filter("event_type <> 'purchase'")
     return rows.select(
-        F.expr(f"user_id div {SERIES_USERS}").alias("series_id"), F.unix_micros("ts").alias("pos"), "ts", "ts_raw", (F.lit(70.0) + F.lit(0.25) * F.col("value")).alias("glucose_value"),
+        F.expr(f"user_id div {series_users}").alias("series_id"), F.unix_micros("ts").alias("pos"), "ts", "ts_raw", (F.lit(70.0) + F.lit(0.25) * F.col("value")).alias("glucose_value"),
         F.lit(None).cast("array<string>").alias("quality_flags"), F.lit(UNIT).alias("unit"), F.lit(INTERVAL).alias("sampling_interval_minutes"),
     )
 
 
+def shared_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotations that two series each have, as if read from one document: an id stands for an event of either. SUBJECT_USERS are a series here."""
+    rows = annotations(spark, sf_dir)
+    both = F.array(F.col("subject_id"), F.col("subject_id").bitwiseXOR(F.lit(1)))
+    return rows.withColumn("series_id", F.explode(both)).withColumn("subject_id", F.col("series_id"))
+
+
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat annotations without ends; the carbohydrates are the number in ``props``."""
     rows = _events(spark, sf_dir).filter("event_type = 'purchase'")

@@ -148,3 +148,32 @@ def test_command_line_starts():
     """In an interpreter of its own, without a session."""
     done = subprocess.run([sys.executable, "-m", "glycotide.plans.workflow", "--help"], capture_output=True, text=True, timeout=120, cwd=Path(__file__).resolve().parents[1])
     assert done.returncode == 0 and "--timezone" in done.stdout
+
+
+def test_one_events_file_for_several_workbooks(spark, tmp_path):
+    """Each case gets what a run of its own gives it, although all events have the same ids."""
+    values = {"dev-a": lambda m: value_at(m), "dev-b": lambda m: 4.0 + value_at(m), "dev-c": lambda m: 9.5 - value_at(m) / 4}
+    event = lambda k: {"event_id": f"e{k}", "event_type": "meal", "start_time": f"{STARTS[k]:%Y-%m-%dT%H:%M:%S}+08:00", "source": "manual", "label": f"food {'xy'[k % 2]}"}
+    shared = json.dumps({"events_id": "evts_1", "subject_id": "me", "time_zone": "Asia/Shanghai", "events": [event(k) for k in range(14)]})
+    question = {
+        "question_id": "q", "exposure": {"event_type": "meal", "selector": {"component": "label", "operator": "=", "value": "food x"}},
+        "comparison": {"event_type": "meal", "selector": {"component": "label", "operator": "=", "value": "food y"}},
+        "outcome": {"metric_name": "nadir_glucose", "window": {"relative_to": "event_start", "start_offset_minutes": 0, "end_offset_minutes": 180}},
+    }
+
+    def run(cases):
+        data = tmp_path / "-".join(cases)
+        (data / "events").mkdir(parents=True)
+        (data / "events" / "events.json").write_text(shared)
+        for c in cases:
+            length = 60 * 24 * (3 if c != "dev-c" else 2)  # the last one's readings end before the events do
+            make_workbook(data / f"{c}.xlsx", [(str(T0 + timedelta(minutes=m)), round(values[c](m), 3)) for m in range(0, length, 5)])
+        got = workflow.run(spark, f"file://{data}", f"file://{data}/out", time_zone="Asia/Shanghai", subject="me", events=f"file://{data}/events", question=question, generated_at="now")
+        tables = {n: getattr(got, n) for n in ("quality", "metrics", "signals", "answers", "warnings")}
+        return {(n, r.case): sorted(str(x) for x in df.filter(F.col("case") == r.case).collect()) for n, df in tables.items() for r in df.select("case").distinct().collect()}
+
+    together = run(list(values))
+    assert len(together) == 15 and all(len(together["quality", c]) == len(together["signals", c]) == 14 for c in values)
+    assert together["signals", "dev-a"] != together["signals", "dev-b"]
+    for c in ("dev-a", "dev-c"):
+        assert {k: v for k, v in together.items() if k[1] == c} == run([c])
