@@ -109,12 +109,12 @@ def join_by_count(rows: DataFrame, table: DataFrame, key: str, count: str, total
     columns = [c for c in table.columns if c != key]
     limit = max(total // most, 50)
     hot = table.filter(F.col(count) > limit).select(F.col(key).alias("_hot_key"), F.struct(*columns).alias("_hot"))
-    cold = table.filter(F.col(count) <= limit).select(F.col(key).alias("_cold_key"), F.struct(*columns).alias("_cold"))
     out = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    out = out.withColumn("_salt", F.when(F.col("_hot_key").isNotNull(), F.col(spread)).otherwise(F.lit(None)))
-    # rows of hot keys look for a pair (key, id) that no cold row has
-    cold = cold.withColumn("_cold_salt", F.lit(None).cast(out.schema["_salt"].dataType))
-    out = out.join(cold.hint("merge"), (F.col(key) == F.col("_cold_key")) & F.col("_salt").eqNullSafe(F.col("_cold_salt")), "left")
+    # rows of hot keys look for a pair (key, spread) that no cold row has; as one value, so that all of it deals them out
+    salt = F.when(F.col("_hot_key").isNotNull(), F.col(spread))
+    out = out.withColumn("_probe", F.struct(F.col(key).alias("k"), salt.alias("s")))
+    cold = table.filter(F.col(count) <= limit).select(F.struct(F.col(key).alias("k"), F.lit(None).cast(rows.schema[spread].dataType).alias("s")).alias("_cold_probe"), F.struct(*columns).alias("_cold"))
+    out = out.join(cold.hint("merge"), F.col("_probe") == F.col("_cold_probe"), "left")
     picked = [F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cold.{c}")).alias(c) for c in columns]
     return out.select(*rows.columns, *picked)
 
