@@ -8,7 +8,7 @@ from tests.test_queries import SMALL, duck, normal  # noqa: F401
 
 
 def test_names():
-    assert len(queries.QUERIES) == 11 and set(queries.ORACLES) == {"op4_hamming_top_k", "op5_line_dedup", "op6_exact_dedup", "op7_warc_shards"}
+    assert len(queries.QUERIES) == 14 and set(queries.ORACLES) == {"op4_hamming_top_k", "op5_line_dedup", "op6_exact_dedup", "op7_warc_shards", "op11_vector_codes", "op13_prefix_trie"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
