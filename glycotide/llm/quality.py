@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 import zlib
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from glycotide.llm.shared import require, text_or_empty, tidy, written
+from glycotide.llm.shared import discard, require, text_or_empty, tidy, written, written_at
 
 #: Labelled rows that the fit uses at most (those of the smallest hash of their id); weights, one per bucket of feature
 #: hashes; labelled rows from which a bucket's weight is fitted (fewer say nothing about other texts: it stays 0).
@@ -103,12 +104,14 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, n_col
 def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> OrdinalModel | None:
     """Fits on at most ``sample`` labelled rows; None if no two grades are among them.
 
-    ``grade`` is 0 to n_grades - 1 over ``labels``; null grades, and labels without a document, don't count. The sample
-    is the fit's only bound: scoring takes every row and whole texts.
+    ``grade`` is 0 to n_grades - 1 over ``labels``; null grades, and labels without a document, don't count: the sample is
+    drawn from labelled documents. It is the fit's only bound: scoring takes every row and whole texts. Where there is no
+    model, that is warned of.
     """
     require(docs, id_col, text_col)
     chosen = labels.select(F.col(id_col).cast("long").alias("_id"), grade.cast("int").alias("grade")).filter("grade is not null and _id is not null").groupBy("_id").agg(F.min("grade").alias("grade"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    ids = docs.select(F.col(id_col).cast("long").alias("_id"))
+    chosen, path = written_at(chosen.join(ids, "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(sample), "labelled")
 
     def run(batches):
         for batch in batches:
@@ -119,7 +122,9 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, sample
     # at most ``sample`` rows, in an order of their own, so that sums, too, are the same in each run
     table = rows.orderBy("grade", F.xxhash64("features"), "features").toArrow().combine_chunks()
     grades, lists = table.column("grade").to_numpy(), table.column("features").chunk(0) if table.num_rows else None
+    discard(docs.sparkSession, path)
     if len(np.unique(grades)) < 2:
+        warnings.warn(f"no two grades among {len(grades)} labelled documents: there is no model, and all rows are kept", stacklevel=2)
         return None
     columns = lists.flatten().to_numpy().astype(np.int64)
     used = np.bincount(columns, minlength=BUCKETS)[columns] >= LEAST_ROWS
