@@ -17,7 +17,9 @@ BUCKETS, MOST_BROADCAST = 1 << 16, 250_000
 #: A prefix word of more than 1/MOST_HOT of all prefix words, and of more than LEAST_HOT, is hot: lines must share another word, too.
 MOST_HOT, LEAST_HOT = 2_000, 1_000
 _MASK = (1 << 56) - 1
-AT = ["doc_id", "line_no"]
+#: A line is known by its document, that is an id and a hash of the text, and its number.
+DOC = ["doc_id", "text_key"]
+AT = [*DOC, "line_no"]
 PARITY = ["parity_0", "parity_1"]
 #: What a row of the token tables has besides the token; place is that of the (first) word in the ordered set.
 TOKEN = [*AT, "size", "place", *PARITY]
@@ -31,9 +33,9 @@ def _blanks(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no (from 0), line; ``line`` has blanks for other white space; lines without words are left out."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    return lines.select("doc_id", "line_no", _blanks(F.col("raw")).alias("line")).filter(F.trim("line") != "")
+    """doc_id, text_key, line_no (from 0), line; ``line`` has blanks for other white space; lines without words are left out."""
+    lines = docs.select(*DOC, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
+    return lines.select(*AT, _blanks(F.col("raw")).alias("line")).filter(F.trim("line") != "")
 
 
 def words_of(line: Column) -> Column:
@@ -75,12 +77,14 @@ def _key() -> Column:
 
 
 def _candidates(later: DataFrame, early: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a_doc_id, a_line_no, b_doc_id, b_line_no) that share a token and can be similar, the earlier as b.
+    """Pairs (AT of a line, as a_, and of an earlier one, as b_) that share a token and can be similar.
 
     Both tables have token and TOKEN.
     """
     side = lambda df, p: df.select("token", *[F.col(c).alias(f"{p}_{c}") for c in TOKEN])
-    fits = (F.col("b_doc_id") < F.col("a_doc_id")) | ((F.col("b_doc_id") == F.col("a_doc_id")) & (F.col("b_line_no") < F.col("a_line_no")))
+    fits, same = F.lit(False), F.lit(True)
+    for c in AT:
+        fits, same = fits | (same & (F.col(f"b_{c}") < F.col(f"a_{c}"))), same & (F.col(f"b_{c}") == F.col(f"a_{c}"))
     fits &= (den * F.col("b_size") >= num * F.col("a_size")) & (den * F.col("a_size") >= num * F.col("b_size"))
     both = F.col("a_size") + F.col("b_size")
     # words before the shared one and from it on
@@ -104,7 +108,7 @@ def _tokens(sets: DataFrame, num: int, den: int) -> DataFrame:
     where the first is hot, tokens are pairs of it and another. Sets that only equal ones are similar to have one token,
     that of all their words.
     """
-    about = [F.col("first.doc_id"), F.col("first.line_no"), F.col("set.size"), *[F.col(f"set.{c}") for c in PARITY]]
+    about = [*[F.col(f"first.{c}") for c in AT], F.col("set.size"), *[F.col(f"set.{c}") for c in PARITY]]
     alone = sets.filter("set.whole is not null").select(*about, F.lit(0).alias("place"), F.col("set.whole").alias("token"))
     rest = sets.filter("set.whole is null")
     each = rest.select(*about, F.posexplode(F.slice("set.prefix", F.lit(1), _prefix_size("set.size", num, den))).alias("place", "token"), F.col("set.prefix").alias("_prefix"))
@@ -121,17 +125,17 @@ def _tokens(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _with_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of ``wanted`` (doc_id, wanted: line numbers). Few lines go to the texts; texts go to lines that are many."""
+    """The texts of ``wanted`` (DOC, wanted: line numbers). Few lines go to the texts; texts go to lines that are many."""
     few = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= MOST_BROADCAST
-    return docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc_id")
+    return docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), DOC)
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
-    """The later lines (doc_id, line_no) of the pairs that are similar, from the words in the texts."""
+    """The later lines (AT) of the pairs that are similar, from the words in the texts."""
     ends = [pairs.select(*[F.col(f"{p}_{c}").alias(c) for c in AT]) for p in "ab"]
-    wanted = written(ends[0].union(ends[1]).distinct().groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted")), "wanted-lines")
+    wanted = written(ends[0].union(ends[1]).distinct().groupBy(*DOC).agg(F.collect_list("line_no").alias("wanted")), "wanted-lines")
     texts = _with_wanted(docs, wanted)
-    lines = texts.select("doc_id", F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("line_no"))
+    lines = texts.select(*DOC, F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("line_no"))
     line = _blanks(F.element_at("lines", F.col("line_no") + 1))
     words = lines.select(*AT, F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
     words = written(words, "line-words")
@@ -143,15 +147,16 @@ def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, line_no (from 0) of each line that has an earlier line, by (doc_id, line_no), of word Jaccard >= num/den.
+    """doc_id, text_key, line_no (from 0) of each line that has an earlier line, by these three, of word Jaccard >= num/den.
 
-    Any earlier line counts, removed or not. Lines without words are never removed; a null text is one empty line; rows that
-    repeat an id and a text count as one document; rows without an id are left out; long lines count whole. Equal lines
+    text_key is the xxhash64 of the text: rows of one id and several texts are documents of their own, rows that repeat
+    an id and a text one. Any earlier line counts, removed or not. Lines without words are never removed; a null text is
+    one empty line; rows without an id are left out; long lines count whole. Equal lines
     are collapsed to their first. Per shared token, lines are first compared with the earliest line only; those without a
     match there with all earlier ones, so that a group of like lines costs no square of its size.
     """
     require(docs, id_col, text_col)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).filter("doc_id is not null")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("text_key"), text_or_empty(text_col).alias("text")).filter("doc_id is not null")
     lines = lines_of(source)
     levels = rarity_levels(source)
     ranked = lines.select(*AT, _key().alias("key"), _ranked(F.col("line"), levels).alias("ranks")).withColumn("size", F.size("ranks"))
@@ -164,7 +169,7 @@ def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "
     equal = sets.filter("n > 1").select("key", "first", "n")
     total = sets.agg(F.sum("n")).first()[0] or 0
     keyed = join_by_count(lines.select(*AT, _key().alias("key")), equal, "key", "n", total, "doc_id")
-    out = keyed.filter((F.col("first.doc_id") != F.col("doc_id")) | (F.col("first.line_no") != F.col("line_no"))).select(*AT)
+    out = keyed.filter(F.col("first") != F.struct(*AT)).select(*AT)
 
     tokens = _tokens(sets, num, den)
     often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
@@ -189,15 +194,15 @@ def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "
 
 def line_counts(docs: DataFrame, num: int = 9, den: int = 10) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (line numbers, ascending, joined by commas; null: none) of each row of ``docs``."""
-    removed = repeated_lines(docs, num, den).groupBy("doc_id").agg(F.count("*").alias("n_removed"), F.array_join(F.array_sort(F.collect_list("line_no")).cast("array<string>"), ",").alias("removed"))
-    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.size(F.split(text_or_empty(), "\n", -1)).cast("long").alias("n_lines"))
-    return each.join(removed, "doc_id", "left").select("doc_id", "n_lines", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), "removed")
+    removed = repeated_lines(docs, num, den).groupBy(*DOC).agg(F.count("*").alias("n_removed"), F.array_join(F.array_sort(F.collect_list("line_no")).cast("array<string>"), ",").alias("removed"))
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"), F.size(F.split(text_or_empty(), "\n", -1)).cast("long").alias("n_lines"))
+    return each.join(removed, DOC, "left").select("doc_id", "n_lines", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), "removed")
 
 
 def without_repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that ``repeated_lines`` names taken out of their texts."""
-    id_, gone_ = fresh(docs, "_doc_id", "_gone")
-    gone = repeated_lines(docs, num, den, id_col, text_col).groupBy(F.col("doc_id").alias(id_)).agg(F.collect_list("line_no").alias(gone_))
-    joined = docs.join(gone.hint("shuffle_hash"), F.col(id_col).cast("long") == F.col(id_), "left")
+    id_, key_, gone_ = fresh(docs, "_doc_id", "_text_key", "_gone")
+    gone = repeated_lines(docs, num, den, id_col, text_col).groupBy(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).agg(F.collect_list("line_no").alias(gone_))
+    joined = docs.join(gone.hint("shuffle_hash"), (F.col(id_col).cast("long") == F.col(id_)) & (F.xxhash64(text_or_empty(text_col)) == F.col(key_)), "left")
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone_), i)), "\n")
-    return joined.withColumn(text_col, F.when(F.col(gone_).isNull(), F.col(text_col)).otherwise(kept)).drop(id_, gone_)
+    return joined.withColumn(text_col, F.when(F.col(gone_).isNull(), F.col(text_col)).otherwise(kept)).drop(id_, key_, gone_)
