@@ -17,10 +17,10 @@ def test_a_unique_line_stays(spark):
 
 def test_texts_of_one_id_against_all_pairs(spark):
     """Every line but the first of each group of like lines goes, whichever rows of ids 1 to 3 they are in."""
-    texts = {(i, f"{WORDS} x{i}{j}\nonly {i} {j} here\n{WORDS}") for i in (1, 2, 3) for j in range(3)}
+    texts = {(i, f"{WORDS} x{i}{j}\nonly r{i} c{j} here\n{WORDS}") for i in (1, 2, 3) for j in range(3)}
     rows = [*texts, *list(texts)[:2]]  # repeated rows count as one document
     got = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert len(got) == len(rows)
     lines = [x for t in {(r.doc_id, r.text) for r in got} for x in t[1].split("\n")]
-    assert sorted(x for x in lines if x.startswith("only")) == sorted(f"only {i} {j} here" for i in (1, 2, 3) for j in range(3))
+    assert sorted(x for x in lines if x.startswith("only")) == sorted(f"only r{i} c{j} here" for i in (1, 2, 3) for j in range(3))
     assert sum(x.startswith("w0") for x in lines) == 1
