@@ -6,7 +6,7 @@ key columns and ``at_us``. An event is known by its id and keys: one id may stan
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -133,25 +133,21 @@ def baseline(checks: DataFrame, *keys: str, config: QualityConfig = QualityConfi
 def _nearest(ev: DataFrame, key_cols: list[str], widths: Sequence[float] = segments.TIMES) -> DataFrame:
     """event_id, keys, before_us (latest end of another event up to the start), after_us (earliest start from the end on).
 
-    As-of joins by days: within a day a running maximum (minimum), and for a day the last end before it (the first start
-    after it), carried over days without any. No pairs are made and no task holds a key's events.
+    As-of joins by days: within a day a running maximum of ends (minimum of starts, backwards), and for a day the last end
+    before it (the first start after it), carried over days without any. No pairs are made and no task holds a key's events.
     """
-    ids = ["event_id", *key_cols]
-    before = _as_of(ev, key_cols, "stop_us", "start_us", F.max, False, widths).withColumnRenamed("_found", "before_us")
-    after = _as_of(ev, key_cols, "start_us", "stop_us", F.min, True, widths).withColumnRenamed("_found", "after_us")
-    return before.join(after, ids)
-
-
-def _as_of(ev: DataFrame, key_cols: list[str], answers: str, asks: str, combine: Callable[[str], Column], descending: bool, widths: Sequence[float]) -> DataFrame:
-    """event_id, keys, _found: the nearest ``answers`` at or before (``descending``: at or behind) each event's ``asks``."""
-    point = lambda at, asking: ev.select(*key_cols, "event_id", F.col(at).alias("at"), F.lit(asking).alias("asks"))
-    points = point(answers, False).unionByName(point(asks, True)).withColumn("_day", segments.piece(F.col("at"), widths[0]))
-    known = F.when(~F.col("asks"), F.col("at"))
-    days = points.groupBy(*key_cols, "_day").agg(combine(known).alias("_value"))
-    carried = segments.carried(days, key_cols, "_day", "_value", [w // widths[0] for w in widths[1:]], combine, descending, "_carried").drop("_value")
-    along = W.partitionBy(*key_cols, "_day").orderBy(F.desc("at") if descending else "at", "asks").rowsBetween(W.unboundedPreceding, W.currentRow)
-    inside = points.withColumn("_inside", combine(known).over(along)).filter("asks")
-    return inside.join(carried, [*key_cols, "_day"]).select("event_id", *key_cols, F.coalesce("_inside", "_carried").alias("_found"))
+    ends = F.explode(F.array(F.struct(F.col("start_us").alias("at"), F.lit(True).alias("starts")), F.struct(F.col("stop_us").alias("at"), F.lit(False).alias("starts"))))
+    points = ev.select(*key_cols, "event_id", ends.alias("p")).select(*key_cols, "event_id", "p.*").withColumn("_day", segments.piece(F.col("at"), widths[0]))
+    stop, start = F.when(~F.col("starts"), F.col("at")), F.when(F.col("starts"), F.col("at"))
+    days = points.groupBy(*key_cols, "_day").agg(F.max(stop).alias("_stop"), F.min(start).alias("_start"))
+    rest = [w // widths[0] for w in widths[1:]]
+    days = segments.carried(days, key_cols, "_day", "_stop", rest, F.max, False, "_stop_before")
+    days = segments.carried(days, key_cols, "_day", "_start", rest, F.min, True, "_start_behind").drop("_stop", "_start")
+    along = lambda *by: W.partitionBy(*key_cols, "_day").orderBy(*by).rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = points.withColumns({"_before": F.max(stop).over(along("at", "starts")), "_behind": F.min(start).over(along(F.desc("at"), F.desc("starts")))})
+    found = inside.join(days, [*key_cols, "_day"])
+    before, after = F.when(F.col("starts"), F.coalesce("_before", "_stop_before")), F.when(~F.col("starts"), F.coalesce("_behind", "_start_behind"))
+    return found.groupBy("event_id", *key_cols).agg(F.max(before).alias("before_us"), F.max(after).alias("after_us"))
 
 
 def isolation(events: DataFrame, *keys: str, config: QualityConfig = QualityConfig(), longest_minutes: float | None = None) -> DataFrame:

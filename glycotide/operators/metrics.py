@@ -6,7 +6,7 @@ samples have the key columns, ``at_us``, ``pos``, ``value``, ``flagged`` (an art
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -113,10 +113,11 @@ def window_aggregates(events: DataFrame, samples: DataFrame, *keys: str, windows
         "nadir": lambda: [F.min(F.when(_within(w.nadir), v)).alias("nadir_value"), F.min_by("ts_raw", F.when(_within(w.nadir), F.struct(v.alias("v"), "pos"))).alias("nadir_time")],
         "recovery": lambda: [F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.min(x).alias("fit_from"), F.max(x).alias("fit_to")],
     }
-    aggs = [F.first(c).alias(c) for c in carried[1:]]
+    aggs = []
     for part in parts:
         aggs += counted(part, getattr(w, part)) + values[part]()
-    out = near.groupBy(*event).agg(*aggs)
+    # what is the same for all rows of an event is grouped by: a text among the aggregates would have all rows sorted
+    out = near.groupBy(*event, *carried[1:]).agg(*aggs)
     out = out.withColumns({f"cov_{n}": _coverage(f"n_{n}", getattr(w, n)) for n in parts})
     return out.withColumns({f"flags_{n}": _flags(f"cov_{n}", f"flagged_{n}") for n in parts})
 
@@ -163,16 +164,16 @@ def metrics(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWi
     peak, base = F.col("peak_value"), F.col("baseline_value")
     common = lambda n: {"window_samples": F.col(f"n_{n}"), "expected_samples": _expected(getattr(w, n)).cast("long"), "coverage_percentage": _percent(F.col(f"cov_{n}"))}
     # name: value, unit, single window, bundle, flags, summary
-    kinds: dict[str, tuple] = {
-        "baseline_glucose": (base, F.col("unit"), w.baseline, None, F.col("flags_baseline"), common("baseline")),
-        "delta_peak": (
+    kinds_of: dict[str, Callable[[], tuple]] = {
+        "baseline_glucose": lambda: (base, F.col("unit"), w.baseline, None, F.col("flags_baseline"), common("baseline")),
+        "delta_peak": lambda: (
             peak - base, F.col("unit"), None, bundle(baseline_window=w.baseline, peak_window=w.peak), both("baseline", "peak"),
             common("peak") | {"peak_glucose": peak, "baseline_glucose": base, "peak_time": F.col("peak_at.ts_raw")},
         ),
-        "iAUC": (F.col("area"), F.concat("unit", F.lit(" * minutes")), None, bundle(baseline_window=w.baseline, auc_window=w.auc), both("baseline", "auc"), common("auc") | {"baseline_glucose": base}),
-        "time_to_peak": (F.col("ttp_at.offset"), F.lit("minutes"), w.time_to_peak, None, F.col("flags_time_to_peak"), common("time_to_peak") | {"peak_glucose": F.col("ttp_value"), "peak_time": F.col("ttp_at.ts_raw")}),
-        "nadir_glucose": (F.col("nadir_value"), F.col("unit"), w.nadir, None, F.col("flags_nadir"), common("nadir") | {"nadir_time": F.col("nadir_time")}),
-        "recovery_slope": (
+        "iAUC": lambda: (F.col("area"), F.concat("unit", F.lit(" * minutes")), None, bundle(baseline_window=w.baseline, auc_window=w.auc), both("baseline", "auc"), common("auc") | {"baseline_glucose": base}),
+        "time_to_peak": lambda: (F.col("ttp_at.offset"), F.lit("minutes"), w.time_to_peak, None, F.col("flags_time_to_peak"), common("time_to_peak") | {"peak_glucose": F.col("ttp_value"), "peak_time": F.col("ttp_at.ts_raw")}),
+        "nadir_glucose": lambda: (F.col("nadir_value"), F.col("unit"), w.nadir, None, F.col("flags_nadir"), common("nadir") | {"nadir_time": F.col("nadir_time")}),
+        "recovery_slope": lambda: (
             F.col("slope"), F.concat("unit", F.lit(" per minute")), None, bundle(peak_window=w.peak, recovery_window=w.recovery), both("peak", "recovery"),
             {
                 "peak_glucose": peak, "baseline_glucose": base, "recovery_start": fit("fit_from"), "recovery_end": fit("fit_to"),
@@ -182,27 +183,33 @@ def metrics(events: DataFrame, samples: DataFrame, *keys: str, windows: MetricWi
             },
         ),
     }
+    kinds = {n: kinds_of[n]() for n in METRICS if n in names}
     summary_types = {
         "window_samples": "long", "expected_samples": "long", "coverage_percentage": "double", "peak_glucose": "double", "baseline_glucose": "double", "peak_time": "string", "nadir_time": "string",
         "recovery_start": "double", "recovery_end": "double", "return_toward_baseline_percentage": "double", "peak_window_samples": "long", "peak_expected_samples": "long",
         "recovery_window_samples": "long", "recovery_expected_samples": "long", "peak_coverage_percentage": "double", "recovery_coverage_percentage": "double",
     }
     window_type = "struct<relative_to:string,start_offset_minutes:double,end_offset_minutes:double>"
-    rows = []
-    for pos, name in enumerate(METRICS):
-        if name not in names:
-            continue
-        value, unit, single, several, flags, summary = kinds[name]
-        coverage = coverage_of(name)
-        row = F.struct(
-            F.lit(pos).alias("pos"), F.lit(name).alias("metric_name"), F.lit(VERSION).alias("metric_version"), (_window(single) if single else F.lit(None).cast(window_type)).alias("window"),
-            (several if several is not None else F.lit(None).cast(f"map<string,{window_type}>")).alias("window_bundle"), value.alias("value"), unit.alias("unit"), F.lit(text[name]).alias("method"),
-            coverage.alias("coverage_ratio"), flags.alias("quality_flags"), F.struct(*[summary.get(k, F.lit(None)).cast(t).alias(k) for k, t in summary_types.items()]).alias("quality_summary"),
-        )
-        rows.append(F.when(there(name) & value.isNotNull() & coverage.isNotNull(), row))
-    if len(rows) == 1:
-        return wide.select("event_id", *keys, rows[0].alias("m")).filter("m is not null").select("event_id", *keys, "m.*")
-    return wide.select("event_id", *keys, F.explode(F.array_compact(F.array(*rows))).alias("m")).select("event_id", *keys, "m.*")
+    # a row per metric is made of its place alone; each column then picks that metric's value, so what isn't asked for isn't computed
+    asked = [(pos, name) for pos, name in enumerate(METRICS) if name in names]
+    found = [F.when(there(name) & kinds[name][0].isNotNull() & coverage_of(name).isNotNull(), F.lit(pos)) for pos, name in asked]
+    long = wide.withColumn("pos", F.explode(F.array_compact(F.array(*found)))) if len(found) > 1 else wide.withColumn("pos", found[0]).filter("pos is not null")
+
+    def pick(of: Callable[[str], Column | None], kind: str) -> Column:
+        out = F.lit(None).cast(kind)
+        for pos, name in reversed(asked):
+            if (value := of(name)) is not None:
+                out = F.when(F.col("pos") == pos, value.cast(kind)).otherwise(out)
+        return out
+
+    single = lambda n: None if kinds[n][2] is None else _window(kinds[n][2])
+    summary = F.struct(*[pick(lambda n, k=k: kinds[n][5].get(k), t).alias(k) for k, t in summary_types.items()])
+    columns = {
+        "metric_name": pick(F.lit, "string"), "metric_version": F.lit(VERSION), "window": pick(single, window_type), "window_bundle": pick(lambda n: kinds[n][3], f"map<string,{window_type}>"),
+        "value": pick(lambda n: kinds[n][0], "double"), "unit": pick(lambda n: kinds[n][1], "string"), "method": pick(lambda n: F.lit(text[n]), "string"), "coverage_ratio": pick(coverage_of, "double"),
+        "quality_flags": pick(lambda n: kinds[n][4], "array<string>"), "quality_summary": summary,
+    }
+    return long.select("event_id", *keys, "pos", *[c.alias(n) for n, c in columns.items()])
 
 
 def interval_warnings(events: DataFrame, *keys: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Scans of series of any length: a series is cut into pieces of its order, so that no task holds a whole one.
 
 A row's piece is known from its order alone. What a scan needs of the rows before or after a piece (how many there are,
-the last of them) is taken from one small row per piece, which is scanned in the same way with larger pieces. ``widths``
-are the pieces' widths in units of the order column, ascending: a day and about three years for times, some thousands and
-millions for places in a document. Orders may have gaps of any length. Null orders are in no piece and come out nowhere.
+the last of them) is taken from one small row per piece, which is scanned in the same way with the next, larger width, and
+with none left in one window per key. ``widths`` are the pieces' widths in units of the order column, ascending. One is enough
+where the calendar bounds the pieces of a key (days: 36,525 in a century), or where a piece has tens of thousands of rows;
+a smaller one can be put before it for readings that are denser than some thousands a day. Orders may have gaps of any
+length. Rows with a null order or key come out nowhere.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from pyspark.sql import functions as F
 
 DAY = 86_400_000_000
 #: Widths for orders in microseconds, and for places (0, 1, 2, ...).
-TIMES, PLACES = (DAY, 1024 * DAY), (1 << 12, 1 << 24)
-#: Widths for values of measurements.
-VALUES = (1.0, 4096.0)
+TIMES, PLACES = (DAY,), (1 << 15,)
+#: Widths for values of measurements: there are as many pieces as whole numbers among them.
+VALUES = (1.0,)
 _FAR = 1 << 52
 
 
