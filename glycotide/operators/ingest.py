@@ -23,22 +23,29 @@ from glycotide.operators import segments
 SHORTEST_GAP, NEAR_MEDIAN = 0.001, 0.2
 
 
-def clean_readings(raw: DataFrame, time_col: str, value_col: str, *, keep: tuple[str, ...] = ()) -> DataFrame:
+def clean_readings(raw: DataFrame, time_col: str, value_col: str, *, keep: tuple[str, ...] = (), strict: bool = True) -> DataFrame:
     """``keep`` columns, local_time, glucose_value: rows whose time and value are both there, values parsed as numbers.
 
     Text that is no number is a missing value and its row goes; text that is no time fails the job, as a column that
-    isn't times is an error. NaN counts as missing.
+    isn't times is an error (not ``strict``: its row goes, and ``unreadable_times`` tells). NaN counts as missing.
     """
     missing = [c for c in (time_col, value_col) if c not in raw.columns]
     if missing:
         raise ValueError(f"Missing required columns: {', '.join(missing)}")
     text = F.col(time_col).cast("string")
     parsed = F.expr(f"try_cast(`{time_col}` AS timestamp_ntz)")
-    time = F.when(parsed.isNull() & text.isNotNull(), F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp_ntz")).otherwise(parsed)
+    time = F.when(parsed.isNull() & text.isNotNull(), F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp_ntz")).otherwise(parsed) if strict else parsed
     rows = raw.select(*keep, time.alias("local_time"), F.expr(f"try_cast(`{value_col}` AS double)").alias("glucose_value"))
     return rows.filter(F.col("local_time").isNotNull() & F.col("glucose_value").isNotNull() & ~F.isnan("glucose_value"))
 
 
+def unreadable_times(raw: DataFrame, time_col: str, *keys: str) -> DataFrame:
+    """keys, message: the smallest text of a key's times that is no time, and how many there are."""
+    text = F.col(time_col).cast("string")
+    bad = raw.filter(text.isNotNull() & F.expr(f"try_cast(`{time_col}` AS timestamp_ntz)").isNull())
+    return bad.groupBy(*keys).agg(F.format_string("not a timestamp: %s (%d in all)", F.min(text), F.count("*")).alias("message"))
+
+
 def dropped_readings(raw: DataFrame, value_col: str, *keys: str) -> DataFrame:
     """keys, not_numeric: how many values per key are there but are no number."""
     value = F.expr(f"try_cast(`{value_col}` AS double)")
@@ -120,10 +127,11 @@ def artifact_flags(samples: DataFrame, *keys: str, unit: Column, interval: Colum
     return placed.withColumn("quality_flags", F.when(F.size(found) > 0, found)).drop("_before", "_before2", "_after")
 
 
-def localized(readings: DataFrame, time_zone: Column, local_col: str = "local_time") -> DataFrame:
+def localized(readings: DataFrame, time_zone: Column, local_col: str = "local_time", problem: str | None = None) -> DataFrame:
     """With ``ts`` (instant) and ``ts_raw`` (ISO with the zone's offset) of local times.
 
-    Times that a zone skips, or has twice, when clocks change fail the job: which instant is meant isn't known. A
+    Times that a zone skips, or has twice, when clocks change fail the job: which instant is meant isn't known. With
+    ``problem``, a column of that name says so instead, and ``ts`` and ``ts_raw`` of the row are null. A
     zone's offset is read off the difference between the wall clock and UTC, so the session's zone plays no part.
     """
     local = F.col(local_col).cast("timestamp_ntz")
@@ -132,7 +140,8 @@ def localized(readings: DataFrame, time_zone: Column, local_col: str = "local_ti
     hour = F.expr("INTERVAL '1' HOUR")
     twice = (F.convert_timezone(F.lit("UTC"), time_zone, utc + hour) == local) | (F.convert_timezone(F.lit("UTC"), time_zone, utc - hour) == local)
     bad = F.when(back != local, "skipped").when(twice, "ambiguous")
-    checked = F.when(bad.isNotNull(), F.raise_error(F.concat(bad, F.lit(" local time: "), local.cast("string"))).cast("timestamp_ntz")).otherwise(utc)
+    said = F.when(bad.isNotNull(), F.concat(bad, F.lit(" local time: "), local.cast("string")))
+    checked = F.when(bad.isNull(), utc) if problem else F.when(bad.isNotNull(), F.raise_error(said).cast("timestamp_ntz")).otherwise(utc)
     span = wall_micros(local) - wall_micros(F.col("_utc"))
     mins = F.abs(F.floor(span / 60_000_000)).cast("long")
     offset = F.format_string("%s%02d:%02d", F.when(span < 0, "-").otherwise("+"), F.floor(mins / 60).cast("long"), mins % 60)
@@ -140,7 +149,8 @@ def localized(readings: DataFrame, time_zone: Column, local_col: str = "local_ti
     part = F.date_format(local, "SSSSSS")
     text = F.concat(text, F.when(part != "000000", F.concat(F.lit("."), part)).otherwise(F.lit("")), offset)
     out = readings.withColumn("_utc", checked)
-    return out.withColumns({"ts": F.timestamp_micros(wall_micros(F.col("_utc"))), "ts_raw": text}).drop("_utc")
+    out = out.withColumns({"ts": F.timestamp_micros(wall_micros(F.col("_utc"))), "ts_raw": text} | ({problem: said} if problem else {}))
+    return out.drop("_utc")
 
 
 def series_ids(samples: DataFrame, *keys: str, subject: Column, device: Column, time_zone: Column, unit: Column) -> DataFrame:

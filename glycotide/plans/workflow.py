@@ -10,44 +10,105 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glycotide.config import UNITS, AnswerConfig, MetricWindows, SignalConfig
+from glycotide.config import UNITS, AnswerConfig, MetricWindows, QualityConfig, SignalConfig
 from glycotide.functions.columns import micros
 from glycotide.operators import annotations, event_quality, ingest, metrics, questions, sanity, signals
 from glycotide.sources import documents
 from glycotide.sources.workbook import TIME_COLUMN, VALUE_COLUMN, read_workbooks
 
 
-def import_series(raw: DataFrame, *, time_zone: str, unit: str, subject: str = "subject", time_col: str = TIME_COLUMN, value_col: str = VALUE_COLUMN) -> DataFrame:
-    """Flat samples with headers from raw readings of many files (``stem``): cleaned, checked, indexed, flagged, identified."""
+#: What a case can fail in, in the order of the work: of several problems the first is reported.
+STEPS = ("read", "parse", "duplicates", "local time", "interval", "diary", "events")
+PROBLEM = "case string, step string, message string"
+
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def _problems(step: str, found: DataFrame, case: str = "case", message: str = "message") -> DataFrame:
+    return found.select(F.col(case).alias("case"), F.lit(STEPS.index(step)).alias("nth"), F.lit(step).alias("step"), F.col(message).alias("message"))
+
+
+def first_problems(*found: DataFrame) -> DataFrame:
+    """case, step, message: one row per case that has any problem, with that of the first step."""
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    return every.groupBy("case").agg(F.min(F.struct("nth", "step", "message")).alias("p")).select("case", "p.step", "p.message")
+
+
+def require_none(problems: DataFrame) -> None:
+    """An error with a few of the problems, if there are any."""
+    if some := problems.orderBy("case").head(3):
+        raise ValueError("; ".join(f"{x.case}: {x.message}" for x in some))
+
+
+def import_cases(raw: DataFrame, *, time_zone: str, unit: str, subject: str = "subject", time_col: str = TIME_COLUMN, value_col: str = VALUE_COLUMN, store: Callable[[DataFrame, str], DataFrame] = _as_is) -> tuple[DataFrame, DataFrame]:
+    """Flat samples with headers from raw readings of many files (``stem``): cleaned, indexed, flagged, identified; and ``problems``.
+
+    A file that can't be read, has a time that is none or that it repeats, a local time that its zone skips or has twice, no
+    readings, or gaps that tell no interval, is no case of the samples but a row (case, step, message): it stops no other file.
+    """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {', '.join(UNITS)}")
-    clean = ingest.require_unique_timestamps(ingest.clean_readings(raw, time_col, value_col, keep=("stem",)), "stem")
-    placed = ingest.localized(ingest.indexed(clean, "stem"), F.lit(time_zone))
-    interval = ingest.sampling_interval(placed, "stem", at=F.unix_micros("ts"))
-    bad = interval.filter("issue is not null").select("stem", "issue").head(1)
-    if bad:
-        raise ValueError(f"{bad[0][0]}: {bad[0][1]}")
-    rows = placed.join(interval.drop("issue"), "stem")
-    flagged = ingest.artifact_flags(rows, "stem", unit=F.lit(unit), interval=F.col("sampling_interval_minutes"))
+    found = [_problems("read", raw.filter("problem is not null"), "stem", "problem")] if "problem" in raw.columns else []
+    rows = raw.filter("problem is null").drop("problem") if found else raw
+    clean = ingest.clean_readings(rows, time_col, value_col, keep=("stem",), strict=False)
+    found.append(_problems("parse", ingest.unreadable_times(rows, time_col, "stem"), "stem"))
+    empty = raw.select("stem").distinct().join(clean.select("stem").distinct(), "stem", "left_anti").withColumn("message", F.lit("no readings"))
+    found.append(_problems("parse", empty, "stem"))
+    twice = ingest.duplicate_timestamps(clean, "stem").groupBy("stem").agg(F.format_string("found %d duplicate timestamps", F.sum("extra")).alias("message"))
+    found.append(_problems("duplicates", twice, "stem"))
+    placed = ingest.localized(ingest.indexed(clean, "stem"), F.lit(time_zone), problem="_problem")
+    found.append(_problems("local time", placed.filter("_problem is not null").groupBy("stem").agg(F.min("_problem").alias("message")), "stem"))
+    interval = ingest.sampling_interval(placed.filter("_problem is null"), "stem", at=F.unix_micros("ts"))
+    found.append(_problems("interval", interval.filter("issue is not null"), "stem", "issue"))
+    problems = store(first_problems(*found), "import_problems")
+    good = placed.drop("_problem").join(problems.select(F.col("case").alias("stem")), "stem", "left_anti").join(interval.drop("issue"), "stem")
+    flagged = ingest.artifact_flags(good, "stem", unit=F.lit(unit), interval=F.col("sampling_interval_minutes"))
     flagged = flagged.withColumns({"subject_id": F.lit(subject), "device_id": ingest.device_id(F.col("stem")), "time_zone": F.lit(time_zone), "unit": F.lit(unit), "schema_version": F.lit("1.0.0")})
     ids = ingest.series_ids(flagged, "stem", subject=F.col("subject_id"), device=F.col("device_id"), time_zone=F.col("time_zone"), unit=F.col("unit"))
-    return flagged.join(ids, "stem").withColumnRenamed("stem", "case").drop("local_time")
+    return flagged.join(ids, "stem").withColumnRenamed("stem", "case").drop("local_time"), problems
+
 
+def import_series(raw: DataFrame, **how) -> DataFrame:
+    """The samples of ``import_cases``; a file with a problem is an error."""
+    samples, problems = import_cases(raw, **how)
+    require_none(problems)
+    return samples
 
-def diary_events(lines: DataFrame, *, time_zone: str, subject: str = "subject", event_type: str = "meal", merge: bool = True) -> DataFrame:
-    """Flat annotations from diary lines (case, line_no, value); lines of one time become one event, unless not to be merged."""
-    parsed = annotations.require_parsed(annotations.parse_diary(lines, "line_no", "value", "case"))
-    entries = annotations.merge_same_time(parsed, "case") if merge else parsed.withColumnRenamed("line_no", "first_line")
-    local = ingest.localized(entries.withColumnRenamed("local_start", "local_time"), F.lit(time_zone))
-    raw = local.select("case", F.lit(subject).alias("subject_id"), F.lit(event_type).alias("event_type"), F.col("ts_raw").alias("start_time_raw"), "label", F.col("first_line").cast("long").alias("pos"))
-    made = annotations.require_valid(annotations.create(raw, "case")).withColumn("time_zone", F.lit(time_zone))
-    ids = annotations.collection_ids(made, "case", time_zone=F.col("time_zone"))
-    return made.join(ids, "case")
+
+def diary_cases(lines: DataFrame, *, time_zone: str, subject: str = "subject", event_type: str = "meal", merge: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Flat annotations from diary lines (case, line_no, value), and the problems of cases, which have none.
+
+    Lines of one time become one event, unless not to be merged.
+    """
+    parsed = annotations.parse_diary(lines, "line_no", "value", "case")
+    found = [_problems("diary", parsed.filter("problem is not null").groupBy("case").agg(F.min_by("problem", "line_no").alias("message")))]
+    good = parsed.filter("problem is null").drop("problem")
+    entries = annotations.merge_same_time(good, "case") if merge else good.withColumnRenamed("line_no", "first_line")
+    local = ingest.localized(entries.withColumnRenamed("local_start", "local_time"), F.lit(time_zone), problem="_problem")
+    found.append(_problems("diary", local.filter("_problem is not null").groupBy("case").agg(F.min_by("_problem", "first_line").alias("message"))))
+    raw = local.filter("_problem is null").select("case", F.lit(subject).alias("subject_id"), F.lit(event_type).alias("event_type"), F.col("ts_raw").alias("start_time_raw"), "label", F.col("first_line").cast("long").alias("pos"))
+    made = annotations.create(raw, "case").withColumn("time_zone", F.lit(time_zone))
+    wrong = F.concat(F.lit("invalid event: "), F.array_join("violations", ", "))
+    found.append(_problems("events", made.filter(F.size("violations") > 0).groupBy("case").agg(F.min_by(wrong, "pos").alias("message"))))
+    problems = first_problems(*found)
+    made = made.drop("violations").join(problems.select("case"), "case", "left_anti")
+    return made.join(annotations.collection_ids(made, "case", time_zone=F.col("time_zone")), "case"), problems
+
+
+def diary_events(lines: DataFrame, **how) -> DataFrame:
+    """The annotations of ``diary_cases``; a case with a problem is an error."""
+    events, problems = diary_cases(lines, **how)
+    require_none(problems)
+    return events
 
 
 def events_for_cases(cases: list[str], files: list[str]) -> dict[str, str]:
@@ -73,16 +134,16 @@ def file_names(spark: SparkSession, folder: str, pattern: str) -> dict[str, str]
     return {r.path.rpartition("/")[2]: r.path for r in listed}
 
 
-def case_events(spark: SparkSession, cases: list[str], folder: str, *, time_zone: str, subject: str = "subject") -> DataFrame | None:
-    """Annotations of all cases from a folder of diaries and events documents, chosen as ``events_for_cases`` does; None if there are none.
+def case_events(spark: SparkSession, cases: list[str], folder: str, *, time_zone: str, subject: str = "subject", merge: bool = True) -> tuple[DataFrame, DataFrame] | None:
+    """Annotations of all cases from a folder of diaries and events documents, chosen as ``events_for_cases`` does, and the problems of cases; None if there are none.
 
-    A file that serves several cases is read once.
+    A file that serves several cases is read once; what is wrong with it is a problem of each of them.
     """
     files = file_names(spark, folder, "*.{txt,json}")
     chosen = events_for_cases(cases, list(files))
     used = spark.createDataFrame([(c, files[f]) for c, f in chosen.items()], "case string, file string") if chosen else None
     name = F.regexp_extract("file", r"([^/]+)$", 1)
-    found = []
+    found, problems = [], []
     for suffix in (".txt", ".json"):
         paths = sorted({files[f] for f in chosen.values() if f.endswith(suffix)})
         if not paths:
@@ -90,13 +151,16 @@ def case_events(spark: SparkSession, cases: list[str], folder: str, *, time_zone
         serves = F.broadcast(used.select("case", name.alias("name")))  # one row a case
         if suffix == ".txt":
             lines = documents.read_diary(spark, paths).withColumn("name", name).join(serves, "name")
-            found.append(diary_events(lines.drop("name", "file"), time_zone=time_zone, subject=subject))
+            events, wrong = diary_cases(lines.drop("name", "file"), time_zone=time_zone, subject=subject, merge=merge)
         else:
-            found.append(documents.read_events(spark, paths).withColumn("name", name).join(serves, "name"))
+            events, wrong = (df.withColumn("name", name).join(serves, "name") for df in documents.read_events_tolerant(spark, paths))
+            wrong = first_problems(_problems("events", wrong))
+            events = events.join(wrong.select("case"), "case", "left_anti")
+        found.append(events.select(*EVENT_COLUMNS))
+        problems.append(wrong)
     if not found:
         return None
-    found = [df.select(*EVENT_COLUMNS) for df in found]
-    return found[0].unionByName(found[1]) if len(found) > 1 else found[0]
+    return (found[0].unionByName(found[1]), problems[0].unionByName(problems[1])) if len(found) > 1 else (found[0], problems[0])
 
 
 def series_from_documents(spark: SparkSession, path: str | list[str], tolerant: bool = False) -> DataFrame:
@@ -115,10 +179,7 @@ class Results:
     signals: DataFrame | None = None
     answers: DataFrame | None = None
     warnings: DataFrame | None = None
-
-
-def _as_is(df: DataFrame, name: str) -> DataFrame:
-    return df
+    problems: DataFrame | None = None
 
 
 def stored_in(folder: str) -> Callable[[DataFrame, str], DataFrame]:
@@ -149,7 +210,7 @@ def warnings_of(samples: DataFrame, events: DataFrame | None, ready: DataFrame |
     return every.groupBy("case").agg(F.array_sort(F.collect_set("warning")).alias("warnings"))
 
 
-def analyse(samples: DataFrame, events: DataFrame | None, question: dict | None = None, *, windows: MetricWindows | None = None, signal_config: SignalConfig = SignalConfig(), answer_config: AnswerConfig = AnswerConfig(), store: Callable[[DataFrame, str], DataFrame] = _as_is, not_numeric: DataFrame | None = None) -> Results:
+def analyse(samples: DataFrame, events: DataFrame | None, question: dict | None = None, *, windows: MetricWindows | None = None, signal_config: SignalConfig = SignalConfig(), quality_config: QualityConfig = QualityConfig(), answer_config: AnswerConfig = AnswerConfig(), store: Callable[[DataFrame, str], DataFrame] = _as_is, not_numeric: DataFrame | None = None) -> Results:
     """All results of flat samples and annotations that share a ``case``. ``store`` is applied to each fact table in turn."""
     samples = store(samples, "samples")
     out = Results(samples, store(sanity.report(samples, "case"), "sanity"))
@@ -161,7 +222,7 @@ def analyse(samples: DataFrame, events: DataFrame | None, question: dict | None
     ready = store(metrics.metric_events(events, header, "case").select("event_id", "case", "label", "start_us", micros("end_time").alias("end_us"), "pos", "unit", "interval"), "metric_events")
     near = metrics.metric_samples(samples, "case")
     out.warnings = store(warnings_of(samples, events, ready, not_numeric), "warnings")
-    out.quality = store(event_quality.score(ready, near, ("case",), ("case",)), "event_quality")
+    out.quality = store(event_quality.score(ready, near, ("case",), ("case",), quality_config), "event_quality")
     out.metrics = store(metrics.metrics(ready, near, "case", windows=windows), "metrics")
     rows = store(signals.event_rows(ready.select("event_id", "case", "start_us", "pos", "unit"), out.metrics, "case"), "signal_rows")
     out.signals = store(signals.signals(rows, "case", unit=F.col("unit"), config=signal_config), "event_signals")
@@ -207,6 +268,7 @@ def markdown(generated_at: Column) -> Column:
         return [F.lit(""), F.lit(f"## {title}"), F.when(F.coalesce(F.size(items), F.lit(0)) > 0, text).otherwise("- None")]
 
     fact = lambda name, c: F.concat(F.lit(f"- {name}: "), F.coalesce(F.col(c).cast("string"), F.lit("unknown")))
+    # The headings of the report and their order.
     lines = [F.lit("# CGM Question Report"), F.lit(""), F.concat(F.lit("- Generated: "), generated_at), fact("Series ID", "series_id"), fact("Total samples", "total_samples"), fact("Coverage", "coverage_percentage"), fact("Total metrics", "total_metrics"), fact("Answerable", "answerable")]
     lines += [*listed("Blocking Reasons", F.col("blocking_reasons"), "code"), *listed("All Reasons", F.col("reasons"), "code"), *listed("Data Requirements", F.col("data_requirements"), "type")]
     return F.concat_ws("\n", *lines, F.lit(""))
@@ -240,6 +302,8 @@ def write(results: Results, out: str, generated_at: str) -> None:
     text(sanity_text(results.sanity), "sanity_txt")
     if results.warnings is not None:
         by_case(results.warnings, "warnings")
+    if results.problems is not None:
+        by_case(results.problems, "problems")
     if results.events is not None:
         event = F.struct("event_id", "event_type", F.col("start_time_raw").alias("start_time"), F.col("end_time_raw").alias("end_time"), "duration_minutes", "exposure_components", "source", "annotation_quality", "label", "notes")
         by_case(documents.nested(results.events, ["case", *[c for c in ("events_id", "subject_id", "time_zone") if c in results.events.columns]], "events", event), "events")
@@ -262,23 +326,39 @@ def read_question(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def run(spark: SparkSession, data: str, out: str, *, time_zone: str, unit: str = "mmol/L", subject: str = "subject", events: str | None = None, question: dict | None = None, from_documents: bool = False, generated_at: str = "") -> Results:
-    """The whole workflow of a folder; facts are stored under ``out``/facts."""
-    not_numeric = None
+def run(
+    spark: SparkSession, data: str, out: str, *, time_zone: str, unit: str = "mmol/L", subject: str = "subject", events: str | None = None, question: dict | None = None, from_documents: bool = False,
+    generated_at: str = "", strict: bool = False, **tunables,
+) -> Results:
+    """The whole workflow of a folder; facts are stored under ``out``/facts.
+
+    A case whose file or events have a problem is left out from there on and listed in the results' ``problems``; the others
+    are not touched by it. ``strict``: the first problems are an error. ``tunables`` are those of ``analyse``.
+    """
+    not_numeric, store = None, stored_in(f"{out}/facts")
+    wrong = spark.createDataFrame([], PROBLEM)
     if from_documents:
         samples = series_from_documents(spark, data)
     else:
-        store = stored_in(f"{out}/facts")
-        raw = store(read_workbooks(spark, data), "readings")  # workbooks are read once
+        raw = store(read_workbooks(spark, data, tolerant=True), "readings")  # workbooks are read once
         not_numeric = ingest.dropped_readings(raw, VALUE_COLUMN, "stem").withColumnRenamed("stem", "case")
-        samples = import_series(raw, time_zone=time_zone, unit=unit, subject=subject)
-    store = stored_in(f"{out}/facts")
+        samples, wrong = import_cases(raw, time_zone=time_zone, unit=unit, subject=subject, store=store)
+    if strict:
+        require_none(wrong)
     samples = store(samples, "imported")
     found = None
     if events:
         cases = [r.case for r in samples.select("case").distinct().collect()]  # one row a file
-        found = case_events(spark, cases, events, time_zone=time_zone, subject=subject)
-    results = analyse(samples, found, question if found is not None else None, store=store, not_numeric=not_numeric)
+        if both := case_events(spark, cases, events, time_zone=time_zone, subject=subject):
+            found, more = both
+            more = store(more, "event_problems")
+            if strict:
+                require_none(more)
+            wrong = wrong.unionByName(more)
+    if not_numeric is not None:
+        not_numeric = not_numeric.join(wrong.select("case"), "case", "left_anti")
+    results = analyse(samples, found, question if found is not None else None, store=store, not_numeric=not_numeric, **tunables)
+    results.problems = store(wrong, "problems")
     write(results, out, generated_at)
     return results
 
@@ -294,10 +374,14 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--question", help="a question document (JSON)")
     p.add_argument("--documents", action="store_true")
     p.add_argument("--generated-at", default="")
+    p.add_argument("--strict", action="store_true", help="stop at a case that has a problem, instead of listing it")
+    for f in fields(QualityConfig):
+        p.add_argument(f"--{f.name.replace('_', '-')}", type=float, default=f.default, help="a tunable of the events' quality (default: %(default)s)")
     a = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     question = read_question(spark, a.question) if a.question else None
-    run(spark, a.data, a.out, time_zone=a.timezone, unit=a.unit, subject=a.subject, events=a.events, question=question, from_documents=a.documents, generated_at=a.generated_at)
+    quality = QualityConfig(**{f.name: getattr(a, f.name) for f in fields(QualityConfig)})
+    run(spark, a.data, a.out, time_zone=a.timezone, unit=a.unit, subject=a.subject, events=a.events, question=question, from_documents=a.documents, generated_at=a.generated_at, strict=a.strict, quality_config=quality)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from glycotide import schemas
 from glycotide.functions.columns import parse_instant
@@ -40,6 +41,16 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return flat_events(_read(spark, path, schemas.EVENTS_DOC))
 
 
+def read_events_tolerant(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Flat annotations of the documents that can be read, and (file, message) of those that can't, or have an event without an instant to start at."""
+    schema = StructType([*schemas.EVENTS_DOC.fields, StructField("_corrupt", StringType())])
+    docs = spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt").withColumn("file", F.col("_metadata.file_path"))
+    message = F.when(F.col("events").isNull(), F.when(F.col("_corrupt").isNotNull(), "not an events document").otherwise("no events")).when(F.col("_corrupt").isNotNull(), "not an events document")
+    rows = flat_events(docs.filter("_corrupt is null"))
+    first = rows.filter("start_time is null").groupBy("file").agg(F.min_by(F.concat(F.lit("event "), F.coalesce("event_id", F.col("pos").cast("string")), F.lit(": start_time is no instant")), "pos").alias("message"))
+    return rows, docs.select("file", message.alias("message")).filter("message is not null").unionByName(first)
+
+
 def read_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The long table of metrics: a bundle of windows becomes ``window_bundle``, and ``window`` is null."""
     rows = _read(spark, path, schemas.METRICS_DOC).select("file", "metric_set_id", "subject_id", "series_id", F.posexplode("metrics").alias("pos", "m"))

@@ -1,21 +1,26 @@
-"""Excel workbooks of sensor readings as a Spark data source: ``spark.read.format("cgm_xlsx").load(folder)``.
+"""Excel workbooks of sensor readings as rows, from any store that Spark reads.
 
-A workbook is a zip of XML files, which the standard library reads; a task reads one workbook. Columns: file, stem,
-row_no, and the two of the sensor's export, as text. Dates stored as day numbers become ISO text.
+A workbook is a zip of XML files, which the standard library reads. Spark lists the files and deals them out, several small
+ones a task; a workbook is in memory as it is stored, and its sheet streams by. Dates stored as day numbers become ISO text.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+import io
+import posixpath
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import batched
+from urllib.parse import unquote
 from xml.etree import ElementTree
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
 
 # The headings of the export, and the XML name spaces of workbooks.
 TIME_COLUMN, VALUE_COLUMN = "血糖时间", "血糖值"
@@ -43,9 +48,9 @@ def _date_styles(book: zipfile.ZipFile) -> set[int]:
     return {i for i, x in enumerate(formats if formats is not None else []) if is_date(int(x.get("numFmtId", 0)))}
 
 
-def read_rows(path: str) -> Iterator[dict[int, str]]:
+def read_rows(data: bytes) -> Iterator[dict[int, str]]:
     """The first sheet's rows, from its XML as it streams by: column number to text."""
-    with zipfile.ZipFile(path) as book:
+    with zipfile.ZipFile(io.BytesIO(data)) as book:
         shared = []
         if "xl/sharedStrings.xml" in book.namelist():
             root = ElementTree.fromstring(book.read("xl/sharedStrings.xml"))
@@ -76,47 +81,48 @@ def read_rows(path: str) -> Iterator[dict[int, str]]:
                 yield out
 
 
-class Workbook(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+#: Rows of a batch that leaves a task.
+BATCH = 4096
+SCHEMA = f"file string, stem string, row_no long, `{TIME_COLUMN}` string, `{VALUE_COLUMN}` string, problem string"
 
 
-class WorkbookReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options["path"]
-
-    def partitions(self) -> list[InputPartition]:
-        path = self.path.removeprefix("file://")
-        files = sorted(glob.glob(f"{path}/*.xlsx")) if os.path.isdir(path) else sorted(glob.glob(path))
-        if not files:
-            raise FileNotFoundError(f"no workbook at {self.path}")
-        return [Workbook(f) for f in files]
-
-    def read(self, partition: Workbook) -> Iterator[tuple]:
-        rows = read_rows(partition.path)
-        head = next(rows, {})
-        places = {name.strip(): k for k, name in head.items()}
+def _readings(file: str, data: bytes) -> Iterator[tuple]:
+    """The tuples of SCHEMA of one workbook; what is wrong with it is the last one's ``problem``."""
+    stem = posixpath.splitext(posixpath.basename(file))[0]
+    try:
+        rows = read_rows(data)
+        places = {name.strip(): k for k, name in next(rows, {}).items()}
         if missing := [c for c in (TIME_COLUMN, VALUE_COLUMN) if c not in places]:
-            raise ValueError(f"Missing required columns: {', '.join(missing)}")
-        stem = os.path.splitext(os.path.basename(partition.path))[0]
+            yield file, stem, None, None, None, f"Missing required columns: {', '.join(missing)}"
+            return
         for n, row in enumerate(rows, 2):
             if row:
-                yield partition.path, stem, n, row.get(places[TIME_COLUMN]), row.get(places[VALUE_COLUMN])
-
-
-class WorkbookSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "cgm_xlsx"
-
-    def schema(self) -> str:
-        return f"file string, stem string, row_no long, `{TIME_COLUMN}` string, `{VALUE_COLUMN}` string"
-
-    def reader(self, schema) -> DataSourceReader:
-        return WorkbookReader(self.options)
-
-
-def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """Raw readings of one workbook or of all in a folder that every executor sees."""
-    spark.dataSource.register(WorkbookSource)
-    return spark.read.format("cgm_xlsx").load(path)
+                yield file, stem, n, row.get(places[TIME_COLUMN]), row.get(places[VALUE_COLUMN]), None
+    except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, ValueError, IndexError, TypeError, AttributeError, EOFError, NotImplementedError, zlib.error) as e:
+        yield file, stem, None, None, None, f"not a workbook: {type(e).__name__} {e}"
+
+
+def _parsed(batches) -> Iterator[pa.RecordBatch]:
+    names = ["file", "stem", "row_no", TIME_COLUMN, VALUE_COLUMN, "problem"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+    for batch in batches:
+        for file, content in zip(batch.column(0), batch.column(1), strict=True):
+            for rows in batched(_readings(unquote(file.as_py()), content.as_py()), BATCH):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+
+def read_workbooks(spark: SparkSession, path: str, tolerant: bool = False) -> DataFrame:
+    """Raw readings of one workbook or of all in a folder: file, stem, row_no and the two columns of the export, as text.
+
+    A workbook that can't be read, or lacks a column, fails the job; with ``tolerant`` it has a row whose ``problem`` says why.
+    """
+    files = path if path.endswith(".xlsx") else f"{path.rstrip('/')}/*.xlsx"  # of a folder, not of folders in it
+    try:
+        listed = spark.read.format("binaryFile").load(files).select("path", "content")
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no workbook at {path}") from e
+    rows = listed.mapInArrow(_parsed, SCHEMA)
+    if tolerant:
+        return rows
+    fine = F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(F.concat("file", F.lit(": "), "problem")).cast("boolean"))
+    return rows.filter(fine).drop("problem")
