@@ -163,7 +163,8 @@ def score(docs: DataFrame, machine: FactorizationMachine, id_col: str = "doc_id"
                 rows = set(map(known.__getitem__, found))
                 rows.discard(0)
                 odds[i] = machine.of_rows(np.array(sorted(rows), np.int64))
-            scores = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+            with np.errstate(over="ignore"):
+                scores = 1 / (1 + np.exp(-odds))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), text_or_empty(f"`{text_col}`").alias("text"))
