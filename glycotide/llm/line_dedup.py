@@ -17,7 +17,7 @@ BUCKETS, MOST_BROADCAST = 1 << 16, 250_000
 #: A prefix word of more than 1/MOST_HOT of all prefix words, and of more than LEAST_HOT, is hot: lines must share another word, too.
 MOST_HOT, LEAST_HOT = 2_000, 1_000
 _MASK = (1 << 56) - 1
-#: A line is known by its document, that is an id and a hash of the text, and its number.
+#: A line is known by its document, that is an id and, for ids of several texts, a hash of the text, and its number.
 DOC = ["doc_id", "text_key"]
 AT = [*DOC, "line_no"]
 PARITY = ["parity_0", "parity_1"]
@@ -125,17 +125,17 @@ def _tokens(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _with_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of ``wanted`` (DOC, wanted: line numbers). Few lines go to the texts; texts go to lines that are many."""
+    """The texts of ``wanted`` (doc_id, wanted: text_key and line_no of lines). Few lines go to the texts; texts go to lines that are many."""
     few = (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= MOST_BROADCAST
-    return docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), DOC)
+    return docs.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), "doc_id")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     """The later lines (AT) of the pairs that are similar, from the words in the texts."""
     ends = [pairs.select(*[F.col(f"{p}_{c}").alias(c) for c in AT]) for p in "ab"]
-    wanted = written(ends[0].union(ends[1]).distinct().groupBy(*DOC).agg(F.collect_list("line_no").alias("wanted")), "wanted-lines")
+    wanted = written(ends[0].union(ends[1]).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "line_no")).alias("wanted")), "wanted-lines")
     texts = _with_wanted(docs, wanted)
-    lines = texts.select(*DOC, F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("line_no"))
+    lines = texts.select(*DOC, F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("at")).filter(F.col("at.text_key") == F.col("text_key")).select(*DOC, "lines", "at.line_no")
     line = _blanks(F.element_at("lines", F.col("line_no") + 1))
     words = lines.select(*AT, F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
     words = written(words, "line-words")
@@ -146,17 +146,33 @@ def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     return both.filter(similar).select(*[F.col(f"a_{c}").alias(c) for c in AT]).distinct()
 
 
+def _with_text_key(docs: DataFrame, name: str, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with the column ``name``: 0, or the xxhash64 of the text where rows of one id have several texts."""
+    own, text = F.col(f"`{id_col}`").cast("long"), F.xxhash64(text_or_empty(f"`{text_col}`"))
+    texts = docs.groupBy(own.alias("_shared_id")).agg(F.min(text).alias("low"), F.max(text).alias("high"))
+    several = written(texts.filter("_shared_id is not null and low <> high").select("_shared_id"), "ids-of-several-texts")
+    if not several.head(1):
+        return docs.withColumn(name, F.lit(0).cast("long"))
+    joined = docs.join(several.hint("shuffle_hash"), own == F.col("_shared_id"), "left")
+    return joined.withColumn(name, F.when(F.col("_shared_id").isNotNull(), text).otherwise(F.lit(0).cast("long"))).drop("_shared_id")
+
+
 def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_key, line_no (from 0) of each line that has an earlier line, by these three, of word Jaccard >= num/den.
 
-    text_key is the xxhash64 of the text: rows of one id and several texts are documents of their own, rows that repeat
-    an id and a text one. Any earlier line counts, removed or not. Lines without words are never removed; a null text is
+    text_key is 0, or the xxhash64 of the text where rows of one id have several: these are documents of their own, rows
+    that repeat an id and a text are one. Any earlier line counts, removed or not. Lines without words are never removed; a null text is
     one empty line; rows without an id are left out; long lines count whole. Equal lines
     are collapsed to their first. Per shared token, lines are first compared with the earliest line only; those without a
     match there with all earlier ones, so that a group of like lines costs no square of its size.
     """
     require(docs, id_col, text_col)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("text_key"), text_or_empty(text_col).alias("text")).filter("doc_id is not null")
+    (key,) = fresh(docs, "_text_key")
+    return _repeated(_with_text_key(docs, key, id_col, text_col), key, num, den, id_col, text_col)
+
+
+def _repeated(docs: DataFrame, key: str, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(key).alias("text_key"), text_or_empty(f"`{text_col}`").alias("text")).filter("doc_id is not null")
     lines = lines_of(source)
     levels = rarity_levels(source)
     ranked = lines.select(*AT, _key().alias("key"), _ranked(F.col("line"), levels).alias("ranks")).withColumn("size", F.size("ranks"))
@@ -194,15 +210,19 @@ def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "
 
 def line_counts(docs: DataFrame, num: int = 9, den: int = 10) -> DataFrame:
     """doc_id, n_lines, n_removed, removed (line numbers, ascending, joined by commas; null: none) of each row of ``docs``."""
-    removed = repeated_lines(docs, num, den).groupBy(*DOC).agg(F.count("*").alias("n_removed"), F.array_join(F.array_sort(F.collect_list("line_no")).cast("array<string>"), ",").alias("removed"))
-    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"), F.size(F.split(text_or_empty(), "\n", -1)).cast("long").alias("n_lines"))
+    require(docs, "doc_id", "text")
+    docs = _with_text_key(docs.select("doc_id", "text"), "text_key", "doc_id", "text")
+    removed = _repeated(docs, "text_key", num, den, "doc_id", "text").groupBy(*DOC).agg(F.count("*").alias("n_removed"), F.array_join(F.array_sort(F.collect_list("line_no")).cast("array<string>"), ",").alias("removed"))
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text_key", F.size(F.split(text_or_empty(), "\n", -1)).cast("long").alias("n_lines"))
     return each.join(removed, DOC, "left").select("doc_id", "n_lines", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), "removed")
 
 
 def without_repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that ``repeated_lines`` names taken out of their texts."""
-    id_, key_, gone_ = fresh(docs, "_doc_id", "_text_key", "_gone")
-    gone = repeated_lines(docs, num, den, id_col, text_col).groupBy(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).agg(F.collect_list("line_no").alias(gone_))
-    joined = docs.join(gone.hint("shuffle_hash"), (F.col(id_col).cast("long") == F.col(id_)) & (F.xxhash64(text_or_empty(text_col)) == F.col(key_)), "left")
+    require(docs, id_col, text_col)
+    own_, id_, key_, gone_ = fresh(docs, "_own_key", "_doc_id", "_text_key", "_gone")
+    keyed = _with_text_key(docs, own_, id_col, text_col)
+    gone = _repeated(keyed, own_, num, den, id_col, text_col).groupBy(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).agg(F.collect_list("line_no").alias(gone_))
+    joined = keyed.join(gone.hint("shuffle_hash"), (F.col(id_col).cast("long") == F.col(id_)) & (F.col(own_) == F.col(key_)), "left")
     kept = F.array_join(F.filter(F.split(F.col(text_col), "\n", -1), lambda x, i: ~F.array_contains(F.col(gone_), i)), "\n")
-    return joined.withColumn(text_col, F.when(F.col(gone_).isNull(), F.col(text_col)).otherwise(kept)).drop(id_, key_, gone_)
+    return joined.withColumn(text_col, F.when(F.col(gone_).isNull(), F.col(text_col)).otherwise(kept)).drop(own_, id_, key_, gone_)
