@@ -27,7 +27,7 @@ def clean_readings(raw: DataFrame, time_col: str, value_col: str, *, keep: tuple
     """``keep`` columns, local_time, glucose_value: rows whose time and value are both there, values parsed as numbers.
 
     Text that is no number is a missing value and its row goes; text that is no time fails the job, as a column that
-    isn't times is an error (not ``strict``: its row goes, and ``unreadable_times`` tells). NaN counts as missing.
+    isn't times is an error (not ``strict``: its row goes, and ``unusable_series`` tells). NaN counts as missing.
     """
     missing = [c for c in (time_col, value_col) if c not in raw.columns]
     if missing:
@@ -39,11 +39,26 @@ def clean_readings(raw: DataFrame, time_col: str, value_col: str, *, keep: tuple
     return rows.filter(F.col("local_time").isNotNull() & F.col("glucose_value").isNotNull() & ~F.isnan("glucose_value"))
 
 
-def unreadable_times(raw: DataFrame, time_col: str, *keys: str) -> DataFrame:
-    """keys, message: the smallest text of a key's times that is no time, and how many there are."""
-    text = F.col(time_col).cast("string")
-    bad = raw.filter(text.isNotNull() & F.expr(f"try_cast(`{time_col}` AS timestamp_ntz)").isNull())
-    return bad.groupBy(*keys).agg(F.format_string("not a timestamp: %s (%d in all)", F.min(text), F.count("*")).alias("message"))
+def unusable_series(raw: DataFrame, time_col: str, value_col: str, *keys: str) -> DataFrame:
+    """keys, p (nth, step, message) of series whose readings can't be imported: the first thing that is wrong, if any.
+
+    read: ``problem`` of the source; parse: a time that is none (with the smallest such text), or no readings; duplicates:
+    times that the series has more than once among readings that count. Readings are counted per time before they are
+    counted per series, so a series of any length is spread over tasks.
+    """
+    text, time = F.col(time_col).cast("string"), F.expr(f"try_cast(`{time_col}` AS timestamp_ntz)")
+    value = F.expr(f"try_cast(`{value_col}` AS double)")
+    none = text.isNotNull() & time.isNull()
+    counts = F.col("problem").isNull() & time.isNotNull() & value.isNotNull() & ~F.isnan(value)
+    each = raw.select(*keys, "problem", time.alias("_time"), F.when(none, text).alias("_none"), counts.alias("_counts"))
+    each = each.groupBy(*keys, "_time").agg(F.min("problem").alias("problem"), F.min("_none").alias("least"), F.count("_none").alias("none"), F.count_if("_counts").alias("n"))
+    whole = each.groupBy(*keys).agg(F.min("problem").alias("problem"), F.min("least").alias("least"), F.sum("none").alias("none"), F.sum("n").alias("n"), F.sum(F.greatest(F.col("n") - 1, F.lit(0))).alias("extra"))
+    said = lambda nth, step, message: F.struct(F.lit(nth).alias("nth"), F.lit(step).alias("step"), message.alias("message"))
+    p = (
+        F.when(F.col("problem").isNotNull(), said(0, "read", F.col("problem"))).when(F.col("none") > 0, said(1, "parse", F.format_string("not a timestamp: %s (%d in all)", "least", "none")))
+        .when(F.col("n") == 0, said(1, "parse", F.lit("no readings"))).when(F.col("extra") > 0, said(2, "duplicates", F.format_string("found %d duplicate timestamps", "extra")))
+    )
+    return whole.select(*keys, p.alias("p")).filter("p is not null")
 
 
 def dropped_readings(raw: DataFrame, value_col: str, *keys: str) -> DataFrame:

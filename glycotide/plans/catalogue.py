@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from glycotide.config import AnswerConfig, MetricWindows, Window
 from glycotide.functions.columns import NUDGE, micros, tie_safe
 from glycotide.operators import annotations, event_quality, ingest, metrics, predicates, questions, sanity, segments, signals
-from glycotide.sources import tables
+from glycotide.sources import lossless, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -157,6 +157,53 @@ def q_localized(spark, sf_dir):
     return ingest.localized(rows, F.lit("Asia/Shanghai")).select("event_id", micros("ts").alias("at_us"), F.col("ts_raw").alias("iso"))
 
 
+@query(
+    "q_import_problems",
+    """
+    WITH raw AS (SELECT 'u' || user_id AS stem, user_id % 4 AS kind, event_id % 10 = 0 AND user_id % 4 = 1 AS bad, CASE WHEN user_id % 4 = 2 THEN date_trunc('hour', ts) ELSE ts END AS t FROM events),
+    g AS (SELECT stem, any_value(kind) AS kind, count(*) FILTER (bad) AS bad, count(*) FILTER (NOT bad) AS n, count(*) - count(DISTINCT t) AS extra FROM raw GROUP BY stem),
+    m AS (SELECT stem, CASE WHEN bad > 0 THEN 'not a timestamp: at noon (' || bad || ' in all)' WHEN kind = 3 THEN 'no readings' WHEN kind = 2 AND extra > 0 THEN 'found ' || extra || ' duplicate timestamps'
+                            WHEN n < 2 THEN 'needs two samples' END AS message FROM g)
+    SELECT stem AS "case", CASE WHEN message LIKE 'not a%' OR message = 'no readings' THEN 'parse' WHEN message LIKE 'found%' THEN 'duplicates' ELSE 'interval' END AS step, message FROM m WHERE message IS NOT NULL
+    """,
+)
+def q_import_problems(spark, sf_dir):
+    """Each user's readings as a file: some have times that are none or are repeated, or values that are no numbers; they stop no other."""
+    from glycotide.plans.workflow import import_cases
+
+    user, ts = F.col("user_id"), F.col("ts").cast("timestamp_ntz")
+    time = F.when((user % 4 == 1) & (F.col("event_id") % 10 == 0), "at noon").when(user % 4 == 2, F.date_format(ts, "yyyy-MM-dd HH:00:00")).otherwise(ts.cast("string"))
+    value = F.when(user % 4 == 3, "high").otherwise(F.col("value").cast("string"))
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.concat(F.lit("u"), user.cast("string")).alias("stem"), time.alias("t"), value.alias("v"))
+    return import_cases(raw, time_zone="Etc/UTC", unit=UNIT, time_col="t", value_col="v")[1]
+
+
+@query(
+    "q_lossless_events",
+    """
+    SELECT event_id AS file, event_id % 2 = 0 AS is_list, 'e' || event_id AS event_id, CASE WHEN event_id % 3 <> 0 THEN value END AS annotation_quality,
+      CASE WHEN event_id % 3 = 0 THEN 'annotation_quality,props' ELSE 'props' END AS other_fields, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_id % 5 = 0 AS unreadable
+    FROM events
+    """,
+)
+def q_lossless_events(spark, sf_dir):
+    """Each row as an events document or a bare list, some with a number in quotes, some cut off: fields that no column tells in full stay beside."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    n, number = F.col("event_id"), F.to_json(F.struct(F.col("value").alias("v")))
+    number = F.substring(number, F.lit(6), F.length(number) - 6)
+    quality = F.when(n % 3 == 0, F.concat(F.lit('"'), number, F.lit('"'))).otherwise(number)
+    event = F.concat(F.lit('[{"event_id":"e'), n.cast("string"), F.lit('","annotation_quality":'), quality, F.lit(',"props":'), "props", F.lit("}]"))
+    text = F.when(n % 2 == 0, event).otherwise(F.concat(F.lit('{"events":'), event, F.lit(',"more":1}')))
+    good, _ = lossless.parse(rows.select(n.alias("file"), text.alias("value")), "events")
+    cut = rows.select(n.alias("file"), F.when(n % 5 == 0, F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text).alias("value"))
+    bad = lossless.parse(cut, "events")[1].select("file", F.lit(True).alias("unreadable"))
+    out = good.join(bad, "file", "left")
+    return out.select(
+        "file", F.col("doc").isNull().alias("is_list"), "event_id", "annotation_quality", F.array_join(F.array_sort(F.map_keys("extra")), ",").alias("other_fields"),
+        F.expr("try_variant_get(extra['props'], '$.k', 'bigint')").alias("k"), F.coalesce("unreadable", F.lit(False)).alias("unreadable"),
+    )
+
+
 @query(
     "q_violations",
     f"""

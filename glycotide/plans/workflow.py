@@ -57,14 +57,10 @@ def import_cases(raw: DataFrame, *, time_zone: str, unit: str, subject: str = "s
     """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {', '.join(UNITS)}")
-    found = [_problems("read", raw.filter("problem is not null"), "stem", "problem")] if "problem" in raw.columns else []
-    rows = raw.filter("problem is null").drop("problem") if found else raw
-    clean = ingest.clean_readings(rows, time_col, value_col, keep=("stem",), strict=False)
-    found.append(_problems("parse", ingest.unreadable_times(rows, time_col, "stem"), "stem"))
-    empty = raw.select("stem").distinct().join(clean.select("stem").distinct(), "stem", "left_anti").withColumn("message", F.lit("no readings"))
-    found.append(_problems("parse", empty, "stem"))
-    twice = ingest.duplicate_timestamps(clean, "stem").groupBy("stem").agg(F.format_string("found %d duplicate timestamps", F.sum("extra")).alias("message"))
-    found.append(_problems("duplicates", twice, "stem"))
+    if "problem" not in raw.columns:
+        raw = raw.withColumn("problem", F.lit(None).cast("string"))
+    clean = ingest.clean_readings(raw.filter("problem is null"), time_col, value_col, keep=("stem",), strict=False)
+    found = [ingest.unusable_series(raw, time_col, value_col, "stem").select(F.col("stem").alias("case"), *[F.col(f"p.{c}").alias(c) for c in ("nth", "step", "message")])]
     placed = ingest.localized(ingest.indexed(clean, "stem"), F.lit(time_zone), problem="_problem")
     found.append(_problems("local time", placed.filter("_problem is not null").groupBy("stem").agg(F.min("_problem").alias("message")), "stem"))
     interval = ingest.sampling_interval(placed.filter("_problem is null"), "stem", at=F.unix_micros("ts"))
