@@ -109,12 +109,11 @@ def sampling_interval(samples: DataFrame, *keys: str, at: Column, order: str = "
     """
     key_cols = list(keys)
     counts = gap_counts(samples, *keys, at=at, order=order, widths=widths)
-    stats = counts.groupBy(*key_cols).agg(F.min("gap").alias("least"), F.max("gap").alias("most"))
-    middle = segments.quantile(counts, keys, "gap", "n", out="middle")
+    stats = segments.quantile(counts, keys, "gap", "n", out="middle")
     rounded = counts.groupBy(*key_cols, F.rint("gap").alias("whole")).agg(F.sum("n").alias("times"))
     mode = rounded.groupBy(*key_cols).agg(F.min_by("whole", F.struct(-F.col("times"), F.col("whole"))).alias("mode"), F.count("*").alias("kinds"))
     every = samples.select(*key_cols).distinct()
-    out = every.join(stats.join(middle, key_cols).join(mode, key_cols), key_cols, "left")
+    out = every.join(stats.join(mode, key_cols), key_cols, "left")
     off = lambda c: F.abs(F.col(c) - F.col("middle")) / F.nullif(F.col("middle"), F.lit(0.0)) < NEAR_MEDIAN
     even = off("least") & off("most")  # those between are no farther
     issue = (

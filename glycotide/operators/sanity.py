@@ -65,7 +65,7 @@ def extremes(samples: DataFrame, *keys: str) -> DataFrame:
     v, n = F.col("glucose_value"), F.count("*")
     low, high = F.count_if(v < _by_unit(config.EXTREME_LOW)), F.count_if(v > _by_unit(config.EXTREME_HIGH))
     counts = samples.filter(v.isNotNull()).groupBy(*keys, v.alias("value")).agg(n.alias("n"))
-    middle = segments.quantile(counts, keys, "value", "n", out="median_glucose")
+    middle = segments.quantile(counts, keys, "value", "n", out="median_glucose").drop("least", "most")
     whole = samples.groupBy(*keys).agg(
         F.min(v).alias("min_glucose"), F.max(v).alias("max_glucose"), F.avg(v).alias("mean_glucose"),
         low.alias("extreme_low_count"), high.alias("extreme_high_count"), (low / n * 100.0).alias("extreme_low_percentage"), (high / n * 100.0).alias("extreme_high_percentage"),

@@ -113,15 +113,21 @@ def with_neighbours(rows: DataFrame, keys: Sequence[str], order: str, wanted: di
 
 
 def quantile(counts: DataFrame, keys: Sequence[str], value: str, n: str, p: float = 0.5, widths: Sequence[float] = VALUES, out: str = "quantile") -> DataFrame:
-    """keys, ``out``: the exact interpolated quantile of values that occur ``n`` times each, one row per key and distinct value.
+    """keys, ``out``, least, most: the exact interpolated quantile of values that occur ``n`` times each, one row per key and distinct value; and their ends.
 
     Counts are summed along pieces of the values, so memory is that of a running sum, however many values there are.
     """
     keys = list(keys)
-    total = counts.groupBy(*keys).agg(F.sum(n).alias("_total"))
-    before = carried(counts.select(*keys, value, n), keys, value, n, list(widths), out="_before").withColumn("_before", F.coalesce("_before", F.lit(0)))
-    rank = (F.col("_total") - 1) * F.lit(float(p))
-    rows = before.join(total, keys).withColumns({"_low": F.floor(rank), "_high": F.ceil(rank), "_share": rank - F.floor(rank)})
-    has = lambda c: (F.col("_before") <= F.col(c)) & (F.col(c) < F.col("_before") + F.col(n))
-    found = rows.filter(has("_low") | has("_high")).groupBy(*keys).agg(F.max(F.when(has("_low"), F.col(value))).alias("_a"), F.max(F.when(has("_high"), F.col(value))).alias("_b"), F.first("_share").alias("_share"))
-    return found.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias(out))
+    rows = counts.select(*keys, F.col(value).alias("_value"), F.col(n).alias("_n")).withColumn("_part", piece(F.col("_value"), widths[0])).filter("_part is not null")
+    pieces = rows.groupBy(*keys, "_part").agg(F.sum("_n").alias("_here"), F.min("_value").alias("_least"), F.max("_value").alias("_most"))
+    pieces = carried(pieces, keys, "_part", "_here", [w / widths[0] for w in widths[1:]], out="_earlier")
+    whole = Window.partitionBy(*keys)
+    pieces = pieces.withColumns({"_total": F.sum("_here").over(whole), "least": F.min("_least").over(whole), "most": F.max("_most").over(whole)}).drop("_here", "_least", "_most")
+    along = Window.partitionBy(*keys, "_part").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.sum("_n").over(along)).join(pieces, [*keys, "_part"])
+    before, rank = F.coalesce("_earlier", F.lit(0)) + F.coalesce("_inside", F.lit(0)), (F.col("_total") - 1) * F.lit(float(p))
+    rows = rows.withColumns({"_before": before, "_low": F.floor(rank), "_high": F.ceil(rank), "_share": rank - F.floor(rank)})
+    has = lambda c: (F.col("_before") <= F.col(c)) & (F.col(c) < F.col("_before") + F.col("_n"))
+    found = rows.filter(has("_low") | has("_high")).groupBy(*keys).agg(
+        F.max(F.when(has("_low"), F.col("_value"))).alias("_a"), F.max(F.when(has("_high"), F.col("_value"))).alias("_b"), *[F.max(c).alias(c) for c in ("_share", "least", "most")])
+    return found.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias(out), "least", "most")
