@@ -6,6 +6,8 @@ the long table; neither is collected. Matched ids stay lists in the result, as i
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ GROUPS = ("exposure", "comparison")
 BUNDLE_PART = {"delta_peak": "peak_window", "iAUC": "auc_window", "recovery_slope": "recovery_window"}
 LABELS = ("confounded", "missing_metric", "window_mismatch", "low_quality_metric", "usable")
 REASON = "struct<code:string,detail:string,blocking:boolean,affected_event_ids:array<string>,observed:bigint,required:bigint>"
-REQUIREMENT = "struct<type:string,group:string,detail:string,needed_count:bigint,event_ids:array<string>>"
+REQUIREMENT = "struct<type:string,group:string,detail:string,needed_count:bigint,event_ids:array<string>,selector:variant>"
 
 
 def in_span(span: dict | None) -> Column:
@@ -114,16 +116,18 @@ def reasons(group: str, metric: str, config: AnswerConfig = AnswerConfig()) -> C
     return F.when(~some("matched"), F.array(none)).otherwise(F.array_compact(F.array(*found)))
 
 
-def requirements(group: str, config: AnswerConfig = AnswerConfig()) -> Column:
-    """What to collect or compute for a group."""
+def requirements(group: str, config: AnswerConfig = AnswerConfig(), selector: dict | None = None) -> Column:
+    """What to collect or compute for a group; what to collect names the group's ``selector``."""
     ids = lambda x: F.col(f"{group}.{x}")
     least = config.min_events_per_group
     missing = F.greatest(F.lit(least) - F.size(ids("usable")), F.lit(0))
 
+    wanted = F.lit(None).cast("variant") if selector is None else F.parse_json(F.lit(json.dumps(selector)))
+
     def need(kind: str, detail: Column | str, count: Column | None = None, events: Column | None = None) -> Column:
         text = F.lit(detail) if isinstance(detail, str) else detail
         null = lambda x, t: (F.lit(None) if x is None else x).cast(t)
-        return F.struct(F.lit(kind).alias("type"), F.lit(group).alias("group"), text.alias("detail"), null(count, "bigint").alias("needed_count"), null(events, "array<string>").alias("event_ids")).cast(REQUIREMENT)
+        return F.struct(F.lit(kind).alias("type"), F.lit(group).alias("group"), text.alias("detail"), null(count, "bigint").alias("needed_count"), null(events, "array<string>").alias("event_ids"), (wanted if kind == "collect_events" else F.lit(None).cast("variant")).alias("selector")).cast(REQUIREMENT)
 
     rules = [
         ("missing_metric", "compute_metrics", "Compute outcome metrics for events missing metrics or improve CGM coverage."),
@@ -175,8 +179,8 @@ def answerability(question: dict, events: DataFrame, metrics: DataFrame, *keys:
     both = F.size("overlap_event_ids") > 0
     metric = question["outcome"]["metric_name"]
     same = F.when(both, F.array(_reason("ambiguous_event_definition", F.lit("Exposure and comparison selectors match the same events."), F.lit(True), F.col("overlap_event_ids")))).otherwise(F.array().cast(f"array<{REASON}>"))
-    refine = F.struct(F.lit("refine_definitions").alias("type"), F.lit(None).cast("string").alias("group"), F.lit("Refine exposure/comparison selectors to avoid overlapping events.").alias("detail"), F.lit(None).cast("bigint").alias("needed_count"), F.col("overlap_event_ids").alias("event_ids")).cast(REQUIREMENT)
-    needs = F.concat(*[requirements(g, config) for g in GROUPS], F.when(both, F.array(refine)).otherwise(F.array().cast(f"array<{REQUIREMENT}>")))
+    refine = F.struct(F.lit("refine_definitions").alias("type"), F.lit(None).cast("string").alias("group"), F.lit("Refine exposure/comparison selectors to avoid overlapping events.").alias("detail"), F.lit(None).cast("bigint").alias("needed_count"), F.col("overlap_event_ids").alias("event_ids"), F.lit(None).cast("variant").alias("selector")).cast(REQUIREMENT)
+    needs = F.concat(*[requirements(g, config, question[g].get("selector")) for g in GROUPS], F.when(both, F.array(refine)).otherwise(F.array().cast(f"array<{REQUIREMENT}>")))
     out = stats.withColumns({"reasons": F.concat(strangers, same, *[reasons(g, metric, config) for g in GROUPS]), "data_requirements": needs})
     return out.select(
         *keys, F.lit(question.get("question_id", "unknown")).alias("question_id"), F.lit(metric).alias("metric_name"), (~F.exists("reasons", lambda r: r["blocking"])).alias("answerable"),

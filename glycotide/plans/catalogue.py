@@ -715,8 +715,8 @@ def q_answerability(spark, sf_dir):
 
 def _needs_sql(g: str) -> str:
     n = lambda lab: f"count(*) FILTER (grp = '{g}' AND lab = '{lab}')"
-    return f"""CASE WHEN count(*) FILTER (grp = '{g}') = 0 THEN 'collect_events:{g}:2' ELSE nullif(concat_ws(',', CASE WHEN {n("usable")} < 2 THEN 'collect_events:{g}:' || (2 - {n("usable")}) END, CASE WHEN {n("missing_metric")} > 0 THEN 'compute_metrics:{g}:' END,
-      CASE WHEN {n("low_quality_metric")} > 0 THEN 'improve_cgm_coverage:{g}:' END, CASE WHEN {n("confounded")} > 0 THEN 'collect_isolated_events:{g}:' END), '') END"""
+    return f"""CASE WHEN count(*) FILTER (grp = '{g}') = 0 THEN 'collect_events:{g}:2:label' ELSE nullif(concat_ws(',', CASE WHEN {n("usable")} < 2 THEN 'collect_events:{g}:' || (2 - {n("usable")}) || ':label' END, CASE WHEN {n("missing_metric")} > 0 THEN 'compute_metrics:{g}::' END,
+      CASE WHEN {n("low_quality_metric")} > 0 THEN 'improve_cgm_coverage:{g}::' END, CASE WHEN {n("confounded")} > 0 THEN 'collect_isolated_events:{g}::' END), '') END"""
 
 
 @query(
@@ -726,7 +726,7 @@ def _needs_sql(g: str) -> str:
 def q_requirements(spark, sf_dir):
     events, table = _question_inputs(spark, sf_dir)
     out = questions.answerability(QUESTION, events, table, "subject_id", config=AnswerConfig())
-    one = lambda x: F.concat_ws(":", x["type"], x["group"], F.coalesce(x["needed_count"].cast("string"), F.lit("")))
+    one = lambda x: F.concat_ws(":", x["type"], x["group"], F.coalesce(x["needed_count"].cast("string"), F.lit("")), F.coalesce(F.try_variant_get(x["selector"], "$.component", "string"), F.lit("")))
     return out.select("subject_id", F.array_join(F.transform("data_requirements", one), ",").alias("needs"))
 
 

@@ -96,7 +96,7 @@ def diary_cases(lines: DataFrame, *, time_zone: str, subject: str = "subject", e
     wrong = F.concat(F.lit("invalid event: "), F.array_join("violations", ", "))
     found.append(_problems("events", made.filter(F.size("violations") > 0).groupBy("case").agg(F.min_by(wrong, "pos").alias("message"))))
     problems = first_problems(*found)
-    made = made.drop("violations").join(problems.select("case"), "case", "left_anti")
+    made = made.drop("violations").withColumn("extra", F.lit(None).cast("string")).join(problems.select("case"), "case", "left_anti")
     return made.join(annotations.collection_ids(made, "case", time_zone=F.col("time_zone")), "case"), problems
 
 
@@ -120,7 +120,7 @@ def events_for_cases(cases: list[str], files: list[str]) -> dict[str, str]:
 
 EVENT_COLUMNS = (
     "case", "events_id", "subject_id", "time_zone", "pos", "event_id", "event_type", "start_time", "start_time_raw", "end_time", "end_time_raw", "duration_minutes", "exposure_components",
-    "source", "annotation_quality", "label", "notes",
+    "source", "annotation_quality", "label", "notes", "extra",
 )
 
 
@@ -282,6 +282,22 @@ def quality_text(rollup: DataFrame) -> DataFrame:
     return rollup.select("case", F.array_join(F.array(*lines), "\n").alias("value"))
 
 
+def events_text(events: DataFrame) -> DataFrame:
+    """case, value: a paragraph for people on each of a case's events, with what may limit its use."""
+    # The headings of the paragraphs.
+    line = lambda label, c: F.concat(F.lit(f"{label}: "), c.cast("string"))
+    parts = F.transform("exposure_components", lambda c: F.concat(F.lit("  - "), c["name"], F.lit(": "), c["value"].cast("string"), F.lit(" "), c["unit"]))
+    listed = F.when(F.coalesce(F.size("exposure_components"), F.lit(0)) > 0, F.concat(F.lit("Exposure components:\n"), F.array_join(parts, "\n")))
+    limits = annotations.warnings()
+    warned = F.when(F.size(limits) > 0, F.array_join(F.transform(limits, lambda w: F.concat(F.lit("! "), w)), "\n"))
+    lines = [
+        F.lit("EVENT CLAIM (not ground truth measurement)"), line("Event ID", F.col("event_id")), line("Type", F.col("event_type")), line("Label", F.col("label")), line("Start", F.col("start_time_raw")), line("End", F.col("end_time_raw")),
+        line("Duration", F.concat(F.col("duration_minutes").cast("string"), F.lit(" minutes"))), listed, line("Source", F.col("source")), F.concat(F.lit("Annotation quality: "), F.col("annotation_quality").cast("string"), F.lit("/1.0")), line("Notes", F.col("notes")), warned,
+    ]
+    each = events.select("case", "pos", F.array_join(F.array_compact(F.array(*lines)), "\n").alias("value"))
+    return documents.nested(each, ["case"], "all", F.col("value")).select("case", F.array_join("all", "\n\n").alias("value"))
+
+
 def sanity_text(reports: DataFrame) -> DataFrame:
     """case, value: a few lines for people on a case's readings."""
     line = lambda label, c: F.concat(F.lit(f"{label}: "), F.coalesce(F.col(c).cast("string"), F.lit("unknown")))
@@ -301,8 +317,8 @@ def write(results: Results, out: str, generated_at: str) -> None:
     if results.problems is not None:
         by_case(results.problems, "problems")
     if results.events is not None:
-        event = F.struct("event_id", "event_type", F.col("start_time_raw").alias("start_time"), F.col("end_time_raw").alias("end_time"), "duration_minutes", "exposure_components", "source", "annotation_quality", "label", "notes")
-        by_case(documents.nested(results.events, ["case", *[c for c in ("events_id", "subject_id", "time_zone") if c in results.events.columns]], "events", event), "events")
+        by_case(documents.nested(results.events, ["case", *[c for c in ("events_id", "subject_id", "time_zone") if c in results.events.columns]], "events", documents.event_object(results.events)), "events")
+        text(events_text(results.events), "events_txt")
         by_case(documents.metrics_documents(results.metrics, "case"), "metrics")
         by_case(signal_documents(results, generated_at), "event_signals")
         rollup = event_quality.rollup(results.quality, "case")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from glycotide import schemas
 from glycotide.functions.columns import parse_instant
+from glycotide.sources import lossless
 
 BUNDLE = ("baseline_window", "peak_window", "auc_window", "recovery_window")
 SERIES_HEADER = ("schema_version", "series_id", "subject_id", "device_id", "sensor_id", "time_zone", "unit", "sampling_interval_minutes")
@@ -42,13 +42,23 @@ def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_events_tolerant(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """Flat annotations of the documents that can be read, and (file, message) of those that can't, or have an event without an instant to start at."""
-    schema = StructType([*schemas.EVENTS_DOC.fields, StructField("_corrupt", StringType())])
-    docs = spark.read.schema(schema).json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt").withColumn("file", F.col("_metadata.file_path"))
-    message = F.when(F.col("events").isNull(), F.when(F.col("_corrupt").isNotNull(), "not an events document").otherwise("no events")).when(F.col("_corrupt").isNotNull(), "not an events document")
-    rows = flat_events(docs.filter("_corrupt is null"))
+    """Flat annotations of the documents, or bare lists, that can be read, with ``extra`` (JSON: what no column tells), and (file, message) of the others.
+
+    A document with an event that has no instant to start at is one of the others, too.
+    """
+    rows, bad = lossless.read(spark, path, "events")
+    header = [F.col(f"doc.{c}").alias(c) for c in ("events_id", "subject_id", "time_zone")]
+    rows = rows.select("file", *header, "pos", *lossless.KINDS["events"].item, F.to_json("extra").alias("extra")).withColumnsRenamed({"start_time": "start_time_raw", "end_time": "end_time_raw"})
+    rows = rows.withColumns({"start_time": parse_instant(F.col("start_time_raw")), "end_time": parse_instant(F.col("end_time_raw"))})
     first = rows.filter("start_time is null").groupBy("file").agg(F.min_by(F.concat(F.lit("event "), F.coalesce("event_id", F.col("pos").cast("string")), F.lit(": start_time is no instant")), "pos").alias("message"))
-    return rows, docs.select("file", message.alias("message")).filter("message is not null").unionByName(first)
+    return rows, bad.select("file", F.concat(F.lit("not an events document: "), "message").alias("message")).unionByName(first)
+
+
+def event_object(events: DataFrame) -> Column:
+    """A flat annotation as an object of an events document, with what ``extra`` kept of the one that it was read from."""
+    named = {"start_time": "start_time_raw", "end_time": "end_time_raw"}
+    extra = F.try_parse_json("extra").try_cast("map<string,variant>") if "extra" in events.columns else None
+    return lossless.object_of("events", extra, named)
 
 
 def read_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -101,13 +101,18 @@ def parse(texts: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     return items.withColumn("extra", _extra("_fields", about.item)).drop("_fields"), problems
 
 
-def _object(fields: dict[str, str], extra: Column, at: str = "") -> Column:
+def object_of(kind: str, extra: Column | None = None, named: dict[str, str] | None = None) -> Column:
+    """An element as a map from field to VARIANT, from columns of its fields' names (``named``: of others) and ``extra``."""
+    return _object(KINDS[kind].item, F.expr(EMPTY) if extra is None else extra, "", named)
+
+
+def _object(fields: dict[str, str], extra: Column, at: str = "", named: dict[str, str] | None = None) -> Column:
     """An object's fields as a map: the columns (those of struct ``at``) that are there, and ``extra``, which goes before them."""
     entries = []
     for name, kind in fields.items():
         if name in _FROM:
             continue
-        c = F.col(f"{at}`{name}`")
+        c = F.col(f"{at}`{(named or {}).get(name, name)}`")
         if name == "window":
             c = F.coalesce(F.to_variant_object(c), F.to_variant_object(F.col("window_bundle")))
         elif kind in _SCALARS or kind == "array<string>":

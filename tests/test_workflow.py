@@ -177,3 +177,22 @@ def test_one_events_file_for_several_workbooks(spark, tmp_path):
     assert together["signals", "dev-a"] != together["signals", "dev-b"]
     for c in ("dev-a", "dev-c"):
         assert {k: v for k, v in together.items() if k[1] == c} == run([c])
+
+
+def test_events_for_people_and_what_to_collect(out):
+    a, b = (texts(out / "events_txt")[c] for c in ("dev-a-1.2.3", "dev-b"))
+    assert a.count("EVENT CLAIM (not ground truth measurement)") == 42 and "Label: food x / and more\nStart: 2024-01-01T14:00:00+08:00\nSource: manual" in a
+    assert "! Very short event (<5 min)" in b and b.index("Event ID: e0") < b.index("Event ID: e1")
+    needs = doc(out / "answerability", "dev-a-1.2.3")["data_requirements"]
+    assert {n["group"]: n.get("selector") for n in needs if n["type"] == "collect_events"} == {g: {"component": "label", "operator": "=", "value": f"food {x}"} for g, x in (("exposure", "x"), ("comparison", "y"))}
+    assert all("selector" not in n for n in needs if n["type"] != "collect_events")
+
+
+def test_lists_of_events_and_unknown_fields_come_through(spark, tmp_path):
+    event = {"event_id": "e0", "event_type": "meal", "start_time": "2024-01-01T02:00:00+08:00", "exposure_components": [{"name": "carbohydrate", "value": 45, "unit": "g", "brand": "b"}], "photo": {"tags": ["x"]}, "rating": 4}
+    (tmp_path / "events.json").write_text(json.dumps([event]))
+    events, problems = workflow.case_events(spark, ["c"], f"file://{tmp_path}", time_zone="UTC")
+    assert problems.count() == 0
+    written = documents.nested(events, ["case"], "events", documents.event_object(events)).select(F.to_json("events").alias("j")).first().j
+    assert json.loads(written) == [event]
+    assert [c["value"] for c in events.first().exposure_components] == [45.0]
