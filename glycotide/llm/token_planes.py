@@ -122,7 +122,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     Documents are dealt by id ranges, a shard has one range in order, and a file of it that has ``file_ids`` ids or
     FILE_DOCS documents ends, so files and their indexes are bounded. Files get their names when they are whole, by a
     rename, and a repeated or lost task leaves only files that no manifest names. A null text is empty and has the end
-    id alone; rows that repeat an id follow each other; rows without an id come first. The manifest is written before it
+    id alone; rows without an id come first; rows that repeat an id, and those without one, follow each other by hashes of
+    their texts, so the order is the same in each run and they, too, are dealt over ranges. The manifest is written before it
     is returned, so that the files it names stay the ones that later readers see.
     """
     require(docs, id_col, text_col)
@@ -155,7 +156,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
             yield done()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    ordered = rows.repartitionByRange(shards or max(parts(docs.sparkSession), 1), "doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text"), F.xxhash64(F.lit(1), "text")]
+    ordered = rows.repartitionByRange(shards or max(parts(docs.sparkSession), 1), *order).sortWithinPartitions(*order).select("doc_id", "text")
     return written(ordered.mapInArrow(tidy(run), MANIFEST), "manifest")
 
 
