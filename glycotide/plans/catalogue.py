@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from glycotide.config import AnswerConfig, MetricWindows, Window
 from glycotide.functions.columns import NUDGE, micros, tie_safe
-from glycotide.operators import annotations, event_quality, ingest, metrics, predicates, questions, sanity, segments, signals
+from glycotide.operators import annotations, event_quality, ingest, metrics, predicates, questions, sanity, schema_rules, segments, signals
 from glycotide.sources import lossless, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,6 +204,33 @@ def q_lossless_events(spark, sf_dir):
     )
 
 
+SCHEMA = {
+    "type": "object", "required": ["event_id", "event_type"], "additionalProperties": False,
+    "properties": {
+        "event_id": {"type": "string", "pattern": "^e[0-9]+$"}, "event_type": {"enum": ["purchase", "view", "click", "signup"]}, "value": {"type": "number", "maximum": 50},
+        "props": {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 10}}}, "tags": {"type": "array", "uniqueItems": True, "items": {"type": "string"}},
+    },
+}
+
+
+@query(
+    "q_schema_violations",
+    """
+    WITH v AS (SELECT event_id, concat_ws(',', CASE WHEN event_type NOT IN ('purchase', 'view', 'click', 'signup') THEN '$.event_type: enum' END, CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) < 10 THEN '$.props.k: minimum' END,
+      CASE WHEN event_id % 11 = 0 THEN '$.tags: uniqueItems' END, CASE WHEN value > 50 THEN '$.value: maximum' END, CASE WHEN event_id % 7 = 0 THEN '$: additional extra' END) AS violations FROM events)
+    SELECT * FROM v WHERE violations <> ''
+    """,
+)
+def q_schema_violations(spark, sf_dir):
+    """Each row as a document against a schema."""
+    n, tags = F.col("event_id"), F.when(F.col("event_id") % 11 == 0, F.array(F.lit("a"), F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b")))
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    head = F.to_json(F.struct(F.concat(F.lit("e"), n.cast("string")).alias("event_id"), "event_type", "value", tags.alias("tags"), F.when(n % 7 == 0, 1).alias("extra")))
+    text = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"props":'), "props", F.lit("}"))
+    found = rows.select("event_id", F.parse_json(text).alias("v")).select("event_id", schema_rules.violations(F.col("v"), SCHEMA).alias("found"))
+    return found.filter(F.size("found") > 0).select("event_id", F.array_join("found", ",").alias("violations"))
+
+
 @query(
     "q_violations",
     f"""

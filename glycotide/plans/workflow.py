@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from glycotide.config import UNITS, AnswerConfig, MetricWindows, QualityConfig, SignalConfig
 from glycotide.functions.columns import micros
-from glycotide.operators import annotations, event_quality, ingest, metrics, questions, sanity, signals
+from glycotide.operators import annotations, event_quality, ingest, metrics, questions, sanity, schema_rules, signals
 from glycotide.sources import documents
 from glycotide.sources.workbook import TIME_COLUMN, VALUE_COLUMN, read_workbooks
 
@@ -130,10 +130,11 @@ def file_names(spark: SparkSession, folder: str, pattern: str) -> dict[str, str]
     return {r.path.rpartition("/")[2]: r.path for r in listed}
 
 
-def case_events(spark: SparkSession, cases: list[str], folder: str, *, time_zone: str, subject: str = "subject", merge: bool = True) -> tuple[DataFrame, DataFrame] | None:
+def case_events(spark: SparkSession, cases: list[str], folder: str, *, time_zone: str, subject: str = "subject", merge: bool = True, schema: dict | None = None) -> tuple[DataFrame, DataFrame] | None:
     """Annotations of all cases from a folder of diaries and events documents, chosen as ``events_for_cases`` does, and the problems of cases; None if there are none.
 
-    A file that serves several cases is read once; what is wrong with it is a problem of each of them.
+    A file that serves several cases is read once; what is wrong with it is a problem of each of them. Events documents
+    that break ``schema`` are problems, too.
     """
     files = file_names(spark, folder, "*.{txt,json}")
     chosen = events_for_cases(cases, list(files))
@@ -149,7 +150,11 @@ def case_events(spark: SparkSession, cases: list[str], folder: str, *, time_zone
             lines = documents.read_diary(spark, paths).withColumn("name", name).join(serves, "name")
             events, wrong = diary_cases(lines.drop("name", "file"), time_zone=time_zone, subject=subject, merge=merge)
         else:
-            events, wrong = (df.withColumn("name", name).join(serves, "name") for df in documents.read_events_tolerant(spark, paths))
+            events, wrong = documents.read_events_tolerant(spark, paths)
+            if schema:
+                broken = F.concat(F.lit("breaks the schema: "), F.array_join(F.slice("violations", 1, 3), "; ")).alias("message")
+                wrong = wrong.unionByName(schema_rules.check_documents(spark, paths, schema).select("file", broken))
+            events, wrong = (df.withColumn("name", name).join(serves, "name") for df in (events, wrong))
             wrong = first_problems(_problems("events", wrong))
             events = events.join(wrong.select("case"), "case", "left_anti")
         found.append(events.select(*EVENT_COLUMNS))
@@ -340,7 +345,7 @@ def read_question(spark: SparkSession, path: str) -> dict:
 
 def run(
     spark: SparkSession, data: str, out: str, *, time_zone: str, unit: str = "mmol/L", subject: str = "subject", events: str | None = None, question: dict | None = None, from_documents: bool = False,
-    generated_at: str = "", strict: bool = False, **tunables,
+    generated_at: str = "", strict: bool = False, schema: dict | None = None, **tunables,
 ) -> Results:
     """The whole workflow of a folder; facts are stored under ``out``/facts.
 
@@ -361,7 +366,7 @@ def run(
     found = None
     if events:
         cases = [r.case for r in samples.select("case").distinct().collect()]  # one row a file
-        if both := case_events(spark, cases, events, time_zone=time_zone, subject=subject):
+        if both := case_events(spark, cases, events, time_zone=time_zone, subject=subject, schema=schema):
             found, more = both
             more = store(more, "event_problems")
             if strict:
@@ -386,6 +391,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--question", help="a question document (JSON)")
     p.add_argument("--documents", action="store_true")
     p.add_argument("--generated-at", default="")
+    p.add_argument("--validate", metavar="SCHEMA", help="a JSON schema that events documents must fit")
     p.add_argument("--strict", action="store_true", help="stop at a case that has a problem, instead of listing it")
     for f in fields(QualityConfig):
         p.add_argument(f"--{f.name.replace('_', '-')}", type=float, default=f.default, help="a tunable of the events' quality (default: %(default)s)")
@@ -393,7 +399,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     question = read_question(spark, a.question) if a.question else None
     quality = QualityConfig(**{f.name: getattr(a, f.name) for f in fields(QualityConfig)})
-    run(spark, a.data, a.out, time_zone=a.timezone, unit=a.unit, subject=a.subject, events=a.events, question=question, from_documents=a.documents, generated_at=a.generated_at, strict=a.strict, quality_config=quality)
+    run(spark, a.data, a.out, time_zone=a.timezone, unit=a.unit, subject=a.subject, events=a.events, question=question, from_documents=a.documents, generated_at=a.generated_at, strict=a.strict, quality_config=quality, schema=schema_rules.read_schema(spark, a.validate) if a.validate else None)
 
 
 if __name__ == "__main__":

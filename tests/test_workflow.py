@@ -196,3 +196,13 @@ def test_lists_of_events_and_unknown_fields_come_through(spark, tmp_path):
     written = documents.nested(events, ["case"], "events", documents.event_object(events)).select(F.to_json("events").alias("j")).first().j
     assert json.loads(written) == [event]
     assert [c["value"] for c in events.first().exposure_components] == [45.0]
+
+
+def test_documents_that_break_a_schema_are_problems(spark, tmp_path):
+    event = {"event_id": "e0", "event_type": "meal", "start_time": "2024-01-01T02:00:00+08:00"}
+    for case, one in (("a", event), ("b", event | {"event_type": "lunch", "annotation_quality": 2})):
+        (tmp_path / f"{case}.json").write_text(json.dumps({"events": [one]}))
+    schema = {"properties": {"events": {"items": {"properties": {"event_type": {"enum": ["meal"]}, "annotation_quality": {"maximum": 1}}}}}}
+    events, problems = workflow.case_events(spark, ["a", "b"], f"file://{tmp_path}", time_zone="UTC", schema=schema)
+    assert [tuple(r) for r in problems.collect()] == [("b", "events", "breaks the schema: $.events[].annotation_quality: maximum; $.events[].event_type: enum")]
+    assert [r.case for r in events.collect()] == ["a"]
