@@ -150,10 +150,15 @@ def _nearest(ev: DataFrame, key_cols: list[str], widths: Sequence[float] = segme
     return found.groupBy("event_id", *key_cols).agg(F.max(before).alias("before_us"), F.max(after).alias("after_us"))
 
 
+def _hundredths(x: Column) -> Column:
+    """``x``, not negative, rounded to two digits by its hundredths as they come out in binary, as DuckDB rounds."""
+    return F.round(x * 100) / 100
+
+
 def isolation(events: DataFrame, *keys: str, config: QualityConfig = QualityConfig(), longest_minutes: float | None = None) -> DataFrame:
     """Overlapping events and the gaps to the nearest ones that end before or start after; touching counts as overlap.
 
-    ``nearest_event_gap_minutes`` is null for 0, the other two gaps are not.
+    ``nearest_event_gap_minutes`` is null for 0 (not for what rounds to 0), the other two gaps are not.
     """
     key_cols = list(keys)
     ev = events.select("event_id", *key_cols, "label", "start_us", _end(config).alias("stop_us")).dropDuplicates(["event_id", *key_cols])
@@ -172,8 +177,8 @@ def isolation(events: DataFrame, *keys: str, config: QualityConfig = QualityConf
         .when(nearest < NEAR, F.format_string("Event is close to other events (%.0f min). Check for confounding effects.", F.rint(nearest))).otherwise("Event is well-isolated for analysis.")
     )
     return out.select(
-        "event_id", *key_cols, (n == 0).alias("is_isolated"), "overlapping_events", F.nullif(F.bround(nearest, 2), F.lit(0.0)).alias("nearest_event_gap_minutes"),
-        F.bround("before", 2).alias("min_before_gap"), F.bround("after", 2).alias("min_after_gap"), issues.alias("issues"), advice.alias("recommendation"),
+        "event_id", *key_cols, (n == 0).alias("is_isolated"), "overlapping_events", _hundredths(F.nullif(nearest, F.lit(0.0))).alias("nearest_event_gap_minutes"),
+        _hundredths(F.col("before")).alias("min_before_gap"), _hundredths(F.col("after")).alias("min_after_gap"), issues.alias("issues"), advice.alias("recommendation"),
     )
 
 

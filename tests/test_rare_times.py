@@ -3,7 +3,9 @@
 import datetime as dt
 
 import duckdb
+import pytest
 
+from glycotide.operators.event_quality import isolation
 from glycotide.plans import catalogue
 from glycotide.plans.workflow import import_cases
 
@@ -36,3 +38,15 @@ def test_import_problems_of_near_and_equal_times(spark, tmp_path):
     raw = spark.read.parquet(f"{folder}/events.parquet").selectExpr("'u' || user_id AS stem", "ts AS t", "value AS v")
     said = {r.case: r.message for r in import_cases(raw, time_zone="Etc/UTC", unit="mg/dL", time_col="t", value_col="v")[1].collect()}
     assert said["u4"] == "duplicate or unordered timestamps" and said["u8"] == "found 1 duplicate timestamps" and said["u16"] == "inconsistent sampling interval"
+
+
+@pytest.mark.parametrize("gap", [0, 1, 200_000, 300_000, 2_700_000, 8_700_000, 62_700_000, 32_700_000])
+def test_isolation_of_small_gaps(spark, tmp_path, gap):
+    folder = events(spark, tmp_path, [(1, 0, 0, "purchase"), (2, 30 * MINUTE + gap, 1, "purchase"), (3, 100 * MINUTE + 7, 2, "purchase"), (4, 0, 99, "purchase"), (5, 0, 99, "view")])
+    assert_equals_sql(spark, folder, "q_isolation")
+
+
+def test_nearest_gap_is_null_for_just_0(spark):
+    ev = spark.createDataFrame([("a", "s", 0, MINUTE), ("b", "s", MINUTE, 2 * MINUTE), ("c", "t", 0, MINUTE), ("d", "t", MINUTE + 1000, 2 * MINUTE)], "event_id string, s string, start_us long, end_us long").selectExpr("*", "cast(null as string) AS label")
+    got = {r.event_id: (r.nearest_event_gap_minutes, r.min_before_gap, r.min_after_gap) for r in isolation(ev, "s").collect()}
+    assert got == {"a": (None, None, 0.0), "b": (None, 0.0, None), "c": (0.0, None, 0.0), "d": (0.0, 0.0, None)}
