@@ -16,6 +16,8 @@ from glycotide.llm.tokens import tokenizer
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Pieces per shard in the first round, per shard in the second, and the gap from which a sequence is opened again.
 SHARD, SECOND_SHARD, LOOSE_GAP = 8_192, 65_536, 8
+#: Bytes of text that a worker tokenizes at a time.
+AT_ONCE = 4 << 20
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -33,7 +35,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col:
         encode = tokenizer(vocabulary, True).encode
         for batch in batches:
             rows, counts = [], []
-            for ids in encode(batch.column(1)):
+            for ids in encode(batch.column(1), AT_ONCE):
                 ids = memoryview(ids + end)
                 cuts = cut(len(ids) // 4, capacity)
                 counts.append(len(cuts))
@@ -42,7 +44,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, id_col:
             docs = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
             yield pa.RecordBatch.from_arrays([docs, *(pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64())))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(id_col).cast("long"), text_or_empty(text_col)).mapInArrow(tidy(run), PIECES)
+    return docs.select(F.col(id_col).cast("long"), text_or_empty(text_col)).mapInArrow(tidy(run, table=True), PIECES)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

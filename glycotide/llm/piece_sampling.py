@@ -297,7 +297,7 @@ def encode_sampled(docs: DataFrame, model: str, *, seed: int = 0, theta: float =
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array([x.astype("<u4").tobytes() for x in out], pa.binary())], names=["doc_id", "ids"])
 
     key = F.xxhash64(F.col(id_col).cast("long"))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, ids binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), text_or_empty(text_col).alias("text")).mapInArrow(tidy(run, table=True), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -312,7 +312,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
                 texts = [None if x is None else table.decode(np.frombuffer(x, "<u4").tolist()) for x in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run, table=True), "doc_id long, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, model: str, *, seed: int = 0, theta: float = 1.0) -> DataFrame:

@@ -158,7 +158,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     order = ["doc_id", F.xxhash64("text"), F.xxhash64(F.lit(1), "text")]
     ordered = rows.repartitionByRange(shards or max(parts(docs.sparkSession), 1), *order).sortWithinPartitions(*order).select("doc_id", "text")
-    return written(ordered.mapInArrow(tidy(run), MANIFEST), "manifest")
+    return written(ordered.mapInArrow(tidy(run, table=True), MANIFEST), "manifest")
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:

@@ -94,14 +94,17 @@ class WordTokenizer:
             out[k] += ids[tail]
         return out
 
-    def encode(self, texts: pa.Array) -> Iterator[bytes]:
-        """Each text's ids, in order, as little-endian unsigned 32-bit integers. Null texts are empty."""
+    def encode(self, texts: pa.Array, at_once: int = AT_ONCE) -> Iterator[bytes]:
+        """Each text's ids, in order, as little-endian unsigned 32-bit integers. Null texts are empty.
+
+        Some 30 bytes of memory a byte of text are in use for ``at_once`` bytes (or one longer text) at a time.
+        """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         ends = np.cumsum(pc.binary_length(texts).to_numpy())
         at = 0
         while at < len(texts):
             before = ends[at - 1] if at else 0
-            end = max(at + 1, int(np.searchsorted(ends, before + AT_ONCE, side="right")))
+            end = max(at + 1, int(np.searchsorted(ends, before + at_once, side="right")))
             yield from self._encode(texts.slice(at, end - at))
             at = end
 
@@ -111,15 +114,17 @@ class WordTokenizer:
         chunks = self.split(pc.if_else(whole, "", texts))
         places = np.asarray(chunks.offsets) - chunks.offsets[0].as_py()
         words = chunks.flatten().dictionary_encode()
+        del chunks
         ids = self._ids(words.dictionary)
         sizes = np.array([len(x) for x in ids], np.int64) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         which = words.indices.to_numpy()
+        del words, ids
         n = sizes[which]
         ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
         starts = np.cumsum(sizes) - sizes
-        at = np.arange(ends[-1])
-        at += np.repeat(starts[which] - ends[:-1], n)
+        at = np.repeat(starts[which] - ends[:-1], n)
+        at += np.arange(ends[-1])
         out = flat[at]
         cuts, rest = ends[places].tolist(), iter(apart)
         for k, alone in enumerate(whole.to_pylist()):
