@@ -2,7 +2,7 @@
 
 A line is the set of its words. Words are ordered from rare to frequent by a table of counts of fixed size, so that a
 short prefix of a set must share a word with any similar set. Pairs that share one pass length and positional filters,
-and one on 128 parity bits of their words; those left are verified on all their words. Words are compared by 64-bit hashes.
+and one on 64 or 128 parity bits of their words; those left are verified on all their words. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, written
 
 #: Entries of the table of word counts; lines to be verified up to which their numbers, and their documents' ids, are broadcast.
-BUCKETS, MOST_BROADCAST = 1 << 16, 250_000
+BUCKETS, MOST_BROADCAST = 1 << 14, 250_000
+#: Words from which a set has two numbers of parity bits in use: one of 64 bits tells longer sets no more apart.
+LONG = 150
 #: A prefix word of more than 1/MOST_HOT of all prefix words, and of more than LEAST_HOT, is hot: lines must share another word, too.
 MOST_HOT, LEAST_HOT = 2_000, 1_000
 _MASK = (1 << 56) - 1
@@ -25,17 +27,18 @@ PARITY = ["parity_0", "parity_1"]
 TOKEN = [*AT, "size", "place", *PARITY]
 
 
-def _blanks(line: Column) -> Column:
-    """A line with blanks for other white space. Lines mostly have none: replacing a text that isn't there costs a scan."""
+def _blanks(text: Column) -> Column:
+    """A text with blanks for other white space but line feeds. Most have none, which one scan of a whole text tells."""
+    blank = text
     for space in "\t\x0b\f\r":
-        line = F.replace(line, F.lit(space), F.lit(" "))
-    return line
+        blank = F.replace(blank, F.lit(space), F.lit(" "))
+    return F.when(text.rlike(r"[\t\x0B\f\r]"), blank).otherwise(text)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, line_no (from 0), line; ``line`` has blanks for other white space; lines without words are left out."""
-    lines = docs.select(*DOC, F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
-    return lines.select(*AT, _blanks(F.col("raw")).alias("line")).filter(F.trim("line") != "")
+    lines = docs.select(*DOC, F.posexplode(F.split(_blanks(F.col("text")), "\n", -1)).alias("line_no", "line"))
+    return lines.filter(F.trim("line") != "")
 
 
 def words_of(line: Column) -> Column:
@@ -44,11 +47,11 @@ def words_of(line: Column) -> Column:
 
 
 def rarity_levels(docs: DataFrame) -> Column:
-    """An array literal: for each of BUCKETS word buckets a level, 0 to 127, that rises with its count over all texts."""
-    words = docs.select(F.explode(words_of(_blanks(F.replace("text", F.lit("\n"), F.lit(" "))))).alias("word"))
+    """An array literal: for each of BUCKETS word buckets a level, 0 to 127 (times 2^56), that rises with its count over all texts."""
+    words = docs.select(F.explode(words_of(F.replace(_blanks(F.col("text")), F.lit("\n"), F.lit(" ")))).alias("word"))
     counts = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).count()
     found = {r["bucket"]: r["count"] for r in counts.collect()}  # BUCKETS rows at most
-    return F.split(F.lit(",".join(str(min(127, 2 * found.get(b, 0).bit_length())) for b in range(BUCKETS))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(str(min(127, 2 * found.get(b, 0).bit_length()) << 56) for b in range(BUCKETS))), ",").cast("array<bigint>")
 
 
 def _ranked(line: Column, levels: Column) -> Column:
@@ -56,24 +59,35 @@ def _ranked(line: Column, levels: Column) -> Column:
 
     def rank(h: Column) -> Column:
         level = F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))  # never null: numbers without nulls are sorted faster
-        return F.shiftleft(level, 56).bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
+        return level.bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
 
     return F.sort_array(F.array_distinct(F.transform(F.transform(words_of(line), lambda w: F.xxhash64(w)), rank)))
 
 
-def _parity(ranks: Column, which: int) -> Column:
-    """64 bits: each word flips one of them, or one of the other parity's. Sets of which n words are in one only differ in n bits at most."""
+def _parity(ranks: Column, size: Column) -> list[Column]:
+    """PARITY: each word flips one of 64 bits; in a set of LONG words or more, those of the half that the word is of.
+
+    Sets of which n words are in one only differ in n bits at most.
+    """
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def flips(own: Column, rank: Column) -> Column:
+        return F.call_function("shiftleft", own, rank.bitwiseAND(F.lit(63)).cast("int"))
+
+    half = lambda rank: F.shiftright(rank, 26).bitwiseAND(F.lit(1))
+    all_words = F.aggregate(ranks, zero, lambda bits, rank: bits.bitwiseXOR(flips(one, rank)))
+    halves = [F.aggregate(ranks, zero, lambda bits, rank: bits.bitwiseXOR(flips(one - half(rank), rank))), F.aggregate(ranks, zero, lambda bits, rank: bits.bitwiseXOR(flips(half(rank), rank)))]
+    return [F.when(size < LONG, short).otherwise(long).alias(c) for c, short, long in zip(PARITY, (all_words, zero), halves)]
 
-    def flip(bits: Column, rank: Column) -> Column:
-        half = F.shiftright(rank, 26).bitwiseAND(F.lit(1))
-        own = half if which else F.lit(1).cast("long") - half
-        return bits.bitwiseXOR(F.call_function("shiftleft", own, F.shiftright(rank, 20).bitwiseAND(F.lit(63)).cast("int")))
 
-    return F.aggregate(ranks, F.lit(0).cast("long"), flip)
+def _differ() -> Column:
+    """Words that one of two sets (a_, b_) has, at least. A set of fewer than LONG words is compared by all of the other's at once."""
+    bits = [F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}")) for c in PARITY]
+    return F.when(F.least("a_size", "b_size") < LONG, F.bit_count(bits[0].bitwiseXOR(bits[1]))).otherwise(F.bit_count(bits[0]) + F.bit_count(bits[1]))
 
 
-def _key() -> Column:
-    return F.struct(F.xxhash64("line").alias("one"), F.xxhash64(F.lit(7), "line").alias("two"))
+def _key() -> list[Column]:
+    return [F.xxhash64("line").alias("one"), F.xxhash64(F.lit(7), "line").alias("two")]
 
 
 def _candidates(later: DataFrame, early: DataFrame, num: int, den: int) -> DataFrame:
@@ -90,9 +104,7 @@ def _candidates(later: DataFrame, early: DataFrame, num: int, den: int) -> DataF
     # words before the shared one and from it on
     ahead = F.least("a_place", "b_place") + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
     fits &= (num + den) * ahead >= num * both
-    # words that one of them has, at least
-    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in PARITY), F.lit(0))
-    fits &= (num + den) * differ <= (den - num) * both
+    fits &= (num + den) * _differ() <= (den - num) * both
     pairs = side(later, "a").join(side(early, "b"), "token").filter(fits)
     return pairs.select(*[f"{p}_{c}" for p in "ab" for c in AT]).distinct()
 
@@ -115,7 +127,8 @@ def _tokens(sets: DataFrame, num: int, den: int) -> DataFrame:
     if 2 * num <= den:
         return alone.select("token", *TOKEN).unionByName(each.select("token", *TOKEN))
     counts = each.groupBy("token").agg(F.count("*").alias("n"))
-    limit = max(each.count() // MOST_HOT, LEAST_HOT)
+    n_tokens = rest.agg(F.sum(F.least("set.size", _prefix_size("set.size", num, den)))).first()[0] or 0
+    limit = max(n_tokens // MOST_HOT, LEAST_HOT)
     hot = written(counts.filter(F.col("n") > limit).select("token"), "hot-tokens")  # MOST_HOT at most
     cold = each.drop("_prefix").join(F.broadcast(hot), "token", "left_anti")
     second = each.join(F.broadcast(hot), "token").withColumn("other", F.explode(F.filter("_prefix", lambda w: w != F.col("token"))))
@@ -135,8 +148,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     ends = [pairs.select(*[F.col(f"{p}_{c}").alias(c) for c in AT]) for p in "ab"]
     wanted = written(ends[0].union(ends[1]).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "line_no")).alias("wanted")), "wanted-lines")
     texts = _with_wanted(docs, wanted)
-    lines = texts.select(*DOC, F.split("text", "\n", -1).alias("lines"), F.explode("wanted").alias("at")).filter(F.col("at.text_key") == F.col("text_key")).select(*DOC, "lines", "at.line_no")
-    line = _blanks(F.element_at("lines", F.col("line_no") + 1))
+    lines = texts.select(*DOC, F.split(_blanks(F.col("text")), "\n", -1).alias("lines"), F.explode("wanted").alias("at")).filter(F.col("at.text_key") == F.col("text_key")).select(*DOC, "lines", "at.line_no")
+    line = F.element_at("lines", F.col("line_no") + 1)
     words = lines.select(*AT, F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
     words = written(words, "line-words")
     side = lambda p: words.select(*[F.col(c).alias(f"{p}_{c}") for c in (*AT, "words")])
@@ -175,16 +188,17 @@ def _repeated(docs: DataFrame, key: str, num: int, den: int, id_col: str, text_c
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(key).alias("text_key"), text_or_empty(f"`{text_col}`").alias("text")).filter("doc_id is not null")
     lines = lines_of(source)
     levels = rarity_levels(source)
-    ranked = lines.select(*AT, _key().alias("key"), _ranked(F.col("line"), levels).alias("ranks")).withColumn("size", F.size("ranks"))
+    ranked = lines.select(*AT, *_key(), _ranked(F.col("line"), levels).alias("ranks")).withColumn("size", F.size("ranks"))
     # a set of n words and another one have n of n + 1 words in common at most
     whole = F.when(den * F.col("size") < num * (F.col("size") + 1), F.xxhash64("ranks"))
     prefix = F.when(whole.isNull(), F.slice("ranks", F.lit(1), _prefix_size("size", num, den) + 1))
-    one = F.any_value(F.struct("size", whole.alias("whole"), prefix.alias("prefix"), *[_parity(F.col("ranks"), k).alias(c) for k, c in enumerate(PARITY)])).alias("set")
-    sets = written(ranked.groupBy("key").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("n"), one), "line-sets")
+    one = F.any_value(F.struct("size", whole.alias("whole"), prefix.alias("prefix"), *_parity(F.col("ranks"), F.col("size")))).alias("set")
+    sets = written(ranked.groupBy("one", "two").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("n"), one), "line-sets")
 
-    equal = sets.filter("n > 1").select("key", "first", "n")
+    key = F.struct("one", "two").alias("key")
+    equal = sets.filter("n > 1").select(key, "first", "n")
     total = sets.agg(F.sum("n")).first()[0] or 0
-    keyed = join_by_count(lines.select(*AT, _key().alias("key")), equal, "key", "n", total, "doc_id")
+    keyed = join_by_count(lines.select(*AT, *_key()).select(*AT, key), equal, "key", "n", total, "doc_id")
     out = keyed.filter(F.col("first") != F.struct(*AT)).select(*AT)
 
     tokens = _tokens(sets, num, den)
