@@ -25,6 +25,8 @@ RARE = r"[\x00\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2
 RUNS = r"[ \n]{2}|[\t\r]"
 #: Marks behind a letter or digit, which both vocabularies split there: ids of a word with marks are those of the word, then of the marks.
 MARKS, LETTER_LAST = ".,;:!?", "[A-Za-z0-9À-ÖØ-öø-ÿ]$"
+#: Words that the vocabularies' rules leave whole and as they are but for bytes written as characters, where blanks are kept and where not.
+LETTERS = {True: "[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+", False: "[a-zß-öø-ÿ]+"}
 #: Distinct stems of each of a worker's two generations, some 200 bytes each; longer ones are not kept. Bytes split at a time.
 MOST_WORDS, LONG_WORD, AT_ONCE = 150_000, 40, 8 << 20
 
@@ -47,9 +49,12 @@ class WordTokenizer:
 
     def __init__(self, path: str, keeps_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker per core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges, self.letters = self.tokenizer.model, re.compile(LETTERS[keeps_space])
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.characters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (32, *range(0xC0, 0x100))}
         self.split = chunks_of if keeps_space else pc.ascii_split_whitespace
         special = [re.escape(t.content).replace("<", r"\x{3c}") for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = "|".join([RARE, *special])
@@ -59,9 +64,23 @@ class WordTokenizer:
         self.older: dict[str, bytes] = {}
 
     def _library(self, words: list[str]) -> list[bytes]:
+        """The ids of words: of those of letters alone by the library's model, without the rules before it, which cost more than it does."""
         out = []
+        is_plain, model, characters = self.letters.fullmatch, self.merges.tokenize, self.characters
         for lo in range(0, len(words), 20_000):
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words[lo : lo + 20_000], add_special_tokens=False)]
+            some = words[lo : lo + 20_000]
+            plain = list(map(is_plain, some))
+            rest = iter(self.tokenizer.encode_batch_fast([w for w, x in zip(some, plain) if x is None], add_special_tokens=False))
+            ids: list[int] = []
+            ends = [0]
+            for w, x in zip(some, plain):
+                if x is None:
+                    ids += next(rest).ids
+                else:
+                    ids += [t.id for t in model(w if w.isascii() and w[0] != " " else w.translate(characters))]
+                ends.append(4 * len(ids))
+            raw = np.array(ids, "<u4").tobytes()
+            out += [raw[a:b] for a, b in zip(ends, ends[1:])]
         return out
 
     def _known(self, stems: list[str]) -> list[bytes]:
