@@ -148,9 +148,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
     ends = [pairs.select(*[F.col(f"{p}_{c}").alias(c) for c in AT]) for p in "ab"]
     wanted = written(ends[0].union(ends[1]).distinct().groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "line_no")).alias("wanted")), "wanted-lines")
     texts = _with_wanted(docs, wanted)
-    lines = texts.select(*DOC, F.split(_blanks(F.col("text")), "\n", -1).alias("lines"), F.explode("wanted").alias("at")).filter(F.col("at.text_key") == F.col("text_key")).select(*DOC, "lines", "at.line_no")
-    line = F.element_at("lines", F.col("line_no") + 1)
-    words = lines.select(*AT, F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
+    lines = texts.select(*DOC, "wanted", F.posexplode(F.split(_blanks(F.col("text")), "\n", -1)).alias("line_no", "line")).filter(F.array_contains("wanted", F.struct("text_key", "line_no")))
+    words = lines.select(*AT, F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))).alias("words")).dropDuplicates(AT)
     words = written(words, "line-words")
     side = lambda p: words.select(*[F.col(c).alias(f"{p}_{c}") for c in (*AT, "words")])
     both = pairs.join(side("a"), [f"a_{c}" for c in AT]).join(side("b"), [f"b_{c}" for c in AT])
