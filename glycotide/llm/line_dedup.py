@@ -1,8 +1,8 @@
 """Line deduplication by an exact set-similarity join, with DataFrame operations only.
 
 A line is the set of its words. Words are ordered from rare to frequent by a table of counts of fixed size, so that a
-short prefix of a set must share a word with any similar set. Pairs that share one pass length and positional filters,
-and one on 64 or 128 parity bits of their words; those left are verified on all their words. Words are compared by 64-bit hashes.
+short prefix of a set must share a word with any similar set, and the smaller of two an even shorter one. Pairs that share
+one pass length and positional filters, and one on 64 or 128 parity bits of their words; those left are verified on all their words. Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glycotide.llm.shared import fresh, join_by_count, require, text_or_empty, written
+from glycotide.llm.shared import fresh, require, text_or_empty, written
 
 #: Entries of the table of word counts; lines to be verified up to which their numbers, and their documents' ids, are broadcast.
 BUCKETS, MOST_BROADCAST = 1 << 14, 250_000
@@ -48,7 +48,7 @@ def words_of(line: Column) -> Column:
 
 def rarity_levels(docs: DataFrame) -> Column:
     """An array literal: for each of BUCKETS word buckets a level, 0 to 127 (times 2^56), that rises with its count over all texts."""
-    words = docs.select(F.explode(words_of(F.replace(_blanks(F.col("text")), F.lit("\n"), F.lit(" ")))).alias("word"))
+    words = docs.select(F.explode(F.split(F.replace(_blanks(F.col("text")), F.lit("\n"), F.lit(" ")), " ", -1)).alias("word"))  # empty ones do no harm
     counts = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).count()
     found = {r["bucket"]: r["count"] for r in counts.collect()}  # BUCKETS rows at most
     return F.split(F.lit(",".join(str(min(127, 2 * found.get(b, 0).bit_length()) << 56) for b in range(BUCKETS))), ",").cast("array<bigint>")
@@ -61,7 +61,7 @@ def _ranked(line: Column, levels: Column) -> Column:
         level = F.coalesce(F.get(levels, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))  # never null: numbers without nulls are sorted faster
         return level.bitwiseOR(h.bitwiseAND(F.lit(_MASK)))
 
-    return F.sort_array(F.array_distinct(F.transform(F.transform(words_of(line), lambda w: F.xxhash64(w)), rank)))
+    return F.sort_array(F.transform(F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))), rank))
 
 
 def _parity(ranks: Column, size: Column) -> list[Column]:
@@ -90,51 +90,113 @@ def _key() -> list[Column]:
     return [F.xxhash64("line").alias("one"), F.xxhash64(F.lit(7), "line").alias("two")]
 
 
-def _candidates(later: DataFrame, early: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (AT of a line, as a_, and of an earlier one, as b_) that share a token and can be similar.
+def _fits(num: int, den: int) -> Column:
+    """Whether two rows of tokens (a_, b_) can be of similar sets: by size, by place of the word that they share, by parity.
 
-    Both tables have token and TOKEN.
+    The first word that two similar sets share has all others behind it in both, so rows of later ones need not fit.
     """
-    side = lambda df, p: df.select("token", *[F.col(c).alias(f"{p}_{c}") for c in TOKEN])
-    fits, same = F.lit(False), F.lit(True)
-    for c in AT:
-        fits, same = fits | (same & (F.col(f"b_{c}") < F.col(f"a_{c}"))), same & (F.col(f"b_{c}") == F.col(f"a_{c}"))
-    fits &= (den * F.col("b_size") >= num * F.col("a_size")) & (den * F.col("a_size") >= num * F.col("b_size"))
+    fits = (den * F.col("b_size") >= num * F.col("a_size")) & (den * F.col("a_size") >= num * F.col("b_size"))
     both = F.col("a_size") + F.col("b_size")
-    # words before the shared one and from it on
-    ahead = F.least("a_place", "b_place") + F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
-    fits &= (num + den) * ahead >= num * both
-    fits &= (num + den) * _differ() <= (den - num) * both
-    pairs = side(later, "a").join(side(early, "b"), "token").filter(fits)
+    left = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+    return fits & ((num + den) * left >= num * both) & ((num + den) * _differ() <= (den - num) * both)
+
+
+def _earlier() -> Column:
+    """Whether the line of b_ comes before that of a_."""
+    before, same = F.lit(False), F.lit(True)
+    for c in AT:
+        before, same = before | (same & (F.col(f"b_{c}") < F.col(f"a_{c}"))), same & (F.col(f"b_{c}") == F.col(f"a_{c}"))
+    return before
+
+
+def _side(tokens: DataFrame, p: str) -> DataFrame:
+    return tokens.select("token", *[F.col(c).alias(f"{p}_{c}") for c in TOKEN])
+
+
+def _candidates(later: DataFrame, early: DataFrame, num: int, den: int, few: bool = False) -> DataFrame:
+    """Pairs (AT of a line, as a_, and of an earlier one, as b_) that share a token and can be similar.
+
+    Both tables have token and TOKEN; one of ``few`` early rows goes to the later ones.
+    """
+    early = _side(early, "b")
+    pairs = _side(later, "a").join(F.broadcast(early) if few else early, "token").filter(_earlier() & _fits(num, den))
     return pairs.select(*[f"{p}_{c}" for p in "ab" for c in AT]).distinct()
 
 
+def _size_class(size: Column) -> Column:
+    """A whole number that rises with the size, by four from a size to its double (logarithms are the same on all machines)."""
+    return F.floor(4 * F.log2(size))
+
+
+def _candidates_by_size(sets: DataFrame, hot: DataFrame | None, num: int, den: int) -> DataFrame:
+    """All pairs of ``sets`` that share a token and can be similar, as those of ``_candidates``.
+
+    The larger set has its prefix, the smaller one the shorter prefix, and they meet on the word and the larger one's size class.
+    """
+    large = _tokens(sets, hot, num, den).withColumn("token", F.xxhash64("token", _size_class(F.col("size"))))
+    # of so many words from the shared one on, num of num + den of both sets' words can be common to sets of this size at most
+    largest = F.floor((num + den) * (F.col("size") - F.col("place")) / num) - F.col("size")
+    classes = F.sequence(_size_class(F.col("size")), _size_class(F.greatest(largest, F.col("size"))))
+    small = _tokens(sets, hot, num, den, short=True).withColumn("_class", F.explode(classes)).withColumn("token", F.xxhash64("token", "_class"))
+    ordered = (F.col("b_size") < F.col("a_size")) | ((F.col("b_size") == F.col("a_size")) & _earlier())
+    pairs = _side(large, "a").join(_side(small, "b"), "token").filter(_fits(num, den) & ordered)
+    ends = [F.struct(*[F.col(f"{p}_{c}").alias(c) for c in AT]) for p in "ab"]
+    pairs = pairs.select(F.greatest(*ends).alias("a"), F.least(*ends).alias("b"))
+    return pairs.select(*[F.col(f"{p}.{c}").alias(f"{p}_{c}") for p in "ab" for c in AT]).distinct()
+
+
 def _prefix_size(size: str, num: int, den: int) -> Column:
     return (F.col(size) - F.floor((num * F.col(size) + den - 1) / den) + 1).cast("int")
 
 
-def _tokens(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """token and TOKEN of each set: the words of its prefix.
+def _short_size(size: str, num: int, den: int) -> Column:
+    """Words of the prefix that a set needs for similar ones of its size and more: these share 2 * num of num + den of its words."""
+    return (F.col(size) - F.floor((2 * num * F.col(size) + num + den - 1) / (num + den)) + 1).cast("int")
 
-    A similar set shares a word of the prefix and, for a similarity over 1/2, a second one in a prefix longer by one; so
-    where the first is hot, tokens are pairs of it and another. Sets that only equal ones are similar to have one token,
-    that of all their words.
+
+def _lowest(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame | None]:
+    """token and TOKEN of the earliest set of each token of shorter prefixes, and the words that are hot there (MOST_HOT at most; None: no such)."""
+    low = [F.min(F.struct(*TOKEN)).alias("low"), F.count("*").alias("n")]
+    lowest = written(_tokens(sets, None, num, den, short=True).groupBy("token").agg(*low), "lowest")
+    total = lowest.agg(F.sum("n")).first()[0] or 0
+    hot = lowest.filter(F.col("n") > max(total // MOST_HOT, LEAST_HOT)).select("token")
+    lowest = lowest.select("token", "low.*")
+    # for a similarity up to 1/2 none can be paired with a second word
+    if 2 * num <= den or not hot.head(1):
+        return lowest, None
+    two = _tokens(sets, hot, num, den, short=True, how="inner").groupBy("token").agg(low[0]).select("token", "low.*")
+    return lowest.union(written(two, "lowest-of-two")), hot
+
+
+def _tokens(sets: DataFrame, hot: DataFrame | None, num: int, den: int, short: bool = False, how: str = "left") -> DataFrame:
+    """token and TOKEN of each set: the words of its prefix, or of the shorter one.
+
+    A similar set shares a word of the prefix and, for a similarity over 1/2, a second one behind it in a prefix longer by
+    one; so where the first is hot, tokens are pairs of it and one behind it. Sets that only equal ones are similar to have
+    one token, that of all their words. how: "inner" leaves out words that aren't hot.
     """
-    about = [*[F.col(f"first.{c}") for c in AT], F.col("set.size"), *[F.col(f"set.{c}") for c in PARITY]]
-    alone = sets.filter("set.whole is not null").select(*about, F.lit(0).alias("place"), F.col("set.whole").alias("token"))
-    rest = sets.filter("set.whole is null")
-    each = rest.select(*about, F.posexplode(F.slice("set.prefix", F.lit(1), _prefix_size("set.size", num, den))).alias("place", "token"), F.col("set.prefix").alias("_prefix"))
-    if 2 * num <= den:
-        return alone.select("token", *TOKEN).unionByName(each.select("token", *TOKEN))
-    counts = each.groupBy("token").agg(F.count("*").alias("n"))
-    n_tokens = rest.agg(F.sum(F.least("set.size", _prefix_size("set.size", num, den)))).first()[0] or 0
-    limit = max(n_tokens // MOST_HOT, LEAST_HOT)
-    hot = written(counts.filter(F.col("n") > limit).select("token"), "hot-tokens")  # MOST_HOT at most
-    cold = each.drop("_prefix").join(F.broadcast(hot), "token", "left_anti")
-    second = each.join(F.broadcast(hot), "token").withColumn("other", F.explode(F.filter("_prefix", lambda w: w != F.col("token"))))
-    second = second.withColumn("token", F.xxhash64("token", "other"))
-    names = ["token", *TOKEN]
-    return alone.select(*names).unionByName(cold.select(*names)).unionByName(second.select(*names))
+    size = (_short_size if short else _prefix_size)("set.size", num, den)
+    about = [*[F.col(f"first.{c}").alias(c) for c in AT], F.col("set.size").alias("size"), *[F.col(f"set.{c}").alias(c) for c in PARITY]]
+    words = F.when(F.col("set.whole").isNotNull(), F.array("set.whole")).otherwise(F.slice("set.prefix", F.lit(1), size))
+    if hot is None:
+        return sets.select(*about, F.posexplode(words).alias("place", "token")).select("token", *TOKEN)
+    each = sets.select(*about, F.slice("set.prefix", F.lit(1), size + 1).alias("_prefix"), F.posexplode(words).alias("place", "token"))
+    marked = each.join(F.broadcast(hot.select("token", F.lit(True).alias("_hot"))), "token", how)
+    two = F.transform(F.slice("_prefix", F.col("place") + 2, F.greatest(F.size("_prefix"), F.lit(0))), lambda w: F.xxhash64(F.col("token"), w))
+    # one token of all words (no prefix) is never hot
+    tokens = F.when(F.col("_hot") & F.col("_prefix").isNotNull(), two).otherwise(F.array("token"))
+    return marked.withColumn("token", F.explode(tokens)).select("token", *TOKEN)
+
+
+def _copies(lines: DataFrame, sets: DataFrame) -> DataFrame:
+    """The lines (AT) that are equal to an earlier one. The first ones of frequent lines are broadcast; copies of these look for keys of their own in the shuffled join."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    frequent = F.col("n") > max(total // MOST_HOT, 50)
+    equal = sets.filter("n > 1")
+    keyed = lines.select(*AT, *_key()).join(F.broadcast(equal.filter(frequent).select("one", "two", F.col("first").alias("_hot"))), ["one", "two"], "left")
+    keyed = keyed.withColumn("one", F.when(F.col("_hot").isNotNull(), F.xxhash64(*AT)).otherwise(F.col("one")))
+    found = keyed.join(equal.filter(~frequent).select("one", "two", F.col("first").alias("_cold")).hint("shuffle_hash"), ["one", "two"], "left")
+    return found.filter(F.coalesce("_hot", "_cold") != F.struct(*AT)).select(*AT)
 
 
 def _with_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -161,8 +223,11 @@ def _verify(pairs: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
 def _with_text_key(docs: DataFrame, name: str, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with the column ``name``: 0, or the xxhash64 of the text where rows of one id have several texts."""
     own, text = F.col(f"`{id_col}`").cast("long"), F.xxhash64(text_or_empty(f"`{text_col}`"))
-    texts = docs.groupBy(own.alias("_shared_id")).agg(F.min(text).alias("low"), F.max(text).alias("high"))
-    several = written(texts.filter("_shared_id is not null and low <> high").select("_shared_id"), "ids-of-several-texts")
+    rows = docs.groupBy(own.alias("_shared_id")).agg(F.count("*").alias("n"))
+    several = written(rows.filter("_shared_id is not null and n > 1").select("_shared_id"), "ids-of-several-rows")
+    if several.head(1):  # else no text is read
+        texts = docs.groupBy(own.alias("_shared_id")).agg(F.min(text).alias("low"), F.max(text).alias("high"))
+        several = written(texts.filter("_shared_id is not null and low <> high").select("_shared_id"), "ids-of-several-texts")
     if not several.head(1):
         return docs.withColumn(name, F.lit(0).cast("long"))
     joined = docs.join(several.hint("shuffle_hash"), own == F.col("_shared_id"), "left")
@@ -175,8 +240,9 @@ def repeated_lines(docs: DataFrame, num: int = 9, den: int = 10, id_col: str = "
     text_key is 0, or the xxhash64 of the text where rows of one id have several: these are documents of their own, rows
     that repeat an id and a text are one. Any earlier line counts, removed or not. Lines without words are never removed; a null text is
     one empty line; rows without an id are left out; long lines count whole. Equal lines
-    are collapsed to their first. Per shared token, lines are first compared with the earliest line only; those without a
-    match there with all earlier ones, so that a group of like lines costs no square of its size.
+    are collapsed to their first. Per token, lines are first compared with the earliest line only; those that aren't like it
+    are then compared with each other by size, and with the lines already found, so that a group of like lines costs no
+    square of its size.
     """
     require(docs, id_col, text_col)
     (key,) = fresh(docs, "_text_key")
@@ -194,31 +260,26 @@ def _repeated(docs: DataFrame, key: str, num: int, den: int, id_col: str, text_c
     one = F.any_value(F.struct("size", whole.alias("whole"), prefix.alias("prefix"), *_parity(F.col("ranks"), F.col("size")))).alias("set")
     sets = written(ranked.groupBy("one", "two").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("n"), one), "line-sets")
 
-    key = F.struct("one", "two").alias("key")
-    equal = sets.filter("n > 1").select(key, "first", "n")
-    total = sets.agg(F.sum("n")).first()[0] or 0
-    keyed = join_by_count(lines.select(*AT, *_key()).select(*AT, key), equal, "key", "n", total, "doc_id")
-    out = keyed.filter(F.col("first") != F.struct(*AT)).select(*AT)
-
-    tokens = _tokens(sets, num, den)
-    often = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    shared = written(tokens.join(often.hint("merge"), "token", "left_semi"), "shared-tokens")  # words of one line only go
-    lowest = shared.groupBy("token").agg(F.min(F.struct(*TOKEN)).alias("low")).select("token", "low.*")
-    lowest = written(lowest, "lowest")
+    out = _copies(lines, sets)
+    lowest, hot = _lowest(sets, num, den)
     # a line's pair with itself fits nothing, so the earliest lines may stay among the later ones
-    found = written(_candidates(shared, lowest, num, den), "pivot-pairs")
-    paired = found.select(*[F.col(f"a_{c}").alias(c) for c in AT]).distinct()
-    rest = shared.join(paired, AT, "left_anti")
-    pairs = written(found.union(_candidates(rest, shared, num, den)), "line-pairs")
-    removed = written(_verify(pairs, source, num, den), "similar-lines")
-    # lines whose pair with the earliest one passed the filters only
-    failed = written(paired.join(removed, AT, "left_anti"), "failed-lines")
-    if failed.head(1):
-        more = _candidates(shared.join(failed, AT, "left_semi"), shared, num, den)
-        more = written(more.join(pairs, [f"{p}_{c}" for p in "ab" for c in AT], "left_anti"), "more-pairs")
-        if more.head(1):
-            removed = removed.union(_verify(more, source, num, den))
-    return out.union(removed).distinct()
+    found = written(_candidates(_tokens(sets, hot, num, den, short=True), lowest.hint("shuffle_hash"), num, den), "pivot-pairs")
+    left = sets
+    if found.head(1):
+        removed = written(_verify(found, source, num, den), "like-earliest")
+        out = out.union(removed)
+        gone = removed.select(F.struct(*AT).alias("first"))
+        few = removed.count() <= MOST_BROADCAST
+        left, taken = [sets.join(F.broadcast(gone) if few else gone, "first", how) for how in ("left_anti", "left_semi")]
+        left = left if few else written(left, "lines-left")
+        taken = written(_tokens(taken, hot, num, den), "taken-tokens")
+        pairs = _candidates_by_size(left, hot, num, den).union(_candidates(_tokens(left, hot, num, den), taken, num, den, taken.count() <= MOST_BROADCAST))
+    else:
+        pairs = _candidates_by_size(left, hot, num, den)
+    pairs = written(pairs, "line-pairs")
+    if pairs.head(1):
+        out = out.union(written(_verify(pairs, source, num, den), "similar-lines"))
+    return out.distinct()
 
 
 def line_counts(docs: DataFrame, num: int = 9, den: int = 10) -> DataFrame:
